@@ -164,3 +164,16 @@ def round_arr(arr, digits: int = 6) -> Column:
 
 
 SQRT = math.sqrt
+
+
+def prefix_sums(arr, exclusive: bool = False) -> Column:
+    """Running sums of an int array as an array (left fold inside the row).
+    Use on bounded arrays (tokens of a sentence); long sequences use a window
+    over exploded rows instead. Reference the result by column, never from
+    inside another lambda (Spark would re-evaluate it per element)."""
+    a = _c(arr)
+    inc = F.aggregate(a, F.array().cast("array<long>"), lambda acc, x: F.concat(
+        acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + x).cast("long"))))
+    if not exclusive:
+        return inc
+    return F.concat(F.array(F.lit(0).cast("long")), F.slice(inc, 1, F.greatest(F.size(a) - 1, F.lit(0))))

@@ -24,19 +24,28 @@ def _k(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def explode_rows(df: DataFrame, cols: list, arr: str, pos: str, val: str) -> DataFrame:
+    """posexplode that never lets the optimizer push ``size(arr) > 0`` below
+    the projection computing ``arr`` (that inferred filter would inline the
+    array expression, and re-evaluate it inside lambdas): explode_outer, then
+    drop the null rows of empty arrays."""
+    e = df.select(*cols, F.posexplode_outer(arr).alias(pos, val))
+    return e.filter(F.col(pos).isNotNull())
+
+
 # ---- C29: explode documents into rows and back ------------------------------------
 
 def to_mentions(docs: DataFrame, keys, with_tokens: bool = False) -> DataFrame:
     keys = _k(keys)
     extra = ["tokens"] if with_tokens else []
-    e = docs.select(*keys, *extra, F.posexplode("entities").alias("ent_idx", "e"))
+    e = explode_rows(docs, [*keys, *extra], "entities", "ent_idx", "e")
     return e.select(*keys, *extra, F.col("ent_idx").cast("int").alias("ent_idx"),
                     "e.type", "e.start", "e.end")
 
 
 def to_relations(docs: DataFrame, keys) -> DataFrame:
     keys = _k(keys)
-    r = docs.select(*keys, F.posexplode("relations").alias("rel_idx", "r"))
+    r = explode_rows(docs, keys, "relations", "rel_idx", "r")
     return r.select(*keys, F.col("rel_idx").cast("int").alias("rel_idx"), "r.type", "r.head", "r.tail")
 
 
@@ -44,7 +53,7 @@ def relations_with_spans(docs: DataFrame, keys) -> DataFrame:
     """Relations with both argument spans, looked up by position inside the
     document row (no join)."""
     keys = _k(keys)
-    r = docs.select(*keys, "entities", F.posexplode("relations").alias("rel_idx", "r"))
+    r = explode_rows(docs, [*keys, "entities"], "relations", "rel_idx", "r")
     h = F.element_at("entities", F.col("r.head") + 1)
     t = F.element_at("entities", F.col("r.tail") + 1)
     return r.select(*keys, F.col("rel_idx").cast("int").alias("rel_idx"),
@@ -255,17 +264,15 @@ def encode_subwords(docs: DataFrame, pieces_fn, unk: str = "[UNK]",
     a vocabulary split); empty -> [UNK]. Adds ``encoding`` ([CLS] pieces
     [SEP]) and ``spans`` (array<struct<sub_start, sub_end>> per token, running
     offset from 1), all inside the row."""
+    from tessera.functions.arrays import prefix_sums
     per_tok = F.transform("tokens", lambda t: F.when(F.size(pieces_fn(t)) == 0, F.array(F.lit(unk)))
                           .otherwise(pieces_fn(t)))
-    sizes = F.transform(per_tok, lambda p: F.size(p))
-    from tessera.functions.text import _cumulative_ends
-    ends = _cumulative_ends(F.transform(per_tok, lambda p: F.array_join(
-        F.array_repeat(F.lit("x"), F.size(p)), "")))
-    spans = F.transform(sizes, lambda n, i: F.struct(
-        (F.element_at(ends, i + 1) - n + 1).cast("int").alias("sub_start"),
-        (F.element_at(ends, i + 1) + 1).cast("int").alias("sub_end")))
-    enc = F.concat(F.array(F.lit(cls)), F.flatten(per_tok), F.array(F.lit(sep)))
-    return docs.withColumn("encoding", enc).withColumn("spans", spans)
+    d = docs.withColumn("_pt", per_tok)
+    d = d.withColumn("_ends", prefix_sums(F.transform("_pt", lambda p: F.size(p))))
+    spans = F.transform(F.arrays_zip(F.col("_pt").alias("p"), F.col("_ends").alias("e")), lambda z: F.struct(
+        (z["e"] - F.size(z["p"]) + 1).cast("int").alias("sub_start"), (z["e"] + 1).cast("int").alias("sub_end")))
+    enc = F.concat(F.array(F.lit(cls)), F.flatten("_pt"), F.array(F.lit(sep)))
+    return d.withColumn("encoding", enc).withColumn("spans", spans).drop("_pt", "_ends")
 
 
 def decode_spans(sub_spans: DataFrame, token_spans: DataFrame, keys) -> DataFrame:
@@ -316,9 +323,15 @@ def enumerate_spans(docs: DataFrame, max_size: int, n_col: str = "n_tokens") ->
 def negative_spans(docs: DataFrame, max_size: int) -> DataFrame:
     """C14: candidate spans that are not gold spans (row-local anti-join)."""
     d = enumerate_spans(docs, max_size)
-    gold = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
-    return d.withColumn("neg_spans", F.filter("spans", lambda s: ~F.array_contains(
-        gold, F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+    gold = F.array_distinct(F.transform("entities", lambda e: F.struct(
+        e["start"].alias("start"), e["end"].alias("end"), F.lit(0).alias("size"))))
+    # candidates minus gold spans as a set difference on (start, end); sizes
+    # are implied by (start, end), so compare on the full struct
+    cand = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                     F.lit(0).alias("size")))
+    neg = F.array_except(cand, gold)
+    return d.withColumn("neg_spans", F.transform(neg, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), (s["end"] - s["start"]).alias("size"))))
 
 
 def sample_array(arr: Column, n: int, seed: str, key_fn) -> Column:

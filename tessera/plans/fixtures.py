@@ -14,10 +14,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import table
+from tessera.session import checkpoint_dir, table
 
 DOC = ["doc_id", "sent_no"]
 
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived corpus written once as parquet into the shared checkpoint
+    folder and read back. It is an input dataset (like a converted corpus on
+    disk); reading it also stops the optimizer from inlining its array
+    expressions into later lambdas."""
+    import hashlib
+    import os
+    tag = hashlib.md5(open(__file__, "rb").read()).hexdigest()[:10]
+    sf = os.path.basename(os.path.normpath(sf_dir))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/derived-{tag}/{sf}/{name}"
+    if not _exists(spark, path + "/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
 # Fixed values of the derived corpus (mention and relation type names).
 ENTITY_TYPES_BY_LEN_MOD4 = ["disease", "drug", "gene", "method"]
 PAIR_ENTITY_TYPE = "other"
@@ -27,6 +48,10 @@ SYMMETRIC_RELATIONS = ["associated_with"]
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, sent_no, tokens): lines of documents.text with 2..64 tokens."""
+    return materialized(spark, sf_dir, "sentences", lambda: _sentences(spark, sf_dir))
+
+
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_no", "line"))
     sents = lines.select(
@@ -64,27 +89,30 @@ def _finish_entities(cands: Column) -> Column:
 
 def _neighbour_relations(ents: Column) -> Column:
     """Relation k links entity k and k+1; type from the start distance;
-    every third relation is written tail-first."""
+    every third relation is written tail-first. Neighbours are zipped first so
+    no lambda refers back to the entity array."""
     rel_types = F.array(*[F.lit(x) for x in RELATION_TYPES_BY_DIST_MOD3])
+    starts = F.transform(ents, lambda e: e["start"])
+    pairs = F.arrays_zip(F.slice(starts, 1, F.greatest(F.size(ents) - 1, F.lit(0))).alias("a"),
+                         F.slice(starts, 2, F.greatest(F.size(ents) - 1, F.lit(0))).alias("b"))
 
-    def rel(k):
-        a, b = F.element_at(ents, k + 1), F.element_at(ents, k + 2)
-        dist = b["start"] - a["start"]
+    def rel(z, k):
         flip = ((k + 1) % 3) == 0
         return F.struct(
-            F.element_at(rel_types, (dist % 3 + 1).cast("int")).alias("type"),
+            F.element_at(rel_types, ((z["b"] - z["a"]) % 3 + 1).cast("int")).alias("type"),
             F.when(flip, k + 1).otherwise(k).alias("head"),
             F.when(flip, k).otherwise(k + 1).alias("tail"))
 
-    return F.when(F.size(ents) >= 2,
-                  F.transform(F.sequence(F.lit(0), F.size(ents) - 2), rel)
-                  ).otherwise(F.array().cast(
-                      "array<struct<type:string,head:int,tail:int>>"))
+    return F.transform(pairs, rel)
 
 
 def gold_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated documents (M1): one row per sentence with entities and
     relations (head/tail = positions in the entity list)."""
+    return materialized(spark, sf_dir, "gold_docs", lambda: _gold_docs(spark, sf_dir))
+
+
+def _gold_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sentences(spark, sf_dir)
     tok = F.col("tokens")
     single = F.transform(tok, lambda t, i: F.when(
@@ -100,6 +128,10 @@ def gold_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted documents: single-token spans of length >= 7 except every
     7th token; 'disease' becomes 'gene' on every 5th token."""
+    return materialized(spark, sf_dir, "pred_docs", lambda: _pred_docs(spark, sf_dir))
+
+
+def _pred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sentences(spark, sf_dir)
 
     def one(t, i):
