@@ -46,16 +46,18 @@ def default_bucket_width(df: DataFrame, col: str) -> int:
 def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], on: str,
                  right_cols: list[str], tie: str | None = None,
                  tolerance: int | None = None, null_beyond: list[str] | None = None,
-                 bucket_width: int | None = None, delta_col: str = "delta") -> DataFrame:
+                 bucket_width: int | None = None, delta_col: str = "delta",
+                 right_on: str | None = None) -> DataFrame:
     """Left columns + ``right_cols`` of the nearest right row + ``delta_col``
     (absolute difference in ordinal units: days for dates, µs for timestamps).
     ``right_cols`` must not clash with left column names."""
-    width = bucket_width or default_bucket_width(right, on)
+    ron = right_on or on
+    width = bucket_width or default_bucket_width(right, ron)
     lcols = left.columns
     tie_c = F.col(tie).cast("long") if tie else F.lit(0).cast("long")
     pay = [F.col(c) for c in right_cols]
 
-    r = right.select(*[F.col(k) for k in by], ordinal(right, on).alias("_o"),
+    r = right.select(*[F.col(k) for k in by], ordinal(right, ron).alias("_o"),
                      tie_c.alias("_t"), *pay).filter(F.col("_o").isNotNull())
     r = r.select(*by, F.floor(F.col("_o") / width).alias("_b"), F.lit(0).alias("_side"), "_o",
                  F.struct(F.col("_o").alias("o"), (-F.col("_t")).alias("nt"),

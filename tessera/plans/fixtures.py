@@ -161,3 +161,37 @@ def scan_names(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
         F.date_format(F.col("ts").cast("date"), "yyyy-MM-dd"), F.lit("__S"),
         (F.col("event_id") % 50).cast("string"), F.lit(".5T.csv"))
     return ev.select("event_id", name.alias("path"))
+
+
+def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest-class-mean classifier on ``embeddings``: class means fitted on
+    odd vec_id, distances for even vec_id, long form (vec_id, y_true, c, dist).
+    The means table is classes x dims (model-sized, not data-sized), so it is
+    broadcast; vectors are exploded per dimension and joined on it."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "x"))
+    means = (e.filter(F.col("vec_id") % 2 == 1).groupBy(F.col("label").alias("c"), "d")
+              .agg(F.avg("x").alias("mu")))
+    dist = (e.filter(F.col("vec_id") % 2 == 0).join(F.broadcast(means), "d")
+             .groupBy("vec_id", F.col("label").alias("y_true"), "c")
+             .agg(F.sum((F.col("x") - F.col("mu")) * (F.col("x") - F.col("mu"))).alias("dist")))
+    return dist
+
+
+def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, y_true, y_pred, logits array<double> over classes 0..K-1)."""
+    from pyspark.sql import Window
+    d = class_scores(spark, sf_dir)
+    w = Window.partitionBy("vec_id").orderBy("dist", "c")
+    best = d.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(
+        "vec_id", "y_true", F.col("c").alias("y_pred"))
+    logits = d.groupBy("vec_id").agg(F.sort_array(F.collect_list(F.struct("c", (-F.col("dist")).alias("l")))).alias("_l"))
+    logits = logits.select("vec_id", F.transform("_l", lambda z: z["l"]).alias("logits"))
+    return best.join(logits, "vec_id")
+
+
+def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labels.quality as truth, documents.n_chars as score."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y_true"))
+    doc = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("double").alias("score"))
+    return lab.join(doc, "doc_id")

@@ -109,3 +109,20 @@ def with_ctes(body: str, *names: str) -> str:
         return body
     parts = ",\n".join(f"{n} AS ({_CTES[n][1]}\n)" for n in order)
     return f"WITH {parts}\n{body}"
+
+
+_cte("emb_long", (), """
+SELECT vec_id, label, unnest(generate_series(1, len(embedding))) AS d,
+       CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings""")
+_cte("class_dist", ("emb_long",), """
+SELECT e.vec_id, e.label AS y_true, m.c, sum((e.x - m.mu) * (e.x - m.mu)) AS dist
+FROM emb_long e JOIN (SELECT label AS c, d, avg(x) AS mu FROM emb_long WHERE vec_id % 2 = 1 GROUP BY ALL) m
+ON e.d = m.d WHERE e.vec_id % 2 = 0 GROUP BY ALL""")
+_cte("class_preds", ("class_dist",), """
+SELECT p.vec_id, p.y_true, p.y_pred, l.logits FROM
+ (SELECT vec_id, y_true, c AS y_pred FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, c) AS rn
+  FROM class_dist) WHERE rn = 1) p
+ JOIN (SELECT vec_id, list(-dist ORDER BY c) AS logits FROM class_dist GROUP BY vec_id) l USING (vec_id)""")
+_cte("binary_scores", (), """
+SELECT l.doc_id, l.quality AS y_true, CAST(d.n_chars AS DOUBLE) AS score
+FROM labels l JOIN documents d USING (doc_id)""")
