@@ -126,3 +126,15 @@ SELECT p.vec_id, p.y_true, p.y_pred, l.logits FROM
 _cte("binary_scores", (), """
 SELECT l.doc_id, l.quality AS y_true, CAST(d.n_chars AS DOUBLE) AS score
 FROM labels l JOIN documents d USING (doc_id)""")
+
+
+_cte("gnodes", (), """
+SELECT l_orderkey AS graph_id, CAST(row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS node,
+       [l_quantity, l_extendedprice, l_discount, l_tax] AS x, l_returnflag AS rf,
+       count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem""")
+_cte("gedges", ("gnodes",), """
+SELECT graph_id, node AS src, node + 1 AS dst FROM gnodes WHERE node + 1 < n
+UNION ALL SELECT graph_id, node + 1, node FROM gnodes WHERE node + 1 < n""")
+_cte("ggraphs", ("gnodes",), """
+SELECT graph_id, CASE rf WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS label FROM gnodes WHERE node = 0""")
