@@ -121,9 +121,12 @@ def layer_norm(arr, gamma: float = 1.0, beta: float = 0.0, eps: float = 1e-10) -
     """H3: (x - mean) / (population sd + eps) * gamma + beta; eps is added
     outside the square root."""
     a = _c(arr)
-    mu = arr_mean(a)
-    var = arr_mean(F.transform(a, lambda x: (x - mu) * (x - mu)))
-    sd = F.sqrt(var)
+    # one fold for (sum, sum of squares); population variance
+    st = F.aggregate(a, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
+                     lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["q"] + x * x).alias("q")))
+    n = F.size(a)
+    mu = st["s"] / n
+    sd = F.sqrt(F.greatest(st["q"] / n - mu * mu, F.lit(0.0)))
     return F.transform(a, lambda x: (x - mu) / (sd + eps) * gamma + beta)
 
 
