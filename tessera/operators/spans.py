@@ -113,23 +113,31 @@ def tokenize(df: DataFrame, keys, text_col: str = "text",
     return out
 
 
-def align_spans(mentions: DataFrame, tokens: DataFrame, keys,
+def token_offsets(tokens: DataFrame, keys) -> DataFrame:
+    """Per document: arrays of token char starts and ends (ordered)."""
+    keys = _k(keys)
+    g = tokens.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("tok_idx", "char_start", "char_end"))).alias("_t"))
+    return g.select(*keys, F.transform("_t", lambda z: z["char_start"]).alias("starts"),
+                    F.transform("_t", lambda z: z["char_end"]).alias("ends"))
+
+
+def align_spans(mentions: DataFrame, offsets: DataFrame, keys,
                 cs: str = "char_start", ce: str = "char_end") -> DataFrame:
     """Token span of a char span. Start token: idx <= cs < idx+len; end
     token: idx < ce <= idx+len. A boundary that falls in a gap gives null and
-    the mention is kept. Equi-join on the document key plus a range test."""
+    the mention is kept. Each mention meets its document's offset arrays once
+    (a 1:1 equi-join on the document key; ``offsets`` from ``token_offsets``
+    or computed inside the sentence row), then the boundary tokens are found
+    inside the row -- no mention x token expansion."""
     keys = _k(keys)
-    tk = tokens.select(*keys, "tok_idx", F.col("char_start").alias("_ts"),
-                       F.col("char_end").alias("_te"))
-    m = mentions.withColumn("_mid", F.monotonically_increasing_id())
-    a = m.alias("m").join(tk.alias("t"), on=[*(F.col(f"m.{k}") == F.col(f"t.{k}") for k in keys)],
-                          how="left")
-    hit_s = (F.col("t._ts") <= F.col(f"m.{cs}")) & (F.col(f"m.{cs}") < F.col("t._te"))
-    hit_e = (F.col("t._ts") < F.col(f"m.{ce}")) & (F.col(f"m.{ce}") <= F.col("t._te"))
-    g = a.groupBy(*[F.col(f"m.{c}").alias(c) for c in m.columns]).agg(
-        F.max(F.when(hit_s, F.col("t.tok_idx"))).alias("tok_start"),
-        F.max(F.when(hit_e, F.col("t.tok_idx") + 1)).alias("tok_end"))
-    return g.drop("_mid")
+    j = mentions.join(offsets.select(*keys, "starts", "ends"), keys, "left")
+    z = F.arrays_zip(F.col("starts").alias("s"), F.col("ends").alias("e"))
+    hit_s = F.filter(F.transform(z, lambda t, i: F.when((t["s"] <= F.col(cs)) & (F.col(cs) < t["e"]), i)),
+                     lambda i: i.isNotNull())
+    hit_e = F.filter(F.transform(z, lambda t, i: F.when((t["s"] < F.col(ce)) & (F.col(ce) <= t["e"]), i + 1)),
+                     lambda i: i.isNotNull())
+    return j.withColumn("tok_start", F.try_element_at(hit_s, F.lit(1)).cast("int")) \
+            .withColumn("tok_end", F.try_element_at(hit_e, F.lit(1)).cast("int")).drop("starts", "ends")
 
 
 # ---- C3: relation arguments by entity id ------------------------------------------

@@ -53,8 +53,18 @@ def c2(spark, sf):
                  (F.col("char_start") - F.when((F.col("ent_idx") % 5 == 4) & (F.col("start") > 0), 1)
                   .otherwise(0)).alias("char_start"),
                  (F.col("char_end") + F.when(F.col("ent_idx") % 7 == 6, 1).otherwise(0)).alias("char_end"))
-    toks = FX.tokens_long(FX.sentences(spark, sf))
-    return S.align_spans(m, toks, DOC).select(*DOC, "ent_idx", "tok_start", "tok_end")
+    return S.align_spans(m, sentence_offsets(spark, sf), DOC).select(*DOC, "ent_idx", "tok_start", "tok_end")
+
+
+def sentence_offsets(spark, sf):
+    """Token char offsets over the canonical sentence text, computed inside
+    each sentence row (sentences are bounded: <= 64 tokens)."""
+    s = FX.sentences(spark, sf)
+    ends = A.prefix_sums(F.transform("tokens", lambda t: F.length(t) + 1))
+    s = s.select(*DOC, "tokens", ends.alias("_e"))
+    z = F.arrays_zip(F.col("tokens").alias("t"), F.col("_e").alias("e"))
+    return s.select(*DOC, F.transform(z, lambda x: (x["e"] - F.length(x["t"]) - 1).cast("int")).alias("starts"),
+                    F.transform(z, lambda x: (x["e"] - 1).cast("int")).alias("ends"))
 
 
 @query("c3_resolve_args", with_ctes("""
