@@ -264,3 +264,48 @@ def a18(spark, sf):
     ev = table(spark, sf, "events")
     h = ev.groupBy(F.dayofmonth("ts").alias("epoch"), "event_type").agg(F.round(F.avg("value"), 6).alias("metric"))
     return WR.pivot_history(h, "epoch", "event_type", "metric", _TAGS)
+
+
+@query("a10_list_files", with_ctes("""
+SELECT ptid, date, tag, first(name ORDER BY suffix(name, '.gz') DESC, name DESC) AS name FROM (
+  SELECT regexp_extract(name, '^(\\d+_S_\\d+)__', 1) AS ptid, regexp_extract(name, '__(\\d{4}-\\d{2}-\\d{2})__', 1) AS date,
+         regexp_extract(name, '^\\d+_S_\\d+__\\d{4}-\\d{2}-\\d{2}__(.+?)\\.csv(?:\\.gz)?$', 1) AS tag, name
+  FROM (SELECT path AS name FROM scan_left UNION ALL SELECT path || '.gz' FROM scan_left WHERE event_id % 5 = 0))
+GROUP BY ALL""", "scan_left"))
+def a10(spark, sf):
+    """Files in a folder tree whose names match the scan pattern; the '.gz'
+    file wins for the same key. Files are written by Spark (one folder per
+    name), listed with the binaryFile source selecting the path only."""
+    from tessera.functions import text as X
+    from tessera.operators.joins import latest_per_key
+    p = _dir(spark, sf, "a10")
+    n = FX.scan_names(spark, sf, "view")
+    gz = n.filter(F.col("event_id") % 5 == 0).select("event_id", F.concat("path", F.lit(".gz")).alias("path"))
+    names = n.unionByName(gz).select(F.col("path").alias("fname")).distinct()
+    names.select("fname", F.lit("").alias("value")).write.mode("overwrite").partitionBy("fname").text(p)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.txt").load(p).select("path"))
+    # the scan name is the folder holding the file
+    name = F.regexp_extract("path", r"fname=([^/]+)/[^/]*$", 1)
+    from urllib.parse import unquote  # noqa: F401  (folder names are escaped by the writer)
+    name = F.url_decode(name)
+    parsed = files.select(name.alias("name")).select("name", X.parse_filename("name").alias("x")).filter(F.col("x").isNotNull())
+    keyed = parsed.select("x.ptid", "x.date", "x.tag", "name")
+    return latest_per_key(keyed, ["ptid", "date", "tag"], "name")
+
+
+@query("a11_read_matrix", """
+SELECT vec_id, CAST(r AS INTEGER) AS "row", round(list_sum(CAST(embedding AS DOUBLE[])[r * 8 + 1:r * 8 + 8]), 4) AS s
+FROM embeddings, (SELECT unnest(generate_series(0, 7)) AS r) rr""")
+def a11(spark, sf):
+    """One whitespace-separated 8x8 matrix per vector (one file each), read
+    back as (file, row, values)."""
+    p = _dir(spark, sf, "a11")
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.array_join(
+        F.transform(F.slice("x", r * 8 + 1, 8), lambda v: F.format_string("%.9g", v)), "  "))
+    e.select("vec_id", F.array_join(rows, "\n").alias("value")).write.mode("overwrite").partitionBy("vec_id").text(p)
+    m = RD.read_matrix(spark, p)
+    vec = F.regexp_extract("file", r"vec_id=(\d+)/", 1).cast("long")
+    return m.select(vec.alias("vec_id"), F.col("row").cast("int").alias("row"),
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"))

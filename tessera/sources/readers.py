@@ -93,16 +93,19 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """Whitespace-separated matrix per file (row order kept):
     (file, row, values array<double>)."""
-    t = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    t = t.filter(F.trim("value") != "")          # empty files carry no matrix
     r = t.select("file", F.posexplode(F.split(F.trim("value"), "\n")).alias("row", "line"))
-    return r.select("file", "row", F.transform(F.split(F.trim("line"), r"\s+"), lambda x: x.cast("double")).alias("values"))
+    r = r.filter(F.regexp_replace("line", r"\s+", "") != "")   # blank lines hold no row
+    cells = F.filter(F.split(F.trim("line"), r"\s+"), lambda x: x != "")
+    return r.select("file", "row", F.transform(cells, lambda x: x.cast("double")).alias("values"))
 
 
 def load_types(spark: SparkSession, path: str) -> DataFrame:
     """Ordered type registry {entities:{name:{short,verbose[,symmetric]}},
     relations:{...}}: index = position + 1 in file order (json_object_keys
     keeps it); 'None' = 0 per kind."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     val = "map<string, struct<short:string, verbose:string, symmetric:boolean>>"
     out = None
     for kind in ("entities", "relations"):
