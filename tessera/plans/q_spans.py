@@ -428,3 +428,45 @@ def c30(spark, sf):
     f = S.format_predictions(d)
     r = S.explode_rows(f, DOC, "relations", "rel_pos", "r")
     return r.select(*DOC, F.col("rel_pos").cast("int").alias("rel_pos"), "r.type", "r.head", "r.tail")
+
+
+def _c7_lines(spark, sf):
+    """Annotation lines from gold relations: head / tail token lists and the
+    signed char gap; every 4th relation line appears twice (a repeated line
+    must take the next matching pair)."""
+    d = FX.gold_docs(spark, sf)
+    r = S.relations_with_spans(d, DOC).join(sentence_offsets(spark, sf), DOC).join(FX.sentences(spark, sf), DOC)
+    gap = F.element_at("starts", F.col("ts_") + 1) - F.element_at("ends", F.col("he"))
+    base = r.select(*DOC, "tokens", "starts", F.slice("tokens", F.col("hs") + 1, F.col("he") - F.col("hs")).alias("head_toks"),
+                    F.slice("tokens", F.col("ts_") + 1, F.col("te") - F.col("ts_")).alias("tail_toks"),
+                    gap.alias("gap"), "rel_idx")
+    rep = base.filter(F.col("rel_idx") % 4 == 0)
+    return base.withColumn("line_no", F.col("rel_idx") * 2).unionByName(
+        rep.withColumn("line_no", F.col("rel_idx") * 2 + 1)).drop("rel_idx")
+
+
+@query("c7_match_pairs", with_ctes("""
+, lines0 AS (SELECT r.doc_id, r.sent_no, r.rel_idx * 2 AS line_no, s.tokens[r.hs + 1:r.he] AS ht, s.tokens[r.ts_ + 1:r.te] AS tt,
+                   tt_.char_start - th.char_end AS gap, s.tokens
+            FROM gold_relx r JOIN sents s USING (doc_id, sent_no)
+            JOIN toks tt_ ON tt_.doc_id = r.doc_id AND tt_.sent_no = r.sent_no AND tt_.tok_idx = r.ts_
+            JOIN toks th ON th.doc_id = r.doc_id AND th.sent_no = r.sent_no AND th.tok_idx = r.he - 1),
+alines AS (SELECT * FROM lines0 UNION ALL SELECT doc_id, sent_no, line_no + 1, ht, tt, gap, tokens FROM lines0 WHERE (line_no // 2) % 4 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_no, ht, tt, gap ORDER BY line_no) AS n FROM alines),
+grp AS (SELECT DISTINCT doc_id, sent_no, ht, tt, gap, tokens FROM alines),
+hocc AS (SELECT g.*, i AS h FROM grp g, LATERAL (SELECT unnest(generate_series(0, len(g.tokens) - len(g.ht))) AS i) x
+         WHERE g.tokens[i + 1:i + len(g.ht)] = g.ht),
+pairs AS (SELECT h.doc_id, h.sent_no, h.ht, h.tt, h.gap, h.h, j AS t FROM hocc h,
+          LATERAL (SELECT unnest(generate_series(0, len(h.tokens) - len(h.tt))) AS j) y
+          WHERE h.tokens[j + 1:j + len(h.tt)] = h.tt),
+pairs2 AS (SELECT p.*, a.char_start - b.char_end AS g2 FROM pairs p
+           JOIN toks a ON a.doc_id = p.doc_id AND a.sent_no = p.sent_no AND a.tok_idx = p.t
+           JOIN toks b ON b.doc_id = p.doc_id AND b.sent_no = p.sent_no AND b.tok_idx = p.h + len(p.ht) - 1),
+good AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_no, ht, tt, gap ORDER BY h, t) AS n FROM pairs2 WHERE g2 = gap)
+SELECT r.doc_id, r.sent_no, r.line_no, g.h AS head_start, g.h + len(r.ht) AS head_end, g.t AS tail_start, g.t + len(r.tt) AS tail_end
+FROM ranked r LEFT JOIN good g ON g.doc_id = r.doc_id AND g.sent_no = r.sent_no AND g.ht = r.ht AND g.tt = r.tt
+ AND g.gap = r.gap AND g.n = r.n""", "gold_relx", "sents", "toks"))
+def c7(spark, sf):
+    out = S.match_pairs(_c7_lines(spark, sf), DOC, "line_no")
+    return out.select(*DOC, "line_no", *[F.col(c).cast("int").alias(c) for c in
+                                          ("head_start", "head_end", "tail_start", "tail_end")])
