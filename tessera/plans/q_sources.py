@@ -309,3 +309,50 @@ def a11(spark, sf):
     vec = F.regexp_extract("file", r"vec_id=(\d+)/", 1).cast("long")
     return m.select(vec.alias("vec_id"), F.col("row").cast("int").alias("row"),
                     F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"))
+
+
+def _conll_files(spark, sf, p):
+    """Column-corpus files: 8 files; in each, the last document lacks its
+    closing blank line (so the reader must drop it)."""
+    d = FX.gold_docs(spark, sf)
+    oid = (F.col("doc_id") * 100000 + F.col("sent_no"))
+    single = F.filter("entities", lambda e: e["end"] - e["start"] == 1)
+    tok_type = F.transform("tokens", lambda t, i: F.coalesce(F.try_element_at(F.filter(single, lambda e: e["start"] == i), F.lit(1))["type"],
+                                                           F.lit("O")))
+    safe = F.transform("tokens", lambda t: F.replace(t, F.lit("|"), F.lit("!")))
+    d = d.select(oid.alias("oid"), safe.alias("tokens"), tok_type.alias("tt"), "entities", "relations")
+    tline = F.transform(F.arrays_zip(F.col("tokens").alias("t"), F.col("tt").alias("y")), lambda z, i: F.concat_ws(
+        "\t", F.col("oid").cast("string"), z["y"], i.cast("string"), F.lit("O"), F.lit("X"), z["t"], F.lit("O"),
+        F.lit("O"), F.lit("O")))
+    ents = F.col("entities")
+    rl = F.filter(F.transform("relations", lambda r: F.when(
+        (F.element_at(ents, r["head"] + 1)["end"] - F.element_at(ents, r["head"] + 1)["start"] == 1)
+        & (F.element_at(ents, r["tail"] + 1)["end"] - F.element_at(ents, r["tail"] + 1)["start"] == 1),
+        F.concat_ws("\t", F.element_at(ents, r["head"] + 1)["start"].cast("string"),
+                    F.element_at(ents, r["tail"] + 1)["start"].cast("string"), r["type"]))), lambda x: x.isNotNull())
+    d = d.select("oid", F.array_join(tline, "\n").alias("tl"), F.array_join(rl, "\n").alias("rl"), F.size(rl).alias("nr"),
+                 (F.col("oid") % 8).alias("_b"))
+    block = F.concat("tl", F.lit("\n\n"), F.when(F.col("nr") > 0, F.concat("rl", F.lit("\n"))).otherwise(F.lit("")))
+    g = d.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("oid", block.alias("blk")))).alias("a"))
+    body = F.array_join(F.transform("a", lambda z: z["blk"]), "\n")   # every block but the last gets its 2nd blank
+    g.select("_b", body.alias("value")).write.mode("overwrite").partitionBy("_b").text(p)
+
+
+@query("a5_read_conll", with_ctes("""
+SELECT CAST(o AS VARCHAR) AS orig_id, n_tokens, n_entities, n_relations FROM (
+  SELECT s.doc_id * 100000 + s.sent_no AS o,
+         CAST(list_sum(list_transform(s.tokens, lambda t, i: CASE WHEN list_contains(coalesce(e.starts, []), i - 1)
+              THEN len(string_split(replace(t, '|', '!'), '/')) ELSE 1 END)) AS INTEGER) AS n_tokens,
+         CAST(coalesce(len(e.starts), 0) AS INTEGER) AS n_entities, CAST(coalesce(r.n, 0) AS INTEGER) AS n_relations,
+         max(s.doc_id * 100000 + s.sent_no) OVER (PARTITION BY (s.doc_id * 100000 + s.sent_no) % 8) AS last_o
+  FROM sents s LEFT JOIN (SELECT doc_id, sent_no, list("start") AS starts FROM gold WHERE "end" - "start" = 1 GROUP BY ALL) e
+    USING (doc_id, sent_no)
+  LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold_relx WHERE he - hs = 1 AND te - ts_ = 1 GROUP BY ALL) r
+    USING (doc_id, sent_no))
+WHERE o <> last_o""", "sents", "gold", "gold_relx"))
+def a5(spark, sf):
+    p = _dir(spark, sf, "a5")
+    _conll_files(spark, sf, p)
+    d = RD.read_conll(spark, p)
+    return d.select("orig_id", F.size("tokens").alias("n_tokens"), F.size("entities").alias("n_entities"),
+                    F.size("relations").alias("n_relations"))

@@ -126,3 +126,59 @@ def read_parallel(spark: SparkSession, path: str, cols=("inp_expression", "out_e
     raw = spark.read.schema(", ".join(f"{c} array<string>" for c in cols)).option("multiLine", True).json(path)
     z = raw.select(F.explode(F.arrays_zip(*cols)).alias("z"))
     return z.select(*[F.col(f"z.{c}").alias(c) for c in cols])
+
+
+def read_conll(spark: SparkSession, path: str) -> DataFrame:
+    """A5: blank-line-delimited column corpus. 9-column rows are tokens
+    (doc index, entity type, token index, _, _, token, ...), 3-column rows are
+    relations (head token index, tail token index, type). Every second blank
+    line ends a document; a last document without its second blank line is
+    dropped. An entity token 'a/b' becomes several tokens (B5).
+
+    A file is one ordered text (one task); blank-line counting is a running
+    sum over the file's lines, so documents are numbered without a loop.
+    Returns one row per document: (orig_id, tokens, entities, relations)."""
+    from pyspark.sql import Window
+    from tessera.functions.text import COLUMN_CORPUS_TOKENS, replace_tokens, split_entity_token
+    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    t = t.filter(F.col("value") != "")
+    # a final newline ends the last line; it is not a blank line
+    lines = t.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("ln", "line"))
+    blank = (F.col("line") == "").cast("int")
+    wf = Window.partitionBy("file").orderBy("ln")
+    lines = lines.withColumn("_blank", blank).withColumn(
+        "_before", F.coalesce(F.sum("_blank").over(wf.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    lines = lines.withColumn("doc_no", F.floor(F.col("_before") / 2).cast("int"))
+    total = lines.groupBy("file").agg(F.sum("_blank").alias("_nb"))
+    lines = lines.join(total, "file").filter(F.col("_nb") >= 2 * (F.col("doc_no") + 1))
+    cols = F.split("line", "\t")
+    tok = lines.filter(F.size(cols) == 9).select(
+        "file", "doc_no", "ln", cols[0].alias("orig_id"), cols[1].alias("etype"), cols[2].cast("int").alias("token_idx"),
+        cols[5].alias("raw"))
+    parts = F.when(F.col("etype") == "O", replace_tokens(F.array("raw"), COLUMN_CORPUS_TOKENS)).otherwise(
+        split_entity_token(F.col("raw")))
+    tok = tok.withColumn("parts", parts).withColumn("_n", F.size("parts"))
+    wd = Window.partitionBy("file", "doc_no").orderBy("ln")
+    tok = tok.withColumn("start", F.coalesce(F.sum("_n").over(wd.rowsBetween(Window.unboundedPreceding, -1)),
+                                             F.lit(0)).cast("int"))
+    ents = tok.filter(F.col("etype") != "O")
+    ents = ents.withColumn("ent_no", (F.row_number().over(wd) - 1).cast("int"))
+    rel = lines.filter(F.size(cols) == 3).select("file", "doc_no", "ln", cols[0].cast("int").alias("head_tok"),
+                                                 cols[1].cast("int").alias("tail_tok"), cols[2].alias("type"))
+    emap = ents.select("file", "doc_no", "token_idx", "ent_no")
+    rel = (rel.join(emap.withColumnRenamed("token_idx", "head_tok").withColumnRenamed("ent_no", "head"),
+                    ["file", "doc_no", "head_tok"], "left")
+              .join(emap.withColumnRenamed("token_idx", "tail_tok").withColumnRenamed("ent_no", "tail"),
+                    ["file", "doc_no", "tail_tok"], "left"))
+    docs = tok.groupBy("file", "doc_no").agg(
+        F.first("orig_id").alias("orig_id"),
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("ln", "parts"))), lambda z: z["parts"])).alias("tokens"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("etype") != "O", F.struct(
+            "ln", F.col("etype").alias("type"), "start", (F.col("start") + F.col("_n")).alias("end"))))),
+            lambda z: F.struct(z["type"].alias("type"), z["start"].alias("start"), z["end"].alias("end"))).alias("entities"))
+    rels = rel.groupBy("file", "doc_no").agg(F.transform(F.sort_array(F.collect_list(F.struct(
+        "ln", "type", F.col("head").cast("int").alias("head"), F.col("tail").cast("int").alias("tail")))),
+        lambda z: F.struct(z["type"].alias("type"), z["head"].alias("head"), z["tail"].alias("tail"))).alias("relations"))
+    empty = F.array().cast("array<struct<type:string,head:int,tail:int>>")
+    return docs.join(rels, ["file", "doc_no"], "left").select(
+        "orig_id", "tokens", "entities", F.coalesce("relations", empty).alias("relations"))
