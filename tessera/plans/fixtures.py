@@ -20,9 +20,17 @@ DOC = ["doc_id", "sent_no"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a file exists on the (shared) filesystem of the session."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): probe by reading
+        try:
+            spark.read.text(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:

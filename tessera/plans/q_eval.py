@@ -383,7 +383,17 @@ def e26(spark, sf):
     return M.early_stop(history(spark, sf), "epoch", "metric", 5, "min", keys=["event_type"])
 
 
-@query("e27_eval_row", None)
+def _e27_sql():
+    reps = {"ner": E4_SQL, "rel": E5_SQL, "rel_nec": E6_SQL}
+    cols = []
+    for t, c in reps.items():
+        for a in ("micro", "macro"):
+            for m in ("precision", "recall", "f1"):
+                cols.append(f"(SELECT {m} FROM ({_report_sql(c)}) WHERE label = '{a}') AS {t}_{a}_{m}")
+    return with_ctes("SELECT " + ",\n  ".join(cols), "gold", "pred", "gold_relx", "pred_relx")
+
+
+@query("e27_eval_row", _e27_sql())
 def e27(spark, sf):
     g, p = _ents(spark, sf)
     gr, pr = _rels(spark, sf)

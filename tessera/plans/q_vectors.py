@@ -108,7 +108,26 @@ def c28(spark, sf):
 W_OUT = [[((i * 8 + j) % 5 - 2) / 4 for j in range(8)] for i in range(4)]
 
 
-@query("h6_multi_head", None)
+def _head_sql(lo, hi, name):
+    dim = hi - lo + 1
+    outs = ", ".join(f"sum(p * vx[{j + 1}])" for j in range(dim))
+    return f"""{name} AS (
+  SELECT g, qi, [{outs}] AS o FROM (
+    SELECT *, e / sum(e) OVER (PARTITION BY g, qi) AS p FROM (
+      SELECT *, exp(s - max(s) OVER (PARTITION BY g, qi)) AS e FROM (
+        SELECT q.g, q.i AS qi, k.i AS ki, list_dot_product(q.x, k.x) / sqrt({dim}) AS s, k.x AS vx
+        FROM (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) q
+        JOIN (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) k
+        ON q.g = k.g))) GROUP BY g, qi)"""
+
+
+def _h6_sql():
+    ys = ", ".join(f"round(list_dot_product(h0.o || h1.o, {[float(w) for w in W_OUT[i]]}), 6) AS y{i}" for i in range(4))
+    return (f"WITH {_head_sql(1, 4, 'h0')}, {_head_sql(5, 8, 'h1')}\n"
+            f"SELECT h0.g AS grp, h0.qi AS pos, {ys} FROM h0 JOIN h1 ON h0.g = h1.g AND h0.qi = h1.qi")
+
+
+@query("h6_multi_head", _h6_sql())
 def h6(spark, sf):
     """Two heads over dims 1-4 and 5-8, concatenated, projected to 4 dims."""
     heads = []
