@@ -208,17 +208,22 @@ def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_tables(spark: SparkSession, sf_dir: str):
     """Graph collection from lineitem: graph = order, node = line rank inside
     the order, edges i -> i+1 and back, features (quantity, extendedprice,
-    discount, tax), label = return flag of node 0 (A=0, N=1, R=2)."""
-    from pyspark.sql import Window
-    li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    nodes = li.select(F.col("l_orderkey").alias("graph_id"), (F.row_number().over(w) - 1).cast("int").alias("node"),
-                      F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("x"),
-                      F.col("l_returnflag").alias("rf"),
-                      F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("_n"))
+    discount, tax), label = return flag of node 0 (A=0, N=1, R=2). Nodes are
+    written once (a derived dataset); edges and labels are read from them."""
+    nodes = materialized(spark, sf_dir, "graph_nodes", lambda: _graph_nodes(spark, sf_dir))
     fwd = nodes.filter(F.col("node") + 1 < F.col("_n")).select("graph_id", F.col("node").alias("src"),
                                                               (F.col("node") + 1).alias("dst"))
     edges = fwd.unionByName(fwd.select("graph_id", F.col("dst").alias("src"), F.col("src").alias("dst")))
     graphs = nodes.filter(F.col("node") == 0).select(
         "graph_id", F.when(F.col("rf") == "A", 0).when(F.col("rf") == "N", 1).otherwise(2).alias("label"))
     return nodes.select("graph_id", "node", "x"), edges, graphs
+
+
+def _graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+    li = table(spark, sf_dir, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return li.select(F.col("l_orderkey").alias("graph_id"), (F.row_number().over(w) - 1).cast("int").alias("node"),
+                     F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("x"),
+                     F.col("l_returnflag").alias("rf"),
+                     F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("_n"))

@@ -1,5 +1,5 @@
-"""Unit goldens: expected values stated in the reference's notebooks and
-logs (transcribed as numbers), and hand-worked rule cases."""
+"""Unit goldens: published expected values (transcribed as numbers) and
+hand-worked rule cases."""
 
 import datetime as dt
 
