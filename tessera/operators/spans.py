@@ -121,7 +121,7 @@ def token_offsets(tokens: DataFrame, keys) -> DataFrame:
                     F.transform("_t", lambda z: z["char_end"]).alias("ends"))
 
 
-def align_spans(mentions: DataFrame, offsets: DataFrame, keys,
+def align_spans(mentions: DataFrame, offsets: DataFrame | None, keys,
                 cs: str = "char_start", ce: str = "char_end") -> DataFrame:
     """Token span of a char span. Start token: idx <= cs < idx+len; end
     token: idx < ce <= idx+len. A boundary that falls in a gap gives null and
@@ -130,14 +130,21 @@ def align_spans(mentions: DataFrame, offsets: DataFrame, keys,
     or computed inside the sentence row), then the boundary tokens are found
     inside the row -- no mention x token expansion."""
     keys = _k(keys)
-    j = mentions.join(offsets.select(*keys, "starts", "ends"), keys, "left")
+    # offsets=None: the mention rows already carry their document's arrays
+    j = mentions if offsets is None else mentions.join(offsets.select(*keys, "starts", "ends"), keys, "left")
     z = F.arrays_zip(F.col("starts").alias("s"), F.col("ends").alias("e"))
     hit_s = F.filter(F.transform(z, lambda t, i: F.when((t["s"] <= F.col(cs)) & (F.col(cs) < t["e"]), i)),
                      lambda i: i.isNotNull())
     hit_e = F.filter(F.transform(z, lambda t, i: F.when((t["s"] < F.col(ce)) & (F.col(ce) <= t["e"]), i + 1)),
                      lambda i: i.isNotNull())
-    return j.withColumn("tok_start", F.try_element_at(hit_s, F.lit(1)).cast("int")) \
-            .withColumn("tok_end", F.try_element_at(hit_e, F.lit(1)).cast("int")).drop("starts", "ends")
+    # exact boundary hits (the common case) by native array_position; the
+    # lambda scan only runs for boundaries inside a token or in a gap
+    ps = F.array_position("starts", F.col(cs))
+    pe = F.array_position("ends", F.col(ce))
+    tok_start = F.when(ps > 0, ps - 1).otherwise(F.try_element_at(hit_s, F.lit(1)))
+    tok_end = F.when(pe > 0, pe).otherwise(F.try_element_at(hit_e, F.lit(1)))
+    return j.withColumn("tok_start", tok_start.cast("int")).withColumn("tok_end", tok_end.cast("int")) \
+            .drop("starts", "ends")
 
 
 # ---- C3: relation arguments by entity id ------------------------------------------

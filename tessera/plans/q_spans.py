@@ -48,12 +48,16 @@ FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
 JOIN toks t ON t.doc_id = m.doc_id AND t.sent_no = m.sent_no
 GROUP BY m.doc_id, m.sent_no, m.ent_idx""", "gold", "toks"))
 def c2(spark, sf):
-    m = _char_offsets(S.to_mentions(_gold(spark, sf), DOC, with_tokens=True))
-    m = m.select(*DOC, "ent_idx",
-                 (F.col("char_start") - F.when((F.col("ent_idx") % 5 == 4) & (F.col("start") > 0), 1)
-                  .otherwise(0)).alias("char_start"),
-                 (F.col("char_end") + F.when(F.col("ent_idx") % 7 == 6, 1).otherwise(0)).alias("char_end"))
-    return S.align_spans(m, sentence_offsets(spark, sf), DOC).select(*DOC, "ent_idx", "tok_start", "tok_end")
+    # one 1:1 sentence-level join brings the token offsets into the document
+    # row; mentions are exploded with them, so alignment needs no second join
+    d = FX.gold_docs(spark, sf).join(sentence_offsets(spark, sf), DOC)
+    m = S.explode_rows(d, [*DOC, "starts", "ends"], "entities", "ent_idx", "e")
+    shift_s = F.when((F.col("ent_idx") % 5 == 4) & (F.col("e.start") > 0), 1).otherwise(0)
+    shift_e = F.when(F.col("ent_idx") % 7 == 6, 1).otherwise(0)
+    m = m.select(*DOC, F.col("ent_idx").cast("int").alias("ent_idx"), "starts", "ends",
+                 (F.element_at("starts", F.col("e.start") + 1) - shift_s).alias("char_start"),
+                 (F.element_at("ends", F.col("e.end")) + shift_e).alias("char_end"))
+    return S.align_spans(m, None, DOC).select(*DOC, "ent_idx", "tok_start", "tok_end")
 
 
 def sentence_offsets(spark, sf):
