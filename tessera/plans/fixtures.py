@@ -63,7 +63,7 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_no", "line"))
     sents = lines.select(
-        "doc_id", "sent_no",
+        "doc_id", F.col("sent_no").cast("long").alias("sent_no"),
         F.filter(F.split("line", r"\s+"), lambda t: t != "").alias("tokens"))
     return sents.filter(F.size("tokens").between(2, 64))
 

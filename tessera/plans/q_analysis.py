@@ -40,7 +40,7 @@ def f3(spark, sf):
 @query("f4_histogram", with_ctes("""
 WITH x AS (SELECT CAST(len(tokens) AS DOUBLE) AS x FROM sents), mm AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
 b AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, count(*) AS n FROM x, mm GROUP BY 1)
-SELECT g.bin, round(lo + g.bin * (hi - lo) / 20, 6) AS "left", round(lo + (g.bin + 1) * (hi - lo) / 20, 6) AS "right",
+SELECT CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * (hi - lo) / 20, 6) AS "left", round(lo + (g.bin + 1) * (hi - lo) / 20, 6) AS "right",
        coalesce(b.n, 0) AS n
 FROM (SELECT unnest(generate_series(0, 19)) AS bin) g, mm LEFT JOIN b ON b.bin = g.bin""".replace("WITH x AS", "x AS"),
     "sents").replace("\nx AS (SELECT CAST", ",\nx AS (SELECT CAST"))

@@ -212,7 +212,7 @@ def e9(spark, sf):
 
 
 @query("e10_example_views", with_ctes("""
-SELECT doc_id, sent_no, len(tokens) AS length, CAST(rn - 1 AS INTEGER) AS first_rank,
+SELECT doc_id, sent_no, CAST(len(tokens) AS INTEGER) AS length, CAST(rn - 1 AS INTEGER) AS first_rank,
        CAST(row_number() OVER (ORDER BY len(tokens), rn) - 1 AS INTEGER) AS length_rank FROM (
   SELECT *, row_number() OVER (ORDER BY doc_id, sent_no) AS rn FROM sents ORDER BY doc_id, sent_no LIMIT 20)""", "sents"))
 def e10(spark, sf):
@@ -309,7 +309,7 @@ def e17(spark, sf):
 
 @query("e18_epoch_loss", """
 SELECT epoch, round(avg(bm), 6) AS mean_batch_loss, round(sum(s) / sum(n), 6) AS mean_sample_loss FROM (
-  SELECT day(ts) AS epoch, event_id // 64 AS batch, avg(value) AS bm, sum(value) AS s, count(*) AS n
+  SELECT CAST(day(ts) AS INTEGER) AS epoch, event_id // 64 AS batch, avg(value) AS bm, sum(value) AS s, count(*) AS n
   FROM events GROUP BY ALL) GROUP BY epoch""")
 def e18(spark, sf):
     ev = table(spark, sf, "events").select(F.dayofmonth("ts").alias("epoch"),
@@ -358,7 +358,7 @@ def history(spark, sf):
     return ev.groupBy("event_type", F.dayofmonth("ts").alias("epoch")).agg(F.avg("value").alias("metric"))
 
 
-_HIST_SQL = "SELECT event_type, day(ts) AS epoch, avg(value) AS metric FROM events GROUP BY ALL"
+_HIST_SQL = "SELECT event_type, CAST(day(ts) AS INTEGER) AS epoch, avg(value) AS metric FROM events GROUP BY ALL"
 
 
 @query("e25_best_epoch", f"""

@@ -33,7 +33,7 @@ ASOF_DAYS_SQL = with_ctes("""
 SELECT purchase_id, user_id, error_id, matched_day, delta_days FROM (
   SELECT l.event_id AS purchase_id, l.user_id, r.event_id AS error_id,
          CAST(r.ts AS DATE) AS matched_day,
-         abs(CAST(r.ts AS DATE) - CAST(l.ts AS DATE)) AS delta_days,
+         CAST(abs(CAST(r.ts AS DATE) - CAST(l.ts AS DATE)) AS INTEGER) AS delta_days,
          row_number() OVER (PARTITION BY l.event_id
             ORDER BY abs(CAST(r.ts AS DATE) - CAST(l.ts AS DATE)) NULLS LAST,
                      CAST(r.ts AS DATE), r.event_id) AS rn

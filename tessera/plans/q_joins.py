@@ -161,7 +161,7 @@ def d7(spark, sf):
 
 
 @query("d8_hconcat", """
-SELECT vec_id, len(embedding) AS n, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS s FROM embeddings""")
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS s FROM embeddings""")
 def d8(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
     a = e.select("vec_id", F.slice("e", 1, 32).alias("a"))

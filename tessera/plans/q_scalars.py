@@ -113,7 +113,7 @@ SELECT doc_id, sent_no, ent_idx, n_parts, parts,
   CAST(coalesce(sum(n_parts) OVER (PARTITION BY doc_id, sent_no ORDER BY ent_idx
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS tok_start
 FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
-        len(string_split(w, '/')) AS n_parts,
+        CAST(len(string_split(w, '/')) AS INTEGER) AS n_parts,
         array_to_string(list_transform(string_split(w, '/'), lambda t: CASE t WHEN 'COMMA' THEN ','
             WHEN '-LRB-' THEN '(' WHEN '-RRB-' THEN ')' ELSE t END), '|') AS parts
       FROM (SELECT g.*, array_to_string(s.tokens[g."start" + 1:g."end"], '/') AS w
@@ -189,7 +189,7 @@ def b7(spark, sf_dir):
     from tessera.operators.spans import tokenize
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_no", "line"))
-    lines = lines.filter(F.trim("line") != "")
+    lines = lines.filter(F.trim("line") != "").withColumn("sent_no", F.col("sent_no").cast("long"))
     t = tokenize(lines, ["doc_id", "sent_no"], "line", detach_final_dot=True)
     g = t.groupBy("doc_id", "sent_no").agg(F.sort_array(F.collect_list(F.struct(
         "tok_idx", F.concat("token", F.lit("@"), F.col("char_start").cast("string")).alias("s")))).alias("a"))
@@ -197,8 +197,8 @@ def b7(spark, sf_dir):
 
 
 @query("b8_strip_span", with_ctes("""
-SELECT doc_id, sent_no, ent_idx, trim(t) AS text, cs + (length(t) - length(ltrim(t))) AS "start",
-       ce - (length(t) - length(rtrim(t))) AS "end"
+SELECT doc_id, sent_no, ent_idx, trim(t) AS text, CAST(cs + (length(t) - length(ltrim(t))) AS INTEGER) AS "start",
+       CAST(ce - (length(t) - length(rtrim(t))) AS INTEGER) AS "end"
 FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
         CASE WHEN g.ent_idx % 3 = 0 THEN ' ' || array_to_string(s.tokens[g."start" + 1:g."end"], ' ') || '  '
              ELSE array_to_string(s.tokens[g."start" + 1:g."end"], ' ') END AS t,

@@ -38,7 +38,7 @@ def c23(spark, sf):
 
 
 @query("c24_encode_sequence", f"""
-SELECT event_id, array_to_string(ids, ',') AS ids, len(ids) AS n FROM ({IDS_SQL})""")
+SELECT event_id, array_to_string(ids, ',') AS ids, CAST(len(ids) AS INTEGER) AS n FROM ({IDS_SQL})""")
 def c24(spark, sf):
     e = expressions(spark, sf).withColumn("ids", Q.encode_sequence(F.col("expr")))
     return e.select("event_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"),

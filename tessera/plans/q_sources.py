@@ -31,7 +31,7 @@ def _m1(spark, sf):
 
 
 _M1_SQL = """
-SELECT CAST(s.doc_id AS VARCHAR) || '_' || CAST(s.sent_no AS VARCHAR) AS orig_id, len(s.tokens) AS n_tokens,
+SELECT CAST(s.doc_id AS VARCHAR) || '_' || CAST(s.sent_no AS VARCHAR) AS orig_id, CAST(len(s.tokens) AS INTEGER) AS n_tokens,
        coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations
 FROM sents s LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold GROUP BY ALL) e USING (doc_id, sent_no)
 LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold_rel GROUP BY ALL) r USING (doc_id, sent_no)"""
@@ -68,7 +68,7 @@ def a2(spark, sf):
 
 @query("a3_read_untagged", with_ctes("""
 SELECT CASE WHEN (doc_id + sent_no) % 3 = 0 THEN 'list' WHEN (doc_id + sent_no) % 3 = 1 THEN 'object' ELSE 'text' END AS kind,
-       len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS text FROM sents""", "sents"))
+       CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS text FROM sents""", "sents"))
 def a3(spark, sf):
     p = _dir(spark, sf, "a3")
     s = FX.sentences(spark, sf)
@@ -134,7 +134,7 @@ def a8(spark, sf):
 
 
 @query("a9_read_series", """
-SELECT label, len(embedding) AS n, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS s FROM embeddings""")
+SELECT label, CAST(len(embedding) AS INTEGER) AS n, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS s FROM embeddings""")
 def a9(spark, sf):
     p = _dir(spark, sf, "a9")
     e = table(spark, sf, "embeddings")
@@ -161,8 +161,9 @@ def _a12_counts(r):
     g = r["graphs"].count()
     n = r["nodes"].count()
     e = r["edges"].count()
-    return r["graphs"].sparkSession.range(1).select(F.lit(g).alias("n_graphs"), F.lit(n).alias("n_nodes"),
-                                                    F.lit(e).alias("n_edges"))
+    return r["graphs"].sparkSession.range(1).select(F.lit(g).cast("long").alias("n_graphs"),
+                                                    F.lit(n).cast("long").alias("n_nodes"),
+                                                    F.lit(e).cast("long").alias("n_edges"))
 
 
 @query("a13_load_types", with_ctes("""
@@ -233,8 +234,8 @@ def a16(spark, sf):
 
 
 @query("a17_append_metrics", """
-SELECT event_type AS label, day(ts) AS epoch, round(avg(value), 6) AS metric, 'run1' AS run FROM events GROUP BY ALL
-UNION ALL SELECT event_type, day(ts), round(avg(value), 6), 'run2' FROM events GROUP BY ALL""")
+SELECT event_type AS label, CAST(day(ts) AS INTEGER) AS epoch, round(avg(value), 6) AS metric, 'run1' AS run FROM events GROUP BY ALL
+UNION ALL SELECT event_type, CAST(day(ts) AS INTEGER), round(avg(value), 6), 'run2' FROM events GROUP BY ALL""")
 def a17(spark, sf):
     p = _dir(spark, sf, "a17") + "-" + str(os.getpid())
     ev = table(spark, sf, "events")
@@ -259,7 +260,7 @@ _TAGS = ["click", "error", "purchase", "signup", "view"]
 
 @query("a18_pivot_history", f"""
 SELECT epoch, {', '.join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS {t}" for t in _TAGS)}
-FROM (SELECT day(ts) AS epoch, event_type, value FROM events) GROUP BY epoch""")
+FROM (SELECT CAST(day(ts) AS INTEGER) AS epoch, event_type, value FROM events) GROUP BY epoch""")
 def a18(spark, sf):
     ev = table(spark, sf, "events")
     h = ev.groupBy(F.dayofmonth("ts").alias("epoch"), "event_type").agg(F.round(F.avg("value"), 6).alias("metric"))
