@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents
+from tessera.llm.common import documents, table
 from tessera.llm.mixing import MIX_SQL
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
@@ -57,3 +57,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 ids."""
     from tessera.llm.packing import pack, pieces, tokenizer_path
     return pack(pieces(documents(spark, sf_dir), tokenizer_path()))
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    from tessera.llm.language import identify
+    return identify(documents(spark, sf_dir))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents."""
+    from tessera.llm.quality import score
+    return score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
