@@ -71,3 +71,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of all documents."""
     from tessera.llm.quality import score
     return score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from tessera.llm.near_dedup import near_duplicates
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
