@@ -78,3 +78,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     from tessera.llm.near_dedup import near_duplicates
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how alike they are."""
+    from tessera.llm.fingerprints import fingerprints
+    return fingerprints(documents(spark, sf_dir))
