@@ -85,3 +85,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike they are."""
     from tessera.llm.fingerprints import fingerprints
     return fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found, by inner product, of every vector whose id 20 divides."""
+    from tessera.llm.neighbours import search
+    return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
