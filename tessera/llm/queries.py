@@ -92,3 +92,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found, by inner product, of every vector whose id 20 divides."""
     from tessera.llm.neighbours import search
     return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    from tessera.llm.extraction import extract
+    return extract(table(spark, sf_dir, "pages"))
