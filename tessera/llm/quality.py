@@ -105,10 +105,13 @@ def scored(rows: DataFrame, trees: Trees, threshold: float) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that score at least ``threshold``. Statistics of the sampled
-    rows are computed for the fit alone, so whole texts are not shuffled."""
+    """The rows of ``docs``, all columns, that score at least ``threshold``. Only the sampled labels meet
+    their documents before the fit, and whole texts are not shuffled."""
     marked = columns(labels, doc_id="long", quality="int").filter("quality in (0, 1)").filter(remainder() != 2)
-    trees = fit_quality(materialize(measured(docs.select("doc_id", "text")), "quality-stats"), marked, sample)
+    chosen = docs.sparkSession.createDataFrame(sample_rows(marked, sample), "doc_id long, quality int")
+    # At most ``sample`` rows of two numbers.
+    texts = columns(docs, doc_id="long", text="string").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    trees = fit_quality(measured(texts), chosen, sample)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow as pa
