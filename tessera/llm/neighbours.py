@@ -6,7 +6,9 @@ projections, each cut into intervals of one width (2-stable hashing). A query vi
 and those next to it in the order of estimated success: the sum of squared distances to the borders
 that must be crossed. What the tables find is merged and ranked by exact inner products.
 
-Buckets are dealt to cells of bounded size (blocks of their vectors by blocks of the queries that
+The buckets that the queries are in themselves come first: the score of the k-th best found there is
+the least that any other bucket has to offer, so what all buckets report stays in proportion to the
+queries. Buckets are dealt to cells of bounded size (blocks of their vectors by blocks of the queries that
 visit them), so neither a common vector nor a common query fills a task. Queries that found fewer than
 asked for are compared with every bucket of one table, block by block.
 
@@ -108,7 +110,7 @@ def _index(rows: DataFrame, hashing: Hashing, largest: float) -> DataFrame:
 
 
 def _probes(rows: DataFrame, hashing: Hashing) -> DataFrame:
-    """(bucket, query_id, v): every bucket that each query visits."""
+    """(bucket, query_id, v, own): every bucket that each query visits, first (own) the one it is in."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,12 +120,12 @@ def _probes(rows: DataFrame, hashing: Hashing) -> DataFrame:
                 # Only a query's direction counts: scaled to a unit vector it has no further dimension.
                 place = hashing.positions(_unit(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), 1.0))
                 for t in range(hashing.tables):
-                    keys = [np.unique(bucket_keys(t, probe_order(p, hashing.probes))) for p in place[t]]
+                    keys = [bucket_keys(t, probe_order(p, hashing.probes)) for p in place[t]]
                     often = [len(k) for k in keys]
                     yield pd.DataFrame({"bucket": np.concatenate(keys), "query_id": np.repeat(part["vec_id"].to_numpy(), often),
-                                        "v": np.repeat(np.array([x.tobytes() for x in v], dtype=object), often)})
+                                        "v": np.repeat(np.array([x.tobytes() for x in v], dtype=object), often), "own": np.concatenate([np.arange(n) == 0 for n in often])})
 
-    return rows.mapInPandas(run, "bucket long, query_id long, v binary")
+    return rows.mapInPandas(run, "bucket long, query_id long, v binary, own boolean")
 
 
 def best(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,17 +141,18 @@ def best(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rough: np.ndar
 
 
 def _compared(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): in each task, the k best for each of its queries."""
+    """(query_id, vec_id, score): in each task, the k best of at least score ``least`` for each of its
+    queries (bucket, query_id, v, least)."""
     spark = index.sparkSession
     sizes = index.groupBy("bucket").agg(F.expr(f"cast((count(*) + {BLOCK - 1}) div {BLOCK} as int)").alias("blocks"))
     asked = probes.groupBy("bucket").agg(F.expr(f"cast((count(*) + {QUERY_BLOCK - 1}) div {QUERY_BLOCK} as int)").alias("qblocks"))
     sizes = materialize(sizes.join(asked, "bucket"), "near-cells")
     left = index.join(sizes, "bucket").select("bucket", "vec_id", "v", F.expr("pmod(xxhash64(vec_id, v), blocks)").alias("block"), F.explode(F.expr("sequence(0, qblocks - 1)")).alias("qblock"))
-    right = probes.join(sizes, "bucket").select("bucket", "query_id", "v", F.expr("pmod(xxhash64(query_id), qblocks)").alias("qblock"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+    right = probes.join(sizes, "bucket").select("bucket", "query_id", "v", "least", F.expr("pmod(xxhash64(query_id), qblocks)").alias("qblock"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
     tasks = rows_per_split(spark, index.count() + probes.count(), TASK_ROWS)
     cell = F.xxhash64("bucket", F.col("block").cast("long"), F.col("qblock").cast("long")).alias("cell")
     left = left.select(cell, "vec_id", "v").withColumn("task", F.pmod("cell", F.lit(tasks)))
-    right = right.select(cell, "query_id", "v").withColumn("task", F.pmod("cell", F.lit(tasks)))
+    right = right.select(cell, "query_id", "v", "least").withColumn("task", F.pmod("cell", F.lit(tasks)))
 
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
@@ -158,7 +161,7 @@ def _compared(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
         width = len(vectors["v"].iloc[0])
         v = np.frombuffer(b"".join(vectors["v"]), np.float64).reshape(-1, width // 8)
         q = np.frombuffer(b"".join(queries["v"]), np.float64).reshape(-1, width // 8)
-        ids, qids = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy()
+        ids, qids, least = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy(), queries["least"].to_numpy() - 1e-9
         of = queries.groupby("cell").indices
         found: dict[int, list] = {}
         for cell_, here in vectors.groupby("cell").indices.items():
@@ -167,8 +170,9 @@ def _compared(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
             own, own_ids, asking = v[here], ids[here], of[cell_]
             rough = q[asking] @ own.T
             for i, r in zip(asking, rough, strict=True):
-                other = own_ids != qids[i]
-                found.setdefault(qids[i], []).append(best(q[i], own[other], own_ids[other], r[other], k) if not other.all() else best(q[i], own, own_ids, r, k))
+                good = np.flatnonzero((r >= least[i]) & (own_ids != qids[i]))
+                if len(good):
+                    found.setdefault(qids[i], []).append(best(q[i], own[good], own_ids[good], r[good], k))
         out = []
         for query_id, parts in found.items():
             a, s = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -197,7 +201,12 @@ def search(vectors: DataFrame, every: int, k: int, hashing: Hashing | None = Non
     index = materialize(_index(rows, hashing, largest), "near-index")
     queries = rows.filter(F.col("vec_id") % every == 0)
     probes = materialize(_probes(queries, hashing), "near-probes")
-    found = materialize(_ranked(_compared(index, probes, k), k), "near-found")
+    nothing = F.lit(float("-inf"))
+    first = materialize(_ranked(_compared(index, probes.filter("own").withColumn("least", nothing), k), k), "near-first")
+    least = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+    others = probes.filter("not own").join(least, "query_id", "left").withColumn("least", F.coalesce("bound", nothing))
+    more = _compared(index, others, k).unionByName(first.drop("rank"))
+    found = materialize(_ranked(more, k), "near-found")
     ids = index.filter("tab = 0").select("vec_id").distinct().count()
     full = found.groupBy("query_id").count().filter(F.col("count") >= min(k, ids - 1)).select(F.col("query_id").alias("vec_id"))
     short = materialize(queries.join(full, "vec_id", "left_anti"), "near-short")
@@ -205,7 +214,7 @@ def search(vectors: DataFrame, every: int, k: int, hashing: Hashing | None = Non
         return found
     # The few that found too little meet all vectors, by the buckets of the first table.
     one = index.filter("tab = 0")
-    raw = one.join(short.select("vec_id").distinct(), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "v")
+    raw = one.join(short.select("vec_id").distinct(), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "v", nothing.alias("least"))
     tasks = rows_per_split(index.sparkSession, ids, BLOCK)
     one = one.withColumn("bucket", F.expr(f"pmod(xxhash64(vec_id), {tasks})"))
     raw = raw.withColumn("bucket", F.explode(F.expr(f"sequence(0L, {tasks - 1}L)")))
