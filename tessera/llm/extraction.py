@@ -14,6 +14,7 @@ result; other columns are ignored. A line break element is white space of its bl
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -46,6 +47,7 @@ _KINDS = [("p",), ("h1", "h2", "h3", "h4", "h5", "h6"), ("li", "dt", "dd"), ("ul
           ("footer",), ("aside",), ("form", "fieldset", "legend"), ("table", "tbody", "tr", "td", "th"), ("blockquote", "pre", "figure", "figcaption", "address"), ("#text",), ("html",)]
 _KIND = {tag: k for k, tags in enumerate(_KINDS) for tag in tags}
 _TAG_SAYS = {"nav": 1, "header": 2, "footer": 3, "aside": 4, "form": 8, "article": 0, "main": 0}
+_NUMBERS = re.compile(r"[\d©®™]")
 _GROUPS, _FIRST = len(SAYS), len(_KINDS)
 WIDTH = _FIRST + 2 * _GROUPS + 24
 
@@ -70,21 +72,23 @@ def features(root: Node) -> tuple[list[Node], np.ndarray]:
     c = b + _GROUPS
     whole = max(1.0, sums[0, 0])
     before = np.cumsum(own[:, 0]) - own[:, 0]
-    depth = np.zeros(n)
+    out[np.arange(n), [_KIND.get(x.tag, 4) for x in nodes]] = 1
+    depth, inherits, hidden = [0.0] * n, [False] * n, [0.0] * n
     for i, x in enumerate(nodes):
-        row, up = out[i], parent[i]
-        row[_KIND.get(x.tag, 4)] = 1
-        for w in x.words:
-            k = _SAID.get(w)
-            if k is not None:
-                row[a + k] += 1
+        up = parent[i]
+        said = [_SAID[w] for w in x.words if w in _SAID]
         if x.tag in _TAG_SAYS:
-            row[a + _TAG_SAYS[x.tag]] += 1
-        row[c + 21] = x.hidden
+            said.append(_TAG_SAYS[x.tag])
+        for k in said:
+            out[i, a + k] += 1
+        hidden[i] = float(x.hidden)
         if up >= 0:
             depth[i] = depth[up] + 1
-            row[b:c] = out[up, b:c] + out[up, a:b]
-            row[c + 21] += out[up, c + 21]
+            hidden[i] += hidden[up]
+            if inherits[up]:
+                out[i, b:c] = out[up, b:c] + out[up, a:b]
+        inherits[i] = bool(said) or up >= 0 and inherits[up]
+    out[:, c + 21] = hidden
     up = np.maximum(np.array(parent), 0)
     text, linked, leaves, marks, paragraphs, blocks = sums.T
     out[:, c] = np.log1p(text)
@@ -104,17 +108,18 @@ def features(root: Node) -> tuple[list[Node], np.ndarray]:
     # Siblings: how many, which, how long on average, what comes before and after.
     for x in nodes:
         m = len(x.children)
-        if m:
+        if m == 1:
+            i = at[id(x.children[0])]
+            out[i, c + 14], out[i, c + 16] = np.log1p(1), np.log1p(text[i])
+        elif m:
             own_at = [at[id(y)] for y in x.children]
             t, r = text[own_at], linked[own_at] / np.maximum(text[own_at], 1)
-            out[own_at, c + 14] = np.log1p(m)
-            out[own_at, c + 15] = np.arange(m) / m
-            out[own_at, c + 16] = np.log1p(t.mean())
-            out[own_at, c + 17] = np.log1p(np.concatenate([[0], t[:-1]]))
-            out[own_at, c + 18] = np.log1p(np.concatenate([t[1:], [0]]))
-            out[own_at, c + 19] = np.concatenate([[0], r[:-1]])
-            out[own_at, c + 20] = np.concatenate([r[1:], [0]])
-    out[:, c + 22] = [sum(x.isdigit() or x in "©®™" for x in y.text[:200]) for y in nodes]
+            near = np.zeros((m, 7))
+            near[:, 0], near[:, 1], near[:, 2] = np.log1p(m), np.arange(m) / m, np.log1p(t.sum() / m)
+            near[1:, 3], near[:-1, 4] = np.log1p(t[:-1]), np.log1p(t[1:])
+            near[1:, 5], near[:-1, 6] = r[:-1], r[1:]
+            out[own_at, c + 14:c + 21] = near
+    out[:, c + 22] = [len(_NUMBERS.findall(y.text, 0, 200)) if y.text else 0 for y in nodes]
     out[:, c + 23] = np.log1p(linked)
     return nodes, out
 
