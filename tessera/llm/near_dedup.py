@@ -8,10 +8,11 @@ at most one differs. At similarity 0.75 a chunk qualifies with probability 0.63,
 one pair in 160,000.
 
 Buckets are not expanded into pairs. First every member is paired with one member of its bucket (another
-one in each bucket), each class's closest partner is confirmed on full sets, and components are taken.
+one in each bucket); of its partners the closest, the smallest and the largest are confirmed on full
+sets, and components are taken.
 Then whatever pairs of *different* components still share a bucket are compared: bucket members in
-blocks, by signature, inside tasks, and the pairs within ``FAR`` differing values (5 sigma beyond the
-expected number at 0.75) are confirmed on full sets too. Links inside a component cannot change it.
+blocks, by signature, inside tasks; each pair within ``FAR`` differing values (5 sigma beyond the
+expected number at 0.75) comes from the first bucket that it shares, and is confirmed on full sets too. Links inside a component cannot change it.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; repeated rows and
 equal texts are one class; in a component whose doc_ids are all null, component_id is null and one row
@@ -38,7 +39,7 @@ WORDS, PERCENT = 5, 75
 CHUNKS, CHUNK = 12, 5
 VALUES, FAR = CHUNKS * CHUNK, 32
 #: Bucket members compared at a time, and rows in a task that compares them.
-BLOCK, TASK_ROWS = 512, 20_000
+BLOCK, TASK_ROWS = 2048, 20_000
 
 _RNG = np.random.default_rng(20240517)
 _PLACE = _RNG.integers(1 << 62, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -178,13 +179,16 @@ def _crossing(members: DataFrame, classes: DataFrame, component: DataFrame) -> D
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for (_, i, j), part in pdf.groupby(["key", "i", "j"], sort=False):
+        for (key, i, j), part in pdf.groupby(["key", "i", "j"], sort=False):
             s = np.frombuffer(b"".join(part["signature"]), "<u2").reshape(-1, VALUES)
             node, comp, block = (part[c].to_numpy() for c in ("node", "component", "block"))
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            keys = chunk_keys(s)
+            place = int((keys[0] == key).argmax())
             for x in left:
                 y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
                 y = y[(s[y] != s[x]).sum(axis=1) <= FAR]
+                y = y[(keys[y] == keys[x]).argmax(axis=1) == place]
                 found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
         out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
@@ -211,10 +215,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = wanted.join(nodes, (wanted["tkey"] == nodes["tkey"]) & wanted["doc_id"].eqNullSafe(nodes["_id"])).select("node", "text")
     texts = materialize(texts.dropDuplicates(["node"]), "near-texts")
 
-    # The closest partner of each class, as one number so that it aggregates before the shuffle.
     ends = near.select("a", "b", "differ").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "differ"))
-    closest = ends.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("best")).select(
-        F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+    closest = ends.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("best"), F.min("b").alias("lo"), F.max("b").alias("hi"))
+    closest = closest.select("a", F.explode(F.array("best", "lo", "hi")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = materialize(closest, "near-closest")
     links = materialize(_confirmed(tried, texts), "near-links")
     component = materialize(components(links), "near-components")
