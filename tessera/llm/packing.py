@@ -25,11 +25,13 @@ from tessera.llm.common import columns, materialize, rows_per_split
 
 #: Ids in a sequence, the id after each document, pieces packed together in one group.
 LENGTH, END_ID, GROUP = 2048, 1, 8192
-#: White space that cuts a text into chunks; no token, nor the normal form of one, crosses it. The
-#: tokenizer's own white space has more characters, which stay inside a chunk.
-BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: A text is cut into chunks at white space; no token, nor the normal form of one, crosses it. Python's
+#: split() takes these separators for white space too, the tokenizer doesn't: such texts are cut at blanks.
+SEPARATOR, BLANK = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: A special token that parts the chunks of one call; chunks with its first characters go by themselves.
+PART, PART_ID = "<|endoftext|>", 49407
 #: Chunks whose ids a task remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 def tokenizer_path() -> str:
@@ -46,14 +48,26 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        chunks = [BLANK.split(t) for t in texts]
+        # The tokenizer takes lower case; beforehand it saves chunks. Its rules for these two letters may differ.
+        texts = [t if "\u0130" in t or "\u03a3" in t or "<|" in t else t.lower() for t in texts]
+        chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         new = list({c for words in chunks for c in words}.difference(self.known))
-        for at in range(0, len(new), 8192):
-            part = new[at:at + 8192]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        alone = [c for c in new if "<|" in c]
+        for chunk, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        together = [c for c in new if "<|" not in c] if alone else new
+        for at in range(0, len(together), 64):
+            part = together[at:at + 64]
+            ids = np.array(self.tokenizer.encode_batch_fast([PART.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == PART_ID), len(ids)) * 4
+            raw, start = ids.tobytes(), 0
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not know the special token that parts chunks")
+            for chunk, end in zip(part, ends.tolist(), strict=True):
+                self.known[chunk] = raw[start:end]
+                start = end + 4
         return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
 
 
