@@ -35,10 +35,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def strip(col) -> Column:
+    """Without white space (not spaces alone) at either end."""
+    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+
+
 def normalize_label(col, rules=LABEL_RULES) -> Column:
     """B1: trim, upper, exact-set test then substring test per rule, in order;
     empty / unmatched -> null."""
-    u = F.upper(F.trim(_c(col).cast("string")))
+    u = F.upper(strip(_c(col).cast("string")))
     out = None
     for label, exact, contains in rules:
         cond = u.isin(*exact)
@@ -170,6 +175,6 @@ def strip_span(text, start, end) -> Column:
     """Trim an entity text and move its char span by the trimmed amounts.
     Returns struct(text, start, end)."""
     t, s, e = _c(text), _c(start), _c(end)
-    left = F.length(t) - F.length(F.ltrim(t))
-    right = F.length(t) - F.length(F.rtrim(t))
-    return F.struct(F.trim(t).alias("text"), (s + left).alias("start"), (e - right).alias("end"))
+    left = F.length(t) - F.length(F.regexp_replace(t, r"^\s+", ""))
+    right = F.length(t) - F.length(F.regexp_replace(t, r"\s+$", ""))
+    return F.struct(strip(t).alias("text"), (s + left).alias("start"), (e - right).alias("end"))

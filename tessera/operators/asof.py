@@ -51,6 +51,11 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], on: str,
     """Left columns + ``right_cols`` of the nearest right row + ``delta_col``
     (absolute difference in ordinal units: days for dates, µs for timestamps).
     ``right_cols`` must not clash with left column names."""
+    # A null key meets nothing: such left rows pass by with nulls, and never share a window.
+    known = F.lit(True)
+    for k in by:
+        known = known & F.col(k).isNotNull()
+    unkeyed, left, right = left.filter(~known), left.filter(known), right.filter(known)
     ron = right_on or on
     width = bucket_width or default_bucket_width(right, ron)
     lcols = left.columns
@@ -114,7 +119,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], on: str,
             v = F.when(delta <= tolerance, v)
         out.append(v.alias(c))
     out.append(delta.alias(delta_col))
-    return j.select(*out)
+    j = j.select(*out)
+    nothing = [F.lit(None).cast(j.schema[c].dataType).alias(c) for c in [*right_cols, delta_col]]
+    return j.unionByName(unkeyed.select(*lcols, *nothing))
 
 
 def asof_nearest_small(left: DataFrame, right: DataFrame, by: list[str], on: str,

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import phrase
+from tessera.functions.text import phrase, strip
 
 
 def _k(keys):
@@ -197,7 +197,7 @@ def assign_sentence_ids(lines: DataFrame, doc: str = "doc_id", order: str = "lin
                         text: str = "sentence") -> DataFrame:
     """Number distinct (doc, trimmed sentence) by first appearance within
     the document; every line gets the id of its sentence."""
-    k = F.trim(F.col(text))
+    k = strip(text)
     first = lines.groupBy(doc, k.alias("_k")).agg(F.min(order).alias("_first"))
     w = Window.partitionBy(doc).orderBy("_first")
     ids = first.withColumn("sent_id", (F.row_number().over(w) - 1).cast("int"))

@@ -41,7 +41,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     import hashlib
     import os
     tag = hashlib.md5(open(__file__, "rb").read()).hexdigest()[:10]
-    sf = os.path.basename(os.path.normpath(sf_dir))
+    # The whole input path: folders of one name do not share derived data.
+    sf = hashlib.md5(os.path.normpath(sf_dir).encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark).rstrip('/')}/derived-{tag}/{sf}/{name}"
     if not _exists(spark, path + "/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)

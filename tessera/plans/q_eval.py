@@ -324,14 +324,14 @@ _LOGSM = """list_transform(logits, lambda x: x - (ln(list_sum(list_transform(log
 
 @query("e19_cross_entropy", with_ctes(f"""
 SELECT round(sum(ce), 6) AS ce_sum, round(avg(ce), 6) AS ce_mean,
-       round(sum(ce * m) / sum(m), 6) AS ce_masked_mean FROM (
+       round(sum(ce * m) / nullif(sum(m), 0), 6) AS ce_masked_mean FROM (
   SELECT -({_LOGSM})[y_true + 1] AS ce, CASE WHEN vec_id % 3 <> 0 THEN 1.0 ELSE 0.0 END AS m FROM class_preds)""",
     "class_preds"))
 def e19(spark, sf):
     c = M.cross_entropy_rows(FX.class_preds(spark, sf), "logits", "y_true")
     m = F.when(F.col("vec_id") % 3 != 0, 1.0).otherwise(0.0)
     return c.agg(F.round(F.sum("ce"), R6).alias("ce_sum"), F.round(F.avg("ce"), R6).alias("ce_mean"),
-                 F.round(F.sum(F.col("ce") * m) / F.sum(m), R6).alias("ce_masked_mean"))
+                 F.round(F.try_divide(F.sum(F.col("ce") * m), F.sum(m)), R6).alias("ce_masked_mean"))
 
 
 @query("e20_label_smoothing_loss", with_ctes(f"""

@@ -46,11 +46,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem). Only when the session leaves it unset (local tests) do we
-    create a private one.
+    filesystem), and it must be set there. Only a local session that leaves
+    it unset (tests) gets a private one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

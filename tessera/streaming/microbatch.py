@@ -3,8 +3,8 @@
 The reference has no streams; this only shows that the evaluation operators
 are plain DataFrame functions: a prediction stream can be scored batch by
 batch with ``foreachBatch`` and the metric rows appended to the per-label log
-(A17). Exactly-once comes from the checkpointed stream offsets plus an
-idempotent append keyed by batch id.
+(A17). The append is a plain one: a batch that is retried after its append
+is logged twice, so readers of the log take the rows of a batch id once.
 """
 
 from __future__ import annotations
