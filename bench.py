@@ -19,7 +19,8 @@ HEADLINE = [
     "d3_asof_nearest", "d3_asof_labels_tolerance", "c2_align_spans", "b7_tokenize_sentence",
     "d9_match_sets", "d10_overlaps", "e4_score_entities", "e7_prf_report", "e9_doc_examples",
     "e15_roc_auc", "f14_distance_bin_errors", "g1_group_split", "g9_sort", "h10_propagate",
-    "h5_attention", "h13_rnn_scan",
+    "h5_attention", "h13_rnn_scan", "c14_negative_spans", "c15_sample_per_group", "c17_negative_pairs",
+    "c18_candidate_pairs", "e14_classification_report", "e27_eval_row",
 ]
 
 

@@ -101,13 +101,14 @@ def overlapping(mentions: DataFrame, doc_keys, start: str = "start", end: str =
     return d.filter("_ov").drop("_ov")
 
 
-def has_any_overlap(mentions: DataFrame, doc_keys, start: str = "start", end: str = "end") -> DataFrame:
-    """per document, whether any two entries overlap (identical spans do
-    count): running max(end) of earlier entries > start."""
+def has_any_overlap(mentions: DataFrame, doc_keys, docs: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """for every document of ``docs``, whether any two entries overlap
+    (identical spans do count): running max(end) of earlier entries > start."""
     doc_keys = _k(doc_keys)
     w = Window.partitionBy(*doc_keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     d = mentions.withColumn("_ov", F.coalesce(F.max(end).over(w) > F.col(start), F.lit(False)))
-    return d.groupBy(*doc_keys).agg(F.bool_or("_ov").alias("has_overlap"))
+    found = d.groupBy(*doc_keys).agg(F.bool_or("_ov").alias("has_overlap"))
+    return docs.select(*doc_keys).join(found, doc_keys, "left").withColumn("has_overlap", F.coalesce("has_overlap", F.lit(False)))
 
 
 def remove_overlapping(mentions: DataFrame, rels: DataFrame | None, doc_keys):
@@ -124,9 +125,10 @@ def remove_overlapping(mentions: DataFrame, rels: DataFrame | None, doc_keys):
     return ents, rels.filter(same | ~ovl)
 
 
-def set_mismatch(gold: DataFrame, pred: DataFrame, doc_keys, value_cols: list[str]) -> DataFrame:
-    """Per document, whether the gold set differs from the predicted set
-    (a document missing on one side has an empty set there)."""
+def set_mismatch(gold: DataFrame, pred: DataFrame, doc_keys, value_cols: list[str], docs: DataFrame) -> DataFrame:
+    """For every document of ``docs``, whether the gold set differs from
+    the predicted set (a document missing on a side has an empty set there)."""
     doc_keys = _k(doc_keys)
     m = match_sets(gold, pred, [*doc_keys, *value_cols])
-    return m.groupBy(*doc_keys).agg(F.bool_or(F.col("in_gold") != F.col("in_pred")).alias("mismatch"))
+    found = m.groupBy(*doc_keys).agg(F.bool_or(F.col("in_gold") != F.col("in_pred")).alias("mismatch"))
+    return docs.select(*doc_keys).join(found, doc_keys, "left").withColumn("mismatch", F.coalesce("mismatch", F.lit(False)))

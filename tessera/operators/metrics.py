@@ -90,9 +90,10 @@ def format_report(report: DataFrame) -> DataFrame:
 
 
 def doc_examples(gold: DataFrame, pred: DataFrame, doc_keys, value_cols: list[str],
-                 score: str = "score") -> DataFrame:
-    """Per document: micro P/R/F1 x100 (100 each when both sides are
-    empty), TP / FN / FP lists; TP and FP sorted by score desc, FN score -1."""
+                 docs: DataFrame, score: str = "score") -> DataFrame:
+    """For every document of ``docs``: micro P/R/F1 x100 (100 each when
+    both sides are empty), TP / FN / FP lists of ``values:score``; TP and FP
+    sorted by score desc, FN score -1."""
     doc_keys = _k(doc_keys)
     keys = [*doc_keys, *value_cols]
     g = gold.select(*keys).distinct().withColumn("in_gold", F.lit(True))
@@ -107,16 +108,19 @@ def doc_examples(gold: DataFrame, pred: DataFrame, doc_keys, value_cols: list[st
         F.sort_array(F.collect_list(F.when(~F.col("in_gold") & F.col("in_pred"),
                                            F.struct((-F.col(score)).alias("k"), item.alias("v"))))).alias("_fp"),
         F.sort_array(F.collect_list(F.when(F.col("in_gold") & ~F.col("in_pred"), item))).alias("fn"))
+    a = docs.select(*doc_keys).join(a, doc_keys, "left").fillna(0, ["n_tp", "n_fn", "n_fp"])
     p_ = sdiv(F.col("n_tp"), F.col("n_tp") + F.col("n_fp"))
     r_ = sdiv(F.col("n_tp"), F.col("n_tp") + F.col("n_fn"))
     f_ = sdiv(2 * p_ * r_, p_ + r_)
+    none = F.array().cast("array<string>")
     empty = (F.col("n_tp") + F.col("n_fn") + F.col("n_fp")) == 0
     return a.select(*doc_keys, "n_tp", "n_fn", "n_fp",
                     F.when(empty, 100.0).otherwise(p_ * 100).alias("precision"),
                     F.when(empty, 100.0).otherwise(r_ * 100).alias("recall"),
                     F.when(empty, 100.0).otherwise(f_ * 100).alias("f1"),
-                    F.transform("_tp", lambda z: z["v"]).alias("tp"),
-                    F.transform("_fp", lambda z: z["v"]).alias("fp"), "fn")
+                    *[F.coalesce(F.transform(f"_{c}", lambda z: F.concat_ws(":", z["v"], (-z["k"]).cast("string"))), none).alias(c)
+                      for c in ("tp", "fp")],
+                    F.coalesce(F.transform("fn", lambda v: F.concat(v, F.lit(":-1.0"))), none).alias("fn"))
 
 
 # ---- E11-E17: classification metrics -----------------------------------------------------------

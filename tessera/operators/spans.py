@@ -63,14 +63,17 @@ def relations_with_spans(docs: DataFrame, keys) -> DataFrame:
                     t["start"].alias("ts_"), t["end"].alias("te"), t["type"].alias("tt"))
 
 
-def to_docs(mentions: DataFrame, relations: DataFrame | None, keys) -> DataFrame:
-    """Rebuild documents from mention / relation rows (ordered by index).
-    One group per document; documents are bounded in size."""
+def to_docs(mentions: DataFrame, relations: DataFrame | None, keys, docs: DataFrame) -> DataFrame:
+    """Rebuild documents from mention / relation rows (ordered by index):
+    every row of ``docs`` (keys and other columns, one row a document), with
+    empty lists where it has no mentions or relations."""
     keys = _k(keys)
+    none = F.array().cast("array<struct<type:string,start:int,end:int>>")
     ents = mentions.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
         "ent_idx", "type", "start", "end"))).alias("_e"))
     ents = ents.select(*keys, F.transform("_e", lambda x: F.struct(
         x["type"].alias("type"), x["start"].alias("start"), x["end"].alias("end"))).alias("entities"))
+    ents = docs.join(ents, keys, "left").withColumn("entities", F.coalesce(F.col("entities"), none))
     if relations is None:
         return ents
     rels = relations.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
@@ -338,15 +341,14 @@ def enumerate_spans(docs: DataFrame, max_size: int, n_col: str = "n_tokens") ->
 def negative_spans(docs: DataFrame, max_size: int) -> DataFrame:
     """C14: candidate spans that are not gold spans (row-local anti-join)."""
     d = enumerate_spans(docs, max_size)
-    gold = F.array_distinct(F.transform("entities", lambda e: F.struct(
-        e["start"].alias("start"), e["end"].alias("end"), F.lit(0).alias("size"))))
-    # candidates minus gold spans as a set difference on (start, end); sizes
-    # are implied by (start, end), so compare on the full struct
-    cand = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                     F.lit(0).alias("size")))
-    neg = F.array_except(cand, gold)
-    return d.withColumn("neg_spans", F.transform(neg, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), (s["end"] - s["start"]).alias("size"))))
+    # A span as one long: set differences of longs hash, those of structs compare all with all.
+    def code(s):
+        return F.shiftleft(s["start"].cast("long"), 32) + s["end"]
+
+    neg = F.array_except(F.transform("spans", code), F.transform("entities", code))
+    start, end = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+    return d.withColumn("neg_spans", F.transform(neg, lambda c: F.struct(
+        start(c).alias("start"), end(c).alias("end"), (end(c) - start(c)).alias("size"))))
 
 
 def sample_array(arr: Column, n: int, seed: str, key_fn) -> Column:
@@ -378,13 +380,19 @@ def negative_pairs(docs: DataFrame) -> Column:
     (head, tail) span pair; direction-sensitive, duplicated spans repeat.
     Row-local: array<struct<s1,e1,s2,e2>>."""
     ents = F.col("entities")
-    gold_pairs = F.transform("relations", lambda r: F.struct(
-        F.element_at(ents, r["head"] + 1)["start"].alias("s1"), F.element_at(ents, r["head"] + 1)["end"].alias("e1"),
-        F.element_at(ents, r["tail"] + 1)["start"].alias("s2"), F.element_at(ents, r["tail"] + 1)["end"].alias("e2")))
-    pairs = F.flatten(F.transform(ents, lambda a: F.transform(ents, lambda b: F.struct(
-        a["start"].alias("s1"), a["end"].alias("e1"), b["start"].alias("s2"), b["end"].alias("e2")))))
-    return F.filter(pairs, lambda p: ((p["s1"] != p["s2"]) | (p["e1"] != p["e2"]))
-                    & ~F.array_contains(gold_pairs, p))
+
+    def span(e):
+        return F.struct(e["start"].alias("start"), e["end"].alias("end"))
+
+    gold = F.transform("relations", lambda r: F.struct(
+        span(F.element_at(ents, r["head"] + 1)).alias("h"), span(F.element_at(ents, r["tail"] + 1)).alias("t")))
+    # each span with the tails of its own relations, once: few to look through for a pair
+    heads = F.transform(ents, lambda a: F.struct(span(a).alias("a"), F.transform(
+        F.filter(gold, lambda g: g["h"] == span(a)), lambda g: g["t"]).alias("tails")))
+    return F.flatten(F.transform(heads, lambda h: F.transform(
+        F.filter(ents, lambda b: (span(b) != h["a"]) & ~F.array_contains(h["tails"], span(b))),
+        lambda b: F.struct(h["a"]["start"].alias("s1"), h["a"]["end"].alias("e1"),
+                           b["start"].alias("s2"), b["end"].alias("e2")))))
 
 
 def candidate_pairs(ents: Column) -> Column:

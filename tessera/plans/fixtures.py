@@ -55,18 +55,27 @@ RELATION_TYPES_BY_DIST_MOD3 = ["associated_with", "treatment_for", "hyponym_of"]
 SYMMETRIC_RELATIONS = ["associated_with"]
 
 
+#: Tokens of a sentence at most: a longer line becomes several sentences, none of it is left out.
+SENTENCE_TOKENS = 64
+
+
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, sent_no, tokens): lines of documents.text with 2..64 tokens."""
+    """(doc_id, sent_no, tokens): every token of documents.text, in order. A
+    line with words is a sentence; a line of more than SENTENCE_TOKENS tokens
+    is cut into sentences of that many and a shorter last one. sent_no counts
+    the sentences of the document from 0."""
     return materialized(spark, sf_dir, "sentences", lambda: _sentences(spark, sf_dir))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_no", "line"))
-    sents = lines.select(
-        "doc_id", F.col("sent_no").cast("long").alias("sent_no"),
-        F.filter(F.split("line", r"\s+"), lambda t: t != "").alias("tokens"))
-    return sents.filter(F.size("tokens").between(2, 64))
+    lines = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(line, r"\s+"), lambda t: t != ""))
+    lines = F.filter(lines, lambda ts: F.size(ts) > 0)
+    pieces = F.transform(lines, lambda ts: F.transform(
+        F.sequence(F.lit(0), F.size(ts) - 1, F.lit(SENTENCE_TOKENS)),
+        lambda at: F.slice(ts, at + 1, SENTENCE_TOKENS)))
+    sents = docs.select("doc_id", F.posexplode(F.flatten(pieces)).alias("sent_no", "tokens"))
+    return sents.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "tokens")
 
 
 def tokens_long(sents: DataFrame) -> DataFrame:
@@ -126,8 +135,8 @@ def _gold_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = F.col("tokens")
     single = F.transform(tok, lambda t, i: F.when(
         F.length(t) >= 8, _span(i, i + 1, _type_by_len(t))))
-    double = F.transform(F.sequence(F.lit(0), F.size(tok) - 2), lambda i: F.when(
-        (F.length(F.element_at(tok, i + 1)) >= 9) & (F.length(F.element_at(tok, i + 2)) >= 9),
+    double = F.transform(tok, lambda t, i: F.when(
+        (F.length(t) >= 9) & (F.length(F.try_element_at(tok, i + 2)) >= 9),
         _span(i, i + 2, F.lit(PAIR_ENTITY_TYPE))))
     ents = _finish_entities(F.concat(single, double))
     return (s.withColumn("entities", ents)

@@ -18,10 +18,11 @@ SELECT doc_id, unnest(generate_series(0, len(parts) - 1)) AS sent_no, unnest(par
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)""")
 
 _cte("sents", ("lines",), r"""
-SELECT doc_id, sent_no, tokens FROM (
-  SELECT doc_id, sent_no,
-         list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') AS tokens
-  FROM lines) WHERE len(tokens) BETWEEN 2 AND 64""")
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, a) - 1 AS sent_no, ts[a + 1:a + 64] AS tokens
+FROM (SELECT doc_id, line_no, ts, unnest(generate_series(0, len(ts) - 1, 64)) AS a FROM (
+  SELECT doc_id, sent_no AS line_no,
+         list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') AS ts
+  FROM lines) WHERE len(ts) > 0)""")
 
 _cte("toks", ("sents",), """
 SELECT doc_id, sent_no, tok_idx, token, tokens,

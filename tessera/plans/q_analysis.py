@@ -11,6 +11,7 @@ from tessera.operators import spans as S
 from tessera.operators.splits import sample_per_class
 from tessera.plans import fixtures as FX
 from tessera.plans.fixtures_sql import with_ctes
+from tessera.plans.q_joins import MISMATCH_CTES, MISMATCH_SQL, mismatch
 from tessera.plans.registry import query
 from tessera.session import table
 
@@ -75,51 +76,28 @@ def f6(spark, sf):
         "n_docs", "n_entities", "n_relations", "n_entity_types", "n_relation_types", "n_tokens")
 
 
-def _mismatch(spark, sf):
-    g, p = FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)
-    e = J.set_mismatch(S.to_mentions(g, DOC), S.to_mentions(p, DOC), DOC, ["start", "end", "type"]) \
-        .withColumnRenamed("mismatch", "ent_mismatch")
-    r = J.set_mismatch(S.to_relations(g, DOC), S.to_relations(p, DOC), DOC, ["type", "head", "tail"]) \
-        .withColumnRenamed("mismatch", "rel_mismatch")
-    j = e.join(r, DOC, "full_outer")
-    return j.select(*DOC, F.coalesce("ent_mismatch", F.lit(False)).alias("ent_mismatch"),
-                    F.coalesce("rel_mismatch", F.lit(False)).alias("rel_mismatch"))
-
-
-_MM_SQL = """
-SELECT coalesce(e.doc_id, r.doc_id) AS doc_id, coalesce(e.sent_no, r.sent_no) AS sent_no,
-       coalesce(e.mm, false) AS ent_mismatch, coalesce(r.mm, false) AS rel_mismatch
-FROM (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
-        (SELECT DISTINCT doc_id, sent_no, "start", "end", type FROM gold) g
-        FULL JOIN (SELECT DISTINCT doc_id, sent_no, "start", "end", type FROM pred) p USING (doc_id, sent_no, "start", "end", type)
-      GROUP BY ALL) e
-FULL JOIN (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
-        (SELECT DISTINCT doc_id, sent_no, type, head, tail FROM gold_rel) g
-        FULL JOIN (SELECT DISTINCT doc_id, sent_no, type, head, tail FROM pred_rel) p USING (doc_id, sent_no, type, head, tail)
-      GROUP BY ALL) r ON e.doc_id = r.doc_id AND e.sent_no = r.sent_no"""
-
-
-@query("f7_edge_cases", with_ctes(f"SELECT * FROM ({_MM_SQL}) WHERE ent_mismatch OR rel_mismatch",
-                                  "gold", "pred", "gold_rel", "pred_rel"))
+@query("f7_edge_cases", with_ctes(f"SELECT * FROM ({MISMATCH_SQL}) WHERE ent_mismatch OR rel_mismatch",
+                                  *MISMATCH_CTES))
 def f7(spark, sf):
-    return _mismatch(spark, sf).filter(F.col("ent_mismatch") | F.col("rel_mismatch"))
+    return mismatch(spark, sf).filter(F.col("ent_mismatch") | F.col("rel_mismatch"))
 
 
 @query("f8_relation_only_errors", with_ctes(f"""
 SELECT doc_id, sent_no, CAST(row_number() OVER (ORDER BY doc_id, sent_no) - 1 AS BIGINT) AS case_rank
-FROM ({_MM_SQL}) WHERE rel_mismatch AND NOT ent_mismatch""", "gold", "pred", "gold_rel", "pred_rel"))
+FROM ({MISMATCH_SQL}) WHERE rel_mismatch AND NOT ent_mismatch""", *MISMATCH_CTES))
 def f8(spark, sf):
     from tessera.operators.splits import global_rank
-    m = _mismatch(spark, sf).filter(F.col("rel_mismatch") & ~F.col("ent_mismatch")).select(*DOC)
+    m = mismatch(spark, sf).filter(F.col("rel_mismatch") & ~F.col("ent_mismatch")).select(*DOC)
     return global_rank(m, [F.col("doc_id"), F.col("sent_no")], F.col("doc_id"), rank_col="case_rank")
 
 
 @query("f9_has_overlap", with_ctes("""
-SELECT doc_id, sent_no, bool_or(EXISTS (SELECT 1 FROM gold b WHERE b.doc_id = a.doc_id AND b.sent_no = a.sent_no
-   AND b.ent_idx <> a.ent_idx AND a."start" < b."end" AND b."start" < a."end")) AS has_overlap
-FROM gold a GROUP BY ALL""", "gold"))
+SELECT s.doc_id, s.sent_no, coalesce(bool_or(a.doc_id IS NOT NULL AND EXISTS (SELECT 1 FROM gold b WHERE b.doc_id = a.doc_id
+   AND b.sent_no = a.sent_no AND b.ent_idx <> a.ent_idx AND a."start" < b."end" AND b."start" < a."end")), false) AS has_overlap
+FROM sents s LEFT JOIN gold a ON a.doc_id = s.doc_id AND a.sent_no = s.sent_no GROUP BY ALL""", "sents", "gold"))
 def f9(spark, sf):
-    return J.has_any_overlap(S.to_mentions(FX.gold_docs(spark, sf), DOC), DOC)
+    d = FX.gold_docs(spark, sf)
+    return J.has_any_overlap(S.to_mentions(d, DOC), DOC, d)
 
 
 _ERR_SQL = """
@@ -140,8 +118,7 @@ def _errors(spark, sf):
     g, p = FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)
     e = AN.doc_error(g, p, DOC)
     e = e.withColumn("dist", AN.avg_relation_distance(e).cast("double"))
-    ov = J.has_any_overlap(S.to_mentions(g, DOC), DOC)
-    return e.join(ov, DOC, "left").withColumn("has_overlap", F.coalesce("has_overlap", F.lit(False)))
+    return e.join(J.has_any_overlap(S.to_mentions(g, DOC), DOC, g), DOC)
 
 
 @query("f11_doc_error", with_ctes(f"SELECT doc_id, sent_no, is_error FROM ({_ERR_SQL})", *_ERR_CTES))

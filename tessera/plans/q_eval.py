@@ -193,20 +193,22 @@ SELECT doc_id, sent_no, n_tp, n_fn, n_fp,
   tp, fp, fn FROM (
   SELECT *, CASE WHEN n_tp + n_fp = 0 THEN 0.0 ELSE n_tp / (n_tp + n_fp) END AS pr,
             CASE WHEN n_tp + n_fn = 0 THEN 0.0 ELSE n_tp / (n_tp + n_fn) END AS rc FROM (
+    SELECT doc_id, sent_no, coalesce(n_tp, 0) AS n_tp, coalesce(n_fn, 0) AS n_fn, coalesce(n_fp, 0) AS n_fp,
+           coalesce(tp, '') AS tp, coalesce(fp, '') AS fp, coalesce(fn, '') AS fn FROM sents LEFT JOIN (
     SELECT doc_id, sent_no, count(*) FILTER (WHERE g AND p) AS n_tp, count(*) FILTER (WHERE g AND NOT p) AS n_fn,
       count(*) FILTER (WHERE NOT g AND p) AS n_fp,
-      coalesce(string_agg(item, ' ' ORDER BY -score, item) FILTER (WHERE g AND p), '') AS tp,
-      coalesce(string_agg(item, ' ' ORDER BY -score, item) FILTER (WHERE NOT g AND p), '') AS fp,
-      coalesce(string_agg(item, ' ' ORDER BY item) FILTER (WHERE g AND NOT p), '') AS fn
+      string_agg(item || ':' || score, ' ' ORDER BY -score, item) FILTER (WHERE g AND p) AS tp,
+      string_agg(item || ':' || score, ' ' ORDER BY -score, item) FILTER (WHERE NOT g AND p) AS fp,
+      string_agg(item || ':-1.0', ' ' ORDER BY item) FILTER (WHERE g AND NOT p) AS fn
     FROM (SELECT doc_id, sent_no, CAST("start" AS VARCHAR) || ':' || CAST("end" AS VARCHAR) || ':' || type AS item,
                  gg.doc_id IS NOT NULL AS g, pp.doc_id IS NOT NULL AS p, pp.score
           FROM (SELECT DISTINCT doc_id, sent_no, "start", "end", type FROM gold) gg
           FULL JOIN (SELECT doc_id, sent_no, "start", "end", type, (("start" * 7 + "end" * 3) % 11) / 10.0 AS score FROM pred) pp
           USING (doc_id, sent_no, "start", "end", type))
-    GROUP BY doc_id, sent_no))""", "gold", "pred"))
+    GROUP BY doc_id, sent_no) USING (doc_id, sent_no)))""", "sents", "gold", "pred"))
 def e9(spark, sf):
     g, _ = _ents(spark, sf)
-    ex = M.doc_examples(g, _pred_scored(spark, sf), DOC, ["start", "end", "type"])
+    ex = M.doc_examples(g, _pred_scored(spark, sf), DOC, ["start", "end", "type"], FX.sentences(spark, sf))
     return ex.select(*DOC, "n_tp", "n_fn", "n_fp", *[F.round(c, R6).alias(c) for c in ("precision", "recall", "f1")],
                      *[F.array_join(c, " ").alias(c) for c in ("tp", "fp", "fn")])
 

@@ -209,23 +209,30 @@ def d11r(spark, sf):
     return rels.select(*DOC, "rel_idx")
 
 
-@query("d13_set_mismatch", with_ctes("""
-SELECT coalesce(e.doc_id, r.doc_id) AS doc_id, coalesce(e.sent_no, r.sent_no) AS sent_no,
-       coalesce(e.mm, false) AS ent_mismatch, coalesce(r.mm, false) AS rel_mismatch
-FROM (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
+def mismatch(spark, sf):
+    """D13 for entities and relations of every sentence."""
+    g, p = FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)
+    e = J.set_mismatch(S.to_mentions(g, DOC), S.to_mentions(p, DOC), DOC, ["start", "end", "type"], g) \
+        .withColumnRenamed("mismatch", "ent_mismatch")
+    r = J.set_mismatch(S.to_relations(g, DOC), S.to_relations(p, DOC), DOC, ["type", "head", "tail"], g) \
+        .withColumnRenamed("mismatch", "rel_mismatch")
+    return e.join(r, DOC)
+
+
+MISMATCH_SQL = """
+SELECT s.doc_id, s.sent_no, coalesce(e.mm, false) AS ent_mismatch, coalesce(r.mm, false) AS rel_mismatch
+FROM sents s
+LEFT JOIN (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
         (SELECT DISTINCT doc_id, sent_no, "start", "end", type FROM gold) g
         FULL JOIN (SELECT DISTINCT doc_id, sent_no, "start", "end", type FROM pred) p USING (doc_id, sent_no, "start", "end", type)
-      GROUP BY ALL) e
-FULL JOIN (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
+      GROUP BY ALL) e ON e.doc_id = s.doc_id AND e.sent_no = s.sent_no
+LEFT JOIN (SELECT doc_id, sent_no, bool_or(g.doc_id IS NULL OR p.doc_id IS NULL) AS mm FROM
         (SELECT DISTINCT doc_id, sent_no, type, head, tail FROM gold_rel) g
         FULL JOIN (SELECT DISTINCT doc_id, sent_no, type, head, tail FROM pred_rel) p USING (doc_id, sent_no, type, head, tail)
-      GROUP BY ALL) r ON e.doc_id = r.doc_id AND e.sent_no = r.sent_no""", "gold", "pred", "gold_rel", "pred_rel"))
+      GROUP BY ALL) r ON r.doc_id = s.doc_id AND r.sent_no = s.sent_no"""
+MISMATCH_CTES = ("sents", "gold", "pred", "gold_rel", "pred_rel")
+
+
+@query("d13_set_mismatch", with_ctes(MISMATCH_SQL, *MISMATCH_CTES))
 def d13(spark, sf):
-    g, p = FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)
-    e = J.set_mismatch(S.to_mentions(g, DOC), S.to_mentions(p, DOC), DOC, ["start", "end", "type"]) \
-        .withColumnRenamed("mismatch", "ent_mismatch")
-    r = J.set_mismatch(S.to_relations(g, DOC), S.to_relations(p, DOC), DOC, ["type", "head", "tail"]) \
-        .withColumnRenamed("mismatch", "rel_mismatch")
-    j = e.join(r, DOC, "full_outer")
-    return j.select(*DOC, F.coalesce("ent_mismatch", F.lit(False)).alias("ent_mismatch"),
-                    F.coalesce("rel_mismatch", F.lit(False)).alias("rel_mismatch"))
+    return mismatch(spark, sf)

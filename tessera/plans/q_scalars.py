@@ -158,10 +158,10 @@ def b6(spark, sf_dir):
     lens = F.transform(toks, lambda t: F.length(t) + 1)
     ends = F.aggregate(lens, F.array().cast("array<int>"), lambda acc, x: F.concat(
         acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x).cast("int"))))
-    s = s.select("doc_id", "sent_no", "tokens", F.concat(F.array(F.lit("")), F.slice(toks, 2, 64)).alias("nxt"),
-                 F.concat(F.array(F.lit(0)), F.slice(ends, 1, 63)).alias("starts"))
+    s = s.select("doc_id", "sent_no", "tokens", F.concat(F.array(F.lit("")), F.slice(toks, 2, F.size(toks))).alias("nxt"),
+                 F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(toks) - 1)).alias("starts"))
     s = s.select("doc_id", "sent_no", F.arrays_zip(
-        "tokens", F.concat(F.slice("nxt", 2, 64), F.array(F.lit(""))).alias("nxt"), "starts").alias("z"))
+        "tokens", F.concat(F.slice("nxt", 2, F.size("nxt")), F.array(F.lit(""))).alias("nxt"), "starts").alias("z"))
     glued = F.transform("z", lambda z, i: F.struct(
         F.when((i % 4 == 0) & (z["nxt"] != ""), F.concat(z["tokens"], F.lit(")-"), z["nxt"]))
          .otherwise(z["tokens"]).alias("token"), z["starts"].alias("start")))

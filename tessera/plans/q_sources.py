@@ -168,16 +168,16 @@ def _a12_counts(r):
 
 @query("a13_load_types", with_ctes("""
 SELECT kind, name, CAST(idx AS INTEGER) AS idx, "symmetric" FROM (
-  SELECT 'entities' AS kind, type AS name, row_number() OVER (ORDER BY min(doc_id * 1000 + sent_no), type) AS idx,
+  SELECT 'entities' AS kind, type AS name, row_number() OVER (ORDER BY min(doc_id * 4294967296 + sent_no), type) AS idx,
          false AS "symmetric" FROM gold GROUP BY type
-  UNION ALL SELECT 'relations', type, row_number() OVER (ORDER BY min(doc_id * 1000 + sent_no), type),
+  UNION ALL SELECT 'relations', type, row_number() OVER (ORDER BY min(doc_id * 4294967296 + sent_no), type),
          type = 'associated_with' FROM gold_rel GROUP BY type
   UNION ALL SELECT 'entities', 'None', 0, false UNION ALL SELECT 'relations', 'None', 0, false)""", "gold", "gold_rel"))
 def a13(spark, sf):
     from pyspark.sql import Window
     p = _dir(spark, sf, "a13")
     d = FX.gold_docs(spark, sf)
-    key = F.col("doc_id") * 1000 + F.col("sent_no")
+    key = F.col("doc_id") * 4294967296 + F.col("sent_no")
     ents = S.to_mentions(d, DOC).groupBy("type").agg(F.min(key).alias("first"))
     rels = S.to_relations(d, DOC).groupBy("type").agg(F.min(key).alias("first"))
     w = Window.orderBy("first", "type")   # one row per type: a handful
@@ -316,7 +316,7 @@ def _conll_files(spark, sf, p):
     """Column-corpus files: 8 files; in each, the last document lacks its
     closing blank line (so the reader must drop it)."""
     d = FX.gold_docs(spark, sf)
-    oid = (F.col("doc_id") * 100000 + F.col("sent_no"))
+    oid = (F.col("doc_id") * 4294967296 + F.col("sent_no"))
     single = F.filter("entities", lambda e: e["end"] - e["start"] == 1)
     tok_type = F.transform("tokens", lambda t, i: F.coalesce(F.try_element_at(F.filter(single, lambda e: e["start"] == i), F.lit(1))["type"],
                                                            F.lit("O")))
@@ -341,11 +341,11 @@ def _conll_files(spark, sf, p):
 
 @query("a5_read_conll", with_ctes("""
 SELECT CAST(o AS VARCHAR) AS orig_id, n_tokens, n_entities, n_relations FROM (
-  SELECT s.doc_id * 100000 + s.sent_no AS o,
+  SELECT s.doc_id * 4294967296 + s.sent_no AS o,
          CAST(list_sum(list_transform(s.tokens, lambda t, i: CASE WHEN list_contains(coalesce(e.starts, []), i - 1)
               THEN len(string_split(replace(t, '|', '!'), '/')) ELSE 1 END)) AS INTEGER) AS n_tokens,
          CAST(coalesce(len(e.starts), 0) AS INTEGER) AS n_entities, CAST(coalesce(r.n, 0) AS INTEGER) AS n_relations,
-         max(s.doc_id * 100000 + s.sent_no) OVER (PARTITION BY (s.doc_id * 100000 + s.sent_no) % 8) AS last_o
+         max(s.doc_id * 4294967296 + s.sent_no) OVER (PARTITION BY (s.doc_id * 4294967296 + s.sent_no) % 8) AS last_o
   FROM sents s LEFT JOIN (SELECT doc_id, sent_no, list("start") AS starts FROM gold WHERE "end" - "start" = 1 GROUP BY ALL) e
     USING (doc_id, sent_no)
   LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold_relx WHERE he - hs = 1 AND te - ts_ = 1 GROUP BY ALL) r

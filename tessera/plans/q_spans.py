@@ -62,7 +62,7 @@ def c2(spark, sf):
 
 def sentence_offsets(spark, sf):
     """Token char offsets over the canonical sentence text, computed inside
-    each sentence row (sentences are bounded: <= 64 tokens)."""
+    each sentence row (bounded by FX.SENTENCE_TOKENS)."""
     s = FX.sentences(spark, sf)
     ends = A.prefix_sums(F.transform("tokens", lambda t: F.length(t) + 1))
     s = s.select(*DOC, "tokens", ends.alias("_e"))
@@ -101,13 +101,11 @@ def multi_sentence_docs(spark, sf):
     ner = F.transform("entities", lambda e: F.struct((e["start"] + F.col("_off")).alias("s"),
                                                     (e["end"] - 1 + F.col("_off")).alias("e"), e["type"].alias("type")))
     d = d.withColumn("_ner", ner)
-    rel = F.transform(F.arrays_zip("relations"), lambda z: z)  # placeholder for schema clarity
     rels = F.transform("relations", lambda r: F.struct(
         F.element_at("_ner", r["head"] + 1)["s"].alias("hs"), F.element_at("_ner", r["head"] + 1)["e"].alias("he"),
         F.element_at("_ner", r["tail"] + 1)["s"].alias("ts"), F.element_at("_ner", r["tail"] + 1)["e"].alias("te"),
         r["type"].alias("type")))
     d = d.withColumn("_rels", rels)
-    del rel
     g = d.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("sent_no", "tokens", "_ner", "_rels"))).alias("s"))
     return g.select(F.col("doc_id").cast("string").alias("doc_key"),
                     F.transform("s", lambda x: x["tokens"]).alias("sentences"),
@@ -159,12 +157,12 @@ def c6(spark, sf):
 SELECT doc_id, sent_no, "start", "end", type,
        CAST(row_number() OVER (PARTITION BY doc_id, sent_no ORDER BY first) - 1 AS INTEGER) AS idx
 FROM (SELECT doc_id, sent_no, "start", "end", type, min(o) AS first FROM (
-        SELECT doc_id, sent_no, "start", "end", type, ent_idx AS o FROM gold
-        UNION ALL SELECT doc_id, sent_no, "start", "end", type, 1000 + ent_idx FROM pred) GROUP BY ALL)""",
+        SELECT doc_id, sent_no, "start", "end", type, row(0, ent_idx) AS o FROM gold
+        UNION ALL SELECT doc_id, sent_no, "start", "end", type, row(1, ent_idx) FROM pred) GROUP BY ALL)""",
     "gold", "pred"))
 def c8(spark, sf):
-    g = S.to_mentions(_gold(spark, sf), DOC).withColumn("o", F.col("ent_idx"))
-    p = S.to_mentions(FX.pred_docs(spark, sf), DOC).withColumn("o", F.col("ent_idx") + 1000)
+    g = S.to_mentions(_gold(spark, sf), DOC).withColumn("o", F.struct(F.lit(0).alias("src"), "ent_idx"))
+    p = S.to_mentions(FX.pred_docs(spark, sf), DOC).withColumn("o", F.struct(F.lit(1).alias("src"), "ent_idx"))
     rows = g.unionByName(p)
     return S.collect_annotations(rows, DOC, ["start", "end", "type"], "o")
 
@@ -402,16 +400,17 @@ def c29a(spark, sf):
 
 
 @query("c29_to_docs", with_ctes("""
-SELECT m.doc_id, m.sent_no, m.n_ent, coalesce(r.n_rel, 0) AS n_rel, m.ents, coalesce(r.rels, '') AS rels
-FROM (SELECT doc_id, sent_no, count(*) AS n_ent,
-        string_agg(type || ':' || "start" || ':' || "end", ' ' ORDER BY ent_idx) AS ents FROM gold GROUP BY ALL) m
+SELECT s.doc_id, s.sent_no, coalesce(m.n_ent, 0) AS n_ent, coalesce(r.n_rel, 0) AS n_rel, coalesce(m.ents, '') AS ents,
+       coalesce(r.rels, '') AS rels, array_to_string(s.tokens, ' ') AS text
+FROM sents s LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n_ent,
+        string_agg(type || ':' || "start" || ':' || "end", ' ' ORDER BY ent_idx) AS ents FROM gold GROUP BY ALL) m USING (doc_id, sent_no)
 LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n_rel,
         string_agg(type || ':' || head || ':' || tail, ' ' ORDER BY rel_idx) AS rels FROM gold_rel GROUP BY ALL) r
-USING (doc_id, sent_no)""", "gold", "gold_rel"))
+USING (doc_id, sent_no)""", "sents", "gold", "gold_rel"))
 def c29b(spark, sf):
     d = _gold(spark, sf)
-    docs = S.to_docs(S.to_mentions(d, DOC), S.to_relations(d, DOC), DOC)
-    return docs.select(*DOC, F.size("entities").cast("long").alias("n_ent"), F.size("relations").cast("long").alias("n_rel"),
+    docs = S.to_docs(S.to_mentions(d, DOC), S.to_relations(d, DOC), DOC, FX.sentences(spark, sf))
+    return docs.select(*DOC, F.array_join("tokens", " ").alias("text"), F.size("entities").cast("long").alias("n_ent"), F.size("relations").cast("long").alias("n_rel"),
                        F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["type"], e["start"].cast("string"), e["end"].cast("string"))), " ").alias("ents"),
                        F.array_join(F.transform("relations", lambda r: F.concat_ws(":", r["type"], r["head"].cast("string"), r["tail"].cast("string"))), " ").alias("rels"))
 
