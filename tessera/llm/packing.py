@@ -12,6 +12,7 @@ special tokens in a text become the special ids, as the tokenizer has it.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,8 +31,11 @@ LENGTH, END_ID, GROUP = 2048, 1, 8192
 SEPARATOR, BLANK = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
 #: A special token that parts the chunks of one call; chunks with its first characters go by themselves.
 PART, PART_ID = "<|endoftext|>", 49407
-#: Chunks whose ids a task remembers before it starts anew.
-REMEMBERED = 500_000
+#: Marks at the end of a chunk have ids of their own after a letter or digit of these blocks, but for
+#: U+0130, whose lower case ends in a mark itself.
+MARKS, LATIN_END = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
+#: Chunks whose ids a worker remembers before it starts anew.
+REMEMBERED = 1_000_000
 
 
 def tokenizer_path() -> str:
@@ -40,11 +44,14 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Ids of whole texts, by chunks between white space; the ids of a chunk are remembered."""
+    """Ids of whole texts, by chunks between white space; the ids of a chunk, and those of a chunk
+    without the marks at its end, are remembered."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -52,23 +59,40 @@ class Encoder:
         texts = [t if "\u0130" in t or "\u03a3" in t or "<|" in t else t.lower() for t in texts]
         chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        new = list({c for words in chunks for c in words}.difference(self.known))
+            self.known, self.stems = {}, {}
+        for c in (new := set().union(*chunks).difference(self.known)):
+            stem = c.rstrip(MARKS)
+            if stem and len(stem) < len(c) and stem[-1] < LATIN_END and stem[-1].isalnum() and stem[-1] != "\u0130" and "<|" not in c:
+                self.known[c] = stem, c[len(stem):]
+            else:
+                self.known[c] = (c,)
+        self._encode(list({part for c in new for part in self.known[c]}.difference(self.stems)))
+        for c in new:
+            self.known[c] = b"".join(map(self.stems.__getitem__, self.known[c]))
+        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
+
+    def _encode(self, new: list[str]) -> None:
+        """Remember the ids of ``new`` parts, many in one call."""
         alone = [c for c in new if "<|" in c]
-        for chunk, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        for part, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.stems[part] = np.array(e.ids, dtype="<u4").tobytes()
         together = [c for c in new if "<|" not in c] if alone else new
         for at in range(0, len(together), 64):
-            part = together[at:at + 64]
-            ids = np.array(self.tokenizer.encode_batch_fast([PART.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            parts = together[at:at + 64]
+            ids = np.array(self.tokenizer.encode_batch_fast([PART.join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.append(np.flatnonzero(ids == PART_ID), len(ids)) * 4
             raw, start = ids.tobytes(), 0
-            if len(ends) != len(part):
+            if len(ends) != len(parts):
                 raise ValueError("the tokenizer does not know the special token that parts chunks")
-            for chunk, end in zip(part, ends.tolist(), strict=True):
-                self.known[chunk] = raw[start:end]
+            for part, end in zip(parts, ends.tolist(), strict=True):
+                self.stems[part] = raw[start:end]
                 start = end + 4
-        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
+
+
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker: what one task has learned serves the next."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -76,7 +100,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_I
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
             out = []
             texts, doc_ids = batch["text"].fillna("").tolist(), batch["doc_id"].tolist()
