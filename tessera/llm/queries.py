@@ -99,3 +99,10 @@ def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     from tessera.llm.extraction import extract
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of the raw transcripts of all conversations, roles recovered, rendered canonically."""
+    from tessera.llm.chat import recover
+    return recover(table(spark, sf_dir, "conversations"))
