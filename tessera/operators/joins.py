@@ -28,12 +28,11 @@ def pair_samples(left: DataFrame, right: DataFrame, keys, lpath: str = "left_fil
     return lft.join(rgt, keys, "inner")
 
 
-def zip_by_rank(a: DataFrame, b: DataFrame, a_order: list[Column], a_num: Column,
-                b_order: list[Column], b_num: Column) -> DataFrame:
+def zip_by_rank(a: DataFrame, b: DataFrame, a_order: list[Column], b_order: list[Column]) -> DataFrame:
     """Pair two lists by sorted position (not by key): global rank on each
     side, equi-join on the rank."""
-    ra = global_rank(a, a_order, a_num, rank_col="_rank")
-    rb = global_rank(b, b_order, b_num, rank_col="_rank")
+    ra = global_rank(a, a_order, "_rank")
+    rb = global_rank(b, b_order, "_rank")
     return ra.join(rb, "_rank").withColumnRenamed("_rank", "pos")
 
 

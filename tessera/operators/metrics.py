@@ -192,10 +192,8 @@ def roc_curve(df: DataFrame, y: str = "y_true", score: str = "score") -> DataFra
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     g = g.withColumn("neg_s", -F.col("s"))
     c = global_cumsum(g, "neg_s", ["pos", "neg"])
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    P, N = tot.first()
-    return c.select(F.col("s").alias("threshold"), F.try_divide(F.col("cum_neg"), F.lit(N)).alias("fpr"),
-                    F.try_divide(F.col("cum_pos"), F.lit(P)).alias("tpr"))
+    return c.select(F.col("s").alias("threshold"), F.try_divide("cum_neg", "total_neg").alias("fpr"),
+                    F.try_divide("cum_pos", "total_pos").alias("tpr"))
 
 
 def auc_ovr_hard(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:

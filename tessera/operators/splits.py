@@ -1,11 +1,13 @@
 """Ordering, ranking, splitting, sampling and batching (G1-G9) plus the
 scalable global rank / cumulative sum they rest on.
 
-A window without PARTITION BY runs in one task. Instead, rows are cut into
-``n`` range buckets by approximate quantiles of a numeric order key (a few
-numbers on the driver), each bucket is ranked by its own window, and a tiny
-per-bucket count table turns local ranks into global ones. Deterministic: the
-bucket boundaries are literals once computed.
+A window without PARTITION BY runs in one task. Instead, rows are dealt by
+range of the order (Spark's own sampler sets the bounds, the session the
+number of partitions) and sorted within partitions; a row's position in its
+partition, plus the count of rows in earlier partitions (a table of one row a
+partition, hence the broadcast), is its global rank. The input is read once
+for the bounds and once for the rows; the sorted rows are written to the
+shared folder, so counts and positions come from the same partitioning.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def md5_order(seed: str, key: Column) -> Column:
     """Deterministic pseudo-random order key: md5(seed || key) (DuckDB gives
@@ -20,73 +24,55 @@ def md5_order(seed: str, key: Column) -> Column:
     return F.md5(F.concat(F.lit(seed), key.cast("string")))
 
 
-def md5_prefix_long(h: Column) -> Column:
-    """Order-preserving numeric prefix of a hex digest (first 15 hex digits)."""
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
-
-
-def _bucket(num: Column, bounds: list[float]) -> Column:
-    b = F.lit(0)
-    for x in bounds:
-        b = b + F.when(num > F.lit(x), 1).otherwise(0)
-    return b
-
-
-def _bounds(df: DataFrame, num_col: str, n: int) -> list[float]:
-    if n <= 1:
-        return []
-    qs = [i / n for i in range(1, n)]
-    vals = df.approxQuantile(num_col, qs, 0.001)
-    return sorted(set(v for v in vals if v is not None))
-
-
-def global_rank(df: DataFrame, order: list[Column], num_key: Column, n_buckets: int = 64,
-                rank_col: str = "rank") -> DataFrame:
-    """0-based rank by ``order`` (must be a total order on the rows).
-    ``num_key``: numeric, non-decreasing in ``order`` (its first component)."""
-    d = df.withColumn("_nk", num_key)
-    bounds = _bounds(d, "_nk", n_buckets)
-    d = d.withColumn("_b", _bucket(F.col("_nk"), bounds))
-    w = Window.partitionBy("_b").orderBy(*order)
-    d = d.withColumn("_local", F.row_number().over(w) - 1)
-    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket (n_buckets at most): a bounded, broadcastable table
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(F.broadcast(offs.select("_b", "_off")), "_b")
-    return d.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long")).drop(
-        "_nk", "_b", "_local", "_off")
-
-
-def global_cumsum(df: DataFrame, order_col: str, value_cols: list[str], n_buckets: int = 64,
-                  prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``value_cols`` in ``order_col`` order
-    (numeric and unique, e.g. distinct scores)."""
-    bounds = _bounds(df, order_col, n_buckets)
-    d = df.withColumn("_b", _bucket(F.col(order_col), bounds))
-    w = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    for v in value_cols:
-        d = d.withColumn(f"_l_{v}", F.sum(v).over(w))
-    tot = d.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    wo = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    for v in value_cols:
-        tot = tot.withColumn(f"_o_{v}", F.coalesce(F.sum(f"_t_{v}").over(wo), F.lit(0)))
-    d = d.join(F.broadcast(tot.select("_b", *[f"_o_{v}" for v in value_cols])), "_b")
-    for v in value_cols:
-        d = d.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
-    return d.drop("_b", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
+def _ranged(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` in range partitions of ``order``, with ``_part`` (the partition) and
+    ``_at`` (the position in it, from 0)."""
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The low 33 bits of the id count the rows of a partition.
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return cut_lineage(d.withColumns({"_part": F.spark_partition_id(), "_at": at}), name)
+
+
+def _before(per_part: DataFrame, sums: dict[str, str], totals: dict[str, str]) -> DataFrame:
+    """Per partition (one row each): sums over earlier partitions, and totals."""
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return per_part.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(n) for n, c in sums.items()],
+                           *[F.sum(c).over(every).alias(n) for n, c in totals.items()])
+
+
+def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
+                count_col: str | None = None) -> DataFrame:
+    """0-based rank by ``order`` (a total order on the rows); ``count_col``, if
+    named, holds the number of all rows."""
+    d = _ranged(df, order, "rank")
+    parts = d.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offs = _before(parts, {"_off": "_n"}, {count_col: "_n"} if count_col else {})
+    # one row per partition: a bounded, broadcastable table
+    return d.join(F.broadcast(offs), "_part").withColumn(rank_col, F.col("_off") + F.col("_at")).drop("_part", "_at", "_off")
+
+
+def global_cumsum(df: DataFrame, order_col: str, value_cols: list[str], prefix: str = "cum_",
+                  total_prefix: str = "total_") -> DataFrame:
+    """Inclusive running sums of ``value_cols`` in ``order_col`` order (unique,
+    e.g. distinct scores), and their totals."""
+    d = _ranged(df, [F.col(order_col)], "cumsum")
+    w = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    parts = d.groupBy("_part").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    offs = _before(parts, {f"_o_{v}": f"_t_{v}" for v in value_cols}, {f"{total_prefix}{v}": f"_t_{v}" for v in value_cols})
+    d = d.withColumns({f"_l_{v}": F.sum(v).over(w) for v in value_cols}).join(F.broadcast(offs), "_part")
+    d = d.withColumns({f"{prefix}{v}": F.col(f"_o_{v}") + F.col(f"_l_{v}") for v in value_cols})
+    return d.drop("_part", "_at", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
 
 
 # ---- G1: group split -----------------------------------------------------------------------
 
-def group_split(df: DataFrame, key: str, fracs: list[float], seed: str, names=None,
-                n_buckets: int = 64) -> DataFrame:
+def group_split(df: DataFrame, key: str, fracs: list[float], seed: str, names=None) -> DataFrame:
     """G1: split by groups (subjects): distinct keys ranked by md5(seed||key),
     cut by fraction of *groups*; no group in two splits. Adds ``split``."""
     names = names or ["train", "val", "test"][:len(fracs)]
     g = df.select(key).distinct().withColumn("_h", md5_order(seed, F.col(key)))
-    g = global_rank(g, [F.col("_h"), F.col(key)], md5_prefix_long(F.col("_h")), n_buckets, "_r")
-    g = g.withColumn("n", F.lit(g.count()))   # one number to the driver
+    g = global_rank(g, [F.col("_h"), F.col(key)], "_r", "n")
     cuts, acc = [], 0.0
     for f in fracs[:-1]:
         acc += f
@@ -100,14 +86,12 @@ def group_split(df: DataFrame, key: str, fracs: list[float], seed: str, names=No
     return df.join(g, key)
 
 
-def exact_split(df: DataFrame, id_col: str, sizes_frac: list[float], seed: str, names=None,
-                n_buckets: int = 64) -> DataFrame:
+def exact_split(df: DataFrame, id_col: str, sizes_frac: list[float], seed: str, names=None) -> DataFrame:
     """Random split with sizes int(f1*n), int(f2*n), rest; order by
     md5(seed||id). Adds ``split``."""
     names = names or ["train", "val", "test"][:len(sizes_frac)]
     d = df.withColumn("_h", md5_order(seed, F.col(id_col)))
-    d = global_rank(d, [F.col("_h"), F.col(id_col)], md5_prefix_long(F.col("_h")), n_buckets, "_r")
-    d = d.withColumn("_n", F.lit(df.count()))
+    d = global_rank(d, [F.col("_h"), F.col(id_col)], "_r", "_n")
     split, acc = None, F.lit(0)
     for i, f in enumerate(sizes_frac[:-1]):
         acc = acc + F.floor(F.col("_n") * f)
@@ -117,31 +101,32 @@ def exact_split(df: DataFrame, id_col: str, sizes_frac: list[float], seed: str,
     return d.withColumn("split", split).drop("_h", "_r", "_n")
 
 
-def shuffle(df: DataFrame, id_col: str, seed: str) -> DataFrame:
-    """Deterministic shuffle order: orderBy(md5(seed||id)) (a range
-    partitioned global sort, not a single task)."""
-    return df.orderBy(md5_order(seed, F.col(id_col)), F.col(id_col))
+def shuffle(df: DataFrame, id_col: str, seed: str, pos_col: str = "pos") -> DataFrame:
+    """Deterministic shuffle: ``pos_col`` is the place of each row in the
+    order of md5(seed||id)."""
+    d = df.withColumn("_h", md5_order(seed, F.col(id_col)))
+    return global_rank(d, [F.col("_h"), F.col(id_col)], pos_col).drop("_h")
 
 
-def to_batches(df: DataFrame, order: list[Column], num_key: Column, size: int,
-               drop_last: bool = False, n_buckets: int = 64) -> DataFrame:
+def to_batches(df: DataFrame, order: list[Column], size: int, drop_last: bool = False) -> DataFrame:
     """batch = floor(rank / size); optionally drop the last partial batch."""
-    d = global_rank(df, order, num_key, n_buckets, "_r")
+    d = global_rank(df, order, "_r", "_n")
     d = d.withColumn("batch", F.floor(F.col("_r") / size).cast("long")).withColumn(
         "pos_in_batch", (F.col("_r") % size).cast("int"))
     if drop_last:
-        d = d.filter(F.col("batch") < F.lit(df.count() // size))
-    return d.drop("_r")
+        d = d.filter(F.col("batch") < F.floor(F.col("_n") / size))
+    return d.drop("_r", "_n")
 
 
-def linspace_subset(df: DataFrame, order: list[Column], num_key: Column, k: int,
-                    n_buckets: int = 64) -> DataFrame:
+def linspace_subset(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """Rows at positions trunc(linspace(0, n-1, k)) (duplicates collapse)."""
-    d = global_rank(df, order, num_key, n_buckets, "_r")
-    n = df.count()
-    # k positions: trunc(linspace(0, n-1, k)), bounded by k
-    pos = sorted({int(i * (n - 1) / max(k - 1, 1)) for i in range(k)}) if n else []
-    return d.filter(F.col("_r").isin(pos)).drop("_r")
+    d = global_rank(df, order, "_r", "_n")
+    # Position i of k is trunc(i (n-1) / (k-1)); only the i next to r (k-1) / (n-1) can give rank r.
+    i = F.floor(F.col("_r") * F.lit(max(k - 1, 1)) / F.greatest(F.col("_n") - 1, F.lit(1)))
+    hit = F.lit(False)
+    for j in (i - 1, i, i + 1):
+        hit = hit | (j.between(0, k - 1) & (F.floor(j * (F.col("_n") - 1) / F.lit(max(k - 1, 1))) == F.col("_r")))
+    return d.filter(hit).drop("_r", "_n")
 
 
 def take_first(df: DataFrame, order: list[Column], num: int) -> DataFrame:

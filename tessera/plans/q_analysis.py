@@ -88,7 +88,7 @@ FROM ({MISMATCH_SQL}) WHERE rel_mismatch AND NOT ent_mismatch""", *MISMATCH_CTES
 def f8(spark, sf):
     from tessera.operators.splits import global_rank
     m = mismatch(spark, sf).filter(F.col("rel_mismatch") & ~F.col("ent_mismatch")).select(*DOC)
-    return global_rank(m, [F.col("doc_id"), F.col("sent_no")], F.col("doc_id"), rank_col="case_rank")
+    return global_rank(m, [F.col("doc_id"), F.col("sent_no")], "case_rank")
 
 
 @query("f9_has_overlap", with_ctes("""

@@ -50,14 +50,6 @@ def d1(spark, sf):
     return J.pair_samples(left, right, ["ptid", "date", "tag"])
 
 
-def _ascii_prefix_key(c, n=7):
-    """Order-preserving numeric key of the first n ASCII characters."""
-    k = F.lit(0).cast("long")
-    for i in range(n):
-        k = k * 128 + F.coalesce(F.ascii(F.substring(c, i + 1, 1)) % 128, F.lit(0))
-    return k
-
-
 @query("d2_zip_by_rank", with_ctes("""
 SELECT CAST(a.pos AS BIGINT) AS pos, a.path AS left_path, b.path AS right_path
 FROM (SELECT path, row_number() OVER (ORDER BY path) - 1 AS pos FROM (SELECT DISTINCT path FROM scan_left)) a
@@ -66,8 +58,7 @@ USING (pos)""", "scan_left", "scan_right"))
 def d2(spark, sf):
     a = FX.scan_names(spark, sf, "view").select(F.col("path").alias("left_path")).distinct()
     b = FX.scan_names(spark, sf, "click").select(F.col("path").alias("right_path")).distinct()
-    z = J.zip_by_rank(a, b, [F.col("left_path")], _ascii_prefix_key(F.col("left_path")),
-                      [F.col("right_path")], _ascii_prefix_key(F.col("right_path")))
+    z = J.zip_by_rank(a, b, [F.col("left_path")], [F.col("right_path")])
     return z.select("pos", "left_path", "right_path")
 
 

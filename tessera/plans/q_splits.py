@@ -56,9 +56,7 @@ def g3(spark, sf):
 SELECT doc_id, row_number() OVER (ORDER BY md5('g4' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS pos FROM documents""")
 def g4(spark, sf):
     d = table(spark, sf, "documents").select("doc_id")
-    h = G.md5_order("g4", F.col("doc_id"))
-    return G.global_rank(d.withColumn("_h", h), [F.col("_h"), F.col("doc_id")], G.md5_prefix_long(F.col("_h")),
-                         rank_col="pos").select("doc_id", "pos")
+    return G.shuffle(d, "doc_id", "g4")
 
 
 @query("g5_batches", with_ctes("""
@@ -67,7 +65,7 @@ SELECT doc_id, sent_no, CAST(r // 32 AS BIGINT) AS batch, CAST(r % 32 AS INTEGER
 WHERE r // 32 < n // 32""", "sents"))
 def g5(spark, sf):
     s = FX.sentences(spark, sf).select("doc_id", "sent_no")
-    return G.to_batches(s, [F.col("doc_id"), F.col("sent_no")], F.col("doc_id"), 32, drop_last=True)
+    return G.to_batches(s, [F.col("doc_id"), F.col("sent_no")], 32, drop_last=True)
 
 
 @query("g6_linspace_subset", """
@@ -76,7 +74,7 @@ WHERE r IN (SELECT DISTINCT CAST(trunc(i * (n - 1) / 49) AS BIGINT) FROM
             (SELECT unnest(generate_series(0, 49)) AS i), (SELECT count(*) AS n FROM documents))""")
 def g6(spark, sf):
     d = table(spark, sf, "documents").select("doc_id")
-    return G.linspace_subset(d, [F.col("doc_id")], F.col("doc_id"), 50)
+    return G.linspace_subset(d, [F.col("doc_id")], 50)
 
 
 @query("g7_take_first", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100")
@@ -99,5 +97,5 @@ def g8(spark, sf):
 SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS pos FROM orders""")
 def g9(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    r = G.global_rank(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], -F.col("o_totalprice"), rank_col="pos")
+    r = G.global_rank(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], "pos")
     return r.select("o_orderkey", "pos")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,10 +63,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``df`` written as parquet to a new folder below the shared one and read
+    back: survives executor loss, and whatever depends on the partitioning of
+    this one job (range samples, positions in a partition) is fixed by it."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ def test_tp_fn_is_support(spark):
 def test_global_rank_is_permutation(spark):
     from tessera.operators.splits import global_rank
     df = spark.range(5000).withColumn("k", (F.col("id") * 7919) % 5003)
-    r = global_rank(df, [F.col("k"), F.col("id")], F.col("k"), n_buckets=16)
+    r = global_rank(df, [F.col("k"), F.col("id")])
     got = [x[0] for x in r.orderBy("k", "id").select("rank").collect()]
     assert got == list(range(5000))
 
