@@ -11,8 +11,9 @@ Buckets are not expanded into pairs. First every member is paired with one membe
 one in each bucket); of its partners the closest, the smallest and the largest are confirmed on full
 sets, and components are taken.
 Then whatever pairs of *different* components still share a bucket are compared: bucket members in
-blocks, by signature, inside tasks; each pair within ``FAR`` differing values (5 sigma beyond the
-expected number at 0.75) comes from the first bucket that it shares, and is confirmed on full sets too. Links inside a component cannot change it.
+blocks, inside tasks, by signature and then by a finer sketch (the least hash of each of ``BINS`` ranges); each pair
+within ``FAR`` differing values and with enough alike bins (both 5 sigma beyond the expected number at 0.75) comes from
+the first bucket that it shares, and is confirmed on full sets too. Links inside a component cannot change it.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; repeated rows and
 equal texts are one class; in a component whose doc_ids are all null, component_id is null and one row
@@ -38,6 +39,8 @@ WORDS, PERCENT = 5, 75
 #: Chunks of a signature, values of a chunk, differing values beyond which a pair is not confirmed.
 CHUNKS, CHUNK = 12, 5
 VALUES, FAR = CHUNKS * CHUNK, 32
+#: Ranges of hashes in a sketch, and sigmas short of the expected number of alike ones at which a pair is not confirmed.
+BINS, SIGMAS = 512, 5
 #: Bucket members compared at a time, and rows in a task that compares them.
 BLOCK, TASK_ROWS = 2048, 20_000
 
@@ -87,6 +90,26 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (_mixed(least) >> np.uint64(48)).astype("<u2")
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Of each range of hashes the least of the sorted set, as a byte; 0 where the set has none."""
+    own = (hashes >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64)
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    out = np.zeros(BINS, dtype=np.uint8)
+    out[own[first]] = (_mixed(hashes[first]) >> np.uint64(40)) % np.uint64(255) + np.uint64(1)
+    return out
+
+
+def may_link(x: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which ``others`` (sketches of sets of ``sizes``) may be similar enough to the set of sketch ``x`` and size
+    ``n``. Each range that either has shows an even draw from the union, without replacement: the more of the union it
+    shows, the smaller the error."""
+    p = PERCENT / 100
+    alike = ((others == x) & (x > 0)).sum(axis=1)
+    shown = ((others > 0) | (x > 0)).sum(axis=1)
+    unseen = np.maximum(1 - shown * (1 + p) / (sizes + n), 0.1)
+    return alike >= p * shown - 1 - SIGMAS * np.sqrt(p * (1 - p) * shown * unseen)
+
+
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     """(n, VALUES) -> (n, VALUES) bucket keys: of each chunk, without each of its values in turn."""
     place = (np.arange(VALUES, dtype=np.uint64) + np.uint64(1)) * _C
@@ -163,9 +186,22 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
-def _crossing(members: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and differ in at most FAR values. The members
-    of a bucket are dealt to blocks and each two blocks of a bucket are compared in a task."""
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(node, n, sketch) of ``texts`` (node, text)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for batch in batches:
+            sets = (shingles(t, known) for t in batch["text"])
+            rows = [(len(s), sketch(s).tobytes()) for s in sets]
+            yield pd.DataFrame(rows, columns=["n", "sketch"]).assign(node=batch["node"].to_numpy())[["node", "n", "sketch"]]
+
+    return texts.select("node", "text").mapInPandas(run, "node long, n long, sketch binary")
+
+
+def _crossing(members: DataFrame, classes: DataFrame, texts: DataFrame, component: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket, differ in at most FAR values and whose sketches are
+    alike enough. The members of a bucket are dealt to blocks and each two blocks of a bucket are compared in a task."""
     spark = members.sparkSession
     known = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi and n > 2")
@@ -173,7 +209,9 @@ def _crossing(members: DataFrame, classes: DataFrame, component: DataFrame) -> D
     blocks = f"cast((n + {BLOCK - 1}) div {BLOCK} as int)"
     rows = rows.withColumn("block", F.expr(f"cast(pmod(xxhash64(node), {blocks}) as int)")).withColumn("other", F.explode(F.expr(f"sequence(0, {blocks} - 1)")))
     rows = rows.select("key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = rows.join(classes.select("node", "signature"), "node")
+    wanted = classes.select("node", "signature").join(rows.select("node").distinct(), "node")
+    wanted = wanted.join(_sketches(texts.join(rows.select("node").distinct(), "node", "left_semi")), "node")
+    rows = rows.join(materialize(wanted, "near-sketches"), "node")
     tasks = rows_per_split(spark, rows.count(), TASK_ROWS)
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
@@ -181,13 +219,15 @@ def _crossing(members: DataFrame, classes: DataFrame, component: DataFrame) -> D
         found = []
         for (key, i, j), part in pdf.groupby(["key", "i", "j"], sort=False):
             s = np.frombuffer(b"".join(part["signature"]), "<u2").reshape(-1, VALUES)
-            node, comp, block = (part[c].to_numpy() for c in ("node", "component", "block"))
+            k = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(-1, BINS)
+            node, comp, block, n = (part[c].to_numpy() for c in ("node", "component", "block", "n"))
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             keys = chunk_keys(s)
             place = int((keys[0] == key).argmax())
             for x in left:
                 y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
                 y = y[(s[y] != s[x]).sum(axis=1) <= FAR]
+                y = y[may_link(k[x], n[x], k[y], n[y])]
                 y = y[(keys[y] == keys[x]).argmax(axis=1) == place]
                 found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
         out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -222,7 +262,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(_confirmed(tried, texts), "near-links")
     component = materialize(components(links), "near-components")
 
-    crossing = _crossing(members.select("key", "node"), classes, component)
+    crossing = _crossing(members.select("key", "node"), classes, texts, component)
     of = component.withColumnRenamed("node", "a").withColumnRenamed("component", "ca")
     to = component.withColumnRenamed("node", "b").withColumnRenamed("component", "cb")
     stars_left = near.select("a", "b").join(of, "a", "left").join(to, "b", "left").filter("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")

@@ -117,3 +117,17 @@ def test_sharding(odd, empty):
     assert shard(empty).count() == 0
     sums = np.bincount(difference(np.arange(1, 2001), 16), weights=np.arange(1, 2001))
     assert sums.max() - sums.min() <= 1e-3 * sums.mean()
+
+
+def test_sketches_keep_every_pair_that_links():
+    from tessera.llm.near_dedup import PERCENT, may_link, sketch
+    rng = np.random.default_rng(9)
+    for size in (1, 4, 5, 17, 90, 400, 1500, 6000):
+        for _ in range(60):
+            union = rng.integers(0, 1 << 63, size=size, dtype=np.uint64) * np.uint64(2)
+            common = -(-PERCENT * size // 100)
+            cut = common + rng.integers(0, size - common + 1)
+            a, b = np.sort(union[:cut]), np.sort(np.concatenate([union[:common], union[cut:]]))
+            assert may_link(sketch(a), len(a), sketch(b)[None], np.array([len(b)])).all()
+    a, b = (np.sort(rng.integers(0, 1 << 63, size=300, dtype=np.uint64)) for _ in range(2))
+    assert not may_link(sketch(a), 300, sketch(b)[None], np.array([300])).any()
