@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -43,6 +44,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def lower_case(text: str) -> str:
+    """``text`` as the tokenizer takes it, composed (NFC) and then in lower case, which saves chunks; or as
+    it is, where the tokenizer's own composing would go on in the lower case (J with a caron has no composed
+    form, j with one has), or its rules may differ (U+0130, U+03A3, special tokens)."""
+    if "<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    composed = unicodedata.normalize("NFC", text)
+    if "\u0130" in composed or "\u03a3" in composed:
+        return text
+    lower = composed.lower()
+    return lower if unicodedata.is_normalized("NFC", lower) else text
+
+
 class Encoder:
     """Ids of whole texts, by chunks between white space; the ids of a chunk, and those of a chunk
     without the marks at its end, are remembered."""
@@ -55,8 +71,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        # The tokenizer takes lower case; beforehand it saves chunks. Its rules for these two letters may differ.
-        texts = [t if "\u0130" in t or "\u03a3" in t or "<|" in t else t.lower() for t in texts]
+        texts = list(map(lower_case, texts))
         chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.stems = {}, {}

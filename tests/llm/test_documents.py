@@ -131,3 +131,20 @@ def test_sketches_keep_every_pair_that_links():
             assert may_link(sketch(a), len(a), sketch(b)[None], np.array([len(b)])).all()
     a, b = (np.sort(rng.integers(0, 1 << 63, size=300, dtype=np.uint64)) for _ in range(2))
     assert not may_link(sketch(a), 300, sketch(b)[None], np.array([300])).any()
+
+
+def test_ids_of_letters_with_marks_are_the_tokenizers():
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    from tessera.llm.packing import Encoder, tokenizer_path
+    letters = [chr(c) for c in (*range(0x41, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)) if chr(c).isalpha()]
+    letters += sorted({unicodedata.normalize("NFD", c) for c in letters if c != unicodedata.normalize("NFD", c)})
+    marks = [chr(c) for c in range(0x300, 0x346)]
+    # Words of a letter and a mark, alone and within a word, a letter to a text.
+    texts = [" ".join(f"{a}{m} x{a}{m}y." for m in marks) for a in letters]
+    t = Tokenizer.from_file(tokenizer_path())
+    want = [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in Encoder(tokenizer_path())(texts)]
+    assert [x for x, a, b in zip(texts, got, want, strict=True) if a != b] == []
