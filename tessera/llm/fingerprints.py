@@ -1,6 +1,7 @@
 """Operator 4 - document fingerprints by invertible Bloom lookup sketches (DataFrame operations only).
 
-A text is a set of paragraph digests: 64-bit hashes of its sentences and lines. A sketch has three
+A text is a set of paragraph digests: 64-bit hashes of its sentences and lines; long ones are parted where
+the hash of a word (or of a letter, in scripts without blanks) says so, so that a change stays local. A sketch has three
 tables of cells; a digest goes to one cell of each, where counts add up and digests and their check
 hashes are xor-ed. The sketches of two versions are subtracted cell by cell, so what they share
 vanishes, and peeling recovers the differing digests: a cell that holds exactly one digest gives it up,
@@ -29,15 +30,27 @@ from tessera.llm.common import columns, empty_text, materialize
 PRINT_CELLS, LEAST_CELLS, LOAD, PASSES = 8, 32, 0.75, 5
 #: Bytes of text in one range of ids, the least number of ranges, and the quantiles that place them.
 RANGE_BYTES, LEAST_RANGES, QUANTILES = 2 << 20, 64, 64
-PARAGRAPHS = r"\n+|(?<=[.!?])[ \t]+"
+PARAGRAPHS = r"\n+|(?<=[.!?])[ \t]+|(?<=[。．｡！？])(?![。．｡！？])[ \t\u3000]*"
+#: Paragraphs of more characters than LONG are parted: after one in EVERY words, and at MOST characters. Words end
+#: before what follows blanks and marks; in scripts that are written without blanks each letter is one.
+LONG, EVERY, MOST = 256, 12, 128
+_MARKS = r"\s,;:/|&=(){}\[\]<>、，；："
+WORD_ENDS = rf"(?<=[{_MARKS}])(?=[^{_MARKS}])|(?<=[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\p{{IsThai}}\p{{IsLao}}\p{{IsKhmer}}\p{{IsMyanmar}}])"
 
 
 def paragraph_digests(text: Column) -> Column:
-    """The distinct digests of a text's sentences and lines."""
-    parts = F.filter(F.split(text, PARAGRAPHS), lambda p: F.trim(p) != "")
+    """The distinct digests of a text's sentences and lines, and of the parts of long ones."""
+    parts = F.flatten(F.transform(F.split(text, PARAGRAPHS), lambda p: F.when(F.length(p) > LONG, _parts(p)).otherwise(F.array(p))))
+    parts = F.filter(parts, lambda p: F.trim(p) != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
+def _parts(paragraph: Column) -> Column:
+    """A paragraph, which has no line end, cut at places that its own words fix."""
+    ended = F.transform(F.split(paragraph, WORD_ENDS), lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(EVERY)) == 0, F.concat(w, F.lit("\n"))).otherwise(w))
+    return F.regexp_extract_all(F.array_join(ended, ""), F.lit(rf"[^\n]{{1,{MOST}}}"), F.lit(0))
+
+
 def _cell(digest: str, table: int, attempt: int) -> str:
     return f"cast(pmod(xxhash64({digest}, {3 * attempt + table}), cells) as int)"
 

@@ -67,6 +67,28 @@ def test_fingerprints(odd, empty):
     assert fingerprints(empty).count() == 0
 
 
+def test_texts_without_sentence_ends_have_many_digests(spark):
+    from tessera.llm.fingerprints import fingerprints
+    rng = np.random.default_rng(4)
+
+    def letters(first, many, n):
+        return "".join(chr(first + int(i)) for i in rng.integers(0, many, n))
+
+    words = " ".join(letters(97, 26, 6) for _ in range(500))
+    code = ";".join(f"{letters(97, 26, 5)}({letters(97, 26, 3)}={i})" for i in range(300))
+    stops = "".join(letters(0x4E00, 2000, 20) + "。" for _ in range(60))
+    texts = [words, code, stops, letters(0x4E00, 2000, 2000), letters(0x3041, 80, 2000), "same " * 1000, letters(97, 26, 4000)]
+    got = fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts)
+    # What is repeated counts once, so the text of one word has few digests; they are still found.
+    assert {r["doc_id"]: r["near_edited"] for r in got if r["near_edited"] < (0.01 if r["doc_id"] == 5 else 0.3)} == {}
+    # 6 of 7 next texts are unrelated, as is the last's first.
+    assert max(r["near_next"] for r in got) < 0.1
+    # A change at the front leaves the rest alike.
+    moved = fingerprints(spark.createDataFrame([(1, "new start of " + words), (0, words)], "doc_id long, text string")).collect()
+    assert min(r["near_next"] for r in moved) > 0.8
+
+
 def test_small_sketches_peel_after_retries(spark):
     from tessera.llm.fingerprints import compare
     a, b = [int(x) for x in range(1, 400)], [int(x) for x in range(200, 700)]
