@@ -2,7 +2,8 @@
 
 Inline elements belong to the block they are in. Open paragraphs, list items and table cells close
 where the next one starts; end tags without a start are ignored; what is open at the end closes.
-Scripts, styles, the head, controls and markup have no text.
+Scripts, styles, the head and other raw elements have no text. Controls, media and their like are nodes of
+the block they are in; those without an end tag close where an element starts that they cannot hold.
 """
 
 from __future__ import annotations
@@ -13,8 +14,15 @@ import re
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr output progress q rb rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var".split())
-SILENT = frozenset("script style noscript template iframe object textarea title select button svg math canvas audio video datalist noembed noframes xmp".split())
+                   "samp small span strike strong sub sup time tt u var math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom "
+                   "msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd mlabeledtr semantics".split())
+#: Raw elements: what is up to their end tag is not markup, and has no text.
+SILENT = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Nodes that may stand within a run of text and don't close paragraphs; those that are never shown.
+PHRASING = frozenset("button select option optgroup datalist svg canvas audio video object noscript template annotation annotation-xml".split())
+UNSEEN = frozenset("template datalist annotation annotation-xml".split())
+_SECTIONS = frozenset("article aside footer form h1 h2 h3 h4 h5 h6 header main nav section".split())
+_BLOCKS = _SECTIONS | frozenset("address blockquote center dd details dl dt fieldset figure hr li menu ol p pre table ul".split())
 CLOSES = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 
@@ -48,6 +56,18 @@ def _describe(node: Node, attributes: str) -> None:
             node.mark = value == "1"
 
 
+_HOLDS_P = ("td", "th", "li", "blockquote", "div", "article", "section", "main", "body", "button", "object", "noscript", "template", "svg", "canvas", "audio", "video")
+
+
+def _over(tag: str) -> str:
+    """The elements that cannot hold a ``tag``: what is open of them ends where it starts."""
+    if tag in _SECTIONS:
+        return "select datalist svg button audio video canvas"
+    if tag in _BLOCKS:
+        return "select datalist svg button"
+    return "select datalist svg" if tag == "div" else "button" if tag == "button" else "select" if tag == "select" else ""
+
+
 def parse(page: str | None) -> Node:
     """The root of the page's tree."""
     page = page or ""
@@ -120,8 +140,14 @@ def parse(page: str | None) -> Node:
             if (node := open_up(tag, ())) is not None:
                 close(node)
         else:
-            head = False
-            if (p := open_up("p", ("td", "th", "li", "blockquote", "div", "article", "section", "main", "body"))) is not None:
+            head = head and tag in PHRASING
+            drawn = tag == "svg" or open_up("svg", ("foreignobject",)) is not None
+            if (attributes or "").endswith("/") and (drawn or tag in PHRASING):
+                continue
+            if (over := _over(tag)) and (node := open_up(over, ("template", "foreignobject"))) is not None:
+                close(node)
+                drawn = False
+            if tag not in PHRASING and not drawn and (p := open_up("p", _HOLDS_P)) is not None:
                 close(p)
             if tag in CLOSES and (node := open_up(*CLOSES[tag])) is not None:
                 close(node)
@@ -129,6 +155,7 @@ def parse(page: str | None) -> Node:
             node = Node(tag, here)
             here.children.append(node)
             _describe(node, attributes)
+            node.hidden = node.hidden or tag in UNSEEN
             here, link = node, False
     if at < len(page):
         rest = page[at:]

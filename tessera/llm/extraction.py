@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.boosting import Trees, fit
 from tessera.llm.common import columns
-from tessera.llm.dom import Node, nodes_of, parse
+from tessera.llm.dom import PHRASING, Node, nodes_of, parse
 
 #: Pages generated for the fit (its bound), and the shape of the model.
 TRAINING_PAGES, TREES, DEPTH = 400, 60, 5
@@ -41,12 +41,16 @@ SAYS = {
     "comments": "comment commentlist comments commenter discuss discussion disqus feedback livefyre replies reply respond response responses thread",
     "form": "contact form login register search searchbox signin signup",
     "social": "author bio byline date facebook follow like meta rating share sharing social tag tags twitter vote",
+    # Said by elements only.
+    "control": "", "media": "", "fallback": "",
 }
 _SAID = {w: k for k, (_, words) in enumerate(SAYS.items()) for w in words.split()}
 _KINDS = [("p",), ("h1", "h2", "h3", "h4", "h5", "h6"), ("li", "dt", "dd"), ("ul", "ol", "dl", "menu"), ("div",), ("section",), ("article", "main"), ("nav",), ("header",),
-          ("footer",), ("aside",), ("form", "fieldset", "legend"), ("table", "tbody", "tr", "td", "th"), ("blockquote", "pre", "figure", "figcaption", "address"), ("#text",), ("html",)]
+          ("footer",), ("aside",), ("form", "fieldset", "legend"), ("table", "tbody", "tr", "td", "th"), ("blockquote", "pre", "figure", "figcaption", "address"), ("#text",), ("html",),
+          ("button", "select", "option", "optgroup", "datalist"), ("svg", "canvas", "audio", "video", "template", "annotation", "annotation-xml"), ("noscript", "object")]
 _KIND = {tag: k for k, tags in enumerate(_KINDS) for tag in tags}
 _TAG_SAYS = {"nav": 1, "header": 2, "footer": 3, "aside": 4, "form": 8, "article": 0, "main": 0}
+_TAG_SAYS |= {tag: at for at, tags in enumerate(_KINDS[-3:], len(SAYS) - 3) for tag in tags}
 _NUMBERS = re.compile(r"[\d©®™]")
 _GROUPS, _FIRST = len(SAYS), len(_KINDS)
 WIDTH = _FIRST + 2 * _GROUPS + 24
@@ -150,10 +154,26 @@ def main_texts(pages: list[str | None], model: Trees) -> list[str]:
     for nodes, _ in described:
         keep = decode(nodes, margins[at:at + len(nodes)])
         at += len(nodes)
-        out.append("\n".join(x.text for x, k in zip(nodes, keep, strict=True) if k and x.text))
+        out.append(_joined([x for x, k in zip(nodes, keep, strict=True) if k and x.text]))
     return out
 
 
+def _joined(leaves: list[Node]) -> str:
+    """The texts, a line each; one that only controls or media part from the one before goes on its line."""
+    parts, last = [], None
+    for x in leaves:
+        if last is not None:
+            apart = True
+            if last.parent is x.parent:
+                among = x.parent.children
+                at = next(i for i, y in enumerate(among) if y is last) + 1
+                apart = next(y for y in among[at:] if y.tag not in PHRASING) is not x
+            parts.append("\n" if apart else " ")
+        parts.append(x.text)
+        last = x
+    return "".join(parts)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     model = trained()
@@ -253,6 +273,23 @@ def _other(rng: random.Random, kind: str) -> str:
     return f'{start} data-mark="0">{inner}{end}'
 
 
+def _control(rng: random.Random) -> str:
+    """A control, a picture or another part that is not main text."""
+    few, some = _words(rng, 1, 4), _words(rng, 3, 16)
+    options = "".join(f"<option>{_words(rng, 1, 3)}{rng.choice(['', '</option>'])}" for _ in range(rng.randint(1, 6)))
+    return rng.choice([f'<button data-mark="0">{few}</button>', f'<select data-mark="0">{options}</select>', f'<datalist data-mark="0">{options}</datalist>',
+                       f'<svg data-mark="0" viewBox="0 0 9 9"><g><path d="M0 0"/><text>{few}</text></g></svg>', f'<template data-mark="0"><div><p>{some}</p></div></template>',
+                       f'<video data-mark="0" src="v"><p>{some}</p></video>', f'<audio data-mark="0">{some}</audio>', f'<canvas data-mark="0">{few}</canvas>',
+                       f'<object data-mark="0"><p>{few}</p></object>', f'<noscript data-mark="0">{rng.choice([few, some])}</noscript>'])
+
+
+def _open_up(rng: random.Random, blocks: str) -> str:
+    """Main text within, or after the start of, an element that may hold it."""
+    tag = rng.choice(["noscript", "object", "video", "button", "svg", "select"])
+    end = f"</{tag}>" if tag in ("noscript", "object") and rng.random() < 0.7 else ""
+    return f"<{tag}>{blocks}{end}"
+
+
 def _article(rng: random.Random) -> str:
     blocks = [rng.choice(["", f"<h1>{_words(rng, 1, 12)}</h1>", f"<h1>{_words(rng, 1, 12)}</h1>", f"<header><h1>{_words(rng, 1, 12)}</h1></header>", f"<h2>{_words(rng, 1, 9)}</h2>"])]
     for _ in range(rng.choice([0, 1, 2, 4, 8, 14])):
@@ -263,6 +300,10 @@ def _article(rng: random.Random) -> str:
                                   lambda: f"<figure><figcaption>{_words(rng, 2, 12)}</figcaption></figure>"])())
         if rng.random() < 0.12:
             blocks.append(_other(rng, rng.choice(["advert", "aside", "social", "form", "notice"])))
+        if rng.random() < 0.1:
+            blocks.append(rng.choice([_control(rng), f"<p>{_words(rng, 1, 20)} {_control(rng)} {_words(rng, 1, 20)}</p>"]))
+        if rng.random() < 0.03:
+            blocks.append(_open_up(rng, _prose(rng, 4)))
     if not any(blocks):
         blocks = [f"<p>{_words(rng, 1, 40)}</p>"]
     inner = "".join(blocks) + (_other(rng, rng.choice(["comments", "social", "aside"])) if rng.random() < 0.15 else "")
@@ -277,8 +318,10 @@ def generated_page(rng: random.Random) -> str:
     """A page of random structure around one article."""
     kinds = ["navigation", "header", "advert", "notice", "aside", "social", "form"]
     top = [_other(rng, k) for k in rng.sample(kinds, rng.randint(0, 4))]
-    low = [_other(rng, k) for k in rng.sample(["comments", "aside", "advert", "form", "social", "notice", "navigation"], rng.randint(0, 3))] + [_other(rng, "footer")] * (rng.random() < 0.85)
+    low = [_other(rng, k) for k in rng.sample(["comments", "aside", "advert", "form", "social", "notice", "navigation"], rng.randint(0, 3))] + [_control(rng) for _ in range(rng.choice([0, 0, 1]))] + [_other(rng, "footer")] * (rng.random() < 0.85)
     middle = _article(rng)
+    if rng.random() < 0.1:
+        top.append(_control(rng))
     if rng.random() < 0.3:
         near = [_other(rng, rng.choice(["aside", "advert", "navigation"]))]
         start, end = _named(rng, [], ["div"])

@@ -22,6 +22,29 @@ def test_extraction(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def test_controls_and_media_neither_hide_nor_swallow_text():
+    from tessera.llm.dom import nodes_of, parse
+    from tessera.llm.extraction import main_texts, trained
+
+    def texts(page):
+        return [x.text for x in nodes_of(parse(page)) if x.text]
+
+    assert texts("<p>Let <math><mi>x</mi> <mo>=</mo> <mn>1</mn></math> be.</p>") == ["Let x = 1 be."]
+    assert texts("<noscript><p>a</p></noscript><object><object>b</object>c</object><svg><text>d</text><path d='1'/></svg>e") == list("abcde")
+    for tag in ("button", "select", "svg", "datalist", "canvas", "audio", "video"):
+        page = f"<div><{tag}>x<section><h2>Head</h2><p>Text</p></section></div>"
+        leaf = next(x for x in nodes_of(parse(page)) if x.text == "Text")
+        assert (leaf.parent.tag, leaf.parent.parent.tag, leaf.parent.parent.parent.tag) == ("p", "section", "div"), tag
+    more = "It goes on with words of the story, and then with more of them, so that it is long enough. " * 3
+    plain = PAGE.replace("<div class=\"ad\">", f"<p>{more}</p><div class=\"ad\">")
+    want = main_texts([plain], trained())
+    assert more.strip() in want[0]
+    for icon in ("<svg><path d='M1'/></svg>", "<button>Share</button>"):
+        assert main_texts([plain.replace("with words of the story", f"with words {icon} of the story", 1)], trained()) == want, icon
+    for start in ("<button>", "<select>", "<svg>", "<video>", "<noscript>", "<object>"):
+        assert more.strip() in main_texts([plain.replace(f"<p>{more}", f"{start}<p>{more}")], trained())[0], start
+
+
 def test_neighbours(spark):
     from tessera.llm.neighbours import search
     rng = np.random.default_rng(3)
