@@ -123,7 +123,7 @@ def features(root: Node) -> tuple[list[Node], np.ndarray]:
             near[1:, 3], near[:-1, 4] = np.log1p(t[:-1]), np.log1p(t[1:])
             near[1:, 5], near[:-1, 6] = r[:-1], r[1:]
             out[own_at, c + 14:c + 21] = near
-    out[:, c + 22] = [len(_NUMBERS.findall(y.text, 0, 200)) if y.text else 0 for y in nodes]
+    out[:, c + 22] = [len(_NUMBERS.findall(y.text)) / len(y.text) if y.text else 0 for y in nodes]
     out[:, c + 23] = np.log1p(linked)
     return nodes, out
 

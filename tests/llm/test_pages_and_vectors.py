@@ -45,6 +45,13 @@ def test_controls_and_media_neither_hide_nor_swallow_text():
         assert more.strip() in main_texts([plain.replace(f"<p>{more}", f"{start}<p>{more}")], trained())[0], start
 
 
+def test_numbers_are_a_share_of_the_whole_leaf():
+    from tessera.llm.dom import parse
+    from tessera.llm.extraction import features
+    shares = [features(parse(f"<p>{t}</p>"))[1][-1, -2] for t in ("a" * 300 + "1" * 100, "a" * 400)]
+    assert shares == [0.25, 0]
+
+
 def test_neighbours(spark):
     from tessera.llm.neighbours import search
     rng = np.random.default_rng(3)
