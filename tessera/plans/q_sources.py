@@ -45,7 +45,7 @@ def _counts(df):
 @query("a1_read_docs", with_ctes(_M1_SQL, "sents", "gold", "gold_rel"))
 def a1(spark, sf):
     p = _dir(spark, sf, "a1")
-    WR.write_doc_arrays(_m1(spark, sf).drop("doc_id"), p, F.abs(F.hash("orig_id")) % 16)
+    WR.write_doc_arrays(_m1(spark, sf).drop("doc_id"), p, F.col("orig_id"))
     return _counts(RD.read_docs(spark, p))
 
 
@@ -57,8 +57,8 @@ def a2(spark, sf):
     p = _dir(spark, sf, "a2")
     d = _m1(spark, sf)
     split = F.when(F.col("doc_id") % 10 < 8, "train").when(F.col("doc_id") % 10 == 8, "dev").otherwise("test")
-    d = d.withColumn("_s", split).withColumn("_b", F.abs(F.hash("orig_id")) % 16)
     docs = F.struct("tokens", "entities", "relations", "orig_id")
+    d = d.withColumn("_s", split).withColumn("_b", WR.file_of(F.col("orig_id"), WR.files_of(d, F.to_json(docs))))
     g = d.groupBy("_b").agg(*[F.collect_list(F.when(F.col("_s") == s, docs)).alias(s) for s in ("train", "dev", "test")])
     g.select("_b", F.to_json(F.struct("train", "dev", "test")).alias("value")).write.mode("overwrite") \
         .partitionBy("_b").text(p)
@@ -208,7 +208,8 @@ def a14(spark, sf):
     p = _dir(spark, sf, "a14")
     ev = table(spark, sf, "events").select(
         F.concat(F.lit("BOS "), (F.col("event_id") % 100).cast("string"), F.lit(" EOS")).alias("i"),
-        (F.col("event_id") % 100 * 2).cast("string").alias("o"), (F.col("event_id") % 16).alias("_b"))
+        (F.col("event_id") % 100 * 2).cast("string").alias("o"), "event_id")
+    ev = ev.withColumn("_b", WR.file_of(F.col("event_id"), WR.files_of(ev, F.concat("i", F.lit('"",'), "o", F.lit('"",')))))
     g = ev.groupBy("_b").agg(F.collect_list(F.struct("i", "o")).alias("z"))
     g.select("_b", F.to_json(F.struct(F.transform("z", lambda x: x["i"]).alias("inp_expression"),
                                       F.transform("z", lambda x: x["o"]).alias("out_expression"))).alias("value")) \
@@ -313,8 +314,9 @@ def a11(spark, sf):
 
 
 def _conll_files(spark, sf, p):
-    """Column-corpus files: 8 files; in each, the last document lacks its
-    closing blank line (so the reader must drop it)."""
+    """Column-corpus files: 8 parts of as many bounded files as the data needs;
+    in each part, the last document lacks its closing blank line (so the
+    reader must drop it)."""
     d = FX.gold_docs(spark, sf)
     oid = (F.col("doc_id") * 4294967296 + F.col("sent_no"))
     single = F.filter("entities", lambda e: e["end"] - e["start"] == 1)
@@ -334,9 +336,14 @@ def _conll_files(spark, sf, p):
     d = d.select("oid", F.array_join(tline, "\n").alias("tl"), F.array_join(rl, "\n").alias("rl"), F.size(rl).alias("nr"),
                  (F.col("oid") % 8).alias("_b"))
     block = F.concat("tl", F.lit("\n\n"), F.when(F.col("nr") > 0, F.concat("rl", F.lit("\n"))).otherwise(F.lit("")))
-    g = d.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("oid", block.alias("blk")))).alias("a"))
+    d = d.select("oid", "_b", block.alias("blk"))
+    ends = F.broadcast(d.groupBy("_b").agg(F.max("oid").alias("_end")))   # 8 rows
+    d = d.join(ends, "_b").withColumn("_c", WR.file_of(F.col("oid"), -(-WR.files_of(d, F.col("blk")) // 8)))
+    g = d.groupBy("_b", "_c").agg(F.sort_array(F.collect_list(F.struct("oid", "blk"))).alias("a"),
+                                  F.max(F.col("oid") == F.col("_end")).alias("open"))
     body = F.array_join(F.transform("a", lambda z: z["blk"]), "\n")   # every block but the last gets its 2nd blank
-    g.select("_b", body.alias("value")).write.mode("overwrite").partitionBy("_b").text(p)
+    body = F.concat(body, F.when(F.col("open"), "").otherwise("\n"))   # and the last, if it does not end its part
+    g.select("_b", "_c", body.alias("value")).write.mode("overwrite").partitionBy("_b", "_c").text(p)
 
 
 @query("a5_read_conll", with_ctes("""

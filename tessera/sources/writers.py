@@ -3,7 +3,7 @@ distributed write (no driver-side file assembly)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,11 +12,27 @@ def write_docs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_doc_arrays(df: DataFrame, path: str, bucket: F.Column, mode: str = "overwrite") -> None:
-    """A15 (array layout): one JSON array of documents per bucket file, the
-    layout the JSON-array reader (A1) expects. A bucket must stay small
-    (bounded by the bucket count chosen for the data size)."""
-    g = df.groupBy(bucket.alias("_b")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+#: Bytes of text in a file that one task reads as a whole.
+FILE_BYTES = 16 << 20
+
+
+def files_of(df: DataFrame, text: Column, file_bytes: int | None = None) -> int:
+    """How many files hold the ``text`` of all rows: their number follows the data, their size does not."""
+    total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0   # one number
+    return max(1, -(-total // (file_bytes or FILE_BYTES)))
+
+
+def file_of(key: Column, files: int) -> Column:
+    """The file of a row, by a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(files))
+
+
+def write_doc_arrays(df: DataFrame, path: str, key: Column, mode: str = "overwrite") -> None:
+    """A15 (array layout): one JSON array of documents per file, the layout
+    the JSON-array reader (A1) expects. Files are of about FILE_BYTES, as many
+    as the documents need."""
+    files = files_of(df, F.to_json(F.struct(*df.columns)))
+    g = df.groupBy(file_of(key, files).alias("_b")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
     g.repartition("_b").write.mode(mode).partitionBy("_b").text(path)
 
 

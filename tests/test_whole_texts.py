@@ -1,9 +1,10 @@
 """The derived sentences hold every token of every text, and per-document results have every document."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import fixtures as FX
-from tessera.plans import registry
+from tessera.plans import q_sources, registry
 from tessera.session import table
 from tests.conftest import SF_SMALL
 
@@ -25,3 +26,17 @@ def test_every_sentence_has_a_result(spark):
         assert registry.QUERIES[name](spark, SF_SMALL).count() == n, name
     full = registry.QUERIES["e9_doc_examples"](spark, SF_SMALL).filter("n_tp + n_fn + n_fp = 0")
     assert full.count() > 0 and full.filter(F.least("precision", "recall", "f1") < 100).isEmpty()
+
+
+@pytest.mark.parametrize("name, size", [("a1_read_docs", 8192), ("a2_read_split_docs", 8192), ("a5_read_conll", 8192), ("a14_read_parallel", 512)])
+def test_files_follow_the_data(spark, monkeypatch, name, size):
+    def read():
+        got = sorted(map(tuple, registry.QUERIES[name](spark, SF_SMALL).collect()))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+            q_sources._dir(spark, SF_SMALL, name.split("_")[0])).filter("length > 0").select("length").collect()
+        return got, [f["length"] for f in files]
+
+    want, _ = read()
+    monkeypatch.setattr(q_sources.WR, "FILE_BYTES", size)
+    got, sizes = read()
+    assert got == want and len(sizes) > 16 and max(sizes) < 8 * size
