@@ -182,13 +182,15 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
 
 
 def keep_known(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs``, all columns, in a language: those that are not ``und``."""
+    """The rows of ``docs``, all columns, in a language: those that are not ``und``; where nothing could
+    be learned, those with a letter."""
     model = fit_languages(docs, per_language)
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            langs, _ = _predict(model, batch.column("text").to_pylist())
-            yield batch.filter(pa.array(langs != UNKNOWN, pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            keep = _predict(model, texts)[0] != UNKNOWN if model.families else [has_letter(t) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ROWS
 
@@ -118,6 +119,12 @@ def test_language(odd, empty):
     assert identify(empty).count() == 0
 
 
+def test_unlabelled_documents_with_letters_are_kept(odd):
+    from tessera.llm.language import keep_known
+    kept = keep_known(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert sorted(r["text"] for r in kept) == sorted(t for _, t, _, _ in ROWS if t and re.search("[a-z]", t))
+
+
 def test_quality(spark, odd, empty):
     from tessera.llm.quality import keep_good, score
     labels = spark.createDataFrame([(1, 1), (7, 0), (None, 1), (9, None), (8, 0)], "doc_id long, quality int")
