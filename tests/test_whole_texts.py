@@ -40,3 +40,12 @@ def test_files_follow_the_data(spark, monkeypatch, name, size):
     monkeypatch.setattr(q_sources.WR, "FILE_BYTES", size)
     got, sizes = read()
     assert got == want and len(sizes) > 16 and max(sizes) < 8 * size
+
+
+def test_smoothing_takes_its_classes_from_the_data(spark, monkeypatch):
+    from tessera.operators import metrics as M
+    logits = [[0.0, 1.0, 2.0, 0.5] * 3, [1.0] * 12]   # 12 classes
+    cp = spark.createDataFrame([(0, 11, logits[0]), (1, 0, logits[1])], "vec_id long, y_true int, logits array<double>")
+    monkeypatch.setattr(FX, "class_preds", lambda *_: cp)
+    got = registry.QUERIES["e20_label_smoothing_loss"](spark, SF_SMALL).first()["loss"]
+    assert abs(got - M.label_smoothing_loss(cp, "logits", "y_true", 0.1, 12).first()["loss"]) < 1e-5
