@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Callable
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, table
+from tessera.llm.line_rules import RULES_SQL
 from tessera.llm.mixing import MIX_SQL
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
@@ -106,3 +108,46 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns of the raw transcripts of all conversations, roles recovered, rendered canonically."""
     from tessera.llm.chat import recover
     return recover(table(spark, sf_dir, "conversations"))
+
+
+def _periodic(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's planted runs: of each tenth document, by crc32 of its id, the words from one on repeat."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+@query
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of all documents, runs planted in a tenth of them."""
+    from tessera.llm.periodicity import periodic_runs, strongest
+    found = periodic_runs(documents(spark, sf_dir), _periodic).withColumn("best", strongest(F.col("runs")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules and the frequency of lines over all documents."""
+    from tessera.llm.line_rules import judged
+    return judged(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
+ORACLES["op12_line_rules"] = RULES_SQL
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of all conversations, their rows damaged by a fixed rule."""
+    from tessera.llm.repair import damaged, digests, repaired
+    return digests(repaired(damaged(table(spark, sf_dir, "conversations"))))
