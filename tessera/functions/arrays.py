@@ -94,8 +94,10 @@ def between_span(s1, e1, s2, e2) -> Column:
 
 def span_mask(start, end, n) -> Column:
     """C20: array<boolean> over positions 0..n-1, true inside [start, end)."""
-    s, e = _c(start), _c(end)
-    return F.transform(F.sequence(F.lit(0), _c(n) - 1), lambda i: (i >= s) & (i < e))
+    n = F.greatest(_c(n), F.lit(0))
+    s = F.least(F.greatest(_c(start), F.lit(0)), n)
+    e = F.least(F.greatest(_c(end), s), n)
+    return F.concat(F.array_repeat(F.lit(False), s), F.array_repeat(F.lit(True), e - s), F.array_repeat(F.lit(False), n - e))
 
 
 def position_simple(k: int, m: int) -> Column:
@@ -169,14 +171,24 @@ def round_arr(arr, digits: int = 6) -> Column:
 SQRT = math.sqrt
 
 
-def prefix_sums(arr, exclusive: bool = False) -> Column:
-    """Running sums of an int array as an array (left fold inside the row).
-    Use on bounded arrays (tokens of a sentence); long sequences use a window
-    over exploded rows instead. Reference the result by column, never from
-    inside another lambda (Spark would re-evaluate it per element)."""
-    a = _c(arr)
-    inc = F.aggregate(a, F.array().cast("array<long>"), lambda acc, x: F.concat(
-        acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + x).cast("long"))))
-    if not exclusive:
-        return inc
-    return F.concat(F.array(F.lit(0).cast("long")), F.slice(inc, 1, F.greatest(F.size(a) - 1, F.lit(0))))
+#: Sums that one growing list of ``prefix_sums`` holds.
+SUMS_RUN = 256
+
+
+def prefix_sums(arr) -> Column:
+    """Running sums of an int array as an array, in one fold inside the row. Lists are
+    copied when they grow, so finished runs of SUMS_RUN sums are put aside: the cost of
+    an element does not grow with the array (beyond one copy of a reference a run).
+    Reference the result by column, never from inside another lambda (Spark would
+    re-evaluate it per element)."""
+    none, nothing = F.array().cast("array<long>"), F.array().cast("array<array<long>>")
+    start = F.struct(nothing.alias("done"), none.alias("run"), F.lit(0).cast("long").alias("last"))
+
+    def step(acc, x):
+        last = (acc["last"] + x).cast("long")
+        run = F.concat(acc["run"], F.array(last))
+        full = F.size(acc["run"]) >= SUMS_RUN - 1
+        return F.struct(F.when(full, F.concat(acc["done"], F.array(run))).otherwise(acc["done"]).alias("done"),
+                        F.when(full, none).otherwise(run).alias("run"), last.alias("last"))
+
+    return F.aggregate(_c(arr), start, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["run"]))))

@@ -59,8 +59,7 @@ def avg_relation_distance(docs: DataFrame) -> F.Column:
     it has none (and those zeros count in later means). Row-local."""
     ents = F.col("_ge") if "_ge" in docs.columns else F.col("entities")
     rels = F.col("_g") if "_g" in docs.columns else F.col("relations")
-    starts = F.transform(ents, lambda e: e["start"])
-    d = F.transform(rels, lambda r: F.abs(F.element_at(starts, r["head"] + 1) - F.element_at(starts, r["tail"] + 1)))
+    d = F.transform(rels, lambda r: F.abs(F.element_at(ents, r["head"] + 1)["start"] - F.element_at(ents, r["tail"] + 1)["start"]))
     return F.when(F.size(rels) > 0, F.aggregate(d, F.lit(0).cast("long"), lambda a, x: a + x) / F.size(rels)
                   ).otherwise(F.lit(0.0))
 
@@ -69,10 +68,9 @@ def distance_bin_errors(errs: DataFrame) -> DataFrame:
     """per relation of the gold documents, its head-tail distance bin;
     the document's error flag counts once per relation. All 11 bins, empty
     bins rate 0; distance >= 100 is in no bin."""
-    ents = F.transform("_ge", lambda e: e["start"])
-    r = errs.select("is_error", F.explode(F.transform("_g", lambda x: F.struct(x["head"].alias("h"), x["tail"].alias("t")))).alias("r"),
-                    ents.alias("_s"))
-    r = r.select("is_error", F.abs(F.element_at("_s", F.col("r.h") + 1) - F.element_at("_s", F.col("r.t") + 1)).alias("dist"))
+    r = errs.select("is_error", F.explode("_g").alias("r"), "_ge")
+    start = lambda i: F.element_at("_ge", F.col(i) + 1)["start"]
+    r = r.select("is_error", F.abs(start("r.head") - start("r.tail")).alias("dist"))
     b = None
     for i, (lo, hi) in enumerate(DISTANCE_BINS):
         cond = (F.col("dist") >= lo) & (F.col("dist") < hi)

@@ -5,11 +5,13 @@ Documents follow the M1 model: one row per document with ``tokens``,
 (array<struct<type,head,tail>>, head/tail = positions in ``entities``).
 ``keys`` names the document key columns.
 
-Work that is local to one document (span enumeration, pair generation,
-sampling, argument lookup by position) is done with array functions inside the
-document row: no shuffle, and a document's cost is bounded by its own size.
-Work that relates rows of different tables (gold vs predicted, mentions vs
-tokens) is a join on the document key, so it partitions by document.
+Work that is linear in one document (offsets, argument lookup by position) is
+done with array functions inside the document row, without a shuffle. What
+grows faster (candidate spans, pairs, occurrences of phrases) are rows: places
+meet by equi-joins, and pairs are made block by block, so a long document
+spreads over tasks and no row grows with the square of its length. Work that
+relates rows of different tables (gold vs predicted, mentions vs tokens)
+partitions by document.
 """
 
 from __future__ import annotations
@@ -116,38 +118,36 @@ def tokenize(df: DataFrame, keys, text_col: str = "text",
     return out
 
 
-def token_offsets(tokens: DataFrame, keys) -> DataFrame:
-    """Per document: arrays of token char starts and ends (ordered)."""
-    keys = _k(keys)
-    g = tokens.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("tok_idx", "char_start", "char_end"))).alias("_t"))
-    return g.select(*keys, F.transform("_t", lambda z: z["char_start"]).alias("starts"),
-                    F.transform("_t", lambda z: z["char_end"]).alias("ends"))
-
-
-def align_spans(mentions: DataFrame, offsets: DataFrame | None, keys,
-                cs: str = "char_start", ce: str = "char_end") -> DataFrame:
-    """Token span of a char span. Start token: idx <= cs < idx+len; end
-    token: idx < ce <= idx+len. A boundary that falls in a gap gives null and
-    the mention is kept. Each mention meets its document's offset arrays once
-    (a 1:1 equi-join on the document key; ``offsets`` from ``token_offsets``
-    or computed inside the sentence row), then the boundary tokens are found
-    inside the row -- no mention x token expansion."""
+def with_offsets(docs: DataFrame) -> DataFrame:
+    """Adds ``starts`` and ``ends``: char offsets of ``tokens`` in the canonical text (tokens
+    joined by one space), running sums inside the row."""
+    from tessera.functions.arrays import prefix_sums
+    d = docs.withColumn("_e", prefix_sums(F.transform("tokens", lambda t: F.length(t) + 1)))
+    z = F.arrays_zip(F.col("tokens").alias("t"), F.col("_e").alias("e"))
+    return d.withColumn("starts", F.transform(z, lambda x: (x["e"] - F.length(x["t"]) - 1).cast("int"))) \
+            .withColumn("ends", F.transform(z, lambda x: (x["e"] - 1).cast("int"))).drop("_e")
+
+
+def align_spans(mentions: DataFrame, tokens: DataFrame, keys, mention: str, cs: str = "char_start", ce: str = "char_end") -> DataFrame:
+    """Token span of a char span: (keys, mention, tok_start, tok_end). Start token:
+    idx <= cs < idx+len; end token: idx < ce <= idx+len. A boundary that falls in a gap
+    gives null and the mention is kept. ``mentions`` (keys, mention, cs, ce) and ``tokens``
+    (keys, tok_idx, char_start, char_end) meet in one order of their places: a boundary
+    looks at the last token that begins before it (a start also at it), so each is
+    sorted once and no mention is compared with all tokens."""
     keys = _k(keys)
-    # offsets=None: the mention rows already carry their document's arrays
-    j = mentions if offsets is None else mentions.join(offsets.select(*keys, "starts", "ends"), keys, "left")
-    z = F.arrays_zip(F.col("starts").alias("s"), F.col("ends").alias("e"))
-    hit_s = F.filter(F.transform(z, lambda t, i: F.when((t["s"] <= F.col(cs)) & (F.col(cs) < t["e"]), i)),
-                     lambda i: i.isNotNull())
-    hit_e = F.filter(F.transform(z, lambda t, i: F.when((t["s"] < F.col(ce)) & (F.col(ce) <= t["e"]), i + 1)),
-                     lambda i: i.isNotNull())
-    # exact boundary hits (the common case) by native array_position; the
-    # lambda scan only runs for boundaries inside a token or in a gap
-    ps = F.array_position("starts", F.col(cs))
-    pe = F.array_position("ends", F.col(ce))
-    tok_start = F.when(ps > 0, ps - 1).otherwise(F.try_element_at(hit_s, F.lit(1)))
-    tok_end = F.when(pe > 0, pe).otherwise(F.try_element_at(hit_e, F.lit(1)))
-    return j.withColumn("tok_start", tok_start.cast("int")).withColumn("tok_end", tok_end.cast("int")) \
-            .drop("starts", "ends")
+    # at one place an end comes before the token that begins there, and a start after it
+    t = tokens.select(*keys, F.col("char_start").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(mentions.schema[mention].dataType).alias(mention),
+                      F.struct("tok_idx", "char_end").alias("_tok"))
+    none = F.lit(None).cast(t.schema["_tok"].dataType)
+    m = mentions.select(*keys, mention, F.explode(F.array(F.struct(F.col(cs).alias("at"), F.lit(2).alias("kind")),
+                                                          F.struct(F.col(ce).alias("at"), F.lit(0).alias("kind")))).alias("_b"))
+    m = m.select(*keys, F.col("_b.at").alias("_at"), F.col("_b.kind").alias("_kind"), mention, none.alias("_tok"))
+    w = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    j = t.unionByName(m).withColumn("_tok", F.last("_tok", ignorenulls=True).over(w)).filter("_kind <> 1")
+    start = F.when((F.col("_kind") == 2) & (F.col("_at") < F.col("_tok.char_end")), F.col("_tok.tok_idx"))
+    end = F.when((F.col("_kind") == 0) & (F.col("_at") <= F.col("_tok.char_end")), F.col("_tok.tok_idx") + 1)
+    return j.groupBy(*keys, mention).agg(F.max(start).cast("int").alias("tok_start"), F.max(end).cast("int").alias("tok_end"))
 
 
 # ---- C3: relation arguments by entity id ------------------------------------------
@@ -209,44 +209,56 @@ def assign_sentence_ids(lines: DataFrame, doc: str = "doc_id", order: str = "lin
 
 # ---- C6: phrase occurrences ---------------------------------------------------------
 
-def find_phrase(tokens: Column, phrase_tokens: Column) -> Column:
-    """All start positions where ``phrase_tokens`` occurs in ``tokens``."""
-    n, k = F.size(tokens), F.size(phrase_tokens)
-    return F.when(n >= k, F.filter(F.sequence(F.lit(0), n - k),
-                                   lambda i: F.slice(tokens, i + 1, k) == phrase_tokens)
-                  ).otherwise(F.array().cast("array<int>"))
+def phrase_windows(docs: DataFrame, sizes: DataFrame, keys) -> DataFrame:
+    """Every window of a document's ``tokens`` that is as long as one of its ``sizes`` (keys, sizes
+    array<int>): (keys, size, start, phrase, char_start, char_end). The phrase is the tokens joined by
+    one space; tokens hold no white space, so equal phrases of one size are equal token lists."""
+    keys = _k(keys)
+    d = with_offsets(docs.select(*keys, "tokens")).join(sizes, keys)
+    w = d.select(*keys, "tokens", "starts", "ends", F.explode("sizes").alias("size")).filter(F.size("tokens") >= F.col("size"))
+    w = w.select(*keys, "tokens", "starts", "ends", "size", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("start"))
+    return w.select(*keys, "size", "start", phrase("tokens", F.col("start"), F.col("start") + F.col("size")).alias("phrase"),
+                    F.element_at("starts", F.col("start") + 1).alias("char_start"),
+                    F.element_at("ends", F.col("start") + F.col("size")).alias("char_end"))
+
+
+def find_phrases(docs: DataFrame, phrases: DataFrame, keys) -> DataFrame:
+    """All places where each of ``phrases`` (keys, size, phrase, ...) occurs in the tokens of its
+    document, one row each with the place as ``occ``: an equi-join on the phrase, not a scan of the tokens."""
+    keys = _k(keys)
+    sizes = phrases.groupBy(*keys).agg(F.collect_set("size").alias("sizes"))
+    w = phrase_windows(docs, sizes, keys).select(*keys, "size", "phrase", F.col("start").alias("occ"))
+    return phrases.join(w, [*keys, "size", "phrase"])
 
 
 # ---- C7: n-th occurrence pair with a given gap ---------------------------------------
 
-def match_pairs(lines: DataFrame, keys, order: str = "line_no") -> DataFrame:
-    """For each annotation line (head tokens, tail tokens, signed char gap)
+def match_pairs(lines: DataFrame, docs: DataFrame, keys, order: str = "line_no") -> DataFrame:
+    """For each annotation line (keys, order, head_toks, tail_toks, signed char gap)
     take the n-th (head, tail) occurrence pair of its document whose gap
     ``tail.start - head.end`` equals the annotated one, n = rank of the line
     among lines with the same (doc, head tokens, tail tokens, gap). Pairs are
     ordered head-major as in a nested scan. Lines with more repeats than pairs
     come back with null spans (reported, not asserted).
 
-    ``lines`` columns: keys, order, tokens, starts (char start per token),
-    head_toks, tail_toks, gap."""
+    A head and a gap fix where the tail begins, so pairs come from an equi-join of
+    occurrences on (phrase, place): as many as heads, never heads x tails."""
     keys = _k(keys)
-    grp = [*keys, "head_toks", "tail_toks", "gap"]
-    w = Window.partitionBy(*grp).orderBy(order)
-    ln = lines.withColumn("_n", F.row_number().over(w))
-    occ_h = find_phrase(F.col("tokens"), F.col("head_toks"))
-    occ_t = find_phrase(F.col("tokens"), F.col("tail_toks"))
-    # candidate pairs of one group are computed once per group (first line)
-    g = ln.filter(F.col("_n") == 1).select(*grp, "tokens", "starts")
-    hk, tk = F.size("head_toks"), F.size("tail_toks")
-    pairs = F.flatten(F.transform(occ_h, lambda h: F.transform(occ_t, lambda t: F.struct(
-        h.alias("hs"), (h + hk).alias("he"), t.alias("ts"), (t + tk).alias("te"),
-        (F.element_at("starts", t + 1) - (F.element_at("starts", h + hk) +
-                                          F.length(F.element_at("tokens", h + hk)))).alias("g")))))
-    good = F.filter(pairs, lambda p: p["g"] == F.col("gap"))
-    g = g.select(*grp, F.posexplode(good).alias("_p", "pair")).withColumn("_n", F.col("_p") + 1)
-    out = ln.join(g.drop("_p"), [*grp, "_n"], "left")
-    return out.select(*lines.columns, F.col("pair.hs").alias("head_start"), F.col("pair.he").alias("head_end"),
-                      F.col("pair.ts").alias("tail_start"), F.col("pair.te").alias("tail_end"))
+    grp = [*keys, "_h", "_hk", "_t", "_tk", "gap"]
+    ln = lines.select("*", F.array_join("head_toks", " ").alias("_h"), F.size("head_toks").alias("_hk"),
+                      F.array_join("tail_toks", " ").alias("_t"), F.size("tail_toks").alias("_tk"))
+    ln = ln.withColumn("_n", F.row_number().over(Window.partitionBy(*grp).orderBy(order)))
+    asked = ln.filter("_n = 1").select(*grp)
+    sizes = asked.select(*keys, F.explode(F.array("_hk", "_tk")).alias("s")).groupBy(*keys).agg(F.collect_set("s").alias("sizes"))
+    occ = phrase_windows(docs, sizes, keys)
+    heads = occ.select(*keys, F.col("size").alias("_hk"), F.col("phrase").alias("_h"), F.col("start").alias("_hs"), "char_end")
+    tails = occ.select(*keys, F.col("size").alias("_tk"), F.col("phrase").alias("_t"), F.col("start").alias("_ts"), F.col("char_start").alias("_at"))
+    found = asked.join(heads, [*keys, "_hk", "_h"]).withColumn("_at", F.col("char_end") + F.col("gap"))
+    found = found.join(tails, [*keys, "_tk", "_t", "_at"])
+    found = found.withColumn("_n", F.row_number().over(Window.partitionBy(*grp).orderBy("_hs", "_ts")))
+    out = ln.join(found.select(*grp, "_n", "_hs", "_ts"), [*grp, "_n"], "left")
+    return out.select(*lines.columns, F.col("_hs").alias("head_start"), (F.col("_hs") + F.col("_hk")).alias("head_end"),
+                      F.col("_ts").alias("tail_start"), (F.col("_ts") + F.col("_tk")).alias("tail_end"))
 
 
 # ---- C8: per-document annotation lists by first appearance ---------------------------
@@ -276,21 +288,59 @@ def conll_relations(entity_rows: DataFrame, rel_rows: DataFrame, keys,
 
 # ---- C10 / C11: sub-word encoding and its inverse -------------------------------------
 
-def encode_subwords(docs: DataFrame, pieces_fn, unk: str = "[UNK]",
-                    cls: str = "[CLS]", sep: str = "[SEP]") -> DataFrame:
-    """``pieces_fn(token) -> array<string>`` (e.g. fixed-width pieces or
-    a vocabulary split); empty -> [UNK]. Adds ``encoding`` ([CLS] pieces
-    [SEP]) and ``spans`` (array<struct<sub_start, sub_end>> per token, running
-    offset from 1), all inside the row."""
-    from tessera.functions.arrays import prefix_sums
-    per_tok = F.transform("tokens", lambda t: F.when(F.size(pieces_fn(t)) == 0, F.array(F.lit(unk)))
-                          .otherwise(pieces_fn(t)))
-    d = docs.withColumn("_pt", per_tok)
-    d = d.withColumn("_ends", prefix_sums(F.transform("_pt", lambda p: F.size(p))))
-    spans = F.transform(F.arrays_zip(F.col("_pt").alias("p"), F.col("_ends").alias("e")), lambda z: F.struct(
-        (z["e"] - F.size(z["p"]) + 1).cast("int").alias("sub_start"), (z["e"] + 1).cast("int").alias("sub_end")))
-    enc = F.concat(F.array(F.lit(cls)), F.flatten("_pt"), F.array(F.lit(sep)))
-    return d.withColumn("encoding", enc).withColumn("spans", spans).drop("_pt", "_ends")
+#: Marks of an encoding, how a piece inside a word begins, and how long a word may be (fixed values).
+UNKNOWN_PIECE, FIRST_PIECE, LAST_PIECE = "[UNK]", "[CLS]", "[SEP]"
+INSIDE, WORD_CHARS = "##", 100
+
+
+def split_words(words: DataFrame, vocab: DataFrame, word: str = "token") -> DataFrame:
+    """The pieces of each distinct word: (word, pieces array<string>, ids array<int>), by longest match first: from
+    the front the longest piece of ``vocab`` (piece, idx) that the rest of the word begins with (inside the word:
+    marked by INSIDE), and so on; a word that cannot be split so, or that is too long, is one unknown piece.
+
+    All pieces that a word could hold are looked up by an equi-join, the longest at each place is kept
+    by an aggregate, and a fold over the places follows them. Only distinct words take part."""
+    longest = vocab.agg(F.max(F.length(F.regexp_replace("piece", f"^{INSIDE}", "")))).first()[0] or 1   # one number
+    w = words.select(F.col(word).alias("_w")).distinct()
+    n = F.length("_w")
+    at = w.filter((n > 0) & (n <= WORD_CHARS)).select("_w", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("_p"))
+    sub = at.select("_w", "_n", "_p", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("_n") - F.col("_p")))).alias("_k"))
+    sub = sub.withColumn("piece", F.concat(F.when(F.col("_p") > 0, F.lit(INSIDE)).otherwise(F.lit("")), F.substring(F.col("_w"), F.col("_p") + 1, F.col("_k"))))
+    best = sub.join(vocab, "piece").groupBy("_w", "_n", "_p").agg(F.max(F.struct("_k", "piece", "idx")).alias("b"))
+    found = best.groupBy("_w", "_n").agg(F.sort_array(F.collect_list(F.struct("_p", "b"))).alias("s"))
+
+    def follow(acc, z):
+        here = z["_p"] == acc["at"]
+        return F.struct(F.when(here, acc["at"] + z["b"]["_k"]).otherwise(acc["at"]).alias("at"),
+                        F.when(here, F.concat(acc["pieces"], F.array(z["b"]["piece"]))).otherwise(acc["pieces"]).alias("pieces"),
+                        F.when(here, F.concat(acc["ids"], F.array(z["b"]["idx"]))).otherwise(acc["ids"]).alias("ids"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids"))
+    found = found.select("_w", F.aggregate("s", start, follow).alias("f"), "_n").filter("f.at = _n").select("_w", "f.pieces", "f.ids")
+    unknown = vocab.filter(F.col("piece") == UNKNOWN_PIECE).agg(F.max("idx").alias("_u"))   # one row
+    out = w.join(found, "_w", "left").crossJoin(F.broadcast(unknown))
+    return out.select(F.col("_w").alias(word), F.coalesce("pieces", F.array(F.lit(UNKNOWN_PIECE))).alias("pieces"),
+                      F.coalesce("ids", F.array("_u")).alias("ids"))
+
+
+def encode_subwords(tokens: DataFrame, vocab: DataFrame, keys) -> DataFrame:
+    """``tokens`` (keys, tok_idx, token) -> (keys, tok_idx, token, pieces, ids, sub_start, sub_end): the
+    pieces of each token by ``vocab`` and its sub-word span, a running offset from 1 (place 0 is
+    the first mark). A token without pieces, also an empty one, is one unknown piece."""
+    keys = _k(keys)
+    t = tokens.select(*keys, "tok_idx", "token").join(split_words(tokens, vocab), "token")
+    w = Window.partitionBy(*keys).orderBy("tok_idx").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("sub_end", (1 + F.sum(F.size("pieces")).over(w)).cast("int"))
+    return t.select(*keys, "tok_idx", "token", "pieces", "ids", (F.col("sub_end") - F.size("pieces")).alias("sub_start"), "sub_end")
+
+
+def encodings(encoded: DataFrame, vocab: DataFrame, keys) -> DataFrame:
+    """(keys, encoding array<int>) of ``encode_subwords``' rows: the first mark, all ids in order, the last mark."""
+    keys = _k(keys)
+    mark = lambda m: F.max(F.when(F.col("piece") == m, F.col("idx")))
+    marks = vocab.agg(mark(FIRST_PIECE).alias("_f"), mark(LAST_PIECE).alias("_l"))   # one row
+    e = encoded.groupBy(*keys).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("tok_idx", "ids"))), lambda z: z["ids"])).alias("_ids"))
+    return e.crossJoin(F.broadcast(marks)).select(*keys, F.concat(F.array("_f"), "_ids", F.array("_l")).alias("encoding"))
 
 
 def decode_spans(sub_spans: DataFrame, token_spans: DataFrame, keys) -> DataFrame:
@@ -327,36 +377,28 @@ def orient_relations(rels: DataFrame, types: DataFrame) -> DataFrame:
 
 # ---- C13-C18: candidate spans and pairs ---------------------------------------------------
 
-def enumerate_spans(docs: DataFrame, max_size: int, n_col: str = "n_tokens") -> DataFrame:
-    """All spans of size 1..max inside the row (size-major order):
-    adds ``spans`` array<struct<start,end,size>>."""
-    n = F.col(n_col) if n_col in docs.columns else F.size("tokens")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(max_size), n)), lambda s: F.transform(
-        F.sequence(F.lit(0), n - s), lambda i: F.struct(i.alias("start"), (i + s).alias("end"),
-                                                        s.alias("size")))))
-    return docs.withColumn("spans", F.when(n > 0, spans).otherwise(
-        F.array().cast("array<struct<start:int,end:int,size:int>>")))
-
-
-def negative_spans(docs: DataFrame, max_size: int) -> DataFrame:
-    """C14: candidate spans that are not gold spans (row-local anti-join)."""
-    d = enumerate_spans(docs, max_size)
-    # A span as one long: set differences of longs hash, those of structs compare all with all.
-    def code(s):
-        return F.shiftleft(s["start"].cast("long"), 32) + s["end"]
-
-    neg = F.array_except(F.transform("spans", code), F.transform("entities", code))
-    start, end = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
-    return d.withColumn("neg_spans", F.transform(neg, lambda c: F.struct(
-        start(c).alias("start"), end(c).alias("end"), (end(c) - start(c)).alias("size"))))
+def enumerate_spans(docs: DataFrame, keys, max_size: int) -> DataFrame:
+    """All spans of 1..max_size tokens of a document, one row each: (keys, start, end, size)."""
+    keys = _k(keys)
+    n = F.size("tokens")
+    d = docs.filter(n > 0).select(*keys, n.alias("_n"), F.explode(F.sequence(F.lit(1), F.least(F.lit(max_size), n))).alias("size"))
+    d = d.select(*keys, "size", F.explode(F.sequence(F.lit(0), F.col("_n") - F.col("size"))).alias("start"))
+    return d.select(*keys, "start", (F.col("start") + F.col("size")).alias("end"), "size")
 
 
-def sample_array(arr: Column, n: int, seed: str, key_fn) -> Column:
-    """C15 (row-local form): at most ``n`` elements, chosen by md5(seed || key)
-    order, without replacement. Deterministic and engine-independent."""
-    keyed = F.transform(arr, lambda x: F.struct(F.md5(F.concat(F.lit(seed), key_fn(x))).alias("k"),
-                                                x.alias("v")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, n), lambda z: z["v"])
+def negative_spans(docs: DataFrame, keys, max_size: int) -> DataFrame:
+    """C14: candidate spans that are not gold spans, one row each: (keys, start, end, size). Places meet the
+    ends of the gold spans that begin there, then each place is widened to its candidates:
+    the join moves one row a token, not one a candidate."""
+    keys = _k(keys)
+    n = F.size("tokens")
+    places = docs.filter(n > 0).select(*keys, n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    gold = to_mentions(docs, keys).groupBy(*keys, "start").agg(F.collect_set("end").alias("_ends"))
+    d = places.join(gold, [*keys, "start"], "left")
+    d = d.select(*keys, "start", "_ends", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_size), F.col("_n") - F.col("start")))).alias("size"))
+    end = F.col("start") + F.col("size")
+    d = d.filter(F.col("_ends").isNull() | ~F.array_contains("_ends", end))
+    return d.select(*keys, "start", end.alias("end"), "size")
 
 
 def sample_per_group(df: DataFrame, keys, n: int, seed: str, id_col: Column) -> DataFrame:
@@ -375,42 +417,62 @@ def relation_targets(rels: DataFrame, keys, n_types: int) -> DataFrame:
                                                lambda t: F.array_contains("_t", t).cast("int"))).drop("_t")
 
 
-def negative_pairs(docs: DataFrame) -> Column:
-    """C17: ordered pairs of gold spans with different spans and not a gold
-    (head, tail) span pair; direction-sensitive, duplicated spans repeat.
-    Row-local: array<struct<s1,e1,s2,e2>>."""
-    ents = F.col("entities")
+#: Rows of a document that one block of pairs holds, and pairs that one task makes.
+PAIR_BLOCK, TASK_PAIRS = 256, 2_000_000
 
-    def span(e):
-        return F.struct(e["start"].alias("start"), e["end"].alias("end"))
 
-    gold = F.transform("relations", lambda r: F.struct(
-        span(F.element_at(ents, r["head"] + 1)).alias("h"), span(F.element_at(ents, r["tail"] + 1)).alias("t")))
-    # each span with the tails of its own relations, once: few to look through for a pair
-    heads = F.transform(ents, lambda a: F.struct(span(a).alias("a"), F.transform(
-        F.filter(gold, lambda g: g["h"] == span(a)), lambda g: g["t"]).alias("tails")))
-    return F.flatten(F.transform(heads, lambda h: F.transform(
-        F.filter(ents, lambda b: (span(b) != h["a"]) & ~F.array_contains(h["tails"], span(b))),
-        lambda b: F.struct(h["a"]["start"].alias("s1"), h["a"]["end"].alias("e1"),
-                           b["start"].alias("s2"), b["end"].alias("e2")))))
+def ordered_pairs(rows: DataFrame, keys, idx: str, left: list[str], right: list[str], block: int = PAIR_BLOCK) -> DataFrame:
+    """All ordered pairs of ``rows`` of one document: (keys, l struct<left>, r struct<right>), a row with itself
+    included. Rows are put in blocks of ``block`` by ``idx`` (0, 1, ... in a document); each two blocks of a
+    document are one bounded row, dealt anew by (document, block, block), so that a long document's
+    pairs spread over many tasks, and widened to pairs there."""
+    keys = _k(keys)
+    b = F.expr(f"`{idx}` div {block}").cast("int")
+    blocks = rows.groupBy(*keys, b.alias("_b")).agg(F.collect_list(F.struct(*left)).alias("_l"), F.collect_list(F.struct(*right)).alias("_r"))
+    n = rows.groupBy(*keys).agg((F.max(b) + 1).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    total = n.agg(F.sum(F.col("_rows") * F.col("_rows"))).first()[0] or 0   # one number
+    lft = blocks.select(*keys, "_b", "_l").join(n.drop("_rows"), keys)
+    lft = lft.select(*keys, F.col("_b").alias("_lb"), "_l", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_rb"))
+    j = lft.join(blocks.select(*keys, F.col("_b").alias("_rb"), "_r"), [*keys, "_rb"])
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, int(-(-total // TASK_PAIRS)))
+    j = j.repartition(tasks, *keys, "_lb", "_rb")
+    j = j.select(*keys, F.explode("_l").alias("l"), "_r")
+    return j.select(*keys, "l", F.explode("_r").alias("r"))
+
+
+def negative_pairs(docs: DataFrame, keys) -> DataFrame:
+    """C17: ordered pairs of gold spans with different spans and not a gold
+    (head, tail) span pair; direction-sensitive, duplicated spans repeat:
+    (keys, s1, e1, s2, e2). A head carries the tails of its own relations (few) into the pairs."""
+    keys = _k(keys)
+    gold = relations_with_spans(docs, keys).groupBy(*keys, F.col("hs").alias("start"), F.col("he").alias("end")).agg(
+        F.collect_set(F.struct(F.col("ts_").alias("start"), F.col("te").alias("end"))).alias("tails"))
+    ents = to_mentions(docs, keys).join(gold, [*keys, "start", "end"], "left")
+    p = ordered_pairs(ents, keys, "ent_idx", ["start", "end", "tails"], ["start", "end"])
+    other = (F.col("l.start") != F.col("r.start")) | (F.col("l.end") != F.col("r.end"))
+    p = p.filter(other & (F.col("l.tails").isNull() | ~F.array_contains("l.tails", F.col("r"))))
+    return p.select(*keys, F.col("l.start").alias("s1"), F.col("l.end").alias("e1"), F.col("r.start").alias("s2"), F.col("r.end").alias("e2"))
 
 
-def candidate_pairs(ents: Column) -> Column:
-    """Ordered pairs (i, j), i != j, of a document's entities."""
-    n = F.size(ents)
-    idx = F.sequence(F.lit(0), n - 1)
-    return F.when(n >= 2, F.filter(F.flatten(F.transform(idx, lambda i: F.transform(
-        idx, lambda j: F.struct(i.alias("i"), j.alias("j"))))), lambda p: p["i"] != p["j"])
-    ).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+def candidate_pairs(docs: DataFrame, keys) -> DataFrame:
+    """Ordered pairs (i, j), i != j, of the positions of a document's entities: (keys, i, j)."""
+    keys = _k(keys)
+    p = ordered_pairs(to_mentions(docs, keys), keys, "ent_idx", ["ent_idx"], ["ent_idx"])
+    return p.select(*keys, F.col("l.ent_idx").alias("i"), F.col("r.ent_idx").alias("j")).filter("i <> j")
 
 
 # ---- C21 / C22: pooling over spans, batch padding -------------------------------------------
 
-def span_max_pool(vectors: Column, start: Column, end: Column, dim: int) -> Column:
-    """Element-wise max of vectors[start:end]; zeros when empty."""
-    sl = F.slice(vectors, start + 1, F.greatest(end - start, F.lit(0)))
-    return F.when(end > start, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.array_max(
-        F.transform(sl, lambda v: F.element_at(v, d + 1))))).otherwise(F.array_repeat(F.lit(0.0), dim))
+def span_max_pool(spans: DataFrame, vectors: DataFrame, keys, span: str, dim: int) -> DataFrame:
+    """Element-wise max of the token vectors inside each span: ``spans`` (keys, span, start, end), ``vectors``
+    (keys, pos, vec) -> (keys, span, vec); zeros where a span is empty. Places of spans meet tokens by an equi-join."""
+    keys = _k(keys)
+    at = spans.filter(F.col("start") < F.col("end")).select(*keys, span, F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))
+    m = at.join(vectors.select(*keys, "pos", "vec"), [*keys, "pos"]).groupBy(*keys, span).agg(
+        *[F.max(F.element_at("vec", i + 1)).alias(f"_m{i}") for i in range(dim)])
+    zero = F.lit(0.0)
+    return spans.select(*keys, span).join(m, [*keys, span], "left").select(
+        *keys, span, F.array(*[F.coalesce(F.col(f"_m{i}"), zero) for i in range(dim)]).alias("vec"))
 
 
 def pad_batch(df: DataFrame, batch_col: str, arr_col: str, fill=0) -> DataFrame:
@@ -455,7 +517,3 @@ def format_predictions(docs: DataFrame) -> DataFrame:
     rels = F.transform(F.array_sort(rels), lambda z: F.struct(
         z["type"].alias("type"), z["head"].alias("head"), z["tail"].alias("tail")))
     return d.withColumn("relations", rels).withColumn("entities", F.col("_se")).drop("_se")
-
-
-def mention_phrase(tokens: Column, start: Column, end: Column) -> Column:
-    return phrase(tokens, start, end)

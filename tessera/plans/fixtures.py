@@ -11,6 +11,10 @@ a sentence never leaves the task that read its document.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,21 +37,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived corpus written once as parquet into the shared checkpoint
-    folder and read back. It is an input dataset (like a converted corpus on
-    disk); reading it also stops the optimizer from inlining its array
-    expressions into later lambdas."""
-    import hashlib
-    import os
-    tag = hashlib.md5(open(__file__, "rb").read()).hexdigest()[:10]
-    # The whole input path: folders of one name do not share derived data.
-    sf = hashlib.md5(os.path.normpath(sf_dir).encode()).hexdigest()[:16]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/derived-{tag}/{sf}/{name}"
+def _state(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    """What tells changed input tables from unchanged ones: bytes, files and time of change of each."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in tables:
+        path = hadoop(os.path.join(sf_dir, f"{name}.parquet"))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        whole = fs.getContentSummary(path)
+        out.append(f"{path}:{whole.getLength()}:{whole.getFileCount()}:{fs.getFileStatus(path).getModificationTime()}")
+    return "|".join(out)
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, tables: tuple[str, ...] = ("documents",)) -> DataFrame:
+    """A corpus derived from ``tables``, written once as parquet into the shared
+    checkpoint folder and read back. It is an input dataset (like a converted
+    corpus on disk); reading it also stops the optimizer from inlining its array
+    expressions into later lambdas. It is kept by this file's text, the whole input
+    path and the state of the tables; a session that finds none writes to a folder
+    of its own and then gives it the common name, so none reads half a corpus."""
+    tag = hashlib.md5(open(__file__, "rb").read() + _state(spark, sf_dir, tables).encode()).hexdigest()[:16]
+    top = f"{checkpoint_dir(spark).rstrip('/')}/derived/{tag}"
+    path = f"{top}/{name}"
     if not _exists(spark, path + "/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+        own = f"{top}/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(own)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(own).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if _exists(spark, path) or not fs.rename(hadoop(own), hadoop(path)):
+            return spark.read.parquet(own)
     return spark.read.parquet(path)
 
+
 # Fixed values of the derived corpus (mention and relation type names).
 ENTITY_TYPES_BY_LEN_MOD4 = ["disease", "drug", "gene", "method"]
 PAIR_ENTITY_TYPE = "other"
@@ -55,15 +76,10 @@ RELATION_TYPES_BY_DIST_MOD3 = ["associated_with", "treatment_for", "hyponym_of"]
 SYMMETRIC_RELATIONS = ["associated_with"]
 
 
-#: Tokens of a sentence at most: a longer line becomes several sentences, none of it is left out.
-SENTENCE_TOKENS = 64
-
-
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, sent_no, tokens): every token of documents.text, in order. A
-    line with words is a sentence; a line of more than SENTENCE_TOKENS tokens
-    is cut into sentences of that many and a shorter last one. sent_no counts
-    the sentences of the document from 0."""
+    line with words is a sentence, whatever its length; sent_no counts the
+    sentences of the document from 0."""
     return materialized(spark, sf_dir, "sentences", lambda: _sentences(spark, sf_dir))
 
 
@@ -71,23 +87,10 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(line, r"\s+"), lambda t: t != ""))
     lines = F.filter(lines, lambda ts: F.size(ts) > 0)
-    pieces = F.transform(lines, lambda ts: F.transform(
-        F.sequence(F.lit(0), F.size(ts) - 1, F.lit(SENTENCE_TOKENS)),
-        lambda at: F.slice(ts, at + 1, SENTENCE_TOKENS)))
-    sents = docs.select("doc_id", F.posexplode(F.flatten(pieces)).alias("sent_no", "tokens"))
+    sents = docs.select("doc_id", F.posexplode(lines).alias("sent_no", "tokens"))
     return sents.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "tokens")
 
 
-def tokens_long(sents: DataFrame) -> DataFrame:
-    """(doc_id, sent_no, tok_idx, token, char_start, char_end) over the
-    canonical text (tokens joined by one space)."""
-    t = sents.select(*DOC, "tokens", F.posexplode("tokens").alias("tok_idx", "token"))
-    start = F.when(F.col("tok_idx") == 0, F.lit(0)).otherwise(
-        F.length(F.array_join(F.slice("tokens", 1, F.col("tok_idx")), " ")) + 1)
-    return t.select(*DOC, "tok_idx", "token", start.alias("char_start"),
-                    (start + F.length("token")).alias("char_end"))
-
-
 def _type_by_len(tok: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in ENTITY_TYPES_BY_LEN_MOD4]),
                         (F.length(tok) % 4 + 1).cast("int"))
@@ -220,7 +223,7 @@ def graph_tables(spark: SparkSession, sf_dir: str):
     the order, edges i -> i+1 and back, features (quantity, extendedprice,
     discount, tax), label = return flag of node 0 (A=0, N=1, R=2). Nodes are
     written once (a derived dataset); edges and labels are read from them."""
-    nodes = materialized(spark, sf_dir, "graph_nodes", lambda: _graph_nodes(spark, sf_dir))
+    nodes = materialized(spark, sf_dir, "graph_nodes", lambda: _graph_nodes(spark, sf_dir), ("lineitem",))
     fwd = nodes.filter(F.col("node") + 1 < F.col("_n")).select("graph_id", F.col("node").alias("src"),
                                                               (F.col("node") + 1).alias("dst"))
     edges = fwd.unionByName(fwd.select("graph_id", F.col("dst").alias("src"), F.col("src").alias("dst")))

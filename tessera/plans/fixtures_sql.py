@@ -18,35 +18,32 @@ SELECT doc_id, unnest(generate_series(0, len(parts) - 1)) AS sent_no, unnest(par
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)""")
 
 _cte("sents", ("lines",), r"""
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, a) - 1 AS sent_no, ts[a + 1:a + 64] AS tokens
-FROM (SELECT doc_id, line_no, ts, unnest(generate_series(0, len(ts) - 1, 64)) AS a FROM (
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS sent_no, ts AS tokens FROM (
   SELECT doc_id, sent_no AS line_no,
          list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') AS ts
-  FROM lines) WHERE len(ts) > 0)""")
+  FROM lines) WHERE len(ts) > 0""")
 
 _cte("toks", ("sents",), """
-SELECT doc_id, sent_no, tok_idx, token, tokens,
-       CAST(sum(length(token) + 1) OVER (PARTITION BY doc_id, sent_no ORDER BY tok_idx)
-            - length(token) - 1 AS INTEGER) AS char_start,
-       CAST(sum(length(token) + 1) OVER (PARTITION BY doc_id, sent_no ORDER BY tok_idx)
-            - 1 AS INTEGER) AS char_end
-FROM (SELECT doc_id, sent_no, tokens,
-             CAST(unnest(generate_series(0, len(tokens) - 1)) AS INTEGER) AS tok_idx,
-             unnest(tokens) AS token FROM sents)""")
+SELECT doc_id, sent_no, tok_idx, token, lead(token) OVER w AS nxt,
+       CAST(sum(length(token) + 1) OVER w - length(token) - 1 AS INTEGER) AS char_start,
+       CAST(sum(length(token) + 1) OVER w - 1 AS INTEGER) AS char_end
+FROM (SELECT doc_id, sent_no, CAST(unnest(generate_series(0, len(tokens) - 1)) AS INTEGER) AS tok_idx,
+             unnest(tokens) AS token FROM sents)
+WINDOW w AS (PARTITION BY doc_id, sent_no ORDER BY tok_idx)""")
 
 _TYPE_BY_LEN = ("CASE length(token) % 4 WHEN 0 THEN 'disease' WHEN 1 THEN 'drug' "
                 "WHEN 2 THEN 'gene' ELSE 'method' END")
 
 _cte("gold_m", ("toks",), f"""
-SELECT doc_id, sent_no, tok_idx AS "start", tok_idx + 1 AS "end", {_TYPE_BY_LEN} AS type
+SELECT doc_id, sent_no, tok_idx AS "start", tok_idx + 1 AS "end", {_TYPE_BY_LEN} AS type, token AS phrase
 FROM toks WHERE length(token) >= 8
 UNION ALL
-SELECT doc_id, sent_no, tok_idx, tok_idx + 2, 'other' FROM toks
-WHERE length(token) >= 9 AND tok_idx + 1 < len(tokens) AND length(tokens[tok_idx + 2]) >= 9""")
+SELECT doc_id, sent_no, tok_idx, tok_idx + 2, 'other', token || ' ' || nxt FROM toks
+WHERE length(token) >= 9 AND length(nxt) >= 9""")
 
 _cte("gold", ("gold_m",), """
 SELECT doc_id, sent_no, CAST(row_number() OVER (PARTITION BY doc_id, sent_no
-         ORDER BY "start", "end", type) - 1 AS INTEGER) AS ent_idx, type, "start", "end"
+         ORDER BY "start", "end", type) - 1 AS INTEGER) AS ent_idx, type, "start", "end", phrase
 FROM gold_m""")
 
 _cte("pred_m", ("toks",), f"""
@@ -108,7 +105,8 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    parts = ",\n".join(f"{n} AS ({_CTES[n][1]}\n)" for n in order)
+    # each derived table is made once, whatever the number of its readers and the order of joins
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({_CTES[n][1]}\n)" for n in order)
     return f"WITH {parts}\n{body}"
 
 

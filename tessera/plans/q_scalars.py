@@ -116,8 +116,7 @@ FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
         CAST(len(string_split(w, '/')) AS INTEGER) AS n_parts,
         array_to_string(list_transform(string_split(w, '/'), lambda t: CASE t WHEN 'COMMA' THEN ','
             WHEN '-LRB-' THEN '(' WHEN '-RRB-' THEN ')' ELSE t END), '|') AS parts
-      FROM (SELECT g.*, array_to_string(s.tokens[g."start" + 1:g."end"], '/') AS w
-            FROM gold g JOIN sents s USING (doc_id, sent_no)) g)""", "gold", "sents"))
+      FROM (SELECT *, replace(phrase, ' ', '/') AS w FROM gold) g)""", "gold"))
 def b5(spark, sf_dir):
     from pyspark.sql import Window
     from tessera.operators.spans import to_mentions
@@ -147,24 +146,21 @@ FROM (
                      (CASE WHEN i < len(string_split(g, ')-')) THEN [')', '-'] ELSE [] END)))
                   WHEN g = 'bisabolol-' THEN ['bisabolol', '-'] ELSE [g] END AS ps
       FROM (SELECT doc_id, sent_no, tok_idx, char_start,
-                   CASE WHEN tok_idx % 4 = 0 AND tok_idx + 1 < len(tokens)
-                        THEN token || ')-' || tokens[tok_idx + 2] ELSE token END AS g FROM toks))))
+                   CASE WHEN tok_idx % 4 = 0 AND nxt IS NOT NULL
+                        THEN token || ')-' || nxt ELSE token END AS g FROM toks))))
 GROUP BY doc_id, sent_no""", "toks"))
 def b6(spark, sf_dir):
     s = FX.sentences(spark, sf_dir)
     toks = F.col("tokens")
     # prefix offsets computed once per row, then zipped (never referenced
     # from inside another lambda, which would re-evaluate them per element)
-    lens = F.transform(toks, lambda t: F.length(t) + 1)
-    ends = F.aggregate(lens, F.array().cast("array<int>"), lambda acc, x: F.concat(
-        acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x).cast("int"))))
-    s = s.select("doc_id", "sent_no", "tokens", F.concat(F.array(F.lit("")), F.slice(toks, 2, F.size(toks))).alias("nxt"),
-                 F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(toks) - 1)).alias("starts"))
-    s = s.select("doc_id", "sent_no", F.arrays_zip(
-        "tokens", F.concat(F.slice("nxt", 2, F.size("nxt")), F.array(F.lit(""))).alias("nxt"), "starts").alias("z"))
+    ends = A.prefix_sums(F.transform(toks, lambda t: F.length(t) + 1))
+    s = s.select("doc_id", "sent_no", "tokens", F.concat(F.slice(toks, 2, F.size(toks)), F.array(F.lit(""))).alias("nxt"),
+                 F.concat(F.array(F.lit(0).cast("long")), F.slice(ends, 1, F.size(toks) - 1)).alias("starts"))
+    s = s.select("doc_id", "sent_no", F.arrays_zip("tokens", "nxt", "starts").alias("z"))
     glued = F.transform("z", lambda z, i: F.struct(
         F.when((i % 4 == 0) & (z["nxt"] != ""), F.concat(z["tokens"], F.lit(")-"), z["nxt"]))
-         .otherwise(z["tokens"]).alias("token"), z["starts"].alias("start")))
+         .otherwise(z["tokens"]).alias("token"), z["starts"].cast("int").alias("start")))
     out = X.split_glued(glued)
     return s.select("doc_id", "sent_no", F.array_join(F.transform(
         out, lambda z: F.concat(z["token"], F.lit("@"), z["start"].cast("string"))), " ").alias("pieces"))
@@ -200,11 +196,10 @@ def b7(spark, sf_dir):
 SELECT doc_id, sent_no, ent_idx, trim(t) AS text, CAST(cs + (length(t) - length(ltrim(t))) AS INTEGER) AS "start",
        CAST(ce - (length(t) - length(rtrim(t))) AS INTEGER) AS "end"
 FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
-        CASE WHEN g.ent_idx % 3 = 0 THEN ' ' || array_to_string(s.tokens[g."start" + 1:g."end"], ' ') || '  '
-             ELSE array_to_string(s.tokens[g."start" + 1:g."end"], ' ') END AS t,
+        CASE WHEN g.ent_idx % 3 = 0 THEN ' ' || g.phrase || '  ' ELSE g.phrase END AS t,
         CASE WHEN g.ent_idx % 3 = 0 THEN 100 - 1 ELSE 100 END AS cs,
         CASE WHEN g.ent_idx % 3 = 0 THEN 200 + 2 ELSE 200 END AS ce
-      FROM gold g JOIN sents s USING (doc_id, sent_no))""", "gold", "sents"))
+      FROM gold g)""", "gold"))
 def b8(spark, sf_dir):
     from tessera.operators.spans import to_mentions
     m = to_mentions(FX.gold_docs(spark, sf_dir), FX.DOC, with_tokens=True)
@@ -225,8 +220,7 @@ def b9(spark, sf_dir):
 
 
 @query("b10_phrase", with_ctes("""
-SELECT g.doc_id, g.sent_no, g.ent_idx, array_to_string(s.tokens[g."start" + 1:g."end"], ' ') AS phrase
-FROM gold g JOIN sents s USING (doc_id, sent_no)""", "gold", "sents"))
+SELECT doc_id, sent_no, ent_idx, phrase FROM gold""", "gold"))
 def b10(spark, sf_dir):
     from tessera.operators.spans import to_mentions
     m = to_mentions(FX.gold_docs(spark, sf_dir), FX.DOC, with_tokens=True)

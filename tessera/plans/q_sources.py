@@ -4,15 +4,13 @@ reads it back with the reader under test."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from tessera.operators import spans as S
 from tessera.plans import fixtures as FX
 from tessera.plans.fixtures_sql import with_ctes
 from tessera.plans.registry import query
-from tessera.session import checkpoint_dir, table
+from tessera.session import table
 from tessera.sources import readers as RD
 from tessera.sources import writers as WR
 
@@ -20,7 +18,7 @@ DOC = FX.DOC
 
 
 def _dir(spark, sf, name):
-    return os.path.join(checkpoint_dir(spark), "sources", os.path.basename(os.path.normpath(sf)), name)
+    return RD.new_folder(spark, sf, name)
 
 
 def _m1(spark, sf):
@@ -93,12 +91,14 @@ def a4(spark, sf):
 
 
 @query("a6_read_pipe_relations", with_ctes("""
-SELECT CAST(doc_id AS VARCHAR) AS doc, replace(array_to_string(tokens, ' '), '|', '/') AS sentence, trim(eff) AS effect,
+SELECT CAST(doc_id AS VARCHAR) AS doc, sentence, trim(eff) AS effect,
        CAST(hs AS INTEGER) AS e_start, CAST(he AS INTEGER) AS e_end, trim(drg) AS drug,
        CAST(ts_ AS INTEGER) AS d_start, CAST(te AS INTEGER) AS d_end FROM (
-  SELECT r.doc_id, s.tokens, r.hs, r.he, r.ts_, r.te, replace(array_to_string(s.tokens[r.hs + 1:r.he], ' '), '|', '/') AS eff,
-         replace(array_to_string(s.tokens[r.ts_ + 1:r.te], ' '), '|', '/') AS drg
-  FROM gold_relx r JOIN sents s USING (doc_id, sent_no))""", "gold_relx", "sents"))
+  SELECT r.doc_id, s.sentence, r.hs, r.he, r.ts_, r.te, replace(h.phrase, '|', '/') AS eff, replace(t.phrase, '|', '/') AS drg
+  FROM gold_relx r JOIN gold h ON h.doc_id = r.doc_id AND h.sent_no = r.sent_no AND h.ent_idx = r.head
+  JOIN gold t ON t.doc_id = r.doc_id AND t.sent_no = r.sent_no AND t.ent_idx = r.tail
+  JOIN (SELECT doc_id, sent_no, replace(array_to_string(tokens, ' '), '|', '/') AS sentence FROM sents) s
+    ON s.doc_id = r.doc_id AND s.sent_no = r.sent_no)""", "gold_relx", "gold", "sents"))
 def a6(spark, sf):
     p = _dir(spark, sf, "a6")
     r = S.relations_with_spans(FX.gold_docs(spark, sf), DOC).join(FX.sentences(spark, sf), DOC)
@@ -238,24 +238,15 @@ def a16(spark, sf):
 SELECT event_type AS label, CAST(day(ts) AS INTEGER) AS epoch, round(avg(value), 6) AS metric, 'run1' AS run FROM events GROUP BY ALL
 UNION ALL SELECT event_type, CAST(day(ts) AS INTEGER), round(avg(value), 6), 'run2' FROM events GROUP BY ALL""")
 def a17(spark, sf):
-    p = _dir(spark, sf, "a17") + "-" + str(os.getpid())
+    p = _dir(spark, sf, "a17")
     ev = table(spark, sf, "events")
     h = ev.groupBy(F.col("event_type").alias("label"), F.dayofmonth("ts").alias("epoch")).agg(
         F.round(F.avg("value"), 6).alias("metric"))
-    _clear(spark, p)
     WR.append_metrics(h.withColumn("run", F.lit("run1")), p)
     WR.append_metrics(h.withColumn("run", F.lit("run2")), p)
     return spark.read.parquet(p).select("label", "epoch", "metric", "run")
 
 
-def _clear(spark, path):
-    jvm = spark.sparkContext._jvm
-    pth = jvm.org.apache.hadoop.fs.Path(path)
-    fs = pth.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(pth):
-        fs.delete(pth, True)
-
-
 _TAGS = ["click", "error", "purchase", "signup", "view"]
 
 

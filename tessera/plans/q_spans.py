@@ -13,6 +13,7 @@ from tessera.plans import fixtures as FX
 from tessera.plans.fixtures_sql import with_ctes
 from tessera.plans.registry import query
 from tessera.session import table
+from tessera.sources import readers as RD
 
 DOC = FX.DOC
 
@@ -21,14 +22,6 @@ def _gold(spark, sf):
     return FX.gold_docs(spark, sf)
 
 
-def _char_offsets(m):
-    """char_start / char_end of a mention over the canonical sentence text."""
-    cs = F.when(F.col("start") == 0, F.lit(0)).otherwise(
-        F.length(F.array_join(F.slice("tokens", 1, F.col("start")), " ")) + 1)
-    ce = F.length(F.array_join(F.slice("tokens", 1, F.col("end")), " "))
-    return m.withColumn("char_start", cs.cast("int")).withColumn("char_end", ce.cast("int"))
-
-
 @query("c1_tokenize", with_ctes(
     "SELECT doc_id, sent_no, tok_idx, token, char_start, char_end FROM toks", "toks"))
 def c1(spark, sf):
@@ -48,27 +41,16 @@ FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
 JOIN toks t ON t.doc_id = m.doc_id AND t.sent_no = m.sent_no
 GROUP BY m.doc_id, m.sent_no, m.ent_idx""", "gold", "toks"))
 def c2(spark, sf):
-    # one 1:1 sentence-level join brings the token offsets into the document
-    # row; mentions are exploded with them, so alignment needs no second join
-    d = FX.gold_docs(spark, sf).join(sentence_offsets(spark, sf), DOC)
+    d = S.with_offsets(_gold(spark, sf))
+    t = S.explode_rows(d.withColumn("z", F.arrays_zip("starts", "ends")), DOC, "z", "tok_idx", "t")
+    t = t.select(*DOC, "tok_idx", F.col("t.starts").alias("char_start"), F.col("t.ends").alias("char_end"))
     m = S.explode_rows(d, [*DOC, "starts", "ends"], "entities", "ent_idx", "e")
     shift_s = F.when((F.col("ent_idx") % 5 == 4) & (F.col("e.start") > 0), 1).otherwise(0)
     shift_e = F.when(F.col("ent_idx") % 7 == 6, 1).otherwise(0)
-    m = m.select(*DOC, F.col("ent_idx").cast("int").alias("ent_idx"), "starts", "ends",
+    m = m.select(*DOC, F.col("ent_idx").cast("int").alias("ent_idx"),
                  (F.element_at("starts", F.col("e.start") + 1) - shift_s).alias("char_start"),
                  (F.element_at("ends", F.col("e.end")) + shift_e).alias("char_end"))
-    return S.align_spans(m, None, DOC).select(*DOC, "ent_idx", "tok_start", "tok_end")
-
-
-def sentence_offsets(spark, sf):
-    """Token char offsets over the canonical sentence text, computed inside
-    each sentence row (bounded by FX.SENTENCE_TOKENS)."""
-    s = FX.sentences(spark, sf)
-    ends = A.prefix_sums(F.transform("tokens", lambda t: F.length(t) + 1))
-    s = s.select(*DOC, "tokens", ends.alias("_e"))
-    z = F.arrays_zip(F.col("tokens").alias("t"), F.col("_e").alias("e"))
-    return s.select(*DOC, F.transform(z, lambda x: (x["e"] - F.length(x["t"]) - 1).cast("int")).alias("starts"),
-                    F.transform(z, lambda x: (x["e"] - 1).cast("int")).alias("ends"))
+    return S.align_spans(m, t, DOC, "ent_idx")
 
 
 @query("c3_resolve_args", with_ctes("""
@@ -142,15 +124,19 @@ def c5(spark, sf):
     return S.assign_sentence_ids(lines).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "sent_id")
 
 
-@query("c6_find_phrase", with_ctes("""
-SELECT g.doc_id, g.sent_no, g.ent_idx, CAST(i AS INTEGER) AS occ
-FROM gold g JOIN sents s USING (doc_id, sent_no),
-     LATERAL (SELECT unnest(generate_series(0, len(s.tokens) - (g."end" - g."start"))) AS i) p
-WHERE s.tokens[i + 1:i + (g."end" - g."start")] = s.tokens[g."start" + 1:g."end"]""", "gold", "sents"))
+#: Windows of one and two tokens: the phrases of the gold mentions are as long.
+OCC_SQL = """(SELECT doc_id, sent_no, 1 AS size, tok_idx AS occ, token AS phrase, char_start AS cs, char_end AS ce FROM toks
+  UNION ALL SELECT doc_id, sent_no, 2, tok_idx, token || ' ' || nxt, char_start, char_end + 1 + length(nxt) FROM toks WHERE nxt IS NOT NULL)"""
+
+
+@query("c6_find_phrase", with_ctes(f"""
+SELECT g.doc_id, g.sent_no, g.ent_idx, o.occ FROM gold g JOIN {OCC_SQL} o
+  ON o.doc_id = g.doc_id AND o.sent_no = g.sent_no AND o.size = g."end" - g."start" AND o.phrase = g.phrase""", "gold", "toks"))
 def c6(spark, sf):
-    m = S.to_mentions(_gold(spark, sf), DOC, with_tokens=True)
-    ph = F.slice("tokens", F.col("start") + 1, F.col("end") - F.col("start"))
-    return m.select(*DOC, "ent_idx", F.explode(S.find_phrase(F.col("tokens"), ph)).alias("occ"))
+    d = _gold(spark, sf)
+    m = S.to_mentions(d, DOC, with_tokens=True)
+    m = m.select(*DOC, "ent_idx", (F.col("end") - F.col("start")).alias("size"), X.phrase("tokens", "start", "end").alias("phrase"))
+    return S.find_phrases(d, m, DOC).select(*DOC, "ent_idx", "occ")
 
 
 @query("c8_collect_annotations", with_ctes("""
@@ -184,32 +170,85 @@ def c9(spark, sf):
     return S.conll_relations(ents, rels, DOC).select(*DOC, "rel_idx", "head", "tail")
 
 
-def _pieces(t):
-    return F.regexp_extract_all(t, F.lit("(.{1,4})"), 1)
-
-
-@query("c10_encode_subwords", with_ctes("""
-SELECT doc_id, sent_no, tok_idx,
-  CAST(1 + sum(n) OVER w - n AS INTEGER) AS sub_start, CAST(1 + sum(n) OVER w AS INTEGER) AS sub_end,
-  CAST(2 + sum(n) OVER (PARTITION BY doc_id, sent_no) AS INTEGER) AS enc_len
-FROM (SELECT doc_id, sent_no, tok_idx, CAST(ceil(length(token) / 4) AS INTEGER) AS n FROM toks)
-WINDOW w AS (PARTITION BY doc_id, sent_no ORDER BY tok_idx)""", "toks"))
+#: Occurrences from which a string becomes a piece of the corpus's vocabulary.
+PIECE_COUNT = 20
+SPECIAL_PIECES = ["[PAD]", S.UNKNOWN_PIECE, S.FIRST_PIECE, S.LAST_PIECE]
+
+
+def subword_vocab(spark, sf):
+    """A vocabulary file of the corpus, written and read back: frequent short words, fronts of words of up to
+    four characters, ends of up to four and single inner characters (marked), after the special pieces."""
+    words = FX.sentences(spark, sf).select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    n = F.length("t")
+    four = F.sequence(F.lit(1), F.lit(4))
+    front = F.transform(F.filter(four, lambda k: k <= n), lambda k: F.substring(F.col("t"), F.lit(1), k))
+    back = F.transform(F.filter(four, lambda k: k < n), lambda k: F.concat(F.lit(S.INSIDE), F.right(F.col("t"), k)))
+    inner = F.transform(F.slice(F.split("t", ""), 2, 1 << 30), lambda c: F.concat(F.lit(S.INSIDE), c))
+    whole = F.when(n <= 12, F.array("t")).otherwise(F.array().cast("array<string>"))
+    pieces = words.select(F.explode(F.concat(whole, front, back, inner)).alias("piece"), "n")
+    pieces = pieces.groupBy("piece").agg(F.sum("n").alias("n")).filter((F.col("n") >= PIECE_COUNT) & ~F.col("piece").isin(*SPECIAL_PIECES))
+    listed = F.concat(F.array(*[F.lit(x) for x in SPECIAL_PIECES]), F.sort_array(F.collect_list("piece")))
+    path = RD.new_folder(spark, sf, "vocab")
+    pieces.agg(F.array_join(listed, "\n").alias("value")).write.text(path)   # a vocabulary: one file
+    return RD.read_vocab(spark, path)
+
+
+VOCAB_SQL = f"""
+wc AS MATERIALIZED (SELECT token, count(*) AS n FROM toks GROUP BY token),
+ps AS (SELECT token AS piece, n FROM wc WHERE length(token) <= 12
+  UNION ALL SELECT substr(token, 1, k), n FROM wc, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k <= length(token)
+  UNION ALL SELECT '##' || right(token, k), n FROM wc, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < length(token)
+  UNION ALL SELECT '##' || substr(token, i, 1), n FROM (SELECT token, n, unnest(generate_series(2, length(token))) AS i FROM wc)),
+vocab AS MATERIALIZED (SELECT piece, row_number() OVER (ORDER BY piece) + {len(SPECIAL_PIECES)} - 1 AS idx FROM (
+  SELECT piece FROM ps WHERE piece NOT IN ('[PAD]', '[UNK]', '[CLS]', '[SEP]') GROUP BY piece HAVING sum(n) >= {PIECE_COUNT})
+  UNION ALL SELECT unnest(['[PAD]', '[UNK]', '[CLS]', '[SEP]']), unnest([0, 1, 2, 3])),
+best AS MATERIALIZED (SELECT token, p, max(k) AS k FROM (
+  SELECT token, p, unnest(generate_series(1, least(12, length(token) - p))) AS k FROM (
+    SELECT token, unnest(generate_series(0, length(token) - 1)) AS p FROM wc WHERE length(token) <= 100)) x
+  JOIN vocab ON vocab.piece = CASE WHEN p > 0 THEN '##' ELSE '' END || substr(token, p + 1, k) GROUP BY ALL),
+seg AS (SELECT token, 0 AS at, 0 AS no, 0 AS k FROM wc WHERE length(token) <= 100
+  UNION ALL SELECT s.token, CAST(s.at + b.k AS INTEGER), s.no + 1, CAST(b.k AS INTEGER) FROM seg s JOIN best b ON b.token = s.token AND b.p = s.at),
+split AS MATERIALIZED (SELECT s.token, list(v.piece ORDER BY no) AS pieces, list(v.idx ORDER BY no) AS ids FROM seg s JOIN vocab v
+  ON v.piece = CASE WHEN s.at - s.k > 0 THEN '##' ELSE '' END || substr(s.token, s.at - s.k + 1, s.k)
+  WHERE s.no > 0 GROUP BY s.token HAVING max(s.at) = length(s.token)),
+enc AS MATERIALIZED (SELECT t.doc_id, t.sent_no, t.tok_idx, coalesce(w.pieces, ['[UNK]']) AS pieces, coalesce(w.ids, [1]) AS ids
+  FROM toks t LEFT JOIN split w USING (token)),
+encoded AS MATERIALIZED (SELECT doc_id, sent_no, tok_idx, array_to_string(pieces, ' ') AS pieces, array_to_string(ids, ',') AS ids,
+  CAST(1 + sum(len(ids)) OVER w - len(ids) AS INTEGER) AS sub_start, CAST(1 + sum(len(ids)) OVER w AS INTEGER) AS sub_end,
+  CAST(2 + sum(len(ids)) OVER (PARTITION BY doc_id, sent_no) AS INTEGER) AS enc_len
+  FROM enc WINDOW w AS (PARTITION BY doc_id, sent_no ORDER BY tok_idx))"""
+
+
+def _with_vocab(body, *names):
+    base = with_ctes("SELECT 1", *names)
+    return base[:base.rindex("\nSELECT 1")].replace("WITH ", "WITH RECURSIVE ", 1) + "," + VOCAB_SQL + "\n" + body
+
+
+def _encoded(spark, sf, vocab):
+    t = S.explode_rows(FX.sentences(spark, sf), DOC, "tokens", "tok_idx", "token")
+    return S.encode_subwords(t.withColumn("tok_idx", F.col("tok_idx").cast("int")), vocab, DOC)
+
+
+@query("c10_encode_subwords", _with_vocab("SELECT * FROM encoded", "toks"))
 def c10(spark, sf):
-    e = S.encode_subwords(FX.sentences(spark, sf), _pieces)
-    x = S.explode_rows(e.withColumn("enc_len", F.size("encoding").cast("int")), [*DOC, "enc_len"], "spans", "tok_idx", "sp")
-    return x.select(*DOC, F.col("tok_idx").cast("int").alias("tok_idx"), "sp.sub_start", "sp.sub_end", "enc_len")
+    vocab = subword_vocab(spark, sf)
+    e = _encoded(spark, sf, vocab)
+    whole = S.encodings(e, vocab, DOC).select(*DOC, F.size("encoding").alias("enc_len"))
+    return e.join(whole, DOC).select(*DOC, "tok_idx", F.array_join("pieces", " ").alias("pieces"),
+                                     F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), "sub_start", "sub_end", "enc_len")
 
 
-@query("c11_decode_spans", with_ctes('SELECT doc_id, sent_no, ent_idx, "start", "end" FROM gold', "gold"))
+@query("c11_decode_spans", _with_vocab("""
+SELECT g.doc_id, g.sent_no, g.ent_idx, a.sub_start, b.sub_end, g."start", g."end" FROM gold g
+JOIN encoded a ON a.doc_id = g.doc_id AND a.sent_no = g.sent_no AND a.tok_idx = g."start"
+JOIN encoded b ON b.doc_id = g.doc_id AND b.sent_no = g.sent_no AND b.tok_idx = g."end" - 1""", "gold"))
 def c11(spark, sf):
-    d = S.encode_subwords(_gold(spark, sf), _pieces)
-    ts = S.explode_rows(d, DOC, "spans", "tok_idx", "sp").select(
-        *DOC, F.col("tok_idx").cast("int").alias("tok_idx"), "sp.sub_start", "sp.sub_end")
-    m = S.explode_rows(d, [*DOC, "spans"], "entities", "ent_idx", "e")
-    m = m.select(*DOC, F.col("ent_idx").cast("int").alias("ent_idx"),
-                 F.element_at("spans", F.col("e.start") + 1)["sub_start"].alias("sub_start"),
-                 F.element_at("spans", F.col("e.end"))["sub_end"].alias("sub_end"))
-    return S.decode_spans(m, ts, DOC).select(*DOC, "ent_idx", "start", "end")
+    """Sub-word spans of the gold mentions, and back to tokens."""
+    e = _encoded(spark, sf, subword_vocab(spark, sf))
+    m = S.to_mentions(_gold(spark, sf), DOC).select(*DOC, "ent_idx", F.col("start").alias("first"), (F.col("end") - 1).alias("last"))
+    m = m.join(e.select(*DOC, F.col("tok_idx").alias("first"), "sub_start"), [*DOC, "first"])
+    m = m.join(e.select(*DOC, F.col("tok_idx").alias("last"), "sub_end"), [*DOC, "last"]).drop("first", "last")
+    return S.decode_spans(m, e, DOC).select(*DOC, "ent_idx", "sub_start", "sub_end", "start", "end")
 
 
 def relation_types(spark, sf):
@@ -235,18 +274,16 @@ def c12(spark, sf):
 
 
 SPANS_SQL = """
-SELECT doc_id, sent_no, tokens, sz, i FROM sents,
-  LATERAL (SELECT unnest(generate_series(1, least(10, len(tokens)))) AS sz) a,
-  LATERAL (SELECT unnest(generate_series(0, len(tokens) - sz)) AS i) b"""
+SELECT doc_id, sent_no, sz, unnest(generate_series(0, n - sz)) AS i FROM (
+  SELECT doc_id, sent_no, len(tokens) AS n, unnest(generate_series(1, least(10, len(tokens)))) AS sz FROM sents)"""
 
 
 @query("c13_enumerate_spans", with_ctes(f"""
 SELECT doc_id, sent_no, count(*) AS n_spans, CAST(sum(i * 100 + sz) AS BIGINT) AS checksum
 FROM ({SPANS_SQL}) GROUP BY doc_id, sent_no""", "sents"))
 def c13(spark, sf):
-    d = S.enumerate_spans(FX.sentences(spark, sf), 10)
-    return d.select(*DOC, F.size("spans").cast("long").alias("n_spans"),
-                    F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["start"] * 100 + s["size"]).alias("checksum"))
+    d = S.enumerate_spans(FX.sentences(spark, sf), DOC, 10)
+    return d.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("start") * 100 + F.col("size")).alias("checksum"))
 
 
 NEG_SQL = f"""
@@ -259,10 +296,8 @@ WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.doc_id = c.doc_id AND g.sent_no =
 SELECT doc_id, sent_no, count(*) AS n_neg, CAST(sum("start" * 100 + "end") AS BIGINT) AS checksum FROM ({NEG_SQL}) GROUP BY ALL""",
     "sents", "gold"))
 def c14(spark, sf):
-    d = S.negative_spans(_gold(spark, sf), 10)
-    d = d.filter(F.size("neg_spans") > 0)
-    return d.select(*DOC, F.size("neg_spans").cast("long").alias("n_neg"),
-                    F.aggregate("neg_spans", F.lit(0).cast("long"), lambda a, s: a + s["start"] * 100 + s["end"]).alias("checksum"))
+    d = S.negative_spans(_gold(spark, sf), DOC, 10)
+    return d.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_neg"), F.sum(F.col("start") * 100 + F.col("end")).alias("checksum"))
 
 
 @query("c15_sample_per_group", with_ctes(f"""
@@ -271,10 +306,8 @@ SELECT doc_id, sent_no, CAST("start" AS INTEGER) AS "start", CAST("end" AS INTEG
            ORDER BY md5('neg7:' || CAST("start" AS VARCHAR) || ':' || CAST("end" AS VARCHAR))) AS rn
   FROM ({NEG_SQL})) WHERE rn <= 8""", "sents", "gold"))
 def c15(spark, sf):
-    d = S.negative_spans(_gold(spark, sf), 10)
-    key = lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))
-    d = d.select(*DOC, F.explode(S.sample_array(F.col("neg_spans"), 8, "neg7:", key)).alias("s"))
-    return d.select(*DOC, "s.start", "s.end")
+    d = S.negative_spans(_gold(spark, sf), DOC, 10)
+    return S.sample_per_group(d, DOC, 8, "neg7:", F.concat_ws(":", "start", "end")).select(*DOC, "start", "end")
 
 
 @query("c16_relation_targets", with_ctes("""
@@ -305,19 +338,19 @@ WHERE NOT EXISTS (SELECT 1 FROM gold_relx r WHERE r.doc_id = a.doc_id AND r.sent
    AND r.hs = a."start" AND r.he = a."end" AND r.ts_ = b."start" AND r.te = b."end")
 GROUP BY ALL""", "gold", "gold_relx"))
 def c17(spark, sf):
-    d = _gold(spark, sf).select(*DOC, S.negative_pairs(_gold(spark, sf)).alias("p"))
-    d = d.filter(F.size("p") > 0)
-    return d.select(*DOC, F.size("p").cast("long").alias("n_neg"),
-                    F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["s1"] * 1000 + x["s2"]).alias("checksum"))
+    p = S.negative_pairs(_gold(spark, sf), DOC)
+    return p.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_neg"), F.sum(F.col("s1") * 1000 + F.col("s2")).alias("checksum"))
 
 
 @query("c18_candidate_pairs", with_ctes("""
-SELECT s.doc_id, s.sent_no, CAST(coalesce(n * (n - 1), 0) AS BIGINT) AS n_pairs, coalesce(n, 0) >= 2 AS has_pairs
-FROM sents s LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM pred GROUP BY ALL) p USING (doc_id, sent_no)""",
-    "sents", "pred"))
+SELECT s.doc_id, s.sent_no, coalesce(p.n_pairs, 0) AS n_pairs, coalesce(p.checksum, 0) AS checksum, p.doc_id IS NOT NULL AS has_pairs
+FROM sents s LEFT JOIN (SELECT a.doc_id, a.sent_no, count(*) AS n_pairs, CAST(sum(a.ent_idx * 1000 + b.ent_idx) AS BIGINT) AS checksum
+  FROM pred a JOIN pred b ON a.doc_id = b.doc_id AND a.sent_no = b.sent_no AND a.ent_idx <> b.ent_idx GROUP BY ALL) p
+ON p.doc_id = s.doc_id AND p.sent_no = s.sent_no""", "sents", "pred"))
 def c18(spark, sf):
-    d = FX.pred_docs(spark, sf).select(*DOC, S.candidate_pairs(F.col("entities")).alias("p"))
-    return d.select(*DOC, F.size("p").cast("long").alias("n_pairs"), (F.size("p") > 0).alias("has_pairs"))
+    d = FX.pred_docs(spark, sf)
+    p = S.candidate_pairs(d, DOC).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(F.col("i") * 1000 + F.col("j")).alias("checksum"))
+    return d.select(*DOC).join(p.withColumn("has_pairs", F.lit(True)), DOC, "left").fillna(0, ["n_pairs", "checksum"]).fillna(False, ["has_pairs"])
 
 
 @query("c19_between_span", with_ctes("""
@@ -333,13 +366,13 @@ def c19(spark, sf):
 
 
 @query("c20_span_mask", with_ctes("""
-SELECT g.doc_id, g.sent_no, g.ent_idx, array_to_string(list_transform(generate_series(0, len(s.tokens) - 1),
-  lambda i: CASE WHEN i >= g."start" AND i < g."end" THEN '1' ELSE '0' END), '') AS mask
+SELECT g.doc_id, g.sent_no, g.ent_idx, repeat('0', g."start") || repeat('1', g."end" - g."start") || repeat('0', len(s.tokens) - g."end") AS mask
 FROM gold g JOIN sents s USING (doc_id, sent_no)""", "gold", "sents"))
 def c20(spark, sf):
     m = S.to_mentions(_gold(spark, sf), DOC, with_tokens=True)
     mask = A.span_mask(F.col("start"), F.col("end"), F.size("tokens"))
-    return m.select(*DOC, "ent_idx", F.array_join(F.transform(mask, lambda b: F.when(b, "1").otherwise("0")), "").alias("mask"))
+    shown = F.array_join(mask.cast("array<string>"), "")
+    return m.select(*DOC, "ent_idx", F.replace(F.replace(shown, F.lit("true"), F.lit("1")), F.lit("false"), F.lit("0")).alias("mask"))
 
 
 @query("c21_span_max_pool", with_ctes("""
@@ -351,15 +384,12 @@ LEFT JOIN (SELECT doc_id, sent_no, tok_idx, CAST(length(token) AS DOUBLE) AS len
 GROUP BY r.doc_id, r.sent_no, r.rel_idx""", "gold_relx", "toks"))
 def c21(spark, sf):
     d = _gold(spark, sf)
-    d = d.withColumn("vec", F.transform("tokens", lambda t, i: F.array(
-        F.length(t).cast("double"), i.cast("double"), (F.length(t) % 5).cast("double"))))
-    r = S.explode_rows(d, [*DOC, "vec", "entities"], "relations", "rel_idx", "r")
-    h = F.element_at("entities", F.col("r.head") + 1)
-    t = F.element_at("entities", F.col("r.tail") + 1)
-    b = A.between_span(h["start"], h["end"], t["start"], t["end"])
-    r = r.select(*DOC, F.col("rel_idx").cast("int").alias("rel_idx"), "vec", b.alias("b"))
-    p = r.select(*DOC, "rel_idx", S.span_max_pool(F.col("vec"), F.col("b.start"), F.col("b.end"), 3).alias("m"))
-    return p.select(*DOC, "rel_idx", *[F.element_at("m", i + 1).alias(f"m{i}") for i in range(3)])
+    t = S.explode_rows(d, DOC, "tokens", "pos", "t")
+    t = t.select(*DOC, "pos", F.array(F.length("t").cast("double"), F.col("pos").cast("double"), (F.length("t") % 5).cast("double")).alias("vec"))
+    r = S.relations_with_spans(d, DOC)
+    b = A.between_span("hs", "he", "ts_", "te")
+    p = S.span_max_pool(r.select(*DOC, "rel_idx", b["start"].alias("start"), b["end"].alias("end")), t, DOC, "rel_idx", 3)
+    return p.select(*DOC, "rel_idx", *[F.element_at("vec", i + 1).alias(f"m{i}") for i in range(3)])
 
 
 @query("c22_pad_batch", with_ctes("""
@@ -437,44 +467,38 @@ def _c7_lines(spark, sf):
     """Annotation lines from gold relations: head / tail token lists and the
     signed char gap; every 4th relation line appears twice (a repeated line
     must take the next matching pair)."""
-    d = FX.gold_docs(spark, sf)
-    r = S.relations_with_spans(d, DOC).join(sentence_offsets(spark, sf), DOC).join(FX.sentences(spark, sf), DOC)
-    gap = F.element_at("starts", F.col("ts_") + 1) - F.element_at("ends", F.col("he"))
-    base = r.select(*DOC, "tokens", "starts", F.slice("tokens", F.col("hs") + 1, F.col("he") - F.col("hs")).alias("head_toks"),
-                    F.slice("tokens", F.col("ts_") + 1, F.col("te") - F.col("ts_")).alias("tail_toks"),
-                    gap.alias("gap"), "rel_idx")
+    d = S.with_offsets(_gold(spark, sf))
+    r = S.explode_rows(d, [*DOC, "tokens", "entities", "starts", "ends"], "relations", "rel_idx", "r")
+    h, t = F.element_at("entities", F.col("r.head") + 1), F.element_at("entities", F.col("r.tail") + 1)
+    words = lambda e: F.slice("tokens", e["start"] + 1, e["end"] - e["start"])
+    gap = F.element_at("starts", t["start"] + 1) - F.element_at("ends", h["end"])
+    base = r.select(*DOC, words(h).alias("head_toks"), words(t).alias("tail_toks"), gap.alias("gap"), F.col("rel_idx").cast("int").alias("rel_idx"))
     rep = base.filter(F.col("rel_idx") % 4 == 0)
     return base.withColumn("line_no", F.col("rel_idx") * 2).unionByName(
         rep.withColumn("line_no", F.col("rel_idx") * 2 + 1)).drop("rel_idx")
 
 
-# DuckDB needs minutes for the list-keyed joins of this oracle on whole
-# tables, so c7 is checked rows-only; C7_SQL documents the intended semantics.
-C7_SQL = with_ctes("""
-, lines0 AS (SELECT r.doc_id, r.sent_no, r.rel_idx * 2 AS line_no, s.tokens[r.hs + 1:r.he] AS ht, s.tokens[r.ts_ + 1:r.te] AS tt,
-                   tt_.char_start - th.char_end AS gap, s.tokens
-            FROM gold_relx r JOIN sents s USING (doc_id, sent_no)
-            JOIN toks tt_ ON tt_.doc_id = r.doc_id AND tt_.sent_no = r.sent_no AND tt_.tok_idx = r.ts_
-            JOIN toks th ON th.doc_id = r.doc_id AND th.sent_no = r.sent_no AND th.tok_idx = r.he - 1),
-alines AS (SELECT * FROM lines0 UNION ALL SELECT doc_id, sent_no, line_no + 1, ht, tt, gap, tokens FROM lines0 WHERE (line_no // 2) % 4 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_no, ht, tt, gap ORDER BY line_no) AS n FROM alines),
-grp AS (SELECT DISTINCT doc_id, sent_no, ht, tt, gap, tokens FROM alines),
-hocc AS (SELECT g.*, i AS h FROM grp g, LATERAL (SELECT unnest(generate_series(0, len(g.tokens) - len(g.ht))) AS i) x
-         WHERE g.tokens[i + 1:i + len(g.ht)] = g.ht),
-pairs AS (SELECT h.doc_id, h.sent_no, h.ht, h.tt, h.gap, h.h, j AS t FROM hocc h,
-          LATERAL (SELECT unnest(generate_series(0, len(h.tokens) - len(h.tt))) AS j) y
-          WHERE h.tokens[j + 1:j + len(h.tt)] = h.tt),
-pairs2 AS (SELECT p.*, a.char_start - b.char_end AS g2 FROM pairs p
-           JOIN toks a ON a.doc_id = p.doc_id AND a.sent_no = p.sent_no AND a.tok_idx = p.t
-           JOIN toks b ON b.doc_id = p.doc_id AND b.sent_no = p.sent_no AND b.tok_idx = p.h + len(p.ht) - 1),
-good AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_no, ht, tt, gap ORDER BY h, t) AS n FROM pairs2 WHERE g2 = gap)
-SELECT r.doc_id, r.sent_no, r.line_no, g.h AS head_start, g.h + len(r.ht) AS head_end, g.t AS tail_start, g.t + len(r.tt) AS tail_end
-FROM ranked r LEFT JOIN good g ON g.doc_id = r.doc_id AND g.sent_no = r.sent_no AND g.ht = r.ht AND g.tt = r.tt
- AND g.gap = r.gap AND g.n = r.n""", "gold_relx", "sents", "toks")
-
-
-@query("c7_match_pairs")
+_LINES = """SELECT r.doc_id, r.sent_no, r.rel_idx * 2 AS line_no, h.phrase AS ht, t.phrase AS tt, h."end" - h."start" AS hk, t."end" - t."start" AS tk,
+    a.char_start - b.char_end AS gap
+  FROM gold_relx r JOIN gold h ON h.doc_id = r.doc_id AND h.sent_no = r.sent_no AND h.ent_idx = r.head
+  JOIN gold t ON t.doc_id = r.doc_id AND t.sent_no = r.sent_no AND t.ent_idx = r.tail
+  JOIN toks a ON a.doc_id = r.doc_id AND a.sent_no = r.sent_no AND a.tok_idx = r.ts_
+  JOIN toks b ON b.doc_id = r.doc_id AND b.sent_no = r.sent_no AND b.tok_idx = r.he - 1"""
+_GROUP = "doc_id, sent_no, ht, hk, tt, tk, gap"
+
+
+@query("c7_match_pairs", with_ctes(f"""
+, lines0 AS MATERIALIZED ({_LINES}), occ AS MATERIALIZED (SELECT * FROM {OCC_SQL}),
+alines AS (SELECT * FROM lines0 UNION ALL SELECT * REPLACE (line_no + 1 AS line_no) FROM lines0 WHERE (line_no // 2) % 4 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {_GROUP} ORDER BY line_no) AS n FROM alines),
+found AS (SELECT {", ".join("g." + c.strip() for c in _GROUP.split(","))}, h.occ AS h, t.occ AS t, row_number() OVER (PARTITION BY
+    {", ".join("g." + c.strip() for c in _GROUP.split(","))} ORDER BY h.occ, t.occ) AS n
+  FROM (SELECT DISTINCT {_GROUP} FROM alines) g
+  JOIN occ h ON h.doc_id = g.doc_id AND h.sent_no = g.sent_no AND h.size = g.hk AND h.phrase = g.ht
+  JOIN occ t ON t.doc_id = g.doc_id AND t.sent_no = g.sent_no AND t.size = g.tk AND t.phrase = g.tt AND t.cs = h.ce + g.gap)
+SELECT r.doc_id, r.sent_no, r.line_no, f.h AS head_start, f.h + r.hk AS head_end, f.t AS tail_start, f.t + r.tk AS tail_end
+FROM ranked r LEFT JOIN found f USING ({_GROUP}, n)""", "gold_relx", "gold", "toks").replace("\n\n, lines0", ", lines0"))
 def c7(spark, sf):
-    out = S.match_pairs(_c7_lines(spark, sf), DOC, "line_no")
+    out = S.match_pairs(_c7_lines(spark, sf), _gold(spark, sf), DOC, "line_no")
     return out.select(*DOC, "line_no", *[F.col(c).cast("long").alias(c) for c in
                                           ("head_start", "head_end", "tail_start", "tail_end")])

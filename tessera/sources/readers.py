@@ -6,9 +6,21 @@ splittable); everything after the read is partitioned normally.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def new_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder of its own below the session's shared one, for files made from the tables of ``sf_dir``: by a hash of the
+    whole path and a number never used before, so no other input or session writes to what a lazy frame still reads."""
+    from tessera.session import checkpoint_dir
+    sf = hashlib.md5(os.path.normpath(sf_dir).encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/sources/{sf}/{name}-{uuid.uuid4().hex}"
+
+
 DOC_SCHEMA = ("tokens array<string>, entities array<struct<type:string,start:int,end:int>>, "
               "relations array<struct<type:string,head:int,tail:int>>, orig_id string")
 
@@ -121,6 +133,14 @@ def load_types(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """A vocabulary file, one piece a line: (piece, idx) with idx = line number from 0. It is
+    read as one text: a vocabulary is of a model's size."""
+    t = spark.read.text(path, wholetext=True).filter(F.col("value") != "")
+    lines = t.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("idx", "piece"))
+    return lines.select("piece", "idx")
+
+
 def read_parallel(spark: SparkSession, path: str, cols=("inp_expression", "out_expression")) -> DataFrame:
     """Objects of parallel arrays -> one row per position."""
     raw = spark.read.schema(", ".join(f"{c} array<string>" for c in cols)).option("multiLine", True).json(path)
