@@ -172,7 +172,7 @@ SQRT = math.sqrt
 
 
 #: Sums that one growing list of ``prefix_sums`` holds.
-SUMS_RUN = 256
+SUMS_RUN = 16
 
 
 def prefix_sums(arr) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import phrase, strip
+from tessera.session import deal
 
 
 def _k(keys):
@@ -119,13 +120,16 @@ def tokenize(df: DataFrame, keys, text_col: str = "text",
 
 
 def with_offsets(docs: DataFrame) -> DataFrame:
-    """Adds ``starts`` and ``ends``: char offsets of ``tokens`` in the canonical text (tokens
-    joined by one space), running sums inside the row."""
+    """Adds ``starts`` and ``ends`` where ``docs`` has none: char offsets of ``tokens`` in the
+    canonical text (tokens joined by one space), running sums inside the row."""
+    if {"starts", "ends"} <= set(docs.columns):
+        return docs
     from tessera.functions.arrays import prefix_sums
     d = docs.withColumn("_e", prefix_sums(F.transform("tokens", lambda t: F.length(t) + 1)))
-    z = F.arrays_zip(F.col("tokens").alias("t"), F.col("_e").alias("e"))
-    return d.withColumn("starts", F.transform(z, lambda x: (x["e"] - F.length(x["t"]) - 1).cast("int"))) \
-            .withColumn("ends", F.transform(z, lambda x: (x["e"] - 1).cast("int"))).drop("_e")
+    at = F.transform(F.arrays_zip(F.col("tokens").alias("t"), F.col("_e").alias("e")), lambda x: F.struct(
+        (x["e"] - F.length(x["t"]) - 1).cast("int").alias("start"), (x["e"] - 1).cast("int").alias("end")))
+    d = d.withColumn("_z", at)
+    return d.withColumn("starts", F.col("_z")["start"]).withColumn("ends", F.col("_z")["end"]).drop("_e", "_z")
 
 
 def align_spans(mentions: DataFrame, tokens: DataFrame, keys, mention: str, cs: str = "char_start", ce: str = "char_end") -> DataFrame:
@@ -214,7 +218,7 @@ def phrase_windows(docs: DataFrame, sizes: DataFrame, keys) -> DataFrame:
     array<int>): (keys, size, start, phrase, char_start, char_end). The phrase is the tokens joined by
     one space; tokens hold no white space, so equal phrases of one size are equal token lists."""
     keys = _k(keys)
-    d = with_offsets(docs.select(*keys, "tokens")).join(sizes, keys)
+    d = with_offsets(docs).select(*keys, "tokens", "starts", "ends").join(sizes, keys)
     w = d.select(*keys, "tokens", "starts", "ends", F.explode("sizes").alias("size")).filter(F.size("tokens") >= F.col("size"))
     w = w.select(*keys, "tokens", "starts", "ends", "size", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("start"))
     return w.select(*keys, "size", "start", phrase("tokens", F.col("start"), F.col("start") + F.col("size")).alias("phrase"),
@@ -291,6 +295,8 @@ def conll_relations(entity_rows: DataFrame, rel_rows: DataFrame, keys,
 #: Marks of an encoding, how a piece inside a word begins, and how long a word may be (fixed values).
 UNKNOWN_PIECE, FIRST_PIECE, LAST_PIECE = "[UNK]", "[CLS]", "[SEP]"
 INSIDE, WORD_CHARS = "##", 100
+#: Pieces (a few tens of bytes each) up to which a vocabulary is broadcast.
+BROADCAST_PIECES = 500_000
 
 
 def split_words(words: DataFrame, vocab: DataFrame, word: str = "token") -> DataFrame:
@@ -298,22 +304,24 @@ def split_words(words: DataFrame, vocab: DataFrame, word: str = "token") -> Data
     the front the longest piece of ``vocab`` (piece, idx) that the rest of the word begins with (inside the word:
     marked by INSIDE), and so on; a word that cannot be split so, or that is too long, is one unknown piece.
 
-    All pieces that a word could hold are looked up by an equi-join, the longest at each place is kept
-    by an aggregate, and a fold over the places follows them. Only distinct words take part."""
-    longest = vocab.agg(F.max(F.length(F.regexp_replace("piece", f"^{INSIDE}", "")))).first()[0] or 1   # one number
-    w = words.select(F.col(word).alias("_w")).distinct()
+    All pieces that a word could hold are looked up by an equi-join, and a fold over what was found, by
+    place and then longest first, follows them. Only distinct words take part."""
+    inside = F.col("piece").startswith(INSIDE)
+    rows, front, back = vocab.agg(F.count(F.lit(1)), F.max(F.length("piece")), F.max(F.when(inside, F.length("piece") - len(INSIDE)))).first()   # three numbers
+    w = deal(words.select(F.col(word).alias("_w")).distinct(), "_w")
     n = F.length("_w")
     at = w.filter((n > 0) & (n <= WORD_CHARS)).select("_w", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("_p"))
-    sub = at.select("_w", "_n", "_p", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("_n") - F.col("_p")))).alias("_k"))
+    most = F.when(F.col("_p") == 0, F.lit(front or 1)).otherwise(F.lit(back or 1))
+    sub = at.select("_w", "_n", "_p", F.explode(F.sequence(F.lit(1), F.least(most, F.col("_n") - F.col("_p")))).alias("_k"))
     sub = sub.withColumn("piece", F.concat(F.when(F.col("_p") > 0, F.lit(INSIDE)).otherwise(F.lit("")), F.substring(F.col("_w"), F.col("_p") + 1, F.col("_k"))))
-    best = sub.join(vocab, "piece").groupBy("_w", "_n", "_p").agg(F.max(F.struct("_k", "piece", "idx")).alias("b"))
-    found = best.groupBy("_w", "_n").agg(F.sort_array(F.collect_list(F.struct("_p", "b"))).alias("s"))
+    pieces = F.broadcast(vocab) if rows <= BROADCAST_PIECES else vocab
+    found = sub.join(pieces, "piece").groupBy("_w", "_n").agg(F.sort_array(F.collect_list(F.struct("_p", (-F.col("_k")).alias("_m"), "piece", "idx"))).alias("s"))
 
     def follow(acc, z):
         here = z["_p"] == acc["at"]
-        return F.struct(F.when(here, acc["at"] + z["b"]["_k"]).otherwise(acc["at"]).alias("at"),
-                        F.when(here, F.concat(acc["pieces"], F.array(z["b"]["piece"]))).otherwise(acc["pieces"]).alias("pieces"),
-                        F.when(here, F.concat(acc["ids"], F.array(z["b"]["idx"]))).otherwise(acc["ids"]).alias("ids"))
+        return F.struct(F.when(here, acc["at"] - z["_m"]).otherwise(acc["at"]).alias("at"),
+                        F.when(here, F.concat(acc["pieces"], F.array(z["piece"]))).otherwise(acc["pieces"]).alias("pieces"),
+                        F.when(here, F.concat(acc["ids"], F.array(z["idx"]))).otherwise(acc["ids"]).alias("ids"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids"))
     found = found.select("_w", F.aggregate("s", start, follow).alias("f"), "_n").filter("f.at = _n").select("_w", "f.pieces", "f.ids")

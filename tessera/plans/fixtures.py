@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.spans import with_offsets
 from tessera.session import checkpoint_dir, table
 
 DOC = ["doc_id", "sent_no"]
@@ -77,18 +78,26 @@ SYMMETRIC_RELATIONS = ["associated_with"]
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, sent_no, tokens): every token of documents.text, in order. A
-    line with words is a sentence, whatever its length; sent_no counts the
-    sentences of the document from 0."""
+    """(doc_id, sent_no, tokens, starts, ends): every token of documents.text, in
+    order, with its char offsets in the canonical text (tokens joined by one
+    space). A line with words is a sentence, whatever its length; sent_no counts
+    the sentences of the document from 0."""
     return materialized(spark, sf_dir, "sentences", lambda: _sentences(spark, sf_dir))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many parts as the session runs at once, if its files make fewer: a table of one file
+    would otherwise be one task in all that follows."""
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(least) if df.rdd.getNumPartitions() < least else df
+
+
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(line, r"\s+"), lambda t: t != ""))
     lines = F.filter(lines, lambda ts: F.size(ts) > 0)
     sents = docs.select("doc_id", F.posexplode(lines).alias("sent_no", "tokens"))
-    return sents.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "tokens")
+    return with_offsets(sents.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "tokens"))
 
 
 def _type_by_len(tok: Column) -> Column:

@@ -34,37 +34,39 @@ WINDOW w AS (PARTITION BY doc_id, sent_no ORDER BY tok_idx)""")
 _TYPE_BY_LEN = ("CASE length(token) % 4 WHEN 0 THEN 'disease' WHEN 1 THEN 'drug' "
                 "WHEN 2 THEN 'gene' ELSE 'method' END")
 
+# phrase, cs, ce: the tokens of a mention and where they begin and end in the text; mkey: one number
+# for (doc_id, sent_no, ent_idx), so that joins on a relation's two mentions cannot meet on the sentence alone
 _cte("gold_m", ("toks",), f"""
-SELECT doc_id, sent_no, tok_idx AS "start", tok_idx + 1 AS "end", {_TYPE_BY_LEN} AS type, token AS phrase
+SELECT doc_id, sent_no, tok_idx AS "start", tok_idx + 1 AS "end", {_TYPE_BY_LEN} AS type, token AS phrase,
+       char_start AS cs, char_end AS ce
 FROM toks WHERE length(token) >= 8
 UNION ALL
-SELECT doc_id, sent_no, tok_idx, tok_idx + 2, 'other', token || ' ' || nxt FROM toks
+SELECT doc_id, sent_no, tok_idx, tok_idx + 2, 'other', token || ' ' || nxt, char_start,
+       CAST(char_end + 1 + length(nxt) AS INTEGER) FROM toks
 WHERE length(token) >= 9 AND length(nxt) >= 9""")
 
-_cte("gold", ("gold_m",), """
-SELECT doc_id, sent_no, CAST(row_number() OVER (PARTITION BY doc_id, sent_no
-         ORDER BY "start", "end", type) - 1 AS INTEGER) AS ent_idx, type, "start", "end", phrase
-FROM gold_m""")
-
 _cte("pred_m", ("toks",), f"""
 SELECT doc_id, sent_no, tok_idx AS "start", tok_idx + 1 AS "end",
        CASE WHEN {_TYPE_BY_LEN} = 'disease' AND tok_idx % 5 = 0 THEN 'gene'
-            ELSE {_TYPE_BY_LEN} END AS type
+            ELSE {_TYPE_BY_LEN} END AS type, token AS phrase, char_start AS cs, char_end AS ce
 FROM toks WHERE length(token) >= 7 AND tok_idx % 7 <> 0""")
 
-_cte("pred", ("pred_m",), """
-SELECT doc_id, sent_no, CAST(row_number() OVER (PARTITION BY doc_id, sent_no
-         ORDER BY "start", "end", type) - 1 AS INTEGER) AS ent_idx, type, "start", "end"
-FROM pred_m""")
+_NUMBERED = """
+SELECT *, (CAST(doc_id AS HUGEINT) * 4294967296 + sent_no) * 4294967296 + ent_idx AS mkey FROM (
+  SELECT doc_id, sent_no, CAST(row_number() OVER (PARTITION BY doc_id, sent_no
+         ORDER BY "start", "end", type) - 1 AS INTEGER) AS ent_idx, type, "start", "end", phrase, cs, ce FROM {m})"""
+_cte("gold", ("gold_m",), _NUMBERED.format(m="gold_m"))
+_cte("pred", ("pred_m",), _NUMBERED.format(m="pred_m"))
 
 _REL = """
+SELECT *, (CAST(doc_id AS HUGEINT) * 4294967296 + sent_no) * 4294967296 + head AS hkey,
+       (CAST(doc_id AS HUGEINT) * 4294967296 + sent_no) * 4294967296 + tail AS tkey FROM (
 SELECT a.doc_id, a.sent_no, a.ent_idx AS rel_idx,
   CASE (b."start" - a."start") % 3 WHEN 0 THEN 'associated_with'
        WHEN 1 THEN 'treatment_for' ELSE 'hyponym_of' END AS type,
   CASE WHEN (a.ent_idx + 1) % 3 = 0 THEN b.ent_idx ELSE a.ent_idx END AS head,
   CASE WHEN (a.ent_idx + 1) % 3 = 0 THEN a.ent_idx ELSE b.ent_idx END AS tail
-FROM {m} a JOIN {m} b ON a.doc_id = b.doc_id AND a.sent_no = b.sent_no
- AND b.ent_idx = a.ent_idx + 1"""
+FROM {m} a JOIN {m} b ON b.mkey = a.mkey + 1 AND b.ent_idx > 0)"""
 
 _cte("gold_rel", ("gold",), _REL.format(m="gold"))
 _cte("pred_rel", ("pred",), _REL.format(m="pred"))
@@ -72,10 +74,9 @@ _cte("pred_rel", ("pred",), _REL.format(m="pred"))
 # relations with their argument spans resolved
 _RELX = """
 SELECT r.doc_id, r.sent_no, r.rel_idx, r.type, r.head, r.tail,
-       h."start" AS hs, h."end" AS he, h.type AS ht,
-       t."start" AS ts_, t."end" AS te, t.type AS tt
-FROM {r} r JOIN {m} h ON r.doc_id = h.doc_id AND r.sent_no = h.sent_no AND r.head = h.ent_idx
-JOIN {m} t ON r.doc_id = t.doc_id AND r.sent_no = t.sent_no AND r.tail = t.ent_idx"""
+       h."start" AS hs, h."end" AS he, h.type AS ht, h.phrase AS hp, h.ce AS hce,
+       t."start" AS ts_, t."end" AS te, t.type AS tt, t.phrase AS tp, t.cs AS tcs
+FROM {r} r JOIN {m} h ON r.hkey = h.mkey JOIN {m} t ON r.tkey = t.mkey"""
 _cte("gold_relx", ("gold", "gold_rel"), _RELX.format(r="gold_rel", m="gold"))
 _cte("pred_relx", ("pred", "pred_rel"), _RELX.format(r="pred_rel", m="pred"))
 

@@ -94,11 +94,9 @@ def a4(spark, sf):
 SELECT CAST(doc_id AS VARCHAR) AS doc, sentence, trim(eff) AS effect,
        CAST(hs AS INTEGER) AS e_start, CAST(he AS INTEGER) AS e_end, trim(drg) AS drug,
        CAST(ts_ AS INTEGER) AS d_start, CAST(te AS INTEGER) AS d_end FROM (
-  SELECT r.doc_id, s.sentence, r.hs, r.he, r.ts_, r.te, replace(h.phrase, '|', '/') AS eff, replace(t.phrase, '|', '/') AS drg
-  FROM gold_relx r JOIN gold h ON h.doc_id = r.doc_id AND h.sent_no = r.sent_no AND h.ent_idx = r.head
-  JOIN gold t ON t.doc_id = r.doc_id AND t.sent_no = r.sent_no AND t.ent_idx = r.tail
-  JOIN (SELECT doc_id, sent_no, replace(array_to_string(tokens, ' '), '|', '/') AS sentence FROM sents) s
-    ON s.doc_id = r.doc_id AND s.sent_no = r.sent_no)""", "gold_relx", "gold", "sents"))
+  SELECT r.doc_id, s.sentence, r.hs, r.he, r.ts_, r.te, replace(hp, '|', '/') AS eff, replace(tp, '|', '/') AS drg
+  FROM gold_relx r JOIN (SELECT doc_id, sent_no, replace(array_to_string(tokens, ' '), '|', '/') AS sentence FROM sents) s
+    ON s.doc_id = r.doc_id AND s.sent_no = r.sent_no)""", "gold_relx", "sents"))
 def a6(spark, sf):
     p = _dir(spark, sf, "a6")
     r = S.relations_with_spans(FX.gold_docs(spark, sf), DOC).join(FX.sentences(spark, sf), DOC)
@@ -311,8 +309,13 @@ def _conll_files(spark, sf, p):
     d = FX.gold_docs(spark, sf)
     oid = (F.col("doc_id") * 4294967296 + F.col("sent_no"))
     single = F.filter("entities", lambda e: e["end"] - e["start"] == 1)
-    tok_type = F.transform("tokens", lambda t, i: F.coalesce(F.try_element_at(F.filter(single, lambda e: e["start"] == i), F.lit(1))["type"],
-                                                           F.lit("O")))
+    # the type of each token: runs of O between the single-token entities, which are sorted and do not overlap
+    ends = F.transform(single, lambda e: e["end"])
+    before = F.slice(F.concat(F.array(F.lit(0)), ends), 1, F.size(single))
+    runs = F.transform(F.arrays_zip(single.alias("e"), before.alias("b")), lambda z: F.concat(
+        F.array_repeat(F.lit("O"), z["e"]["start"] - z["b"]), F.array(z["e"]["type"])))
+    rest = F.array_repeat(F.lit("O"), F.size("tokens") - F.coalesce(F.try_element_at(ends, F.lit(-1)), F.lit(0)))
+    tok_type = F.concat(F.flatten(runs), rest)
     safe = F.transform("tokens", lambda t: F.replace(t, F.lit("|"), F.lit("!")))
     d = d.select(oid.alias("oid"), safe.alias("tokens"), tok_type.alias("tt"), "entities", "relations")
     tline = F.transform(F.arrays_zip(F.col("tokens").alias("t"), F.col("tt").alias("y")), lambda z, i: F.concat_ws(

@@ -33,11 +33,8 @@ def c1(spark, sf):
 SELECT m.doc_id, m.sent_no, m.ent_idx,
   max(CASE WHEN t.char_start <= m.cs AND m.cs < t.char_end THEN t.tok_idx END) AS tok_start,
   max(CASE WHEN t.char_start < m.ce AND m.ce <= t.char_end THEN t.tok_idx + 1 END) AS tok_end
-FROM (SELECT g.doc_id, g.sent_no, g.ent_idx,
-        ts.char_start - CASE WHEN g.ent_idx % 5 = 4 AND g."start" > 0 THEN 1 ELSE 0 END AS cs,
-        te.char_end + CASE WHEN g.ent_idx % 7 = 6 THEN 1 ELSE 0 END AS ce
-      FROM gold g JOIN toks ts ON ts.doc_id = g.doc_id AND ts.sent_no = g.sent_no AND ts.tok_idx = g."start"
-      JOIN toks te ON te.doc_id = g.doc_id AND te.sent_no = g.sent_no AND te.tok_idx = g."end" - 1) m
+FROM (SELECT doc_id, sent_no, ent_idx, cs - CASE WHEN ent_idx % 5 = 4 AND "start" > 0 THEN 1 ELSE 0 END AS cs,
+        ce + CASE WHEN ent_idx % 7 = 6 THEN 1 ELSE 0 END AS ce FROM gold) m
 JOIN toks t ON t.doc_id = m.doc_id AND t.sent_no = m.sent_no
 GROUP BY m.doc_id, m.sent_no, m.ent_idx""", "gold", "toks"))
 def c2(spark, sf):
@@ -478,12 +475,7 @@ def _c7_lines(spark, sf):
         rep.withColumn("line_no", F.col("rel_idx") * 2 + 1)).drop("rel_idx")
 
 
-_LINES = """SELECT r.doc_id, r.sent_no, r.rel_idx * 2 AS line_no, h.phrase AS ht, t.phrase AS tt, h."end" - h."start" AS hk, t."end" - t."start" AS tk,
-    a.char_start - b.char_end AS gap
-  FROM gold_relx r JOIN gold h ON h.doc_id = r.doc_id AND h.sent_no = r.sent_no AND h.ent_idx = r.head
-  JOIN gold t ON t.doc_id = r.doc_id AND t.sent_no = r.sent_no AND t.ent_idx = r.tail
-  JOIN toks a ON a.doc_id = r.doc_id AND a.sent_no = r.sent_no AND a.tok_idx = r.ts_
-  JOIN toks b ON b.doc_id = r.doc_id AND b.sent_no = r.sent_no AND b.tok_idx = r.he - 1"""
+_LINES = """SELECT doc_id, sent_no, rel_idx * 2 AS line_no, hp AS ht, tp AS tt, he - hs AS hk, te - ts_ AS tk, tcs - hce AS gap FROM gold_relx"""
 _GROUP = "doc_id, sent_no, ht, hk, tt, tk, gap"
 
 
@@ -491,13 +483,13 @@ _GROUP = "doc_id, sent_no, ht, hk, tt, tk, gap"
 , lines0 AS MATERIALIZED ({_LINES}), occ AS MATERIALIZED (SELECT * FROM {OCC_SQL}),
 alines AS (SELECT * FROM lines0 UNION ALL SELECT * REPLACE (line_no + 1 AS line_no) FROM lines0 WHERE (line_no // 2) % 4 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY {_GROUP} ORDER BY line_no) AS n FROM alines),
-found AS (SELECT {", ".join("g." + c.strip() for c in _GROUP.split(","))}, h.occ AS h, t.occ AS t, row_number() OVER (PARTITION BY
-    {", ".join("g." + c.strip() for c in _GROUP.split(","))} ORDER BY h.occ, t.occ) AS n
-  FROM (SELECT DISTINCT {_GROUP} FROM alines) g
-  JOIN occ h ON h.doc_id = g.doc_id AND h.sent_no = g.sent_no AND h.size = g.hk AND h.phrase = g.ht
-  JOIN occ t ON t.doc_id = g.doc_id AND t.sent_no = g.sent_no AND t.size = g.tk AND t.phrase = g.tt AND t.cs = h.ce + g.gap)
+heads AS MATERIALIZED (SELECT g.*, o.occ AS h, o.ce + g.gap AS tail_at FROM (SELECT DISTINCT {_GROUP} FROM alines) g
+  JOIN occ o ON o.doc_id = g.doc_id AND o.sent_no = g.sent_no AND o.size = g.hk AND o.phrase = g.ht),
+found AS (SELECT g.* EXCLUDE (tail_at), o.occ AS t, row_number() OVER (PARTITION BY
+    {", ".join("g." + c.strip() for c in _GROUP.split(","))} ORDER BY h, o.occ) AS n
+  FROM heads g JOIN occ o ON o.doc_id = g.doc_id AND o.sent_no = g.sent_no AND o.size = g.tk AND o.phrase = g.tt AND o.cs = g.tail_at)
 SELECT r.doc_id, r.sent_no, r.line_no, f.h AS head_start, f.h + r.hk AS head_end, f.t AS tail_start, f.t + r.tk AS tail_end
-FROM ranked r LEFT JOIN found f USING ({_GROUP}, n)""", "gold_relx", "gold", "toks").replace("\n\n, lines0", ", lines0"))
+FROM ranked r LEFT JOIN found f USING ({_GROUP}, n)""", "gold_relx", "toks").replace("\n\n, lines0", ", lines0"))
 def c7(spark, sf):
     out = S.match_pairs(_c7_lines(spark, sf), _gold(spark, sf), DOC, "line_no")
     return out.select(*DOC, "line_no", *[F.col(c).cast("long").alias(c) for c in
