@@ -1,7 +1,9 @@
 """Prediction decoding (E1-E3) and evaluation aggregates.
 
-Counts are aggregated per type with partial (map-side) aggregation; the
-micro row is a grouping set over the same aggregate. Nothing is collected.
+Strict scores take one pass: gold and predicted tuples are one table, grouped
+by tuple to see which sides hold it; counts per type and over all types are
+grouping sets of one aggregate over that, with partial (map-side) aggregation.
+Nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import argmax
-from tessera.operators.joins import match_sets
 from tessera.operators.splits import global_cumsum
 
 
@@ -53,34 +54,36 @@ def dedup_relations(rels: DataFrame, doc_keys, key_cols: list[str], order: str)
 
 # ---- E4-E9: strict-match evaluation ---------------------------------------------------------
 
-def score_counts(gold: DataFrame, pred: DataFrame, keys: list[str], type_col: str = "type") -> DataFrame:
-    """Per type TP / FP / FN over the per-document set union of tuples
-    ``keys`` (which include the document key and ``type_col``)."""
-    m = match_sets(gold, pred, keys)
-    return m.groupBy(type_col).agg(
-        F.count_if(F.col("in_gold") & F.col("in_pred")).alias("tp"),
-        F.count_if(~F.col("in_gold") & F.col("in_pred")).alias("fp"),
-        F.count_if(F.col("in_gold") & ~F.col("in_pred")).alias("fn"))
+def memberships(gold: DataFrame, pred: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct tuples of both sides (``keys``, null-safe) with in_gold and in_pred: one union, one aggregate."""
+    both = gold.select(*keys, F.lit(True).alias("_g")).unionByName(pred.select(*keys, F.lit(False).alias("_g")))
+    return both.groupBy(*keys).agg(F.bool_or("_g").alias("in_gold"), F.bool_or(~F.col("_g")).alias("in_pred"))
 
 
-def prf_report(counts: DataFrame, type_col: str = "type", scale: float = 100.0) -> DataFrame:
+def _counted():
+    return [F.count_if(F.col("in_gold") & F.col("in_pred")).alias("tp"), F.count_if(~F.col("in_gold") & F.col("in_pred")).alias("fp"),
+            F.count_if(F.col("in_gold") & ~F.col("in_pred")).alias("fn")]
+
+
+def score_counts(members: DataFrame, type_col: str = "type") -> DataFrame:
+    """Per type TP / FP / FN over the per-document set union of tuples (``memberships``)."""
+    return members.groupBy(type_col).agg(*_counted())
+
+
+def prf_report(members: DataFrame, type_col: str = "type", by: list[str] = (), scale: float = 100.0) -> DataFrame:
     """Per-type precision / recall / F1 / support, then 'micro' (pooled
-    counts) and 'macro' (mean of per-type values) rows; zero division -> 0.
-    Labels = types present in gold or prediction."""
-    c = counts.withColumn("support", F.col("tp") + F.col("fn"))
+    counts) and 'macro' (mean of per-type values) rows, all for each ``by``; zero division -> 0.
+    Labels = types present in gold or prediction. Per-type and pooled counts are grouping
+    sets of one aggregate; each type's row then stands for itself and in the mean."""
+    by = list(by)
+    c = members.groupingSets([[*by, type_col], by], *by, type_col).agg(F.grouping(type_col).alias("_all"), *_counted())
     p = sdiv(F.col("tp"), F.col("tp") + F.col("fp"))
     r = sdiv(F.col("tp"), F.col("tp") + F.col("fn"))
-    f1 = sdiv(2 * p * r, p + r)
-    per = c.select(F.col(type_col).alias("label"), (p * scale).alias("precision"),
-                   (r * scale).alias("recall"), (f1 * scale).alias("f1"), "support")
-    tot = c.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
-    micro = tot.select(F.lit("micro").alias("label"), (p * scale).alias("precision"),
-                       (r * scale).alias("recall"), (f1 * scale).alias("f1"),
-                       (F.col("tp") + F.col("fn")).alias("support"))
-    macro = per.agg(F.lit("macro").alias("label"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                    F.sum("support").alias("support"))
-    return per.unionByName(micro).unionByName(macro)
+    c = c.select(*by, type_col, "_all", p.alias("precision"), r.alias("recall"), (F.col("tp") + F.col("fn")).alias("support"))
+    f1 = sdiv(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    label = F.when(F.col("_all") == 1, F.array(F.lit("micro"))).otherwise(F.array(F.col(type_col), F.lit("macro")))
+    rows = c.select(*by, F.explode(label).alias("label"), "precision", "recall", f1.alias("f1"), "support")
+    return rows.groupBy(*by, "label").agg(*[(F.avg(m) * scale).alias(m) for m in ("precision", "recall", "f1")], F.sum("support").alias("support"))
 
 
 def format_report(report: DataFrame) -> DataFrame:
@@ -200,9 +203,9 @@ def auc_ovr_hard(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFra
     """One-vs-rest AUC of hard labels = mean over classes of
     (TPR + TNR) / 2, aligned by label (the reference aligns by column
     position of observed classes; documented difference)."""
-    c = per_class_counts(df, y, p)
-    n = df.count()
-    tn = F.lit(n) - F.col("tp") - F.col("fp") - F.col("fn")
+    # every row is a tp or fn of its own label, so their total over labels is the number of rows
+    c = per_class_counts(df, y, p).withColumn("_n", F.sum(F.col("tp") + F.col("fn")).over(Window.partitionBy()))   # one row a class
+    tn = F.col("_n") - F.col("tp") - F.col("fp") - F.col("fn")
     tpr = sdiv(F.col("tp"), F.col("tp") + F.col("fn"))
     tnr = sdiv(tn, tn + F.col("fp"))
     return c.agg(F.avg((tpr + tnr) / 2).alias("auc_ovr"))
@@ -224,6 +227,30 @@ def cross_entropy_rows(df: DataFrame, logits: str, y: str) -> DataFrame:
     return df.withColumn("ce", -F.element_at(log_softmax(logits), F.col(y) + 1))
 
 
+def masked_mean(df: DataFrame, loss: str, mask: str, batch: list[str], out: str) -> DataFrame:
+    """Per batch the mean of ``loss`` over rows whose ``mask`` holds, null where none does, and how many do."""
+    m = F.col(mask).cast("double")
+    return df.groupBy(*batch).agg(F.try_divide(F.sum(F.col(loss) * m), F.sum(m)).alias(out), F.count_if(mask).alias(f"n_{out}"))
+
+
+def bce_rows(df: DataFrame, logits: str, targets: str) -> DataFrame:
+    """Per row the mean over types of the binary cross-entropy of logits and 0/1 targets, stable for large logits:
+    max(x, 0) - x t + log(1 + exp(-|x|))."""
+    each = F.zip_with(F.col(logits), F.col(targets), lambda x, t: F.greatest(x, F.lit(0.0)) - x * t + F.log1p(F.exp(-F.abs(x))))
+    return df.withColumn("bce", F.aggregate(each, F.lit(0.0), lambda a, v: a + v) / F.size(logits))
+
+
+def masked_bce(df: DataFrame, logits: str, targets: str, mask: str, batch: list[str]) -> DataFrame:
+    """(batch, rel_loss, n_rel_loss): masked mean of the pairs' losses, null in a batch without a valid pair."""
+    return masked_mean(bce_rows(df, logits, targets), "bce", mask, batch, "rel_loss")
+
+
+def joint_loss(entity: DataFrame, relation: DataFrame, batch: list[str], entity_loss: str = "entity_loss", rel_loss: str = "rel_loss") -> DataFrame:
+    """train_loss = entity loss + relation loss; the relation part is left out where it has no valid pair."""
+    j = entity.join(relation, batch, "left")
+    return j.withColumn("train_loss", F.col(entity_loss) + F.coalesce(F.col(rel_loss), F.lit(0.0)))
+
+
 def label_smoothing_loss(df: DataFrame, logits: str, y: str, eps: float, width: int) -> DataFrame:
     """Sum over rows and classes of -q * log_softmax with q = (1-eps) on
     the gold class and eps/(width-1) elsewhere; width = max label + 1."""

@@ -1,8 +1,10 @@
 """Token sequences and ordered folds.
 
-A recurrent fold is sequential within one series, so each series is one
-ordered array folded by ``aggregate`` on the JVM; series run in parallel.
-Series must be bounded (a sequence / beat / day), as in the reference.
+A recurrent fold is sequential within one series. Rows are dealt by series and
+sorted; a task streams them and folds all series of a batch of rows at once,
+step by step, as matrices. The state of the series that a batch ends in is
+carried to the next batch, so a series may be of any length and no series is
+ever held as a whole.
 """
 
 from __future__ import annotations
@@ -10,17 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ship
+
 # The arithmetic-expression vocabulary in index order.
 SPECIAL_TOKENS = ["POSITIVE", "NEGATIVE", "add", "subtract", "BOS", "EOS"]
 VOCAB_ORDER = [str(d) for d in range(10)] + SPECIAL_TOKENS
 
 
 def build_vocab(tokens: DataFrame, col: str = "token", order=VOCAB_ORDER) -> DataFrame:
-    """Token -> index; index = position in the fixed token order of the
-    tokens that occur."""
+    """Token -> index for every distinct token: those of ``order`` have their place in it, all others
+    follow it in their own order. No token is left out."""
+    from tessera.operators.splits import global_rank
+    d = tokens.select(col).filter(F.col(col).isNotNull()).distinct()
     arr = F.array(*[F.lit(t) for t in order])
-    d = tokens.select(col).distinct()
-    return d.select(col, (F.array_position(arr, F.col(col)) - 1).cast("int").alias("idx")).filter("idx >= 0")
+    known = d.filter(F.col(col).isin(*order)).select(col, (F.array_position(arr, F.col(col)) - 1).cast("int").alias("idx"))
+    rest = global_rank(d.filter(~F.col(col).isin(*order)), [F.col(col)], "_r")
+    return known.unionByName(rest.select(col, (F.col("_r") + len(order)).cast("int").alias("idx")))
 
 
 def split_tokens(expr: Column, specials=SPECIAL_TOKENS) -> Column:
@@ -61,48 +68,95 @@ def token_accuracy(df: DataFrame, gold: str, pred: str) -> DataFrame:
             .withColumn("accuracy", F.col("correct") / F.col("total"))
 
 
-def ordered_series(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """(keys, xs): one ordered array per series."""
-    g = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_v")))).alias("_s"))
-    return g.select(*keys, F.transform("_s", lambda z: z["_v"]).alias("xs"))
-
-
-def _sig(z):
-    return 1.0 / (1.0 + F.exp(-z))
-
-
-def rnn_fold(xs: Column, waa: float, wax: float, ba: float) -> Column:
-    """H13 (1-unit state): a_t = tanh(waa a + wax x + ba); returns
-    struct(a = last state, s = sum of states)."""
-    init = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("s"))
-
-    def step(acc, x):
-        a = F.tanh(acc["a"] * waa + x * wax + ba)
-        return F.struct(a.alias("a"), (acc["s"] + a).alias("s"))
-    return F.aggregate(xs, init, step)
-
-
-def lstm_fold(xs: Column, w: dict) -> Column:
-    """H14 (1-unit state): forget / update / output gates, candidate cell;
-    c0 = a0 = 0. ``w`` maps gate -> (w_a, w_x, b)."""
-    init = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("c"))
-
-    def step(acc, x):
-        f = _sig(acc["a"] * w["f"][0] + x * w["f"][1] + w["f"][2])
-        i = _sig(acc["a"] * w["i"][0] + x * w["i"][1] + w["i"][2])
-        o = _sig(acc["a"] * w["o"][0] + x * w["o"][1] + w["o"][2])
-        g = F.tanh(acc["a"] * w["c"][0] + x * w["c"][1] + w["c"][2])
-        c = f * acc["c"] + i * g
-        return F.struct((o * F.tanh(c)).alias("a"), c.alias("c"))
-    return F.aggregate(xs, init, step)
-
-
-def ewma(xs: Column, beta1: float = 0.9, beta2: float = 0.999) -> Column:
-    """Bias-corrected first and second moments (Adam's m and v) after the
-    last element: struct(m_hat, v_hat)."""
-    init = F.struct(F.lit(0.0).alias("m"), F.lit(0.0).alias("v"))
-    st = F.aggregate(xs, init, lambda acc, g: F.struct(
-        (acc["m"] * beta1 + g * (1 - beta1)).alias("m"), (acc["v"] * beta2 + g * g * (1 - beta2)).alias("v")))
-    t = F.size(xs)
-    return F.struct((st["m"] / (1 - F.pow(F.lit(beta1), t))).alias("m_hat"),
-                    (st["v"] / (1 - F.pow(F.lit(beta2), t))).alias("v_hat"))
+def _fold(batches, keys: list[str], step, states: list[int], outs: int, types):
+    """Batches of rows (keys, _x) in order of series and step -> batches of (keys, step, outputs). ``step(x, *state)``
+    takes one row a series and gives (state, outputs). The last series of a batch goes on in the next."""
+    import numpy as np
+    import pyarrow as pa
+    last, carried, count = None, None, 0
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in keys]
+        ids = list(zip(*cols))
+        starts = np.array([0, *(i for i in range(1, len(ids)) if ids[i] != ids[i - 1])])
+        lengths = np.diff([*starts, len(ids)])
+        x = batch.column("_x")
+        x = x.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        state = [np.zeros((len(starts), n)) for n in states]
+        first = np.zeros(len(starts), dtype=np.int64)
+        if last is not None and ids[0] == last:
+            first[0] = count
+            for s, c in zip(state, carried):
+                s[0] = c
+        order = np.argsort(-lengths, kind="stable")   # long series first: those still open are a prefix
+        results = [None] * outs
+        for t in range(int(lengths.max())):
+            now = order[:np.searchsorted(-lengths[order], -t, "left")]
+            new, out = step(x[starts[now] + t], *[s[now] for s in state])
+            for s, n in zip(state, new):
+                s[now] = n
+            for j, o in enumerate(out):
+                if results[j] is None:
+                    results[j] = np.empty((len(ids), o.shape[1]))
+                results[j][starts[now] + t] = o
+        steps = np.arange(len(ids)) - np.repeat(starts, lengths) + np.repeat(first, lengths)
+        last, carried, count = ids[-1], [s[-1] for s in state], int(steps[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), pa.array(steps), *(pa.array(list(r), pa.list_(pa.float64())) for r in results)], types)
+
+
+def _scan(rows: DataFrame, keys: list[str], order: list[str], x: str, step, states: list[int], names: list[str]) -> DataFrame:
+    d = rows.select(*keys, *order, F.col(x).cast("array<double>").alias("_x")).repartition(*keys)
+    d = d.sortWithinPartitions(*keys, *[c for c in order if c not in keys]).select(*keys, "_x")
+    types = [*keys, "step", *names]
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys), "step long", *(f"{n} array<double>" for n in names)])
+    return ship(d).mapInArrow(lambda it: _fold(it, keys, step, states, len(names), types), schema)
+
+
+def _softmax(z):
+    import numpy as np
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def rnn_scan(rows: DataFrame, keys: list[str], order: list[str], x: str, params: dict) -> DataFrame:
+    """For every step of every series (keys, step, a, y): a = tanh(Waa a' + Wax x + ba), y = softmax(Wya a + by);
+    a' is the state before, zero at first. ``x`` is a vector; ``params``: Waa, Wax, ba, Wya, by."""
+    import numpy as np
+    w = {k: np.asarray(v, dtype=float) for k, v in params.items()}
+
+    def step(xt, a):
+        a = np.tanh(a @ w["Waa"].T + xt @ w["Wax"].T + w["ba"])
+        return (a,), (a, _softmax(a @ w["Wya"].T + w["by"]))
+
+    return _scan(rows, keys, order, x, step, [len(w["ba"])], ["a", "y"])
+
+
+def lstm_scan(rows: DataFrame, keys: list[str], order: list[str], x: str, params: dict) -> DataFrame:
+    """For every step of every series (keys, step, a, c, y): gates over [a', x] (f forget, i update, o output: sigmoid;
+    candidate tanh), c = f c' + i candidate, a = o tanh(c), y = softmax(Wy a + by); a' and c' are zero at
+    first. ``params``: Wf, bf, Wi, bi, Wc, bc, Wo, bo, Wy, by."""
+    import numpy as np
+    w = {k: np.asarray(v, dtype=float) for k, v in params.items()}
+    sigmoid = lambda z: 1.0 / (1.0 + np.exp(-z))
+
+    def step(xt, a, c):
+        ax = np.concatenate([a, xt], axis=1)
+        f, i, o = (sigmoid(ax @ w["W" + g].T + w["b" + g]) for g in "fio")
+        c = f * c + i * np.tanh(ax @ w["Wc"].T + w["bc"])
+        a = o * np.tanh(c)
+        return (a, c), (a, c, _softmax(a @ w["Wy"].T + w["by"]))
+
+    n = len(w["bf"])
+    return _scan(rows, keys, order, x, step, [n, n], ["a", "c", "y"])
+
+
+def ewma(rows: DataFrame, keys: list[str], order: list[str], value: str, beta1: float = 0.9, beta2: float = 0.999) -> DataFrame:
+    """Bias-corrected first and second moments (Adam's m and v) of each series after its last element:
+    (keys, m_hat, v_hat). An element's weight is (1 - beta) beta^k with k elements after it, so the moments are
+    sums over ranked rows; no series is gathered."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    d = rows.select(*keys, F.col(value).cast("double").alias("_g"), (F.row_number().over(w) - 1).alias("_k"))
+    n = F.count(F.lit(1))
+    m = F.sum(F.col("_g") * F.pow(F.lit(beta1), F.col("_k"))) * (1 - beta1)
+    v = F.sum(F.col("_g") * F.col("_g") * F.pow(F.lit(beta2), F.col("_k"))) * (1 - beta2)
+    return d.groupBy(*keys).agg((m / (1 - F.pow(F.lit(beta1), n))).alias("m_hat"), (v / (1 - F.pow(F.lit(beta2), n))).alias("v_hat"))

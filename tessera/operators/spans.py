@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import phrase, strip
-from tessera.session import deal
 
 
 def _k(keys):
@@ -308,14 +307,16 @@ def split_words(words: DataFrame, vocab: DataFrame, word: str = "token") -> Data
     place and then longest first, follows them. Only distinct words take part."""
     inside = F.col("piece").startswith(INSIDE)
     rows, front, back = vocab.agg(F.count(F.lit(1)), F.max(F.length("piece")), F.max(F.when(inside, F.length("piece") - len(INSIDE)))).first()   # three numbers
-    w = deal(words.select(F.col(word).alias("_w")).distinct(), "_w")
+    w = words.select(F.col(word).alias("_w")).distinct()
     n = F.length("_w")
-    at = w.filter((n > 0) & (n <= WORD_CHARS)).select("_w", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("_p"))
+    places = F.when((n > 0) & (n <= WORD_CHARS), F.sequence(F.lit(0), n - 1))
+    at = w.select("_w", n.alias("_n"), F.explode_outer(places).alias("_p"))
     most = F.when(F.col("_p") == 0, F.lit(front or 1)).otherwise(F.lit(back or 1))
-    sub = at.select("_w", "_n", "_p", F.explode(F.sequence(F.lit(1), F.least(most, F.col("_n") - F.col("_p")))).alias("_k"))
+    sub = at.select("_w", "_n", "_p", F.explode_outer(F.sequence(F.lit(1), F.least(most, F.col("_n") - F.col("_p")))).alias("_k"))
     sub = sub.withColumn("piece", F.concat(F.when(F.col("_p") > 0, F.lit(INSIDE)).otherwise(F.lit("")), F.substring(F.col("_w"), F.col("_p") + 1, F.col("_k"))))
     pieces = F.broadcast(vocab) if rows <= BROADCAST_PIECES else vocab
-    found = sub.join(pieces, "piece").groupBy("_w", "_n").agg(F.sort_array(F.collect_list(F.struct("_p", (-F.col("_k")).alias("_m"), "piece", "idx"))).alias("s"))
+    hit = F.when(F.col("idx").isNotNull(), F.struct("_p", (-F.col("_k")).alias("_m"), "piece", "idx"))
+    found = sub.join(pieces, "piece", "left").groupBy("_w", "_n").agg(F.sort_array(F.collect_list(hit)).alias("s"))
 
     def follow(acc, z):
         here = z["_p"] == acc["at"]
@@ -324,11 +325,11 @@ def split_words(words: DataFrame, vocab: DataFrame, word: str = "token") -> Data
                         F.when(here, F.concat(acc["ids"], F.array(z["idx"]))).otherwise(acc["ids"]).alias("ids"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids"))
-    found = found.select("_w", F.aggregate("s", start, follow).alias("f"), "_n").filter("f.at = _n").select("_w", "f.pieces", "f.ids")
-    unknown = vocab.filter(F.col("piece") == UNKNOWN_PIECE).agg(F.max("idx").alias("_u"))   # one row
-    out = w.join(found, "_w", "left").crossJoin(F.broadcast(unknown))
-    return out.select(F.col("_w").alias(word), F.coalesce("pieces", F.array(F.lit(UNKNOWN_PIECE))).alias("pieces"),
-                      F.coalesce("ids", F.array("_u")).alias("ids"))
+    found = found.select("_w", F.aggregate("s", start, follow).alias("f"), "_n")
+    unknown = vocab.filter(F.col("piece") == UNKNOWN_PIECE).agg(F.max("idx")).first()[0]   # one number
+    whole = (F.col("f.at") == F.col("_n")) & (F.size("f.pieces") > 0)
+    return found.select(F.col("_w").alias(word), F.when(whole, F.col("f.pieces")).otherwise(F.array(F.lit(UNKNOWN_PIECE))).alias("pieces"),
+                        F.when(whole, F.col("f.ids")).otherwise(F.array(F.lit(unknown).cast("int"))).alias("ids"))
 
 
 def encode_subwords(tokens: DataFrame, vocab: DataFrame, keys) -> DataFrame:

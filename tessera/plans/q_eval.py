@@ -16,6 +16,8 @@ from tessera.session import table
 
 DOC = FX.DOC
 R6 = 6
+ENT = [*DOC, "start", "end", "type"]
+REL = [*DOC, "hs", "he", "ts_", "te", "type"]
 
 
 def _cands(spark, sf):
@@ -115,19 +117,19 @@ E6_SQL = _counts_sql("gold_relx", "pred_relx", REL_NEC_KEYS)
 @query("e4_score_entities", with_ctes(E4_SQL, "gold", "pred"))
 def e4(spark, sf):
     g, p = _ents(spark, sf)
-    return M.score_counts(g, p, [*DOC, "start", "end", "type"])
+    return M.score_counts(M.memberships(g, p, ENT))
 
 
 @query("e5_score_relations", with_ctes(E5_SQL, "gold_relx", "pred_relx"))
 def e5(spark, sf):
     g, p = _rels(spark, sf)
-    return M.score_counts(g, p, [*DOC, "hs", "he", "ts_", "te", "type"])
+    return M.score_counts(M.memberships(g, p, REL))
 
 
 @query("e6_score_relations_nec", with_ctes(E6_SQL, "gold_relx", "pred_relx"))
 def e6(spark, sf):
     g, p = _rels(spark, sf)
-    return M.score_counts(g, p, [*DOC, "hs", "he", "ts_", "te", "type", "ht", "tt"])
+    return M.score_counts(M.memberships(g, p, [*REL, "ht", "tt"]))
 
 
 def _report_sql(counts_sql):
@@ -168,7 +170,7 @@ E7_SQL = _with_extra(_report_sql(E4_SQL), "gold", "pred")
 @query("e7_prf_report", E7_SQL)
 def e7(spark, sf):
     g, p = _ents(spark, sf)
-    return _rounded(M.prf_report(M.score_counts(g, p, [*DOC, "start", "end", "type"])))
+    return _rounded(M.prf_report(M.memberships(g, p, ENT)))
 
 
 @query("e8_format_report", _with_extra(_report_sql(E4_SQL).replace("\nSELECT label, round", ", rep AS (SELECT label, round", 1) + ")" + """
@@ -176,7 +178,7 @@ SELECT label, printf('%.2f', precision) AS precision, printf('%.2f', recall) AS
        printf('%.2f', f1) AS f1, support FROM rep""", "gold", "pred"))
 def e8(spark, sf):
     g, p = _ents(spark, sf)
-    rep = M.prf_report(M.score_counts(g, p, [*DOC, "start", "end", "type"]))
+    rep = M.prf_report(M.memberships(g, p, ENT))
     return M.format_report(_rounded(rep)).withColumn("support", F.col("support").cast("long"))
 
 
@@ -337,8 +339,9 @@ def e19(spark, sf):
 
 
 @query("e20_label_smoothing_loss", with_ctes(f"""
-SELECT round(sum(list_sum(list_transform(generate_series(0, 9), lambda j:
-   -(CASE WHEN j = y_true THEN 0.9 ELSE 0.1 / 9 END) * ({_LOGSM})[j + 1]))), 6) AS loss FROM class_preds""",
+SELECT round(sum(list_sum(list_transform({_LOGSM}, lambda l, j:
+   -(CASE WHEN j - 1 = y_true THEN 0.9 ELSE 0.1 / (width - 1) END) * l))), 6) AS loss
+FROM class_preds, (SELECT max(greatest(len(logits), y_true + 1)) AS width FROM class_preds)""",
     "class_preds"))
 def e20(spark, sf):
     cp = FX.class_preds(spark, sf)
@@ -397,18 +400,65 @@ def _e27_sql():
 
 @query("e27_eval_row", _e27_sql())
 def e27(spark, sf):
-    g, p = _ents(spark, sf)
-    gr, pr = _rels(spark, sf)
-    reps = [("ner", M.score_counts(g, p, [*DOC, "start", "end", "type"])),
-            ("rel", M.score_counts(gr, pr, [*DOC, "hs", "he", "ts_", "te", "type"])),
-            ("rel_nec", M.score_counts(gr, pr, [*DOC, "hs", "he", "ts_", "te", "type", "ht", "tt"]))]
-    rows = None
-    for name, c in reps:
-        r = M.prf_report(c).filter(F.col("label").isin("micro", "macro")).withColumn("task", F.lit(name))
-        rows = r if rows is None else rows.unionByName(r)
+    """18 metrics from one pass over each side: a document gives its tuples of all three tasks."""
+    rep = M.prf_report(M.memberships(_task_tuples(FX.gold_docs(spark, sf)), _task_tuples(FX.pred_docs(spark, sf)),
+                                     ["task", *DOC, "a", "b", "c", "d", "type", "ht", "tt"]), by=["task"])
+    rows = rep.filter(F.col("label").isin("micro", "macro"))
     long = rows.select(F.explode(F.array(*[F.struct(F.concat_ws("_", "task", "label", F.lit(m)).alias("k"),
                                                      F.round(F.col(m), R6).alias("v"))
                                            for m in ("precision", "recall", "f1")])).alias("x"))
     names = [f"{t}_{a}_{m}" for t in ("ner", "rel", "rel_nec") for a in ("micro", "macro")
              for m in ("precision", "recall", "f1")]
     return long.groupBy().pivot("x.k", names).agg(F.first("x.v"))
+
+
+def _task_tuples(docs):
+    """(task, keys, a, b, c, d, type, ht, tt): entities, relations, and relations with the types of their arguments."""
+    no, nowhere = F.lit(None).cast("string"), F.lit(None).cast("int")
+    tup = lambda task, a, b, c, d, t, ht, tt: F.struct(F.lit(task).alias("task"), a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"),
+                                                       t.alias("type"), ht.alias("ht"), tt.alias("tt"))
+    arg = lambda i: F.element_at("entities", i + 1)
+
+    def rel(task, nec):
+        return F.transform("relations", lambda r: tup(task, arg(r["head"])["start"], arg(r["head"])["end"], arg(r["tail"])["start"], arg(r["tail"])["end"],
+                                                      r["type"], arg(r["head"])["type"] if nec else no, arg(r["tail"])["type"] if nec else no))
+    ents = F.transform("entities", lambda e: tup("ner", e["start"], e["end"], nowhere, nowhere, e["type"], no, no))
+    d = S.explode_rows(docs.select(*DOC, F.concat(ents, rel("rel", False), rel("rel_nec", True)).alias("t")), DOC, "t", "_i", "t")
+    return d.select(*DOC, "t.*")
+
+
+#: Batches of ten documents; of every fifth no pair is valid.
+_PAIRS_SQL = """SELECT doc_id // 10 AS batch, list_transform(generate_series(0, 2), lambda k: ((head * 13 + tail * 7 + k * 3 + sent_no) % 10 - 4.5) / 2) AS x,
+  CASE type WHEN 'associated_with' THEN 0 WHEN 'treatment_for' THEN 1 ELSE 2 END AS y,
+  (rel_idx + doc_id) % 3 <> 0 AND (doc_id // 10) % 5 <> 0 AS mask FROM gold_relx"""
+_SPANS_SQL = """SELECT doc_id // 10 AS batch, list_transform(generate_series(0, 5), lambda k: (("start" * 7 + "end" * 3 + k * 5 + doc_id) % 11) / 3.0) AS x,
+  CASE type WHEN 'disease' THEN 1 WHEN 'drug' THEN 2 WHEN 'gene' THEN 3 WHEN 'method' THEN 4 ELSE 5 END AS y, (ent_idx + sent_no) % 4 <> 0 AS mask FROM gold"""
+
+
+@query("e19_masked_bce", with_ctes(f"""
+SELECT batch, round(entity_loss, 6) AS entity_loss, n_entities, round(rel_loss, 6) AS rel_loss, coalesce(n_pairs, 0) AS n_pairs,
+       round(entity_loss + coalesce(rel_loss, 0), 6) AS train_loss FROM (
+  SELECT batch, sum(ce) FILTER (WHERE mask) / nullif(count(*) FILTER (WHERE mask), 0) AS entity_loss, count(*) FILTER (WHERE mask) AS n_entities FROM (
+    SELECT batch, mask, ln(list_sum(list_transform(x, lambda z: exp(z - list_max(x))))) + list_max(x) - x[y + 1] AS ce FROM ({_SPANS_SQL})) GROUP BY batch)
+LEFT JOIN (SELECT batch, sum(bce) FILTER (WHERE mask) / nullif(count(*) FILTER (WHERE mask), 0) AS rel_loss, count(*) FILTER (WHERE mask) AS n_pairs FROM (
+    SELECT batch, mask, list_sum(list_transform(x, lambda z, i: greatest(z, 0) - CASE WHEN i - 1 = y THEN z ELSE 0 END + ln(1 + exp(-abs(z))))) / 3 AS bce
+    FROM ({_PAIRS_SQL})) GROUP BY batch) USING (batch)""", "gold", "gold_relx"))
+def e19_masked(spark, sf):
+    """Losses of batches of ten documents: entities by cross-entropy, relations by masked binary cross-entropy."""
+    d = FX.gold_docs(spark, sf)
+    batch = F.expr("doc_id div 10").alias("batch")
+    ents = S.to_mentions(d, DOC)
+    types = F.array(*[F.lit(t) for t in [*FX.ENTITY_TYPES_BY_LEN_MOD4, FX.PAIR_ENTITY_TYPE]])
+    ents = ents.select(batch, F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: (
+        (F.col("start") * 7 + F.col("end") * 3 + k * 5 + F.col("doc_id")) % 11) / 3.0).alias("x"),
+        F.array_position(types, F.col("type")).cast("int").alias("y"), ((F.col("ent_idx") + F.col("sent_no")) % 4 != 0).alias("mask"))
+    entity = M.masked_mean(M.cross_entropy_rows(ents, "x", "y"), "ce", "mask", ["batch"], "entity_loss")
+    rels = S.to_relations(d, DOC)
+    kinds = F.array(*[F.lit(t) for t in FX.RELATION_TYPES_BY_DIST_MOD3])
+    rels = rels.select(batch, F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: (
+        (F.col("head") * 13 + F.col("tail") * 7 + k * 3 + F.col("sent_no")) % 10 - 4.5) / 2).alias("x"),
+        F.transform(kinds, lambda t: F.when(t == F.col("type"), 1.0).otherwise(0.0)).alias("y"),
+        (((F.col("rel_idx") + F.col("doc_id")) % 3 != 0) & (F.expr("doc_id div 10") % 5 != 0)).alias("mask"))
+    j = M.joint_loss(entity, M.masked_bce(rels, "x", "y", "mask", ["batch"]), ["batch"])
+    return j.select("batch", F.round("entity_loss", R6).alias("entity_loss"), F.col("n_entity_loss").alias("n_entities"), F.round("rel_loss", R6).alias("rel_loss"),
+                    F.coalesce("n_rel_loss", F.lit(0)).alias("n_pairs"), F.round("train_loss", R6).alias("train_loss"))

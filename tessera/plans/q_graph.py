@@ -98,10 +98,8 @@ _HOPS = [
 
 
 def _two_hops(spark, sf):
-    nodes, _, _, loops, deg = _prep(spark, sf)
-    we = GR.sym_norm(loops, deg)
-    x1 = GR.propagate(nodes, we, W1, "x")
-    return GR.propagate(x1, we, W2, "x")
+    nodes, edges, _ = FX.graph_tables(spark, sf)
+    return GR.propagate(nodes.withColumn("x", normalize_features("x")), edges, [W1, W2], "x")
 
 
 @query("h10_propagate", _sql("SELECT graph_id, node, round(x[1], 6) AS h0, round(x[2], 6) AS h1 FROM x2", *_HOPS))

@@ -31,10 +31,15 @@ IDS_SQL = f"SELECT event_id, list_transform({_TOKS}, lambda t: list_position({_V
 
 
 @query("c23_build_vocab", f"""
-SELECT DISTINCT t AS token, CAST(list_position({_VOCAB}, t) - 1 AS INTEGER) AS idx FROM (SELECT unnest({_TOKS}) AS t FROM ({EXPR_SQL}))""")
+SELECT token, CAST(CASE WHEN list_contains({_VOCAB}, token) THEN list_position({_VOCAB}, token) - 1
+  ELSE 15 + row_number() OVER (PARTITION BY list_contains({_VOCAB}, token) ORDER BY token) END AS INTEGER) AS idx FROM (
+  SELECT unnest({_TOKS}) AS token FROM ({EXPR_SQL}) UNION
+  SELECT token FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS token FROM documents) WHERE token <> '')""")
 def c23(spark, sf):
+    """The vocabulary of the expressions and of all words of the documents."""
     t = expressions(spark, sf).select(F.explode(Q.split_tokens(F.col("expr"))).alias("token"))
-    return Q.build_vocab(t)
+    w = table(spark, sf, "documents").select(F.explode(F.split("text", r"\s+")).alias("token")).filter("token <> ''")
+    return Q.build_vocab(t.unionByName(w))
 
 
 @query("c24_encode_sequence", f"""
@@ -87,46 +92,85 @@ def e21(spark, sf):
     return Q.token_accuracy(e, "gold", "pred").select("correct", "total", F.round("accuracy", 6).alias("accuracy"))
 
 
+#: A series: the events of a user on a day, in order; each gives a vector of two numbers.
+SERIES, IN_SERIES = ["user_id", "day"], ["ts", "event_id"]
+
+
 def _series(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", F.col("ts").cast("date").alias("day"), "ts", "event_id",
-                                           (F.col("value") / 100).alias("x"))
-    return Q.ordered_series(ev, ["user_id", "day"], ["ts", "event_id"], "x")
+    return table(spark, sf, "events").select("user_id", F.col("ts").cast("date").alias("day"), "ts", "event_id", F.array(
+        F.col("value") / 100, (F.col("event_id") % 10) / 10.0).alias("x"))
 
 
-_SERIES_SQL = """SELECT user_id, CAST(ts AS DATE) AS day, list(value / 100 ORDER BY ts, event_id) AS xs FROM events GROUP BY ALL"""
+def _matrix(rows, cols, seed):
+    return [[((i * cols + j + seed) % 7 - 3) / 5 for j in range(cols)] for i in range(rows)]
 
 
-@query("h13_rnn_scan", f"""
-SELECT user_id, day, round(st[1], 6) AS a_last, round(st[2], 6) AS a_sum FROM (
-  SELECT user_id, day, list_reduce(list_prepend([0.0, 0.0], list_transform(xs, lambda x: [x, 0.0])),
-    lambda acc, v: [tanh(0.5 * acc[1] + 0.8 * v[1] - 0.1), acc[2] + tanh(0.5 * acc[1] + 0.8 * v[1] - 0.1)]) AS st
-  FROM ({_SERIES_SQL}))""")
-def h13(spark, sf):
-    s = _series(spark, sf).withColumn("st", Q.rnn_fold(F.col("xs"), 0.5, 0.8, -0.1))
-    return s.select("user_id", "day", F.round("st.a", 6).alias("a_last"), F.round("st.s", 6).alias("a_sum"))
+def _vector(n, seed):
+    return [((i + seed) % 5 - 2) / 10 for i in range(n)]
+
+
+#: Fixed weights: three units, two inputs, two classes.
+RNN = {"Waa": _matrix(3, 3, 1), "Wax": _matrix(3, 2, 2), "ba": _vector(3, 0), "Wya": _matrix(2, 3, 4), "by": _vector(2, 1)}
+LSTM = {f"{k}{g}": (_matrix(3, 5, n) if k == "W" else _vector(3, n)) for n, g in enumerate("fico") for k in "Wb"} | {"Wy": _matrix(2, 3, 5), "by": _vector(2, 3)}
+
+_STEPS_SQL = """SELECT user_id, CAST(ts AS DATE) AS day, value / 100 AS x0, (event_id % 10) / 10.0 AS x1,
+  row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS step FROM events"""
+
+
+def _affine(w, b, names):
+    return " + ".join([f"({v}) * {n}" for v, n in zip(w, names)] + [f"({b})"])
+
+
+def _softmax_sql(z):
+    top = f"greatest({', '.join(z)})"
+    return [f"exp({v} - {top}) / ({' + '.join(f'exp({u} - {top})' for u in z)})" for v in z]
+
 
+def _scan_sql(states, new, outs):
+    """Steps one after the other: ``new`` gives each state by (state before, x), ``outs`` what is shown of it."""
+    cols = ", ".join(states)
+    first = ", ".join(f"{new(['0.0'] * len(states))[i]} AS {c}" for i, c in enumerate(states))
+    more = ", ".join(f"{new([f's.{c}' for c in states])[i]} AS {c}" for i, c in enumerate(states))
+    return f"""
+WITH RECURSIVE e AS MATERIALIZED ({_STEPS_SQL}),
+s AS (SELECT user_id, day, step, {first} FROM e WHERE step = 0
+  UNION ALL SELECT e.user_id, e.day, e.step, {more} FROM s JOIN e ON e.user_id = s.user_id AND e.day = s.day AND e.step = s.step + 1)
+SELECT user_id, day, step, {', '.join(f'round({v}, 6) AS {n}' for n, v in outs.items())} FROM (SELECT user_id, day, step, {cols} FROM s)"""
 
-LSTM_W = {"f": (0.4, 0.3, 0.1), "i": (0.2, -0.1, 0.0), "o": (0.3, 0.2, 0.0), "c": (0.5, 0.4, 0.0)}
+
+def _rnn_sql():
+    a = ["a0", "a1", "a2"]
+    new = lambda old: [f"tanh({_affine(RNN['Waa'][i] + RNN['Wax'][i], RNN['ba'][i], [*old, 'x0', 'x1'])})" for i in range(3)]
+    y = _softmax_sql([f"({_affine(RNN['Wya'][i], RNN['by'][i], a)})" for i in range(2)])
+    return _scan_sql(a, new, {n: n for n in a} | {f"y{i}": v for i, v in enumerate(y)})
 
 
 def _lstm_sql():
-    def sig(e):
-        return f"(1.0 / (1.0 + exp(-({e}))))"
-    f = sig("0.4 * acc[1] + 0.3 * v[1] + 0.1")
-    i = sig("0.2 * acc[1] - 0.1 * v[1] + 0.0")
-    o = sig("0.3 * acc[1] + 0.2 * v[1] + 0.0")
-    g = "tanh(0.5 * acc[1] + 0.4 * v[1] + 0.0)"
-    c = f"({f} * acc[2] + {i} * {g})"
-    return f"[{o} * tanh({c}), {c}]"
-
-
-@query("h14_lstm_scan", f"""
-SELECT user_id, day, round(st[1], 6) AS a_last, round(st[2], 6) AS c_last FROM (
-  SELECT user_id, day, list_reduce(list_prepend([0.0, 0.0], list_transform(xs, lambda x: [x, 0.0])),
-    lambda acc, v: {_lstm_sql()}) AS st FROM ({_SERIES_SQL}))""")
+    def new(old):
+        gate = lambda g, i: _affine(LSTM["W" + g][i], LSTM["b" + g][i], [*old[:3], "x0", "x1"])
+        sig = lambda z: f"(1.0 / (1.0 + exp(-({z}))))"
+        c = [f"({sig(gate('f', i))} * {old[3 + i]} + {sig(gate('i', i))} * tanh({gate('c', i)}))" for i in range(3)]
+        return [f"{sig(gate('o', i))} * tanh({c[i]})" for i in range(3)] + c
+    names = ["a0", "a1", "a2", "c0", "c1", "c2"]
+    y = _softmax_sql([f"({_affine(LSTM['Wy'][i], LSTM['by'][i], names[:3])})" for i in range(2)])
+    return _scan_sql(names, new, {n: n for n in names} | {f"y{i}": v for i, v in enumerate(y)})
+
+
+def _shown(scan, **widths):
+    return scan.select(*SERIES, "step", *[F.round(F.element_at(c, i + 1), 6).alias(f"{c}{i}") for c, n in widths.items() for i in range(n)])
+
+
+@query("h13_rnn_scan", _rnn_sql())
+def h13(spark, sf):
+    return _shown(Q.rnn_scan(_series(spark, sf), SERIES, IN_SERIES, "x", RNN), a=3, y=2)
+
+
+@query("h14_lstm_scan", _lstm_sql())
 def h14(spark, sf):
-    s = _series(spark, sf).withColumn("st", Q.lstm_fold(F.col("xs"), LSTM_W))
-    return s.select("user_id", "day", F.round("st.a", 6).alias("a_last"), F.round("st.c", 6).alias("c_last"))
+    return _shown(Q.lstm_scan(_series(spark, sf), SERIES, IN_SERIES, "x", LSTM), a=3, c=3, y=2)
+
+
+_SERIES_SQL = """SELECT user_id, CAST(ts AS DATE) AS day, list(value / 100 ORDER BY ts, event_id) AS xs FROM events GROUP BY ALL"""
 
 
 @query("h17_ewma", f"""
@@ -134,5 +178,5 @@ SELECT user_id, day, round(st[1] / (1 - pow(0.9, len(xs))), 6) AS m_hat, round(s
   SELECT user_id, day, xs, list_reduce(list_prepend([0.0, 0.0], list_transform(xs, lambda x: [x, 0.0])),
     lambda acc, g: [0.9 * acc[1] + 0.1 * g[1], 0.999 * acc[2] + 0.001 * g[1] * g[1]]) AS st FROM ({_SERIES_SQL}))""")
 def h17(spark, sf):
-    s = _series(spark, sf).withColumn("st", Q.ewma(F.col("xs")))
-    return s.select("user_id", "day", F.round("st.m_hat", 6).alias("m_hat"), F.round("st.v_hat", 6).alias("v_hat"))
+    s = _series(spark, sf).withColumn("g", F.element_at("x", 1))
+    return Q.ewma(s, SERIES, IN_SERIES, "g").select(*SERIES, F.round("m_hat", 6).alias("m_hat"), F.round("v_hat", 6).alias("v_hat"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
@@ -65,34 +64,50 @@ def h4(spark, sf):
     return e.select("vec_id", *[F.round(F.element_at("o", i + 1), 6).alias(f"o{i}") for i in range(3)])
 
 
-def _att_sql(causal: bool, lo: int = 1, hi: int = 8):
-    dim = hi - lo + 1
+#: Positions of a sequence made from neighbouring vectors.
+SEQ = 100
+
+
+def micro(arr):
+    """A vector as text of millionths, which every engine prints alike."""
+    return F.array_join(F.transform(arr, lambda x: F.round(x * 1e6).cast("long").cast("string")), ",")
+
+
+def micro_sql(arr):
+    return f"array_to_string(list_transform({arr}, lambda x: CAST(round(x * 1e6) AS BIGINT)), ',')"
+
+
+_SEQ_SQL = f"SELECT vec_id // {SEQ} AS g, vec_id % {SEQ} AS i, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+
+
+def _softmax_sql(q, k, v, dim, causal=False):
+    """(g, qi, d, o): attention by all pairs of one sequence."""
     s = f"list_dot_product(q.x, k.x) / sqrt({dim})"
     if causal:
         s = f"CASE WHEN k.i > q.i THEN -1e9 ELSE {s} END"
-    outs = ", ".join(f"round(sum(p * vx[{j + 1}]), 6) AS o{j}" for j in range(dim))
     return f"""
-SELECT g AS grp, qi AS pos, {outs}, round(sum(p), 6) AS p_sum FROM (
-  SELECT *, e / sum(e) OVER (PARTITION BY g, qi) AS p FROM (
-    SELECT *, exp(s - max(s) OVER (PARTITION BY g, qi)) AS e FROM (
-      SELECT q.g, q.i AS qi, k.i AS ki, {s} AS s, k.x AS vx
-      FROM (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) q
-      JOIN (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) k
-      ON q.g = k.g)))
-GROUP BY g, qi"""
+  SELECT p.g, p.qi, d, sum(p.p * v.x[d]) AS o FROM (
+    SELECT g, qi, ki, e / sum(e) OVER (PARTITION BY g, qi) AS p FROM (
+      SELECT g, qi, ki, exp(s - max(s) OVER (PARTITION BY g, qi)) AS e FROM (
+        SELECT q.g, q.i AS qi, k.i AS ki, {s} AS s FROM {q} q JOIN {k} k ON q.g = k.g))) p
+  JOIN {v} v ON v.g = p.g AND v.i = p.ki, (SELECT unnest(generate_series(1, {dim})) AS d) GROUP BY ALL"""
 
 
-def _seq(spark, sf, lo=1, hi=8):
+def _att_sql(causal: bool):
+    return f"""
+WITH seq AS MATERIALIZED ({_SEQ_SQL})
+SELECT g AS grp, qi AS pos, {micro_sql('list(o ORDER BY d)')} AS out FROM ({_softmax_sql('seq', 'seq', 'seq', 64, causal)}) GROUP BY g, qi"""
+
+
+def _seq(spark, sf):
     e = table(spark, sf, "embeddings")
-    return e.select(F.expr("vec_id div 8").alias("grp"), (F.col("vec_id") % 8).alias("pos"),
-                    F.slice(F.col("embedding").cast("array<double>"), lo, hi - lo + 1).alias("x"))
+    return e.select(F.expr(f"vec_id div {SEQ}").alias("grp"), (F.col("vec_id") % SEQ).alias("pos"),
+                    F.col("embedding").cast("array<double>").alias("x"))
 
 
 def _att(spark, sf, causal):
     s = _seq(spark, sf)
-    a = V.attention(s, s, s, "grp", "pos", "x", 8, causal=causal)
-    return a.select("grp", "pos", *[F.round(F.element_at("out", j + 1), 6).alias(f"o{j}") for j in range(8)],
-                    F.round("p_sum", 6).alias("p_sum"))
+    return V.attention(s, s, s, "grp", "pos", "x", causal=causal).select("grp", "pos", micro("out").alias("out"))
 
 
 @query("h5_attention", _att_sql(False))
@@ -105,62 +120,58 @@ def c28(spark, sf):
     return _att(spark, sf, True)
 
 
-W_OUT = [[((i * 8 + j) % 5 - 2) / 4 for j in range(8)] for i in range(4)]
+#: Two heads of 32 dimensions over all 64: weights (query, key, value) of each head, and of the output.
+HEAD = 32
+W_HEAD = [[[[((i * 64 + j * (3 + s) + 5 * h) % 11 - 5) / 20 for j in range(64)] for i in range(HEAD)] for s in range(3)] for h in range(2)]
+W_OUT = [[((i * 64 + j) % 5 - 2) / 4 for j in range(64)] for i in range(8)]
 
 
-def _head_sql(lo, hi, name):
-    dim = hi - lo + 1
-    outs = ", ".join(f"sum(p * vx[{j + 1}])" for j in range(dim))
-    return f"""{name} AS (
-  SELECT g, qi, [{outs}] AS o FROM (
-    SELECT *, e / sum(e) OVER (PARTITION BY g, qi) AS p FROM (
-      SELECT *, exp(s - max(s) OVER (PARTITION BY g, qi)) AS e FROM (
-        SELECT q.g, q.i AS qi, k.i AS ki, list_dot_product(q.x, k.x) / sqrt({dim}) AS s, k.x AS vx
-        FROM (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) q
-        JOIN (SELECT vec_id // 8 AS g, vec_id % 8 AS i, CAST(embedding AS DOUBLE[])[{lo}:{hi}] AS x FROM embeddings) k
-        ON q.g = k.g))) GROUP BY g, qi)"""
+def _head_sql(h, s):
+    return (f"(SELECT g, i, list_transform(generate_series(0, {HEAD - 1}), lambda a: list_sum(list_transform(generate_series(0, 63), "
+            f"lambda b: x[b + 1] * ((a * 64 + b * {3 + s} + {5 * h}) % 11 - 5) / 20.0))) AS x FROM seq)")
 
 
 def _h6_sql():
-    ys = ", ".join(f"round(list_dot_product(h0.o || h1.o, {[float(w) for w in W_OUT[i]]}), 6) AS y{i}" for i in range(4))
-    return (f"WITH {_head_sql(1, 4, 'h0')}, {_head_sql(5, 8, 'h1')}\n"
-            f"SELECT h0.g AS grp, h0.qi AS pos, {ys} FROM h0 JOIN h1 ON h0.g = h1.g AND h0.qi = h1.qi")
+    heads = ", ".join(f"{n}{h} AS MATERIALIZED {_head_sql(h, s)}" for h in range(2) for s, n in enumerate("qkv"))
+    both = " UNION ALL ".join(f"SELECT g, qi, d + {h * HEAD} AS d, o FROM ({_softmax_sql(f'q{h}', f'k{h}', f'v{h}', HEAD)})" for h in range(2))
+    return f"""
+WITH seq AS MATERIALIZED ({_SEQ_SQL}), {heads}, o AS (SELECT g, qi, list(o ORDER BY d) AS o FROM ({both}) GROUP BY g, qi)
+SELECT g AS grp, qi AS pos, {micro_sql("list_transform(generate_series(0, 7), lambda a: list_sum(list_transform(generate_series(0, 63), lambda b: o[b + 1] * ((a * 64 + b) % 5 - 2) / 4.0)))")} AS y FROM o"""
 
 
 @query("h6_multi_head", _h6_sql())
 def h6(spark, sf):
-    """Two heads over dims 1-4 and 5-8, concatenated, projected to 4 dims."""
-    heads = []
-    for h, (lo, hi) in enumerate([(1, 4), (5, 8)]):
-        s = _seq(spark, sf, lo, hi)
-        heads.append(V.attention(s, s, s, "grp", "pos", "x", 4).select("grp", "pos", F.col("out").alias(f"h{h}")))
-    j = heads[0].join(heads[1], ["grp", "pos"])
-    y = V.linear(F.concat("h0", "h1"), W_OUT)
-    return j.select("grp", "pos", *[F.round(F.element_at(y, i + 1), 6).alias(f"y{i}") for i in range(4)])
+    """Two heads of 32 dimensions, projected from all 64, concatenated and projected to 8."""
+    return V.multi_head(_seq(spark, sf), "grp", "pos", "x", [tuple(w) for w in W_HEAD], W_OUT).select("grp", "pos", micro("y").alias("y"))
 
 
 @query("h15_pool", f"""
-SELECT label, {', '.join(f'round(max(e[{i + 1}]), 6) AS m{i}' for i in range(4))},
-       {', '.join(f'round(avg(e[{i + 1}]), 6) AS a{i}' for i in range(4))} FROM ({EMB}) GROUP BY label""")
+SELECT label, CAST(d AS INTEGER) AS d, round(max(x), 6) AS m, round(avg(x), 6) AS a FROM (
+  SELECT label, unnest(generate_series(0, len(e) - 1)) AS d, unnest(e) AS x FROM ({EMB})) GROUP BY ALL""")
 def h15(spark, sf):
-    e = emb(spark, sf)
-    mx = V.pool(e, ["label"], "e", 4, "max").select("label", *[F.round(F.element_at("e", i + 1), 6).alias(f"m{i}") for i in range(4)])
-    av = V.pool(e, ["label"], "e", 4, "mean").select("label", *[F.round(F.element_at("e", i + 1), 6).alias(f"a{i}") for i in range(4)])
-    return mx.join(av, "label")
+    return V.pool(emb(spark, sf), ["label"], "e").select("label", "d", F.round("max", 6).alias("m"), F.round("mean", 6).alias("a"))
+
+
+@query("h15_pick_token", f"""
+SELECT vec_id // {SEQ} AS grp, vec_id % {SEQ} AS pos, {micro_sql('e')} AS vec FROM ({EMB}) WHERE label = 3""")
+def h15_pick(spark, sf):
+    """Token ids of a sequence are the labels of its vectors; those of id 3 are picked."""
+    e = emb(spark, sf).select(F.expr(f"vec_id div {SEQ}").alias("grp"), (F.col("vec_id") % SEQ).alias("pos"), "label", "e")
+    return V.pick_token(e.drop("label"), e.drop("e"), ["grp", "pos"], "label", 3).select("grp", "pos", micro("e").alias("vec"))
 
 
 @query("h16_embed", f"""
-SELECT ev.event_id, {', '.join(f'round(t.x[{i + 1}] + CASE WHEN {i} % 2 = 0 THEN sin(ev.event_id % 8) ELSE cos(ev.event_id % 8) END, 6) AS v{i}' for i in range(4))}
-FROM events ev JOIN (SELECT vec_id AS tok, CAST(embedding AS DOUBLE[])[1:4] AS x FROM embeddings WHERE vec_id < 16) t
-ON t.tok = ev.event_id % 16""")
+SELECT ev.event_id, {micro_sql("list_transform(t.x, lambda x, i: x + CASE WHEN i % 2 = 1 THEN sin(ev.event_id % 8) ELSE cos(ev.event_id % 8) END)")} AS vec
+FROM events ev JOIN (SELECT vec_id AS tok, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id < 16) t ON t.tok = ev.event_id % 16""")
 def h16(spark, sf):
     ev = table(spark, sf, "events").select("event_id", (F.col("event_id") % 16).alias("tok"), (F.col("event_id") % 8).alias("p"))
     tab = table(spark, sf, "embeddings").filter(F.col("vec_id") < 16).select(
-        F.col("vec_id").alias("tok"), F.slice(F.col("embedding").cast("array<double>"), 1, 4).alias("vec"))
-    pos = ev.select("p").distinct().select("p", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(
-        i % 2 == 0, F.sin(F.col("p").cast("double"))).otherwise(F.cos(F.col("p").cast("double")))).alias("vec"))
-    out = V.embed(ev, tab, "tok", "p", pos)
-    return out.select("event_id", *[F.round(F.element_at("vec", i + 1), 6).alias(f"v{i}") for i in range(4)])
+        F.col("vec_id").alias("tok"), F.col("embedding").cast("array<double>").alias("vec"))
+    # one position vector a place, as wide as the token vectors
+    wide = F.sequence(F.lit(0), F.lit((tab.agg(F.max(F.size("vec"))).first()[0] or 1) - 1))   # one number
+    at = F.col("p").cast("double")
+    pos = ev.select("p").distinct().select("p", F.transform(wide, lambda i: F.when(i % 2 == 0, F.sin(at)).otherwise(F.cos(at))).alias("vec"))
+    return V.embed(ev, tab, "tok", "p", pos).select("event_id", micro("vec").alias("vec"))
 
 
 def image_pairs(spark, sf):

@@ -72,12 +72,11 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def deal(df: DataFrame, *cols) -> DataFrame:
-    """``df`` dealt by ``cols`` to as many tasks as a shuffle is set to have (at least one a core): for rows of few bytes
-    and much work, which adaptive execution would put together by their bytes."""
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *cols)
+def ship(df: DataFrame) -> DataFrame:
+    """``df``; Python workers that it starts find this package where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

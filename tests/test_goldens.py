@@ -85,7 +85,7 @@ def test_attention_golden(spark):
     k = np.linspace(-0.8, 0.5, 20).reshape(5, 4)
     v = np.linspace(-0.3, 0.8, 20).reshape(5, 4)
     mk = lambda a: spark.createDataFrame([(0, i, list(map(float, a[i]))) for i in range(5)], "g int, i int, x array<double>")
-    out = V.attention(mk(q), mk(k), mk(v), "g", "i", "x", 4).orderBy("i").collect()
+    out = V.attention(mk(q), mk(k), mk(v), "g", "i", "x").orderBy("i").collect()
     assert np.allclose(out[0].out, [0.08283, 0.14073, 0.19862, 0.25652], atol=1e-5)
     assert all(abs(r.p_sum - 1) < 1e-9 for r in out)
 
