@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.session import checkpoint_dir, table
 
-__all__ = ["column", "columns", "documents", "empty_text", "materialize", "rows_per_split", "table"]
+__all__ = ["column", "columns", "documents", "empty_text", "few", "materialize", "rows_per_split", "table"]
 
 #: ``[^\x20\x09-\x0D]+``: a word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,4 +51,14 @@ def rows_per_split(spark: SparkSession, rows: int, per: int, least: int = 1) ->
     return max(least, -(-rows // per))
 
 
+#: Rows of a few numbers that one task handles.
+FEW_ROWS = 400_000
+
+
+def few(df: DataFrame, rows: int, per: int = FEW_ROWS) -> DataFrame:
+    """``df`` in tasks of ``per`` of its ``rows`` rows: what a shuffle left in many small parts is not handled by as many tasks.
+    More rows make more tasks."""
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 LONG, INT, DOUBLE, STRING, BINARY = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BinaryType()

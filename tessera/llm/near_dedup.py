@@ -7,13 +7,15 @@ pigeonhole all pairs with fewer than ``2 * CHUNKS`` differing values share a buc
 at most one differs. At similarity 0.75 a chunk qualifies with probability 0.63, all 12 fail for
 one pair in 160,000.
 
-Buckets are not expanded into pairs. First every member is paired with one member of its bucket (another
-one in each bucket); of its partners the closest, the smallest and the largest are confirmed on full
-sets, and components are taken.
-Then whatever pairs of *different* components still share a bucket are compared: bucket members in
-blocks, inside tasks, by signature and then by a finer sketch (the least hash of each of ``BINS`` ranges); each pair
-within ``FAR`` differing values and with enough alike bins (both 5 sigma beyond the expected number at 0.75) comes from
-the first bucket that it shares, and is confirmed on full sets too. Links inside a component cannot change it.
+Buckets are not expanded into pairs. In a round of stars every member is paired with one member of its bucket
+(another one in each bucket); the partner met most often, the smallest and the largest are confirmed on full sets,
+and components are taken. While hot buckets still hold several components, further rounds pair members with one of another
+component. Then whatever pairs of *different* components still share a bucket are compared: bucket members in
+blocks, inside tasks, by signature (pairs within ``FAR`` differing values) and then by their sets. Of sets up to ``FULL``
+shingles a task has all hashes (32 bits of each: an error could only make a pair look more alike) and reports one link for
+two components, not all; of larger sets it has a sketch (the least hash of each of ``BINS`` ranges) and reports
+every pair with enough alike bins (5 sigma beyond the expected number at 0.75). What is reported is confirmed on full
+sets too. Links inside a component cannot change it.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; repeated rows and
 equal texts are one class; in a component whose doc_ids are all null, component_id is null and one row
@@ -29,20 +31,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, empty_text, materialize, rows_per_split
+from tessera.llm.common import columns, empty_text, few, materialize, rows_per_split
 from tessera.llm.components import components
 
 WORDS, PERCENT = 5, 75
 #: Chunks of a signature, values of a chunk, differing values beyond which a pair is not confirmed.
 CHUNKS, CHUNK = 12, 5
 VALUES, FAR = CHUNKS * CHUNK, 32
-#: Ranges of hashes in a sketch, and sigmas short of the expected number of alike ones at which a pair is not confirmed.
-BINS, SIGMAS = 512, 5
+#: Shingles up to which a task compares whole sets; beyond, ranges of hashes in a sketch, and sigmas short of the expected
+#: number of alike ones at which a pair is not confirmed.
+FULL, BINS, SIGMAS = 512, 2048, 5
 #: Bucket members compared at a time, and rows in a task that compares them.
 BLOCK, TASK_ROWS = 2048, 20_000
+#: Pairs that one task confirms.
+PAIRS = 4000
+#: A further round of stars is made while blocks of hot buckets would copy their members more than this many times.
+COPIES = 2.0
 
 _RNG = np.random.default_rng(20240517)
 _PLACE = _RNG.integers(1 << 62, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,26 +155,11 @@ def _entered(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(run, "key long, node long")
 
 
-def _differing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the number of differing values, up to FAR."""
-    s = classes.select("node", "signature")
-    both = (pairs.join(s.withColumnsRenamed({"node": "a", "signature": "sa"}), "a")
-            .join(s.withColumnsRenamed({"node": "b", "signature": "sb"}), "b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, VALUES) for c in ("sa", "sb"))
-            differ = (sa != sb).sum(axis=1)
-            near = pa.array(differ <= FAR)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(differ.astype(np.int64))], ["a", "b", "differ"]).filter(near)
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, differ long")
-
-
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) whose full sets are similar enough."""
-    both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a")
-            .join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b"))
+    """The written ``pairs`` (a, b) whose full sets are similar enough."""
+    rows = pairs.count()
+    both = few(pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a"), rows, PAIRS)
+    both = few(both.join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b"), rows, PAIRS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -186,54 +178,156 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
-def _sketches(texts: DataFrame) -> DataFrame:
+def shown(hashes: np.ndarray) -> bytes:
+    """What a task is given of a set: 32 bits of each hash of a small one, the sketch of a large one."""
+    return np.unique(hashes >> np.uint64(32)).astype("<u4").tobytes() if len(hashes) <= FULL else sketch(hashes).tobytes()
+
+
+def _shown(texts: DataFrame) -> DataFrame:
     """(node, n, sketch) of ``texts`` (node, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
             sets = (shingles(t, known) for t in batch["text"])
-            rows = [(len(s), sketch(s).tobytes()) for s in sets]
+            rows = [(len(s), shown(s)) for s in sets]
             yield pd.DataFrame(rows, columns=["n", "sketch"]).assign(node=batch["node"].to_numpy())[["node", "n", "sketch"]]
 
     return texts.select("node", "text").mapInPandas(run, "node long, n long, sketch binary")
 
 
-def _crossing(members: DataFrame, classes: DataFrame, texts: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket, differ in at most FAR values and whose sketches are
-    alike enough. The members of a bucket are dealt to blocks and each two blocks of a bucket are compared in a task."""
-    spark = members.sparkSession
-    known = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi and n > 2")
-    rows = materialize(known.join(mixed.select("key", "n"), "key"), "near-mixed")
+class Linker:
+    """Whether members of a block, known by what is shown of their sets, may be linked."""
+
+    def __init__(self, n: np.ndarray, shown_sets: list[bytes]):
+        self.n, self.raw, self.sets = n, shown_sets, {}
+
+    def _set(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            self.sets[i] = np.frombuffer(self.raw[i], "<u4" if self.n[i] <= FULL else np.uint8)
+        return self.sets[i]
+
+    def small(self, i: int) -> bool:
+        return self.n[i] <= FULL
+
+    def whole(self, x: int, y: np.ndarray) -> np.ndarray:
+        """Of small sets ``y`` those that share enough with small ``x``. Hashes alike by accident only raise the number in common."""
+        a, nx = self._set(x), int(self.n[x])
+        out = (100 * self.n[y] >= PERCENT * nx) & (100 * nx >= PERCENT * self.n[y])
+        near = np.flatnonzero(out)
+        if len(near):
+            sets = [self._set(j) for j in y[near]]
+            sizes = np.array([len(b) for b in sets])
+            flat = np.concatenate(sets)
+            hit = a[np.minimum(np.searchsorted(a, flat), len(a) - 1)] == flat
+            common = np.add.reduceat(hit, np.cumsum(sizes) - sizes, dtype=np.int64) + (nx - len(a)) + (self.n[y[near]] - sizes)
+            out[near] = 100 * common >= PERCENT * (nx + self.n[y[near]] - common)
+        return out
+
+    def sketched(self, x: int, y: np.ndarray) -> np.ndarray:
+        """Of large sets ``y`` those that may link with large ``x``; a small and a large set too, by their sizes alone."""
+        if self.small(x):
+            return 100 * self.n[x] >= PERCENT * self.n[y]
+        out = 100 * self.n[y] >= PERCENT * self.n[x]
+        large = np.flatnonzero(out & (self.n[y] > FULL))
+        if len(large):
+            out[large] = may_link(self._set(x), int(self.n[x]), np.stack([self._set(j) for j in y[large]]), self.n[y[large]])
+        return out
+
+
+def block_links(key: int, node, comp, n, signatures: np.ndarray, shown_sets: list[bytes], left, right, spanning: bool = True) -> list[tuple[int, int]]:
+    """Pairs of members of ``left`` and ``right`` (places) of bucket ``key`` in different components that may be linked; a pair is
+    looked at in the first bucket that it shares. With ``spanning``, pairs of small sets that join components
+    already joined here are left out."""
+    linker, found = Linker(n, shown_sets), []
+    keys = chunk_keys(signatures)
+    place = int((keys[0] == key).argmax())
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            parent[c] = c = parent.get(parent[c], parent[c])
+        return c
+
+    for x in left:
+        y = right[(comp[right] != comp[x]) & (node[right] != node[x])]
+        differ = (signatures[y] != signatures[x]).sum(axis=1)
+        y = y[differ <= FAR][np.argsort(differ[differ <= FAR], kind="stable")]
+        y = y[(keys[y] == keys[x]).argmax(axis=1) == place]
+        both = (n[y] <= FULL) if n[x] <= FULL else np.zeros(len(y), dtype=bool)
+        own, small, at = int(comp[x]), y[both], 0
+        while at < len(small):  # the closest first, then more at a time
+            some = small[at:at + (4 if at == 0 else 64)]
+            at += len(some)
+            if spanning:
+                some = some[[root(own) != root(int(c)) for c in comp[some]]]
+            for j in some[linker.whole(x, some)] if len(some) else ():
+                if not spanning or root(own) != root(int(comp[j])):
+                    found.append((x, j))
+                    parent[root(own)] = root(int(comp[j]))
+        rest = y[~both]
+        if len(rest):
+            found += [(x, j) for j in rest[linker.sketched(x, rest)]]
+    return [(min(int(node[x]), int(node[j])), max(int(node[x]), int(node[j]))) for x, j in found]
+
+
+def _unsettled(members: DataFrame, component: DataFrame, rows: int) -> DataFrame:
+    """(key, node, component, n) of the buckets that hold several components."""
+    known = few(members.select("key", "node").join(component, "node", "left"), rows).withColumn("component", F.coalesce("component", "node"))
+    of = Window.partitionBy("key")
+    known = known.withColumn("n", F.count("*").over(of)).withColumn("lo", F.min("component").over(of)).withColumn("hi", F.max("component").over(of))
+    return materialize(few(known.filter("lo != hi").select("key", "node", "component", "n"), rows), "near-mixed")
+
+
+def _crossing(mixed: DataFrame, classes: DataFrame, texts: DataFrame, spanning: bool = True) -> DataFrame:
+    """Pairs of different components that share a bucket and may be linked (``block_links``). The members of a bucket are dealt to
+    blocks and each two blocks of a bucket are compared in a task."""
+    spark = mixed.sparkSession
+    entries = mixed.count()
+    wanted = materialize(few(mixed.select("node").distinct(), entries), "near-wanted")
+    shown_of = _shown(few(texts.join(wanted, "node", "left_semi"), entries, TASK_ROWS))
+    given = few(classes.select("node", "signature").join(shown_of, "node"), entries, TASK_ROWS)
     blocks = f"cast((n + {BLOCK - 1}) div {BLOCK} as int)"
-    rows = rows.withColumn("block", F.expr(f"cast(pmod(xxhash64(node), {blocks}) as int)")).withColumn("other", F.explode(F.expr(f"sequence(0, {blocks} - 1)")))
+    rows = mixed.withColumn("block", F.expr(f"cast(pmod(xxhash64(node), {blocks}) as int)")).withColumn("other", F.explode(F.expr(f"sequence(0, {blocks} - 1)")))
     rows = rows.select("key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    wanted = classes.select("node", "signature").join(rows.select("node").distinct(), "node")
-    wanted = wanted.join(_sketches(texts.join(rows.select("node").distinct(), "node", "left_semi")), "node")
-    rows = rows.join(materialize(wanted, "near-sketches"), "node")
-    tasks = rows_per_split(spark, rows.count(), TASK_ROWS)
-    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    tasks = rows_per_split(spark, entries, TASK_ROWS)
+    rows = few(rows.join(given, "node"), entries, TASK_ROWS).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = set()
         for (key, i, j), part in pdf.groupby(["key", "i", "j"], sort=False):
+            part = part.sort_values("node")
             s = np.frombuffer(b"".join(part["signature"]), "<u2").reshape(-1, VALUES)
-            k = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(-1, BINS)
             node, comp, block, n = (part[c].to_numpy() for c in ("node", "component", "block", "n"))
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            keys = chunk_keys(s)
-            place = int((keys[0] == key).argmax())
-            for x in left:
-                y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
-                y = y[(s[y] != s[x]).sum(axis=1) <= FAR]
-                y = y[may_link(k[x], n[x], k[y], n[y])]
-                y = y[(keys[y] == keys[x]).argmax(axis=1) == place]
-                found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
-        out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            found.update(block_links(key, node, comp, n, s, part["sketch"].tolist(), left, right, spanning))
+        out = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
-    return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
+    return few(rows.groupBy("task").applyInPandas(run, "a long, b long"), entries, TASK_ROWS).distinct()
+
+
+def _tried(pairs: DataFrame, rows: int) -> DataFrame:
+    """Of each node's partners (a, b; as often as they meet) the one met most often, the smallest and the largest."""
+    pairs = few(pairs.groupBy("a", "b").agg(F.count("*").alias("met")), rows)
+    ends = pairs.select(F.explode(F.array(F.struct("a", "b", "met"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "met"))).alias("e")).select("e.*")
+    chosen = ends.groupBy("a").agg(F.max(F.struct("met", F.col("b").alias("b")))["b"].alias("most"), F.min("b").alias("lo"), F.max("b").alias("hi"))
+    chosen = few(chosen, rows).select("a", F.explode(F.array_distinct(F.array("most", "lo", "hi"))).alias("b"))
+    return materialize(few(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), rows), "near-tried")
+
+
+def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links`` (a, b): components met by a link are joined, the rest stay."""
+    if component is None:
+        return materialize(components(links), "near-components")
+    a = component.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = component.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    found = components(between).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    both = component.join(found, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    # a node that no component had yet, and that is linked now, stands in ``found`` under its own number
+    new = found.select(F.col("component").alias("node"), F.col("joined").alias("component")).join(component.select("node"), "node", "left_anti")
+    return materialize(both.unionByName(new), "near-components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -244,36 +338,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
     # Buckets with company: a member's partner is the smallest of its bucket in an order of the bucket's own.
-    entered = _entered(classes)
-    shared = entered.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("pivot")).filter("n > 1")
-    members = materialize(entered.join(shared, "key").select("key", "node", "n", F.col("pivot").bitwiseXOR(F.col("key")).alias("pivot")), "near-members")
-    stars = members.filter("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    near = materialize(_differing(stars, classes), "near-stars")
+    of = Window.partitionBy("key")
+    entered = _entered(classes).withColumn("n", F.count("*").over(of)).withColumn("pivot", F.min(F.col("node").bitwiseXOR(F.col("key"))).over(of))
+    entered = few(entered.filter("n > 1").select("key", "node", F.col("pivot").bitwiseXOR(F.col("key")).alias("pivot")), VALUES * classes.count())
+    members = materialize(entered, "near-members")
+    entries = members.count()
 
-    nodes = members.select("node").distinct().join(classes, "node").select("node", F.col("first.tkey").alias("tkey"), F.col("first.doc_id").alias("_id"))
+    nodes = few(members.select("node").distinct(), entries).join(classes, "node").select("node", F.col("first.tkey").alias("tkey"), F.col("first.doc_id").alias("_id"))
     wanted = columns(docs, doc_id="long", text="string").withColumn("tkey", F.unhex(F.md5(empty_text())))
     texts = wanted.join(nodes, (wanted["tkey"] == nodes["tkey"]) & wanted["doc_id"].eqNullSafe(nodes["_id"])).select("node", "text")
-    texts = materialize(texts.dropDuplicates(["node"]), "near-texts")
-
-    ends = near.select("a", "b", "differ").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "differ"))
-    closest = ends.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("best"), F.min("b").alias("lo"), F.max("b").alias("hi"))
-    closest = closest.select("a", F.explode(F.array("best", "lo", "hi")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = materialize(closest, "near-closest")
-    links = materialize(_confirmed(tried, texts), "near-links")
-    component = materialize(components(links), "near-components")
-
-    crossing = _crossing(members.select("key", "node"), classes, texts, component)
-    of = component.withColumnRenamed("node", "a").withColumnRenamed("component", "ca")
-    to = component.withColumnRenamed("node", "b").withColumnRenamed("component", "cb")
-    stars_left = near.select("a", "b").join(of, "a", "left").join(to, "b", "left").filter("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-    left = materialize(stars_left.unionByName(crossing).distinct().join(tried, ["a", "b"], "left_anti"), "near-left")
-    more = materialize(_confirmed(left, texts), "near-more")
-    if not more.isEmpty():
-        component = components(links.unionByName(more))
+    texts = materialize(few(texts.dropDuplicates(["node"]), classes.count(), TASK_ROWS), "near-texts")
+
+    stars = members.filter("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    component = _joined(None, _confirmed(_tried(stars, entries), texts))
+    mixed = _unsettled(members, component, entries)
+    copies = F.sum(F.ceil(F.col("n") / BLOCK))
+    count, copied = mixed.agg(F.count("*"), copies).first()
+    while count and copied > COPIES * count:  # hot buckets in several components: stars between components, a few pairs a member
+        pairs = mixed.withColumn("least", F.min(F.struct(F.xxhash64("component", "key").alias("h"), "component", "node")).over(of)).filter("component != least.component")
+        pairs = pairs.select(F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b"))
+        component = _joined(component, _confirmed(_tried(pairs, count), texts))
+        before, mixed = count, _unsettled(members, component, entries)
+        count, copied = mixed.agg(F.count("*"), copies).first()
+        if 2 * count > before:
+            break
+
+    if count:
+        reported = materialize(_crossing(mixed, classes, texts), "near-reported")
+        more = materialize(_confirmed(reported, texts), "near-more")
+        if more.count() < reported.count() and _doubted(reported, more, classes, rows):
+            more = materialize(_confirmed(materialize(_crossing(mixed, classes, texts, spanning=False), "near-reported"), texts), "near-more")
+        component = _joined(component, more)
 
     found = classes.select("digest", "node", "first").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    chosen = found.groupBy("component").agg(F.min("first").alias("chosen"))
-    found = found.join(chosen, "component").select("digest", F.col("chosen.doc_id").alias("component_id"), F.col("chosen.row").alias("chosen"))
+    chosen = F.min("first").over(Window.partitionBy("component"))
+    found = found.withColumn("chosen", chosen).select("digest", F.col("chosen.doc_id").alias("component_id"), F.col("chosen.row").alias("chosen"))
     # Rows without shingles meet no class and stand for themselves.
     own = F.col("digest").isNull()
     return rows.join(found, "digest", "left").select(
@@ -283,15 +382,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         (own | (F.col("row") == F.col("chosen"))).alias("stays"))
 
 
+def _doubted(reported: DataFrame, confirmed: DataFrame, classes: DataFrame, rows: DataFrame) -> bool:
+    """Whether full sets refute a reported pair of two small sets (hashes alike by accident), for which another pair may have been left out."""
+    refuted = reported.join(confirmed, ["a", "b"], "left_anti")
+    small = classes.join(rows.filter(F.col("n_shingles") <= FULL).select("digest").distinct(), "digest", "left_semi").select("node")
+    return not refuted.join(small.withColumnRenamed("node", "a"), "a", "left_semi").join(small.withColumnRenamed("node", "b"), "b", "left_semi").isEmpty()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group; rows without shingles all stay."""
-    stay = materialize(near_duplicates(docs).filter("stays").select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"), "n_shingles"), "near-stay")
+    found = materialize(near_duplicates(docs).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"), "n_shingles", "stays"), "near-stay")
+    stay = found.filter("stays").drop("stays")
     keyed = docs.withColumn("_t", F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")))))
     empty = stay.filter("n_shingles = 0").select("_id", "_tkey").distinct()
     stay = stay.filter("n_shingles > 0").select("_id", "_tkey").unionByName(empty)
     match = keyed["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (keyed["_t"] == stay["_tkey"])
     kept = keyed.join(stay, match, "left_semi")
-    twins = columns(docs, doc_id="long", text="string").groupBy("doc_id", F.xxhash64(empty_text())).count().filter("count > 1")
+    twins = found.filter("n_shingles > 0").groupBy("_id", "_tkey").count().filter("count > 1")
     if not twins.isEmpty():  # rows alike in id and text: one of them, if they have words
         words = F.length(F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x09-\x0D]", " "))) > 0
         kept = kept.filter(~words).unionByName(kept.filter(words).dropDuplicates(["doc_id", "_t"]))

@@ -149,17 +149,105 @@ def test_sharding(odd, empty):
 
 
 def test_sketches_keep_every_pair_that_links():
-    from tessera.llm.near_dedup import PERCENT, may_link, sketch
+    from tessera.llm.near_dedup import FULL, PERCENT, Linker, may_link, shown, sketch
     rng = np.random.default_rng(9)
-    for size in (1, 4, 5, 17, 90, 400, 1500, 6000):
-        for _ in range(60):
+    for size in (1, 4, 5, 17, 90, 400, 600, 1500, 6000, 20_000):
+        for _ in range(40):
             union = rng.integers(0, 1 << 63, size=size, dtype=np.uint64) * np.uint64(2)
             common = -(-PERCENT * size // 100)
             cut = common + rng.integers(0, size - common + 1)
             a, b = np.sort(union[:cut]), np.sort(np.concatenate([union[:common], union[cut:]]))
             assert may_link(sketch(a), len(a), sketch(b)[None], np.array([len(b)])).all()
+            linker = Linker(np.array([len(a), len(b)]), [shown(a), shown(b)])
+            if max(len(a), len(b)) <= FULL:
+                assert linker.whole(0, np.array([1])).all()
+            else:
+                assert linker.sketched(0, np.array([1])).all()
     a, b = (np.sort(rng.integers(0, 1 << 63, size=300, dtype=np.uint64)) for _ in range(2))
     assert not may_link(sketch(a), 300, sketch(b)[None], np.array([300])).any()
+    assert not Linker(np.array([300, 300]), [shown(a), shown(b)]).whole(0, np.array([1])).any()
+
+
+def _slow_components(texts):
+    """Smallest reachable id by comparing all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").translate({c: c + 32 for c in range(65, 91)}).split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    of = list(range(len(texts)))
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                x, y = root(i), root(j)
+                of[max(x, y)] = min(x, y)
+    return [root(i) for i in range(len(texts))]
+
+
+def _near_copies(rng, n, words, changed):
+    base = [f"w{i}" for i in rng.integers(0, 5000, words)]
+    for _ in range(n):
+        own = list(base)
+        for at in rng.integers(0, words, changed):
+            own[at] = f"c{rng.integers(0, 10**6)}"
+        yield " ".join(own)
+
+
+def test_near_duplicate_components_against_all_pairs(spark, monkeypatch):
+    from tessera.llm import near_dedup
+    rng = np.random.default_rng(3)
+    common = " ".join(f"p{i}" for i in range(60))
+    texts = [*_near_copies(rng, 120, 120, 3), *_near_copies(rng, 60, 40, 1), *_near_copies(rng, 30, 900, 20), None, "", "a b", "a b"]
+    texts += [common + " " + " ".join(f"r{i}" for i in rng.integers(0, 10**6, 20)) for _ in range(60)]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = _slow_components(texts)
+    for block, copies in ((2048, 2.0), (16, 1.0)):  # also with blocks so small that hot buckets take further rounds
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "COPIES", copies)
+        got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df).collect()}
+        assert {i: (c, c == i) for i, c in enumerate(want)} == got
+
+
+@pytest.mark.parametrize("n", [400, 800])
+def test_pairs_to_confirm_follow_the_documents(spark, monkeypatch, n):
+    from tessera.llm import near_dedup
+    rng = np.random.default_rng(5)
+    seen, real = [], near_dedup._confirmed
+
+    def counted(pairs, texts):
+        seen.append(pairs.count())
+        return real(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", counted)
+    df = spark.createDataFrame(list(enumerate(_near_copies(rng, n, 120, 2))), "doc_id long, text string")
+    assert len({r["component_id"] for r in near_dedup.near_duplicates(df).collect()}) >= 1
+    assert sum(seen) <= 8 * n
+
+
+def test_components_against_search(spark):
+    from tessera.llm.components import components
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2100)]
+    of = {x: x for e in edges for x in e}
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        of[max(x, y)] = min(x, y)
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_ids_of_letters_with_marks_are_the_tokenizers():
