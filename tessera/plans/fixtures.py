@@ -174,6 +174,19 @@ def _pred_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("relations", _neighbour_relations(F.col("entities"))))
 
 
+def retyped_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a relation classifier over the gold entities: in every third sentence the types of its
+    relations are one off; in every fourth document the last entity, if no relation has it, is missed."""
+    types = F.array(*[F.lit(t) for t in RELATION_TYPES_BY_DIST_MOD3])
+    off = F.transform("relations", lambda r: F.struct(
+        F.element_at(types, (F.array_position(types, r["type"]) % 3 + 1).cast("int")).alias("type"), r["head"].alias("head"), r["tail"].alias("tail")))
+    missed = (F.col("doc_id") % 4 == 0) & (F.size("entities") == 1)
+    none = F.array().cast("array<struct<type:string,start:int,end:int>>")
+    d = gold_docs(spark, sf_dir)
+    return d.withColumn("relations", F.when(F.col("sent_no") % 3 == 0, off).otherwise(F.col("relations"))) \
+            .withColumn("entities", F.when(missed, none).otherwise(F.col("entities")))
+
+
 def asof_sides(spark: SparkSession, sf_dir: str):
     """Left = purchase events, right = error events (key user_id, on ts)."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")

@@ -80,6 +80,13 @@ FROM {r} r JOIN {m} h ON r.hkey = h.mkey JOIN {m} t ON r.tkey = t.mkey"""
 _cte("gold_relx", ("gold", "gold_rel"), _RELX.format(r="gold_rel", m="gold"))
 _cte("pred_relx", ("pred", "pred_rel"), _RELX.format(r="pred_rel", m="pred"))
 
+# predictions of ``retyped_docs``
+_cte("retyped", ("gold",), """
+SELECT * FROM gold QUALIFY NOT (doc_id % 4 = 0 AND count(*) OVER (PARTITION BY doc_id, sent_no) = 1)""")
+_cte("retyped_rel", ("gold_rel",), """
+SELECT * REPLACE (CASE WHEN sent_no % 3 <> 0 THEN type WHEN type = 'associated_with' THEN 'treatment_for'
+  WHEN type = 'treatment_for' THEN 'hyponym_of' ELSE 'associated_with' END AS type) FROM gold_rel""")
+
 _cte("asof_left", (), "SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'")
 _cte("asof_right", (), "SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
 

@@ -82,12 +82,16 @@ def f7(spark, sf):
     return mismatch(spark, sf).filter(F.col("ent_mismatch") | F.col("rel_mismatch"))
 
 
+_RETYPED_SQL = MISMATCH_SQL.replace("FROM pred_rel", "FROM retyped_rel").replace("FROM pred)", "FROM retyped)")
+
+
 @query("f8_relation_only_errors", with_ctes(f"""
 SELECT doc_id, sent_no, CAST(row_number() OVER (ORDER BY doc_id, sent_no) - 1 AS BIGINT) AS case_rank
-FROM ({MISMATCH_SQL}) WHERE rel_mismatch AND NOT ent_mismatch""", *MISMATCH_CTES))
+FROM ({_RETYPED_SQL}) WHERE rel_mismatch AND NOT ent_mismatch""", "sents", "gold", "gold_rel", "retyped", "retyped_rel"))
 def f8(spark, sf):
+    """Sentences in which a relation classifier over the gold entities errs, though the entities are right."""
     from tessera.operators.splits import global_rank
-    m = mismatch(spark, sf).filter(F.col("rel_mismatch") & ~F.col("ent_mismatch")).select(*DOC)
+    m = mismatch(spark, sf, FX.retyped_docs).filter(F.col("rel_mismatch") & ~F.col("ent_mismatch")).select(*DOC)
     return global_rank(m, [F.col("doc_id"), F.col("sent_no")], "case_rank")
 
 

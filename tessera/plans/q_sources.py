@@ -29,28 +29,34 @@ def _m1(spark, sf):
 
 
 _M1_SQL = """
-SELECT CAST(s.doc_id AS VARCHAR) || '_' || CAST(s.sent_no AS VARCHAR) AS orig_id, CAST(len(s.tokens) AS INTEGER) AS n_tokens,
-       coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations
-FROM sents s LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold GROUP BY ALL) e USING (doc_id, sent_no)
-LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold_rel GROUP BY ALL) r USING (doc_id, sent_no)"""
+SELECT CAST(s.doc_id AS VARCHAR) || '_' || CAST(s.sent_no AS VARCHAR) AS orig_id, s.doc_id, array_to_string(s.tokens, ' ') AS text,
+       coalesce(e.l, '') AS entities, coalesce(r.l, '') AS relations
+FROM sents s LEFT JOIN (SELECT doc_id, sent_no, string_agg(type || ':' || "start" || ':' || "end", ' ' ORDER BY ent_idx) AS l FROM gold GROUP BY ALL) e
+  ON e.doc_id = s.doc_id AND e.sent_no = s.sent_no
+LEFT JOIN (SELECT doc_id, sent_no, string_agg(type || ':' || head || ':' || tail, ' ' ORDER BY rel_idx) AS l FROM gold_rel GROUP BY ALL) r
+  ON r.doc_id = s.doc_id AND r.sent_no = s.sent_no"""
+_M1_ROWS = with_ctes(f"SELECT orig_id, text, entities, relations FROM ({_M1_SQL})", "sents", "gold", "gold_rel")
 
 
-def _counts(df):
-    return df.select("orig_id", F.size("tokens").alias("n_tokens"), F.size("entities").cast("long").alias("n_entities"),
-                     F.size("relations").cast("long").alias("n_relations"))
+def _listed(col, *fields):
+    return F.array_join(F.transform(col, lambda e: F.concat_ws(":", *[e[f].cast("string") for f in fields])), " ").alias(col)
 
 
-@query("a1_read_docs", with_ctes(_M1_SQL, "sents", "gold", "gold_rel"))
+def _contents(df, *more):
+    """A document as text: its id, tokens, entities and relations."""
+    return df.select(*more, "orig_id", F.array_join("tokens", " ").alias("text"), _listed("entities", "type", "start", "end"), _listed("relations", "type", "head", "tail"))
+
+
+@query("a1_read_docs", _M1_ROWS)
 def a1(spark, sf):
     p = _dir(spark, sf, "a1")
     WR.write_doc_arrays(_m1(spark, sf).drop("doc_id"), p, F.col("orig_id"))
-    return _counts(RD.read_docs(spark, p))
+    return _contents(RD.read_docs(spark, p))
 
 
 @query("a2_read_split_docs", with_ctes(f"""
-SELECT CASE WHEN CAST(split_part(orig_id, '_', 1) AS BIGINT) % 10 < 8 THEN 'train'
-            WHEN CAST(split_part(orig_id, '_', 1) AS BIGINT) % 10 = 8 THEN 'dev' ELSE 'test' END AS split,
-       orig_id, n_entities FROM ({_M1_SQL})""", "sents", "gold", "gold_rel"))
+SELECT CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'dev' ELSE 'test' END AS split,
+       orig_id, text, entities, relations FROM ({_M1_SQL})""", "sents", "gold", "gold_rel"))
 def a2(spark, sf):
     p = _dir(spark, sf, "a2")
     d = _m1(spark, sf)
@@ -60,8 +66,7 @@ def a2(spark, sf):
     g = d.groupBy("_b").agg(*[F.collect_list(F.when(F.col("_s") == s, docs)).alias(s) for s in ("train", "dev", "test")])
     g.select("_b", F.to_json(F.struct("train", "dev", "test")).alias("value")).write.mode("overwrite") \
         .partitionBy("_b").text(p)
-    r = RD.read_split_docs(spark, p)
-    return r.select("split", "orig_id", F.size("entities").cast("long").alias("n_entities"))
+    return _contents(RD.read_split_docs(spark, p), "split")
 
 
 @query("a3_read_untagged", with_ctes("""
@@ -143,34 +148,56 @@ def a9(spark, sf):
                     F.round(F.aggregate("series", F.lit(0.0), lambda a, x: a + x), 4).alias("s"))
 
 
-@query("a12_read_graphs", with_ctes("""
-SELECT (SELECT count(*) FROM ggraphs) AS n_graphs, (SELECT count(*) FROM gnodes) AS n_nodes,
-       (SELECT count(*) FROM gedges) AS n_edges""", "ggraphs", "gnodes", "gedges"))
-def a12(spark, sf):
+def _graph_files(spark, sf):
+    """The graph collection as text files: graphs numbered from 1 by their id, nodes from 1 through all graphs."""
+    from tessera.operators.splits import global_rank
     nodes, edges, graphs = FX.graph_tables(spark, sf)
-    base = _dir(spark, sf, "a12")
-    for n, d in (("nodes", nodes), ("edges", edges), ("graphs", graphs)):
-        d.write.mode("overwrite").parquet(f"{base}/{n}")
-    r = {n: spark.read.parquet(f"{base}/{n}") for n in ("nodes", "edges", "graphs")}
-    return _a12_counts(r)
+    g = global_rank(graphs, [F.col("graph_id")], "g").withColumn("g", F.col("g") + 1)
+    n = global_rank(nodes, [F.col("graph_id"), F.col("node")], "n").withColumn("n", F.col("n") + 1)
+    at = n.select("graph_id", F.col("node"), "n")
+    e = edges.join(at.withColumnsRenamed({"node": "src", "n": "i"}), ["graph_id", "src"]).join(at.withColumnsRenamed({"node": "dst", "n": "j"}), ["graph_id", "dst"])
+    folder = _dir(spark, sf, "a12")
+    paths = {k: f"{folder}/{k}" for k in ("edges", "indicator", "labels", "attributes")}
+    e.select(F.concat_ws(", ", "i", "j").alias("value")).write.text(paths["edges"])
+    of = n.join(g.select("graph_id", "g"), "graph_id")
+    of.orderBy("n").select(F.col("g").cast("string").alias("value")).write.text(paths["indicator"])
+    n.orderBy("n").select(F.array_join(F.transform("x", lambda v: v.cast("string")), ", ").alias("value")).write.text(paths["attributes"])
+    g.orderBy("g").select(F.col("label").cast("string").alias("value")).write.text(paths["labels"])
+    return paths
+
+
+_GRAPHS_SQL = """, gno AS MATERIALIZED (SELECT graph_id, label, row_number() OVER (ORDER BY graph_id) AS g FROM ggraphs)"""
+
+
+@query("a12_read_graphs", with_ctes(_GRAPHS_SQL + """
+SELECT g.g AS graph_id, g.label, n.node, round(n.x[1], 6) AS x0, round(n.x[2], 6) AS x1, round(n.x[3], 6) AS x2, round(n.x[4], 6) AS x3,
+       coalesce(e.out, '') AS out
+FROM gno g JOIN gnodes n ON n.graph_id = g.graph_id
+LEFT JOIN (SELECT graph_id, src, string_agg(dst, ',' ORDER BY dst) AS out FROM gedges GROUP BY ALL) e ON e.graph_id = n.graph_id AND e.src = n.node""",
+    "ggraphs", "gnodes", "gedges").replace("\n, gno", ", gno"))
+def a12(spark, sf):
+    """Every node of the collection read back, with its graph's label, its features and where its edges lead."""
+    nodes, edges, graphs = RD.read_graphs(spark, **_graph_files(spark, sf))
+    out = edges.groupBy("graph_id", F.col("src").alias("node")).agg(F.sort_array(F.collect_list("dst")).alias("out"))
+    j = nodes.join(graphs, "graph_id").join(out, ["graph_id", "node"], "left")
+    return j.select("graph_id", "label", "node", *[F.round(F.element_at("x", i + 1), 6).alias(f"x{i}") for i in range(4)],
+                    F.coalesce(F.array_join(F.col("out").cast("array<string>"), ","), F.lit("")).alias("out"))
 
 
-def _a12_counts(r):
-    g = r["graphs"].count()
-    n = r["nodes"].count()
-    e = r["edges"].count()
-    return r["graphs"].sparkSession.range(1).select(F.lit(g).cast("long").alias("n_graphs"),
-                                                    F.lit(n).cast("long").alias("n_nodes"),
-                                                    F.lit(e).cast("long").alias("n_edges"))
+@query("a12_graph_counts", with_ctes("""
+SELECT (SELECT count(*) FROM ggraphs) AS n_graphs, (SELECT count(*) FROM gnodes) AS n_nodes,
+       (SELECT count(*) FROM gedges) AS n_edges""", "ggraphs", "gnodes", "gedges"))
+def a12_counts(spark, sf):
+    return RD.graph_counts(*RD.read_graphs(spark, **_graph_files(spark, sf)))
 
 
 @query("a13_load_types", with_ctes("""
-SELECT kind, name, CAST(idx AS INTEGER) AS idx, "symmetric" FROM (
+SELECT kind, name, CAST(idx AS INTEGER) AS idx, "short", "verbose", "symmetric" FROM (
   SELECT 'entities' AS kind, type AS name, row_number() OVER (ORDER BY min(doc_id * 4294967296 + sent_no), type) AS idx,
-         false AS "symmetric" FROM gold GROUP BY type
+         upper(substr(type, 1, 3)) AS "short", type AS "verbose", false AS "symmetric" FROM gold GROUP BY type
   UNION ALL SELECT 'relations', type, row_number() OVER (ORDER BY min(doc_id * 4294967296 + sent_no), type),
-         type = 'associated_with' FROM gold_rel GROUP BY type
-  UNION ALL SELECT 'entities', 'None', 0, false UNION ALL SELECT 'relations', 'None', 0, false)""", "gold", "gold_rel"))
+         upper(substr(type, 1, 3)), type, type = 'associated_with' FROM gold_rel GROUP BY type
+  UNION ALL SELECT 'entities', 'None', 0, 'None', 'No Entity', false UNION ALL SELECT 'relations', 'None', 0, 'None', 'No Relation', false)""", "gold", "gold_rel"))
 def a13(spark, sf):
     from pyspark.sql import Window
     p = _dir(spark, sf, "a13")
@@ -215,11 +242,11 @@ def a14(spark, sf):
     return RD.read_parallel(spark, p)
 
 
-@query("a15_write_docs", with_ctes(_M1_SQL, "sents", "gold", "gold_rel"))
+@query("a15_write_docs", _M1_ROWS)
 def a15(spark, sf):
     p = _dir(spark, sf, "a15")
     WR.write_docs(_m1(spark, sf).drop("doc_id"), p)
-    return _counts(RD.read_jsonl(spark, p, RD.DOC_SCHEMA))
+    return _contents(RD.read_jsonl(spark, p, RD.DOC_SCHEMA))
 
 
 @query("a16_write_csv", with_ctes("""
@@ -264,42 +291,41 @@ SELECT ptid, date, tag, first(name ORDER BY suffix(name, '.gz') DESC, name DESC)
   FROM (SELECT path AS name FROM scan_left UNION ALL SELECT path || '.gz' FROM scan_left WHERE event_id % 5 = 0))
 GROUP BY ALL""", "scan_left"))
 def a10(spark, sf):
-    """Files in a folder tree whose names match the scan pattern; the '.gz'
-    file wins for the same key. Files are written by Spark (one folder per
-    name), listed with the binaryFile source selecting the path only."""
+    """The scan files in a folder tree, by their names; the '.gz' file wins for the same key. The tree holds
+    real files, one for each scan, in a folder for each site, and others that do not match."""
     from tessera.functions import text as X
     from tessera.operators.joins import latest_per_key
     p = _dir(spark, sf, "a10")
     n = FX.scan_names(spark, sf, "view")
     gz = n.filter(F.col("event_id") % 5 == 0).select("event_id", F.concat("path", F.lit(".gz")).alias("path"))
-    names = n.unionByName(gz).select(F.col("path").alias("fname")).distinct()
-    names.select("fname", F.lit("").alias("value")).write.mode("overwrite").partitionBy("fname").text(p)
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.txt").load(p).select("path"))
-    # the scan name is the folder holding the file
-    name = F.regexp_extract("path", r"fname=([^/]+)/[^/]*$", 1)
-    from urllib.parse import unquote  # noqa: F401  (folder names are escaped by the writer)
-    name = F.url_decode(name)
-    parsed = files.select(name.alias("name")).select("name", X.parse_filename("name").alias("x")).filter(F.col("x").isNotNull())
+    site = F.concat(F.lit("site"), F.split_part("path", F.lit("_"), F.lit(1)).cast("int") % 10, F.lit("/left/"))
+    names = n.unionByName(gz).select(F.concat(site, "path").alias("name")).distinct()
+    other = n.filter(F.col("event_id") % 50 == 0).select(F.concat(site, F.lit("notes "), F.col("event_id").cast("string"), F.lit(".csv")).alias("name"))
+    other = other.unionByName(n.filter(F.col("event_id") % 50 == 1).select(F.concat(site, "path", F.lit(".txt")).alias("name")))
+    WR.write_named_files(names.unionByName(other.distinct()).withColumn("value", F.lit("0 0\n")), p)
+    files = RD.list_files(spark, p, "*.{csv,csv.gz}")
+    parsed = files.select("name", X.parse_filename("name").alias("x")).filter(F.col("x").isNotNull())
     keyed = parsed.select("x.ptid", "x.date", "x.tag", "name")
     return latest_per_key(keyed, ["ptid", "date", "tag"], "name")
 
 
 @query("a11_read_matrix", """
-SELECT vec_id, CAST(r AS INTEGER) AS "row", round(list_sum(CAST(embedding AS DOUBLE[])[r * 8 + 1:r * 8 + 8]), 4) AS s
+SELECT vec_id, CAST(r AS INTEGER) AS "row", round(list_sum(CAST(embedding AS DOUBLE[])[r * 8 + 1:r * 8 + 8]), 4) AS s,
+       round(CAST(embedding[r * 8 + 3] AS DOUBLE), 6) AS v
 FROM embeddings, (SELECT unnest(generate_series(0, 7)) AS r) rr""")
 def a11(spark, sf):
-    """One whitespace-separated 8x8 matrix per vector (one file each), read
-    back as (file, row, values)."""
+    """One whitespace-separated 8x8 matrix per vector, many to a (compressed) file, read back as (name, row, values)."""
     p = _dir(spark, sf, "a11")
     e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.array_join(
         F.transform(F.slice("x", r * 8 + 1, 8), lambda v: F.format_string("%.9g", v)), "  "))
-    e.select("vec_id", F.array_join(rows, "\n").alias("value")).write.mode("overwrite").partitionBy("vec_id").text(p)
+    text = F.concat(F.lit(RD.MATRIX_MARK), F.col("vec_id").cast("string"), F.lit("\n"), F.array_join(rows, "\n"), F.lit("\n"))
+    e = e.select("vec_id", text.alias("value"))
+    files = WR.files_of(e, F.col("value"))
+    e.repartition(files, "vec_id").select("value").write.option("compression", "gzip").text(p)
     m = RD.read_matrix(spark, p)
-    vec = F.regexp_extract("file", r"vec_id=(\d+)/", 1).cast("long")
-    return m.select(vec.alias("vec_id"), F.col("row").cast("int").alias("row"),
-                    F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"))
+    return m.select(F.col("name").cast("long").alias("vec_id"), F.col("row").cast("int").alias("row"),
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"), F.round(F.element_at("values", 3), 6).alias("v"))
 
 
 def _conll_files(spark, sf, p):
@@ -341,20 +367,22 @@ def _conll_files(spark, sf, p):
 
 
 @query("a5_read_conll", with_ctes("""
-SELECT CAST(o AS VARCHAR) AS orig_id, n_tokens, n_entities, n_relations FROM (
-  SELECT s.doc_id * 4294967296 + s.sent_no AS o,
-         CAST(list_sum(list_transform(s.tokens, lambda t, i: CASE WHEN list_contains(coalesce(e.starts, []), i - 1)
-              THEN len(string_split(replace(t, '|', '!'), '/')) ELSE 1 END)) AS INTEGER) AS n_tokens,
-         CAST(coalesce(len(e.starts), 0) AS INTEGER) AS n_entities, CAST(coalesce(r.n, 0) AS INTEGER) AS n_relations,
-         max(s.doc_id * 4294967296 + s.sent_no) OVER (PARTITION BY (s.doc_id * 4294967296 + s.sent_no) % 8) AS last_o
-  FROM sents s LEFT JOIN (SELECT doc_id, sent_no, list("start") AS starts FROM gold WHERE "end" - "start" = 1 GROUP BY ALL) e
-    USING (doc_id, sent_no)
-  LEFT JOIN (SELECT doc_id, sent_no, count(*) AS n FROM gold_relx WHERE he - hs = 1 AND te - ts_ = 1 GROUP BY ALL) r
-    USING (doc_id, sent_no))
-WHERE o <> last_o""", "sents", "gold", "gold_relx"))
+, o AS MATERIALIZED (SELECT doc_id, sent_no, doc_id * 4294967296 + sent_no AS o,
+    max(doc_id * 4294967296 + sent_no) OVER (PARTITION BY (doc_id * 4294967296 + sent_no) % 8) AS last_o FROM sents),
+single AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_no ORDER BY "start") - 1 AS no FROM gold WHERE "end" - "start" = 1),
+parts AS MATERIALIZED (SELECT t.doc_id, t.sent_no, t.tok_idx, g.type, g.no, CASE WHEN g.type IS NULL THEN [replace(t.token, '|', '!')] ELSE string_split(replace(t.token, '|', '!'), '/') END AS ps
+  FROM toks t LEFT JOIN single g ON g.doc_id = t.doc_id AND g.sent_no = t.sent_no AND g."start" = t.tok_idx),
+placed AS MATERIALIZED (SELECT *, list_transform(ps, lambda p: CASE p WHEN 'COMMA' THEN ',' WHEN '-LRB-' THEN '(' WHEN '-RRB-' THEN ')' ELSE p END) AS rs,
+  CAST(sum(len(ps)) OVER (PARTITION BY doc_id, sent_no ORDER BY tok_idx) - len(ps) AS INTEGER) AS place FROM parts),
+docs AS (SELECT doc_id, sent_no, string_agg(array_to_string(rs, ' '), ' ' ORDER BY tok_idx) AS text,
+  coalesce(string_agg(type || ':' || place || ':' || (place + len(ps)), ' ' ORDER BY tok_idx) FILTER (WHERE type IS NOT NULL), '') AS entities FROM placed GROUP BY ALL),
+rels AS (SELECT r.doc_id, r.sent_no, string_agg(r.type || ':' || h.no || ':' || t.no, ' ' ORDER BY r.rel_idx) AS relations FROM gold_relx r
+  JOIN single h ON h.mkey = (CAST(r.doc_id AS HUGEINT) * 4294967296 + r.sent_no) * 4294967296 + r.head
+  JOIN single t ON t.mkey = (CAST(r.doc_id AS HUGEINT) * 4294967296 + r.sent_no) * 4294967296 + r.tail GROUP BY ALL)
+SELECT CAST(o.o AS VARCHAR) AS orig_id, d.text, d.entities, coalesce(r.relations, '') AS relations FROM o
+JOIN docs d ON d.doc_id = o.doc_id AND d.sent_no = o.sent_no LEFT JOIN rels r ON r.doc_id = o.doc_id AND r.sent_no = o.sent_no
+WHERE o.o <> o.last_o""", "sents", "toks", "gold", "gold_relx").replace("\n\n, o AS", ", o AS"))
 def a5(spark, sf):
     p = _dir(spark, sf, "a5")
     _conll_files(spark, sf, p)
-    d = RD.read_conll(spark, p)
-    return d.select("orig_id", F.size("tokens").alias("n_tokens"), F.size("entities").alias("n_entities"),
-                    F.size("relations").alias("n_relations"))
+    return _contents(RD.read_conll(spark, p))

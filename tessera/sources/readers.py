@@ -10,13 +10,15 @@ import hashlib
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_dir, cut_lineage
+
+
 def new_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A folder of its own below the session's shared one, for files made from the tables of ``sf_dir``: by a hash of the
     whole path and a number never used before, so no other input or session writes to what a lazy frame still reads."""
-    from tessera.session import checkpoint_dir
     sf = hashlib.md5(os.path.normpath(sf_dir).encode()).hexdigest()[:16]
     return f"{checkpoint_dir(spark).rstrip('/')}/sources/{sf}/{name}-{uuid.uuid4().hex}"
 
@@ -102,32 +104,91 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
                      F.col(cols[-1]).cast("double").cast("int").alias("label"))
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """A10: the files below ``path`` whose names match the glob ``pattern``, in any folder: (path, name, bytes, modified). Names come
+    from Spark's file index, which lists many folders in parallel; no file is opened, as the content is not selected."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return f.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
+                    F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+#: How the line begins that names the matrix below it, in a file of several.
+MATRIX_MARK = "# "
+
+
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Whitespace-separated matrix per file (row order kept):
-    (file, row, values array<double>)."""
+    """Whitespace-separated matrices, compressed or not, row order kept: (file, name, row, values array<double>). A file
+    holds one matrix, or several with a line ``# name`` above each; blank lines hold no row. A file is one text of
+    one task (writers keep files bounded); rows are numbered in it by windows."""
     t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    t = t.filter(F.trim("value") != "")          # empty files carry no matrix
-    r = t.select("file", F.posexplode(F.split(F.trim("value"), "\n")).alias("row", "line"))
-    r = r.filter(F.regexp_replace("line", r"\s+", "") != "")   # blank lines hold no row
+    r = t.select("file", F.posexplode(F.split("value", "\n")).alias("ln", "line"))
+    r = r.filter(F.regexp_replace("line", r"\s+", "") != "")
+    mark = F.col("line").startswith(MATRIX_MARK)
+    so_far = Window.partitionBy("file").orderBy("ln")
+    r = r.withColumn("_m", F.last(F.when(mark, F.col("ln")), ignorenulls=True).over(so_far))
+    r = r.withColumn("name", F.last(F.when(mark, F.trim(F.substring("line", len(MATRIX_MARK) + 1, 1 << 30))), ignorenulls=True).over(so_far)).filter(~mark)
+    r = r.withColumn("row", F.row_number().over(Window.partitionBy("file", "_m").orderBy("ln")) - 1)
     cells = F.filter(F.split(F.trim("line"), r"\s+"), lambda x: x != "")
-    return r.select("file", "row", F.transform(cells, lambda x: x.cast("double")).alias("values"))
+    return r.select("file", "name", "row", F.transform(cells, lambda x: x.cast("double")).alias("values"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a file, or of a folder's files in order of their names, numbered from 1: (line_no, value). Lines are read in
+    parallel splits; where a split begins is the number of lines before it, one row a split."""
+    t = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"),
+                                     F.monotonically_increasing_id().alias("_id"))
+    t = cut_lineage(t, "lines")   # ids are those of this one scan
+    splits = t.groupBy("_f", "_s").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1))   # one row a split of a file
+    splits = splits.select("_f", "_s", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return t.join(splits, ["_f", "_s"]).select((F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value")
+
+
+def read_graphs(spark: SparkSession, edges: str, indicator: str, labels: str, attributes: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A graph collection in its text layout. Line n of ``indicator`` is the graph (from 1) of node n; line n of ``attributes`` its
+    features, by commas; line g of ``labels`` the label of graph g; a line ``i, j`` of ``edges`` joins nodes i and j. Nodes are
+    numbered through all graphs in the files and within their graph here: nodes (graph_id, node, x array<double>), edges (graph_id,
+    src, dst), graphs (graph_id, label)."""
+    of = numbered_lines(spark, indicator).select(F.col("line_no").alias("_n"), F.trim("value").cast("long").alias("graph_id"))
+    rank = Window.partitionBy("graph_id").orderBy("_n")
+    of = of.withColumn("node", (F.row_number().over(rank) - 1).cast("int"))
+    x = numbered_lines(spark, attributes).select(F.col("line_no").alias("_n"), F.transform(F.split("value", ","), lambda v: F.trim(v).cast("double")).alias("x"))
+    ends = F.split("value", ",")
+    pairs = spark.read.text(edges).filter(F.trim("value") != "").select(F.trim(ends[0]).cast("long").alias("_i"), F.trim(ends[1]).cast("long").alias("_j"))
+    src = of.select(F.col("_n").alias("_i"), "graph_id", F.col("node").alias("src"))
+    dst = of.select(F.col("_n").alias("_j"), F.col("node").alias("dst"))
+    graphs = numbered_lines(spark, labels).select(F.col("line_no").alias("graph_id"), F.trim("value").cast("int").alias("label"))
+    return (of.join(x, "_n").select("graph_id", "node", "x"),
+            pairs.join(src, "_i").join(dst, "_j").select("graph_id", "src", "dst"), graphs)
+
+
+def graph_counts(nodes: DataFrame, edges: DataFrame, graphs: DataFrame) -> DataFrame:
+    """How many graphs, nodes and edges a collection holds, as one aggregate."""
+    kinds = [d.select(F.lit(k).alias("k")) for k, d in (("g", graphs), ("n", nodes), ("e", edges))]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).agg(
+        *[F.count_if(F.col("k") == k).alias(c) for k, c in (("g", "n_graphs"), ("n", "n_nodes"), ("e", "n_edges"))])
+
+
+#: Verbose names of the type that stands for none (fixed values).
+NO_TYPE = {"entities": "No Entity", "relations": "No Relation"}
 
 
 def load_types(spark: SparkSession, path: str) -> DataFrame:
     """Ordered type registry {entities:{name:{short,verbose[,symmetric]}},
-    relations:{...}}: index = position + 1 in file order (json_object_keys
+    relations:{...}}: (kind, name, idx, short, verbose, symmetric); index = position + 1 in file order (json_object_keys
     keeps it); 'None' = 0 per kind."""
     raw = spark.read.text(path, wholetext=True)
     val = "map<string, struct<short:string, verbose:string, symmetric:boolean>>"
     out = None
-    for kind in ("entities", "relations"):
+    for kind, nothing in NO_TYPE.items():
         obj = F.get_json_object("value", f"$.{kind}")
         k = raw.select(obj.alias("o")).select(F.posexplode(F.json_object_keys("o")).alias("pos", "name"),
                                                F.from_json("o", val).alias("m"))
-        k = k.select(F.lit(kind).alias("kind"), "name", (F.col("pos") + 1).cast("int").alias("idx"),
-                     F.coalesce(F.col("m")[F.col("name")]["symmetric"], F.lit(False)).alias("symmetric"))
-        none = spark.range(1).select(F.lit(kind).alias("kind"), F.lit("None").alias("name"), F.lit(0).alias("idx"),
-                                 F.lit(False).alias("symmetric"))
+        own = F.col("m")[F.col("name")]
+        k = k.select(F.lit(kind).alias("kind"), "name", (F.col("pos") + 1).cast("int").alias("idx"), own["short"].alias("short"),
+                     own["verbose"].alias("verbose"), F.coalesce(own["symmetric"], F.lit(False)).alias("symmetric"))
+        none = spark.range(1).select(F.lit(kind).alias("kind"), F.lit("None").alias("name"), F.lit(0).alias("idx"), F.lit("None").alias("short"),
+                                     F.lit(nothing).alias("verbose"), F.lit(False).alias("symmetric"))
         part = none.unionByName(k)
         out = part if out is None else out.unionByName(part)
     return out
@@ -158,7 +219,6 @@ def read_conll(spark: SparkSession, path: str) -> DataFrame:
     A file is one ordered text (one task); blank-line counting is a running
     sum over the file's lines, so documents are numbered without a loop.
     Returns one row per document: (orig_id, tokens, entities, relations)."""
-    from pyspark.sql import Window
     from tessera.functions.text import COLUMN_CORPUS_TOKENS, replace_tokens, split_entity_token
     t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     t = t.filter(F.col("value") != "")

@@ -50,3 +50,28 @@ def pivot_history(df: DataFrame, step: str, tag: str, value: str, tags: list[str
     """One row per step, one column per tag (tags listed: no extra job
     to discover them)."""
     return df.groupBy(step).pivot(tag, tags).agg(F.first(value))
+
+
+def write_named_files(df: DataFrame, path: str, name: str = "name", value: str = "value") -> int:
+    """One file a row of ``df`` below ``path``: ``name`` is its place there (folders are made), ``value`` its text; a name that ends
+    in .gz is compressed. Tasks write their rows through the file system that ``path`` names; a task that is run again writes the same
+    files again. Returns how many were written."""
+    from tessera.session import ship
+
+    def run(batches):
+        import gzip
+
+        import pandas as pd
+        from pyarrow import fs
+        own, top = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            for n, v in zip(batch["_n"], batch["_v"]):
+                place = f"{top}/{n}"
+                own.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                text = (v or "").encode()
+                with own.open_output_stream(place, compression=None) as out:
+                    out.write(gzip.compress(text, mtime=0) if n.endswith(".gz") else text)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = ship(df).select(F.col(name).cast("string").alias("_n"), F.col(value).cast("string").alias("_v"))
+    return rows.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0   # one number
