@@ -71,16 +71,17 @@ def vector(text: str) -> np.ndarray:
 def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 20, c: float = 4.0) -> np.ndarray:
     """Weights (the last is the bias) of a linear machine with squared hinge loss, classes of equal
     weight, by dual coordinate descent in a fixed shuffled order."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])   # rows are widened one at a time: the sample is held once
     cost = np.where(y > 0, c * len(y) / (2 * max(1, (y > 0).sum())), c * len(y) / (2 * max(1, (y < 0).sum())))
     w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    square, rng = (x * x).sum(axis=1) + 0.5 / cost, np.random.default_rng(8)
+    square, rng = np.array([np.square(r.astype(np.float64)).sum() for r in x]) + 0.5 / cost, np.random.default_rng(8)
     for _ in range(rounds):
         for i in rng.permutation(len(x)):
-            step = max(alpha[i] - (y[i] * (w @ x[i]) - 1 + 0.5 / cost[i] * alpha[i]) / square[i], 0.0) - alpha[i]
+            row = x[i].astype(np.float64)
+            step = max(alpha[i] - (y[i] * (w @ row) - 1 + 0.5 / cost[i] * alpha[i]) / square[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w += step * y[i] * x[i]
+                w += step * y[i] * row
     return w
 
 
