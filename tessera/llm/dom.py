@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,6 +74,7 @@ def parse(page: str | None) -> Node:
     page = page or ""
     root = here = Node("html", None)
     link, head = False, False
+    opened: Counter[str] = Counter()   # what is open between the root and here: who is not, is not looked for
 
     def flush() -> None:
         """What was read since the last block becomes a text leaf of this one."""
@@ -89,12 +91,16 @@ def parse(page: str | None) -> Node:
         nonlocal here, link
         while here is not node:
             flush()
+            opened[here.tag] -= 1
             here = here.parent
         flush()
+        opened[node.tag] -= node.parent is not None
         here, link = node.parent or node, False
 
     def open_up(tags: str, borders: tuple[str, ...]) -> Node | None:
         names, node = tags.split(), here
+        if not any(opened[t] for t in names):
+            return None
         while node.parent is not None and node.tag not in borders:
             if node.tag in names:
                 return node
@@ -141,7 +147,7 @@ def parse(page: str | None) -> Node:
                 close(node)
         else:
             head = head and tag in PHRASING
-            drawn = tag == "svg" or open_up("svg", ("foreignobject",)) is not None
+            drawn = tag == "svg" or opened["svg"] > 0 and (not opened["foreignobject"] or open_up("svg", ("foreignobject",)) is not None)
             if (attributes or "").endswith("/") and (drawn or tag in PHRASING):
                 continue
             if (over := _over(tag)) and (node := open_up(over, ("template", "foreignobject"))) is not None:
@@ -156,6 +162,7 @@ def parse(page: str | None) -> Node:
             here.children.append(node)
             _describe(node, attributes)
             node.hidden = node.hidden or tag in UNSEEN
+            opened[tag] += 1
             here, link = node, False
     if at < len(page):
         rest = page[at:]

@@ -4,7 +4,9 @@ Each block node and each run of text is described by its kind, the words of its
 ancestors', depth, the density of text and links in its subtree, and its siblings. Trees fitted on
 generated pages of known structure give the odds that it belongs to the main text. Decoding picks the
 likeliest labels that do not contradict: whatever is inside a node that does not belong, does not
-belong either. Text of the nodes that belong is joined, block by block, in page order.
+belong either. A page that holds prose though no text of it was found likely falls back on the block with the most
+prose outside of what is named or made as something else. Text of the nodes that belong is joined, block by block, in page order.
+The time for a page grows with its length, however deep or flat it is.
 
 Defined results: a null or empty page, or one without main text, has the empty text and n_chars 0;
 null ids and urls are carried; repeated rows are extracted alike; an empty table gives an empty
@@ -27,7 +29,7 @@ from tessera.llm.common import columns
 from tessera.llm.dom import PHRASING, Node, nodes_of, parse
 
 #: Pages generated for the fit (its bound), and the shape of the model.
-TRAINING_PAGES, TREES, DEPTH = 400, 60, 5
+TRAINING_PAGES, TREES, DEPTH = 900, 80, 6
 
 #: Words of class, id and role attributes, by what they say about a node.
 SAYS = {
@@ -144,6 +146,55 @@ def decode(nodes: list[Node], margin: np.ndarray) -> list[bool]:
     return keep
 
 
+#: What makes a run of text prose: words, a mark that ends a sentence, few links; and how many characters of it make a page one with a text.
+PROSE_WORDS, PROSE_LINKED, PROSE_CHARS = 8, 0.4, 160
+_ENDS = re.compile(r"[.!?。！？…][\"'”’)\]]*(?:\s|$)")
+
+
+def fallback(nodes: list[Node], x: np.ndarray, margin: np.ndarray) -> list[bool]:
+    """Labels of a page of which nothing belongs: the prose of the block that has most of it, outside of what says to be
+    something else; nothing if that is little."""
+    a, b = _FIRST, _FIRST + _GROUPS
+    other = x[:, a + 1:b].sum(axis=1) + x[:, b + 1:b + _GROUPS].sum(axis=1) + x[:, b + _GROUPS + 21]
+    at, total = {id(y): i for i, y in enumerate(nodes)}, np.zeros(len(nodes))
+    prose = [bool(y.text) and other[i] == 0 and margin[i] > -6 and y.linked <= PROSE_LINKED * len(y.text) and len(y.text.split()) >= PROSE_WORDS
+             and _ENDS.search(y.text) is not None for i, y in enumerate(nodes)]
+    for i, y in enumerate(nodes):
+        if prose[i]:  # to the block that paragraphs stand in
+            holder = y.parent
+            if holder.tag in ("p", "li", "blockquote", "td", "dd") and holder.parent is not None:
+                holder = holder.parent
+            total[at[id(holder)]] += len(y.text)
+    best = int(total.argmax())
+    if total[best] < PROSE_CHARS:
+        return [False] * len(nodes)
+    inside = [False] * len(nodes)
+    for i, y in enumerate(nodes):
+        inside[i] = i == best or y.parent is not None and inside[at[id(y.parent)]]
+    return [p and q for p, q in zip(prose, inside)]
+
+
+def agreed(nodes: list[Node], x: np.ndarray, margin: np.ndarray, keep: list[bool]) -> list[bool]:
+    """``keep``, where paragraphs that stand side by side and say nothing else share the lot of most of their text, unless a
+    paragraph's own odds are clearly against it."""
+    a, b = _FIRST + 1, _FIRST + _GROUPS
+    at = {id(y): i for i, y in enumerate(nodes)}
+    keep = list(keep)
+    for i, y in enumerate(nodes):
+        if not keep[i] or len(y.children) < 2:
+            continue
+        plain = [at[id(z)] for z in y.children if z.tag == "p" and not z.hidden]
+        plain = [j for j in plain if x[j, a:b].sum() == 0 and all(not z.children for z in nodes[j].children)]
+        size = {j: sum(len(z.text) for z in nodes[j].children) for j in plain}
+        if 2 * sum(size[j] for j in plain if keep[j]) > sum(size.values()):
+            for j in plain:
+                if not keep[j] and margin[j] > -5:
+                    keep[j] = True
+                    for z in nodes[j].children:
+                        keep[at[id(z)]] = True
+    return keep
+
+
 def main_texts(pages: list[str | None], model: Trees) -> list[str]:
     """The main text of each page."""
     described = [features(parse(p)) for p in pages]
@@ -151,23 +202,29 @@ def main_texts(pages: list[str | None], model: Trees) -> list[str]:
         return []
     margins = model.margin(np.concatenate([x for _, x in described]))
     out, at = [], 0
-    for nodes, _ in described:
-        keep = decode(nodes, margins[at:at + len(nodes)])
+    for nodes, x in described:
+        own = margins[at:at + len(nodes)]
         at += len(nodes)
-        out.append(_joined([x for x, k in zip(nodes, keep, strict=True) if k and x.text]))
+        keep = agreed(nodes, x, own, decode(nodes, own))
+        if not any(k and y.text for y, k in zip(nodes, keep)):
+            keep = fallback(nodes, x, own)
+        out.append(_joined([y for y, k in zip(nodes, keep, strict=True) if k and y.text]))
     return out
 
 
 def _joined(leaves: list[Node]) -> str:
     """The texts, a line each; one that only controls or media part from the one before goes on its line."""
-    parts, last = [], None
+    parts, last, places = [], None, {}
     for x in leaves:
         if last is not None:
             apart = True
             if last.parent is x.parent:
-                among = x.parent.children
-                at = next(i for i, y in enumerate(among) if y is last) + 1
-                apart = next(y for y in among[at:] if y.tag not in PHRASING) is not x
+                if id(x.parent) not in places:  # how many siblings before each are no controls or media, once a parent
+                    among = x.parent.children
+                    before = np.cumsum([0, *(y.tag not in PHRASING for y in among)]).tolist()
+                    places[id(x.parent)] = {id(y): n for y, n in zip(among, before)}
+                own = places[id(x.parent)]
+                apart = own[id(x)] - own[id(last)] > 1
             parts.append("\n" if apart else " ")
         parts.append(x.text)
         last = x
@@ -290,7 +347,11 @@ def _open_up(rng: random.Random, blocks: str) -> str:
     return f"<{tag}>{blocks}{end}"
 
 
+_START = re.compile(r"<([a-z][a-z0-9]*)(?=[\s>])")
+
+
 def _article(rng: random.Random) -> str:
+    layout = rng.random()
     blocks = [rng.choice(["", f"<h1>{_words(rng, 1, 12)}</h1>", f"<h1>{_words(rng, 1, 12)}</h1>", f"<header><h1>{_words(rng, 1, 12)}</h1></header>", f"<h2>{_words(rng, 1, 9)}</h2>"])]
     for _ in range(rng.choice([0, 1, 2, 4, 8, 14])):
         blocks.append(rng.choice([lambda: _prose(rng, 3), lambda: _prose(rng, 3), lambda: _prose(rng, 2), lambda: f"<p><b>{_words(rng, 1, 20)}<br>", lambda: f"<h{rng.randint(2, 4)}>{_words(rng, 1, 6)}</h2>",
@@ -306,6 +367,22 @@ def _article(rng: random.Random) -> str:
             blocks.append(_open_up(rng, _prose(rng, 4)))
     if not any(blocks):
         blocks = [f"<p>{_words(rng, 1, 40)}</p>"]
+    if layout < 0.16:  # straight in the page, or in a block or cell without a name
+        inner = "".join(b if "data-mark" in b else _START.sub(r'<\1 data-mark="1"', b) for b in blocks)
+        if layout < 0.08:
+            return inner
+        if layout < 0.12:
+            return f"<div>{inner}</div>" if layout < 0.1 else f'<div><div data-mark="1">{"".join(blocks)}</div></div>'
+        side = f"<td>{_other(rng, rng.choice(['navigation', 'aside', 'advert']))}</td>"
+        cell = f'<td data-mark="1">{"".join(blocks)}</td>'
+        return f"<table><tr>{rng.choice([cell, side + cell, cell + side])}</tr></table>"
+    if layout < 0.22:  # named as something else, or as both
+        start, end = _named(rng, [rng.choice([k for k in SAYS if SAYS[k] and k != "content"])], ["article", "article", "main", "div", "section"])
+        words = rng.choice([rng.choice(SAYS["content"].split()) + rng.choice(["-", " "]), "", ""]) + rng.choice(SAYS[rng.choice(["notice", "comments", "header", "aside", "social", "advert", "navigation"])].split())
+        start = start if "=" in start else f'{start} class="{words}"'
+        if start[1:4] in ("div", "sec"):
+            start = re.sub(r'="', f'="{rng.choice(SAYS["content"].split())}-', start, count=1)
+        return f'{start} data-mark="1">{"".join(blocks)}{end}'
     inner = "".join(blocks) + (_other(rng, rng.choice(["comments", "social", "aside"])) if rng.random() < 0.15 else "")
     for _ in range(rng.choice([0, 1, 1, 2])):
         start, end = _named(rng, rng.choice([["content"], ["content"], []]), ["div", "div", "section", "article", "main"])
