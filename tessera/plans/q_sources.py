@@ -325,7 +325,7 @@ def a11(spark, sf):
     e.repartition(files, "vec_id").select("value").write.option("compression", "gzip").text(p)
     m = RD.read_matrix(spark, p)
     return m.select(F.col("name").cast("long").alias("vec_id"), F.col("row").cast("int").alias("row"),
-                    F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"), F.round(F.element_at("values", 3), 6).alias("v"))
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), 4).alias("s"), F.round(F.element_at("values", 3).cast("float").cast("double"), 6).alias("v"))
 
 
 def _conll_files(spark, sf, p):
