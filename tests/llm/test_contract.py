@@ -124,6 +124,7 @@ def test_pipeline_against_brute_force(spark, odd, empty):
     from tokenizers import Tokenizer
 
     from tessera.llm.common import materialize
+    from tessera.llm.language import LEAST_SCORE, identify, keep_known
     from tessera.llm.mixing import mix, taken
     from tessera.llm.packing import tokenizer_path
     from tessera.llm.quality import score
@@ -139,7 +140,10 @@ def test_pipeline_against_brute_force(spark, odd, empty):
         now = out
     good = {r["doc_id"] for r in score(docs, labels).filter("score >= 0.7").collect()}
     assert {r["doc_id"] for r in seen["quality"][1].collect()} == good
-    assert {r["doc_id"] for r in seen["language"][1].collect()} == {r["doc_id"] for r in seen["language"][0].collect() if any(c.isalpha() for c in r["text"])}
+    told = {r["doc_id"]: r for r in identify(seen["language"][0]).collect()}
+    assert {r["doc_id"] for r in seen["language"][1].collect()} == {d for d, r in told.items() if r["lang_pred"] != "und" and r["score"] >= LEAST_SCORE}
+    sure = keep_known(seen["language"][0], least_score=0.998).collect()
+    assert {r["doc_id"] for r in sure} == {d for d, r in told.items() if r["lang_pred"] != "und" and r["score"] >= 0.998} and 0 < len(sure) < len(told)
     rows = sorted(seen["near_dedup"][0].collect(), key=lambda r: r["doc_id"])
     first = _slow_components([r["text"] for r in rows])
     assert {r["doc_id"] for r in seen["near_dedup"][1].collect()} == {rows[i]["doc_id"] for i, c in enumerate(first) if c == i}
