@@ -104,14 +104,17 @@ SELECT CAST(doc_id AS VARCHAR) AS doc, sentence, trim(eff) AS effect,
     ON s.doc_id = r.doc_id AND s.sent_no = r.sent_no)""", "gold_relx", "sents"))
 def a6(spark, sf):
     p = _dir(spark, sf, "a6")
-    r = S.relations_with_spans(FX.gold_docs(spark, sf), DOC).join(FX.sentences(spark, sf), DOC)
+    # documents meet their sentences one to one; only then are there rows a relation, whose sentence repeats in the (compressed) lines
+    d = FX.gold_docs(spark, sf).select(*DOC, "entities", "relations").join(FX.sentences(spark, sf).select(*DOC, "tokens"), DOC)
+    d = d.withColumn("sentence", F.replace(F.array_join("tokens", " "), F.lit("|"), F.lit("/")))
+    r = S.relations_with_spans(d, DOC, ["tokens", "sentence"])
     def ph(s, e):   # the pipe is the field separator: it cannot occur inside a field
         return F.replace(F.array_join(F.slice("tokens", F.col(s) + 1, F.col(e) - F.col(s)), " "), F.lit("|"), F.lit("/"))
-    line = F.concat_ws("|", F.col("doc_id").cast("string"), F.replace(F.array_join("tokens", " "), F.lit("|"), F.lit("/")),
+    line = F.concat_ws("|", F.col("doc_id").cast("string"), "sentence",
                        ph("hs", "he"),
                        F.concat(F.lit(" "), F.col("hs").cast("string")), F.col("he").cast("string"), ph("ts_", "te"),
                        F.col("ts_").cast("string"), F.concat(F.col("te").cast("string"), F.lit(" ")))
-    r.select(line.alias("value")).write.mode("overwrite").text(p)
+    r.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(p)
     out = RD.read_pipe_relations(spark, p)
     return out.select("doc", "sentence", F.trim("effect").alias("effect"), "e_start", "e_end",
                       F.trim("drug").alias("drug"), "d_start", "d_end")
@@ -363,7 +366,7 @@ def _conll_files(spark, sf, p):
                                   F.max(F.col("oid") == F.col("_end")).alias("open"))
     body = F.array_join(F.transform("a", lambda z: z["blk"]), "\n")   # every block but the last gets its 2nd blank
     body = F.concat(body, F.when(F.col("open"), "").otherwise("\n"))   # and the last, if it does not end its part
-    g.select("_b", "_c", body.alias("value")).write.mode("overwrite").partitionBy("_b", "_c").text(p)
+    g.select("_b", "_c", body.alias("value")).write.mode("overwrite").option("compression", "gzip").partitionBy("_b", "_c").text(p)
 
 
 @query("a5_read_conll", with_ctes("""

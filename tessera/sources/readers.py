@@ -6,8 +6,10 @@ splittable); everything after the read is partitioned normally.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -104,12 +106,71 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
                      F.col(cols[-1]).cast("double").cast("int").alias("label"))
 
 
+def _glob_pattern(pattern: str) -> str:
+    """A file glob (*, ?, [a-b], [^a], {a,b}, backslash) as a regular expression of the whole name."""
+    out, depth, i = [], 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            i += 1
+            out.append(re.escape(pattern[i]))
+        elif c == "[" and "]" in pattern[i + 2:]:
+            stop = pattern.index("]", i + 2)
+            inner = pattern[i + 1:stop]
+            out.append("[" + ("^" + inner[1:] if inner[0] in "!^" else inner) + "]")
+            i = stop
+        elif c == "{":
+            depth += 1
+            out.append("(?:")
+        elif c == "}" and depth:
+            depth -= 1
+            out.append(")")
+        elif c == "," and depth:
+            out.append("|")
+        else:
+            out.append({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)))
+        i += 1
+    return "".join(out)
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """A10: the files below ``path`` whose names match the glob ``pattern``, in any folder: (path, name, bytes, modified). Names come
-    from Spark's file index, which lists many folders in parallel; no file is opened, as the content is not selected."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
-    return f.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
-                    F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    """A10: the files below ``path`` whose names match the glob ``pattern``, in any folder: (path, name, bytes, modified). Tasks list
+    the folders of each level of the tree through the file system that ``path`` names; names stay in tables, none is held by the
+    driver, and no file is opened. As in Spark's own listing, names that begin with a dot or an underscore are hidden. A store that
+    only Spark's readers know is listed by its file index."""
+    from pyarrow import fs
+
+    from tessera.session import ship
+    try:
+        kind = fs.FileSystem.from_uri(path)[0].type_name
+    except Exception:  # noqa: BLE001 - no such scheme here
+        f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+        return f.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
+                        F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    prefix, wanted = "file:" if kind == "local" else path.partition("://")[0] + "://", _glob_pattern(pattern)
+
+    def run(batches):
+        import pandas as pd
+        own, _ = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            for folder in batch["path"]:
+                found = [f for f in own.get_file_info(fs.FileSelector(folder)) if f.base_name[0] not in "._"]
+                found = [f for f in found if f.type == fs.FileType.Directory or re.fullmatch(wanted, f.base_name)]
+                for at in range(0, len(found), 10_000):
+                    part = found[at:at + 10_000]
+                    yield pd.DataFrame({"path": [f.path for f in part], "folder": [f.type == fs.FileType.Directory for f in part],
+                                        "bytes": [f.size or 0 for f in part], "modified": pd.to_datetime([(f.mtime_ns or 0) // 1_000_000 for f in part], unit="ms", utc=True)})
+
+    level = spark.createDataFrame([(fs.FileSystem.from_uri(path)[1],)], "path string")
+    levels = []
+    while True:
+        dealt = level.repartition(spark.sparkContext.defaultParallelism)   # folders, one by one
+        levels.append(cut_lineage(ship(dealt).mapInPandas(run, "path string, folder boolean, bytes long, modified timestamp"), "files"))
+        level = levels[-1].filter("folder").select("path")
+        if level.isEmpty():
+            break
+    files = functools.reduce(DataFrame.unionByName, levels).filter("NOT folder")
+    return files.select(F.concat(F.lit(prefix), "path").alias("path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "bytes", "modified")
 
 
 #: How the line begins that names the matrix below it, in a file of several.
@@ -216,49 +277,72 @@ def read_conll(spark: SparkSession, path: str) -> DataFrame:
     line ends a document; a last document without its second blank line is
     dropped. An entity token 'a/b' becomes several tokens (B5).
 
-    A file is one ordered text (one task); blank-line counting is a running
-    sum over the file's lines, so documents are numbered without a loop.
+    A file is one ordered text, read and cut into documents by one task line after line (writers keep files
+    bounded); nothing is shuffled. Documents without tokens give no row. A relation's argument is the number of the entity
+    at that token, null if there is none.
     Returns one row per document: (orig_id, tokens, entities, relations)."""
-    from tessera.functions.text import COLUMN_CORPUS_TOKENS, replace_tokens, split_entity_token
-    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    t = t.filter(F.col("value") != "")
-    # a final newline ends the last line; it is not a blank line
-    lines = t.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("ln", "line"))
-    blank = (F.col("line") == "").cast("int")
-    wf = Window.partitionBy("file").orderBy("ln")
-    lines = lines.withColumn("_blank", blank).withColumn(
-        "_before", F.coalesce(F.sum("_blank").over(wf.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    lines = lines.withColumn("doc_no", F.floor(F.col("_before") / 2).cast("int"))
-    total = lines.groupBy("file").agg(F.sum("_blank").alias("_nb"))
-    lines = lines.join(total, "file").filter(F.col("_nb") >= 2 * (F.col("doc_no") + 1))
-    cols = F.split("line", "\t")
-    tok = lines.filter(F.size(cols) == 9).select(
-        "file", "doc_no", "ln", cols[0].alias("orig_id"), cols[1].alias("etype"), cols[2].cast("int").alias("token_idx"),
-        cols[5].alias("raw"))
-    parts = F.when(F.col("etype") == "O", replace_tokens(F.array("raw"), COLUMN_CORPUS_TOKENS)).otherwise(
-        split_entity_token(F.col("raw")))
-    tok = tok.withColumn("parts", parts).withColumn("_n", F.size("parts"))
-    wd = Window.partitionBy("file", "doc_no").orderBy("ln")
-    tok = tok.withColumn("start", F.coalesce(F.sum("_n").over(wd.rowsBetween(Window.unboundedPreceding, -1)),
-                                             F.lit(0)).cast("int"))
-    ents = tok.filter(F.col("etype") != "O")
-    ents = ents.withColumn("ent_no", (F.row_number().over(wd) - 1).cast("int"))
-    rel = lines.filter(F.size(cols) == 3).select("file", "doc_no", "ln", cols[0].cast("int").alias("head_tok"),
-                                                 cols[1].cast("int").alias("tail_tok"), cols[2].alias("type"))
-    emap = ents.select("file", "doc_no", "token_idx", "ent_no")
-    rel = (rel.join(emap.withColumnRenamed("token_idx", "head_tok").withColumnRenamed("ent_no", "head"),
-                    ["file", "doc_no", "head_tok"], "left")
-              .join(emap.withColumnRenamed("token_idx", "tail_tok").withColumnRenamed("ent_no", "tail"),
-                    ["file", "doc_no", "tail_tok"], "left"))
-    docs = tok.groupBy("file", "doc_no").agg(
-        F.first("orig_id").alias("orig_id"),
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("ln", "parts"))), lambda z: z["parts"])).alias("tokens"),
-        F.transform(F.sort_array(F.collect_list(F.when(F.col("etype") != "O", F.struct(
-            "ln", F.col("etype").alias("type"), "start", (F.col("start") + F.col("_n")).alias("end"))))),
-            lambda z: F.struct(z["type"].alias("type"), z["start"].alias("start"), z["end"].alias("end"))).alias("entities"))
-    rels = rel.groupBy("file", "doc_no").agg(F.transform(F.sort_array(F.collect_list(F.struct(
-        "ln", "type", F.col("head").cast("int").alias("head"), F.col("tail").cast("int").alias("tail")))),
-        lambda z: F.struct(z["type"].alias("type"), z["head"].alias("head"), z["tail"].alias("tail"))).alias("relations"))
-    empty = F.array().cast("array<struct<type:string,head:int,tail:int>>")
-    return docs.join(rels, ["file", "doc_no"], "left").select(
-        "orig_id", "tokens", "entities", F.coalesce("relations", empty).alias("relations"))
+    from tessera.session import ship
+    t = spark.read.text(path, wholetext=True).filter(F.col("value") != "")
+    return ship(t).mapInArrow(_conll_batches, "orig_id string, tokens array<string>, entities array<struct<type:string,start:int,end:int>>, "
+                                              "relations array<struct<type:string,head:int,tail:int>>")
+
+
+#: Documents of a column corpus in one batch.
+CONLL_BATCH = 5_000
+
+
+def _conll_batches(batches):
+    """Arrow batches of whole files -> batches of their documents."""
+    import itertools
+
+    import pyarrow as pa
+    spans = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    links = pa.list_(pa.struct([("type", pa.string()), ("head", pa.int32()), ("tail", pa.int32())]))
+    for batch in batches:
+        for text in batch.column(0):
+            docs = _conll_docs(text.as_py())
+            while some := list(itertools.islice(docs, CONLL_BATCH)):
+                ids, tokens, ents, rels = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(tokens, pa.list_(pa.string())), _listed(ents, spans), _listed(rels, links)],
+                                                 ["orig_id", "tokens", "entities", "relations"])
+
+
+def _listed(lists, kind):
+    """Lists of tuples as an Arrow array of lists of structs."""
+    import itertools
+
+    import pyarrow as pa
+    at = pa.array([0, *itertools.accumulate(map(len, lists))], pa.int32())
+    fields = list(kind.value_type)
+    columns = list(zip(*itertools.chain.from_iterable(lists))) or [()] * len(fields)
+    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields))
+
+
+def _conll_docs(text: str):
+    """(orig_id, tokens, entities, relations) of each document of a file that its second blank line ends."""
+    from tessera.functions.text import COLUMN_CORPUS_TOKENS
+    lines = text.removesuffix("\n").split("\n")   # a final newline ends the last line; it is not a blank line
+    blanks, orig, tokens, ents, rows = 0, None, [], [], []
+    for line in lines:
+        if line:
+            c = line.split("\t")
+            if len(c) == 9:
+                parts = [c[5]] if c[1] == "O" else c[5].split("/")
+                if not tokens:
+                    orig = c[0]
+                if c[1] != "O":
+                    ents.append((c[1], len(tokens), len(tokens) + len(parts), int(c[2])))
+                tokens.extend(COLUMN_CORPUS_TOKENS.get(p, p) for p in parts)
+            elif len(c) == 3:
+                rows.append((c[2], int(c[0]), int(c[1])))
+            continue
+        blanks += 1
+        if blanks % 2:
+            continue
+        if tokens:
+            at: dict = {}
+            for k, e in enumerate(ents):
+                at.setdefault(e[3], []).append(k)
+            yield orig, tokens, [e[:3] for e in ents], [(t, h, g) for t, head, tail in rows for h, g in sorted(
+                ((h, g) for h in at.get(head, [None]) for g in at.get(tail, [None])), key=lambda x: tuple((y is not None, y) for y in x))]
+        orig, tokens, ents, rows = None, [], [], []

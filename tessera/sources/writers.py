@@ -64,10 +64,14 @@ def write_named_files(df: DataFrame, path: str, name: str = "name", value: str =
         import pandas as pd
         from pyarrow import fs
         own, top = fs.FileSystem.from_uri(path)
+        made = set()
         for batch in batches:
             for n, v in zip(batch["_n"], batch["_v"]):
                 place = f"{top}/{n}"
-                own.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                folder = place.rsplit("/", 1)[0]
+                if folder not in made:
+                    own.create_dir(folder, recursive=True)
+                    made.add(folder)
                 text = (v or "").encode()
                 with own.open_output_stream(place, compression=None) as out:
                     out.write(gzip.compress(text, mtime=0) if n.endswith(".gz") else text)

@@ -58,3 +58,42 @@ def test_the_corpus_is_written_once_and_follows_its_rules(spark, tmp_path, monke
     folder = os.path.dirname(FX.gold_docs(spark, sf).inputFiles()[0])
     for docs in (FX.pred_docs(spark, sf), FX.sentences(spark, sf)):
         assert {os.path.dirname(f) for f in docs.inputFiles()} == {folder}
+
+
+def test_pipe_lines_are_compressed_and_documents_meet_sentences_before_relations(spark, tmp_path, monkeypatch):
+    from tessera.plans import q_sources
+    made, real = [], q_sources._dir
+    monkeypatch.setattr(q_sources, "_dir", lambda *at: made.append(real(*at)) or made[-1])
+    sf = documents(spark, tmp_path)
+    rows = q_sources.a6(spark, sf).collect()
+    want = sum(len(g[1]) for *_, g, _ in _expected(TEXTS[-1][1]))
+    assert [r.sentence for r in rows if r.doc == "8"] == [" ".join(TEXTS[-1][1].split())] * want
+    written = sum(os.path.getsize(os.path.join(made[-1], f)) for f in os.listdir(made[-1]) if f.startswith("part-"))
+    assert written * 20 < sum(len(r.sentence.encode()) for r in rows)
+
+
+def test_a_column_corpus_is_read_without_an_exchange(spark, tmp_path):
+    from tessera.sources import readers as RD
+    token = lambda d, kind, i, t: "\t".join([d, kind, str(i), "O", "X", t, "O", "O", "O"])
+    lines = [token("a", "Peop", 0, "J./COMMA/Doe"), token("a", "O", 1, "-LRB-"), token("a", "Loc", 2, "b/c"), "", "0\t2\tLive_In", "2\t7\tNo", "",
+             "", "", token("b", "O", 0, "x/y"), "", "", token("c", "O", 0, "lost"), ""]
+    (tmp_path / "f.txt").write_text("\n".join(lines) + "\n")
+    got = RD.read_conll(spark, str(tmp_path))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = [(r.orig_id, r.tokens, [tuple(e) for e in r.entities], [tuple(x) for x in r.relations]) for r in got.collect()]
+    assert rows == [("a", ["J.", ",", "Doe", "(", "b", "c"], [("Peop", 0, 3), ("Loc", 4, 6)], [("Live_In", 0, 1), ("No", 1, None)]), ("b", ["x/y"], [], [])]
+
+
+def test_many_files_are_listed_by_a_task_a_folder(spark, tmp_path):
+    from tessera.sources import readers as RD
+    for k in range(200):
+        folder = tmp_path / f"s{k % 4}" / "left"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"n {k}.csv").write_text("0 0\n")
+    for hidden in (".n.csv", "_n.csv", "n.txt"):
+        (tmp_path / "s0" / hidden).write_text("")
+    got = RD.list_files(spark, str(tmp_path), "*.{csv,csv.gz}")
+    assert got.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism < 200   # one partition a few files before
+    rows = got.collect()
+    assert sorted(r.name for r in rows) == sorted(f"n {k}.csv" for k in range(200)) and {r.bytes for r in rows} == {4}
+    assert {r.path for r in rows} == {f"file:{tmp_path}/s{k % 4}/left/n {k}.csv" for k in range(200)}
