@@ -99,9 +99,9 @@ def doc_examples(gold: DataFrame, pred: DataFrame, doc_keys, value_cols: list[st
     sorted by score desc, FN score -1."""
     doc_keys = _k(doc_keys)
     keys = [*doc_keys, *value_cols]
-    g = gold.select(*keys).distinct().withColumn("in_gold", F.lit(True))
-    p = pred.groupBy(*keys).agg(F.first(score).alias(score)).withColumn("in_pred", F.lit(True))
-    m = g.join(p, keys, "full_outer").fillna(False, ["in_gold", "in_pred"])
+    g = gold.select(*keys, F.lit(None).cast(pred.schema[score].dataType).alias(score), F.lit(True).alias("_g"))
+    both = g.unionByName(pred.select(*keys, score, F.lit(False).alias("_g")))   # one table and one aggregate, as in ``memberships``
+    m = both.groupBy(*keys).agg(F.first(score, ignorenulls=True).alias(score), F.bool_or("_g").alias("in_gold"), F.bool_or(~F.col("_g")).alias("in_pred"))
     item = F.concat_ws(":", *[F.col(c).cast("string") for c in value_cols])
     tp = F.col("in_gold") & F.col("in_pred")
     a = m.groupBy(*doc_keys).agg(

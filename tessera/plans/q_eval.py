@@ -88,12 +88,11 @@ def e3(spark, sf):
 
 
 def _ents(spark, sf):
-    return (S.to_mentions(FX.gold_docs(spark, sf), DOC), S.to_mentions(FX.pred_docs(spark, sf), DOC))
+    return tuple(S.to_mentions(S.dealt(d, DOC, "entities"), DOC) for d in (FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)))
 
 
 def _rels(spark, sf):
-    return (S.relations_with_spans(FX.gold_docs(spark, sf), DOC),
-            S.relations_with_spans(FX.pred_docs(spark, sf), DOC))
+    return tuple(S.relations_with_spans(S.dealt(d, DOC, "entities", "relations"), DOC) for d in (FX.gold_docs(spark, sf), FX.pred_docs(spark, sf)))
 
 
 def _counts_sql(gsrc, psrc, keys):
@@ -423,7 +422,7 @@ def _task_tuples(docs):
         return F.transform("relations", lambda r: tup(task, arg(r["head"])["start"], arg(r["head"])["end"], arg(r["tail"])["start"], arg(r["tail"])["end"],
                                                       r["type"], arg(r["head"])["type"] if nec else no, arg(r["tail"])["type"] if nec else no))
     ents = F.transform("entities", lambda e: tup("ner", e["start"], e["end"], nowhere, nowhere, e["type"], no, no))
-    d = S.explode_rows(docs.select(*DOC, F.concat(ents, rel("rel", False), rel("rel_nec", True)).alias("t")), DOC, "t", "_i", "t")
+    d = S.explode_rows(S.dealt(docs, DOC, "entities", "relations").select(*DOC, F.concat(ents, rel("rel", False), rel("rel_nec", True)).alias("t")), DOC, "t", "_i", "t")
     return d.select(*DOC, "t.*")
 
 
