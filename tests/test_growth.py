@@ -134,7 +134,7 @@ def test_documents_are_dealt_whole(spark, tmp_path):
     assert sorted((r.s, r.vec) for r in pooled.collect()) == [(0, [2.0, -1.0]), (1, [0.0, 0.0])]
 
 
-def test_pieces_of_a_glued_token_are_worked_out_once():
+def test_pieces_of_a_glued_token_are_worked_out_once(spark):
     from pyspark.sql import functions as F
 
     from tessera.functions import text as X
