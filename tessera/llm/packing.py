@@ -35,8 +35,9 @@ PART, PART_ID = "<|endoftext|>", 49407
 #: Marks at the end of a chunk have ids of their own after a letter or digit of these blocks, but for
 #: U+0130, whose lower case ends in a mark itself.
 MARKS, LATIN_END = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
-#: Chunks whose ids a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Chunks whose ids a worker remembers before it starts anew (some 300 bytes each, in every worker of an executor),
+#: and documents whose pieces it holds before it hands them on.
+REMEMBERED, HANDED = 150_000, 512
 
 
 def tokenizer_path() -> str:
@@ -73,7 +74,7 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         texts = list(map(lower_case, texts))
         chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
+        if max(len(self.known), len(self.stems)) > REMEMBERED:
             self.known, self.stems = {}, {}
         for c in (new := set().union(*chunks).difference(self.known)):
             stem = c.rstrip(MARKS)
@@ -117,16 +118,17 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_I
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path)
         for batch in batches:
-            out = []
             texts, doc_ids = batch["text"].fillna("").tolist(), batch["doc_id"].tolist()
-            for at in range(0, len(texts), 64):
-                for doc_id, ids in zip(doc_ids[at:at + 64], encode(texts[at:at + 64]), strict=True):
-                    ids += end
-                    for start in range(0, len(ids), 4 * length):
-                        part = ids[start:start + 4 * length]
-                        out.append((doc_id, start // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, *([part] if with_ids else [])))
-            frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])])
-            yield frame.astype({"doc_id": "Int64"})
+            for first in range(0, len(texts), HANDED):
+                out = []
+                for at in range(first, min(first + HANDED, len(texts)), 64):
+                    for doc_id, ids in zip(doc_ids[at:at + 64], encode(texts[at:at + 64]), strict=True):
+                        ids += end
+                        for start in range(0, len(ids), 4 * length):
+                            part = ids[start:start + 4 * length]
+                            out.append((doc_id, start // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, *([part] if with_ids else [])))
+                frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])])
+                yield frame.astype({"doc_id": "Int64"})
 
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     # Int64 keeps null ids as integers.
