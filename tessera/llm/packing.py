@@ -30,7 +30,10 @@ LENGTH, END_ID, GROUP = 2048, 1, 8192
 #: A text is cut into chunks at white space; no token, nor the normal form of one, crosses it. Python's
 #: split() takes these separators for white space too, the tokenizer doesn't: such texts are cut at blanks.
 SEPARATOR, BLANK = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
-#: A special token that parts the chunks of one call; chunks with its first characters go by themselves.
+#: The end of the last id of each of the tokenizer's own words, and how many chunks go into one call. Chunks of letters are one
+#: such word each: their ids are parted there.
+WORD_END, CALL = "</w>", 64
+#: A special token that parts the other chunks of one call; chunks with its first characters go by themselves.
 PART, PART_ID = "<|endoftext|>", 49407
 #: Marks at the end of a chunk have ids of their own after a letter or digit of these blocks, but for
 #: U+0130, whose lower case ends in a mark itself.
@@ -67,42 +70,65 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocab.items() if piece.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         texts = list(map(lower_case, texts))
         chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
-        if max(len(self.known), len(self.stems)) > REMEMBERED:
-            self.known, self.stems = {}, {}
-        for c in (new := set().union(*chunks).difference(self.known)):
+        if max(len(self.known), len(self.stems)) > REMEMBERED // 2:   # the half before last goes, but for what came again since
+            self.past, self.known, self.stems = self.known, {}, {}
+        known, stems, past, cut = self.known, self.stems, self.past, {}
+        new = set().union(*chunks).difference(known)
+        again = [c for c in new if c in past]
+        for c in again:
+            known[c] = past[c]
+        new.difference_update(again)
+        for c in new:
             stem = c.rstrip(MARKS)
-            if stem and len(stem) < len(c) and stem[-1] < LATIN_END and stem[-1].isalnum() and stem[-1] != "\u0130" and "<|" not in c:
-                self.known[c] = stem, c[len(stem):]
-            else:
-                self.known[c] = (c,)
-        self._encode(list({part for c in new for part in self.known[c]}.difference(self.stems)))
+            if len(stem) < len(c) and stem and stem[-1] < LATIN_END and stem[-1].isalnum() and stem[-1] != "\u0130" and "<|" not in c:
+                cut[c] = stem, c[len(stem):]
+        self._encode(list(new.difference(cut).union(*cut.values()).difference(stems)))
         for c in new:
-            self.known[c] = b"".join(map(self.stems.__getitem__, self.known[c]))
+            known[c] = stems[cut[c][0]] + stems[cut[c][1]] if c in cut else stems[c]
         return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
 
     def _encode(self, new: list[str]) -> None:
         """Remember the ids of ``new`` parts, many in one call."""
-        alone = [c for c in new if "<|" in c]
+        words, others, alone = [], [], []
+        for c in new:
+            (words if c.isalpha() else alone if "<|" in c else others).append(c)
+        for at in range(0, len(words), CALL):
+            parts = words[at:at + CALL]
+            ids = self._ids(" ".join(parts))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(parts):
+                self._part(parts, ids, ends, 0)
+            else:   # letters that the tokenizer takes for none, or whose lower case holds a mark
+                alone += parts
         for part, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.stems[part] = np.array(e.ids, dtype="<u4").tobytes()
-        together = [c for c in new if "<|" not in c] if alone else new
-        for at in range(0, len(together), 64):
-            parts = together[at:at + 64]
-            ids = np.array(self.tokenizer.encode_batch_fast([PART.join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == PART_ID), len(ids)) * 4
-            raw, start = ids.tobytes(), 0
-            if len(ends) != len(parts):
-                raise ValueError("the tokenizer does not know the special token that parts chunks")
-            for part, end in zip(parts, ends.tolist(), strict=True):
-                self.stems[part] = raw[start:end]
-                start = end + 4
+        for at in range(0, len(others), CALL):
+            parts = others[at:at + CALL]
+            ids = self._ids(PART.join(parts))
+            self._part(parts, ids, np.append(np.flatnonzero(ids == PART_ID), len(ids)), 1)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _part(self, parts: list[str], ids: np.ndarray, ends: np.ndarray, between: int) -> None:
+        """Remember the ids of each part: those up to its end, then ``between`` ids that are nobody's."""
+        raw, start = ids.tobytes(), 0
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer does not know the special token that parts chunks")
+        for part, end in zip(parts, (ends * 4).tolist(), strict=True):
+            self.stems[part] = raw[start:end]
+            start = end + 4 * between
 
 
 @functools.lru_cache(1)

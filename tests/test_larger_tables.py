@@ -20,3 +20,18 @@ def test_pairs_of_positions_move_no_entities(spark):
     got = out.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("i") * 1000 + F.col("j")).alias("s"))
     assert sorted(map(tuple, got.collect())) == [(1, 600 * 599, sum(i * 1000 + j for i in range(600) for j in range(600) if i != j)),
                                                  (2, *map(sum, zip(*[(1, i * 1000 + j) for i in twice for j in twice if i != j])))]
+
+
+def test_a_packing_worker_keeps_chunks_that_come_again(monkeypatch):
+    import numpy as np
+
+    from tessera.llm import packing
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    own, asked = packing.Encoder(packing.tokenizer_path()), []
+    real = own._encode
+    monkeypatch.setattr(own, "_encode", lambda new: asked.extend(new) or real(new))
+    odd = "İstanbul straße Σσς ŉa 中文 ཀཱ Ɤa \U00031350b naïve! it's 'll x2y a<|b ͅ ǅ ªb"
+    texts = [f"again {' '.join(f'w{k}z{i}' for i in range(40))} {' '.join(map(chr, range(97 + k, 99 + k)))}" for k in range(20)] + [odd, odd + "!"]
+    ids = [np.frombuffer(own([t])[0], "<u4").tolist() for t in texts]
+    assert asked.count("again") == 1   # all chunks were forgotten at once before
+    assert ids == [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
