@@ -35,3 +35,22 @@ def test_a_packing_worker_keeps_chunks_that_come_again(monkeypatch):
     ids = [np.frombuffer(own([t])[0], "<u4").tolist() for t in texts]
     assert asked.count("again") == 1   # all chunks were forgotten at once before
     assert ids == [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_graph_files_rank_narrow_rows(spark, monkeypatch):
+    from tessera.operators import splits
+    from tessera.plans import q_sources
+    ranked, real = [], splits.global_rank
+    monkeypatch.setattr(splits, "global_rank", lambda df, *more: ranked.append(df.columns) or real(df, *more))
+    paths = q_sources._graph_files(spark, "/root/testdata/sf0.001")
+    assert len(ranked) == 2 and not any("x" in columns for columns in ranked)   # the features were ordered and written with the numbers before
+    lines = {k: spark.read.text(p).count() for k, p in paths.items()}
+    assert lines["indicator"] == lines["attributes"] and lines["edges"] == 2 * (lines["attributes"] - lines["labels"])
+
+
+def test_graph_nodes_are_ordered_and_counted_in_one_window(spark):
+    from tessera.plans import fixtures as FX
+    nodes = FX._graph_nodes(spark, "/root/testdata/sf0.001")
+    assert nodes._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1   # two before
+    sizes = nodes.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n"), F.min("_n").alias("a"), F.max("_n").alias("b"), F.max("node").alias("m"))
+    assert sizes.filter("n <> a or n <> b or m <> n - 1").isEmpty() and not sizes.isEmpty()
