@@ -13,6 +13,7 @@ special tokens in a text become the special ids, as the tokenizer has it.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 import zlib
@@ -20,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,20 +30,21 @@ from tessera.llm.common import columns, materialize, rows_per_split
 
 #: Ids in a sequence, the id after each document, pieces packed together in one group.
 LENGTH, END_ID, GROUP = 2048, 1, 8192
-#: A text is cut into chunks at white space; no token, nor the normal form of one, crosses it. Python's
-#: split() takes these separators for white space too, the tokenizer doesn't: such texts are cut at blanks.
-SEPARATOR, BLANK = re.compile(r"[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: A text is cut into chunks at the six blanks of ASCII; no token, nor the normal form of one, crosses them.
 #: The end of the last id of each of the tokenizer's own words, and how many chunks go into one call. Chunks of letters are one
 #: such word each: their ids are parted there.
 WORD_END, CALL = "</w>", 64
+#: Small letters of ASCII and Latin-1 are their own normal form, lower case and tokenizer's word: chunks of these need only its merges.
+PLAIN, PLAIN_CALL = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch, 512
 #: A special token that parts the other chunks of one call; chunks with its first characters go by themselves.
 PART, PART_ID = "<|endoftext|>", 49407
 #: Marks at the end of a chunk have ids of their own after a letter or digit of these blocks, but for
 #: U+0130, whose lower case ends in a mark itself.
-MARKS, LATIN_END = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CUT_AFTER = np.array([c < 0x250 and c != 0x130 and chr(c).isalnum() for c in range(0x280)])
 #: Chunks whose ids a worker remembers before it starts anew (some 300 bytes each, in every worker of an executor),
-#: and documents whose pieces it holds before it hands them on.
-REMEMBERED, HANDED = 150_000, 512
+#: documents whose pieces it holds before it hands them on, and letters of these that are encoded together.
+REMEMBERED, HANDED, TOGETHER = 150_000, 512, 1 << 20
 
 
 def tokenizer_path() -> str:
@@ -63,66 +67,99 @@ def lower_case(text: str) -> str:
     return lower if unicodedata.is_normalized("NFC", lower) else text
 
 
+def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` from ``begin``, ``size`` long, one after another."""
+    stop = np.cumsum(size)
+    return values[np.repeat(begin - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)]
+
+
+def cut_marks(chunks: pa.LargeStringArray) -> tuple[pa.Array, pa.Array]:
+    """Each chunk without the marks at its end, and these; they stay with the chunk, and the marks are empty, where they
+    don't follow a letter or digit of the blocks that allow a cut."""
+    stems = pc.utf8_rtrim(chunks, characters=MARKS)
+    size, kept = (pc.binary_length(x).to_numpy() for x in (chunks, stems))
+    data = np.frombuffer(chunks.buffers()[2] or b"", np.uint8)
+    end = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks)] + kept
+    last, lead = (np.append(data, 0)[np.maximum(end - k, 0)].astype(int) for k in (1, 2))
+    two = (last >> 6 == 2) & (lead >= 0xC2) & (lead <= 0xC9)   # a letter of two bytes, below U+0280
+    point = np.where(two, (lead & 31) << 6 | last & 63, np.where(last < 128, last, 0))
+    cut = (kept > 0) & (kept < size) & CUT_AFTER[point] & ~pc.match_substring(chunks, "<|").to_numpy(False)
+    tail = np.where(cut, size - kept, 0)
+    offsets = np.append(0, np.cumsum(tail))
+    marks = pa.LargeStringArray.from_buffers(len(chunks), pa.py_buffer(offsets), pa.py_buffer(gathered(data, end, tail)))
+    return pc.if_else(pa.array(cut), stems, chunks), marks
+
+
 class Encoder:
-    """Ids of whole texts, by chunks between white space; the ids of a chunk, and those of a chunk
-    without the marks at its end, are remembered."""
+    """Ids of whole texts, by chunks between white space. A chunk with marks at its end is put together from the ids of
+    the chunk without them and of the marks; the ids of such parts and of all other chunks are remembered."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)   # the same pieces and merges, for what needs no normal form
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocab.items() if piece.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.past: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        texts = list(map(lower_case, texts))
-        chunks = [BLANK.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
-        if max(len(self.known), len(self.stems)) > REMEMBERED // 2:   # the half before last goes, but for what came again since
-            self.past, self.known, self.stems = self.known, {}, {}
-        known, stems, past, cut = self.known, self.stems, self.past, {}
-        new = set().union(*chunks).difference(known)
-        again = [c for c in new if c in past]
-        for c in again:
-            known[c] = past[c]
-        new.difference_update(again)
-        for c in new:
-            stem = c.rstrip(MARKS)
-            if len(stem) < len(c) and stem and stem[-1] < LATIN_END and stem[-1].isalnum() and stem[-1] != "\u0130" and "<|" not in c:
-                cut[c] = stem, c[len(stem):]
-        self._encode(list(new.difference(cut).union(*cut.values()).difference(stems)))
-        for c in new:
-            known[c] = stems[cut[c][0]] + stems[cut[c][1]] if c in cut else stems[c]
-        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
+        listed = pc.ascii_split_whitespace(pa.array(map(lower_case, texts), pa.large_string()))
+        words = listed.flatten().dictionary_encode()
+        parts, marks = map(pa.Array.dictionary_encode, cut_marks(words.dictionary))
+        of = self._remembered(parts.dictionary.to_numpy(False).tolist() + marks.dictionary.to_numpy(False).tolist())
+        # a word is two places in ``of``, whose ids are one after another in ``raw``
+        raw, size = np.frombuffer(b"".join(of), "<u4"), np.fromiter(map(len, of), np.int64, len(of)) // 4
+        at = np.stack([parts.indices.to_numpy(), marks.indices.to_numpy() + len(parts.dictionary)], 1)[words.indices.to_numpy()].ravel()
+        ids = gathered(raw, (np.cumsum(size) - size)[at], size[at])
+        ends = np.append(0, np.cumsum(size[at]))[2 * listed.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in itertools.pairwise(ends)]
+
+    def _remembered(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of ``parts``; new ones are encoded and remembered."""
+        if len(self.known) > REMEMBERED // 2:   # the half before last goes, but for what came again since
+            self.past, self.known = self.known, {}
+        known, past = self.known, self.past
+        out = list(map(known.get, parts))
+        missing = {parts[i] for i, found in enumerate(out) if found is None}
+        again = [c for c in missing if c in past]
+        known.update(zip(again, map(past.__getitem__, again), strict=True))
+        self.stems = {}
+        self._encode(list(missing.difference(again)))
+        known.update(self.stems)
+        return list(map(known.__getitem__, parts)) if missing else out
 
     def _encode(self, new: list[str]) -> None:
-        """Remember the ids of ``new`` parts, many in one call."""
-        words, others, alone = [], [], []
+        """Put the ids of ``new`` parts into ``stems``, many in one call."""
+        plain, words, others, alone = [], [], [], []
         for c in new:
-            (words if c.isalpha() else alone if "<|" in c else others).append(c)
-        for at in range(0, len(words), CALL):
-            parts = words[at:at + CALL]
-            ids = self._ids(" ".join(parts))
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(parts):
-                self._part(parts, ids, ends, 0)
-            else:   # letters that the tokenizer takes for none, or whose lower case holds a mark
-                alone += parts
+            (plain if PLAIN(c) else words if c.isalpha() else alone if "<|" in c else others).append(c)
+        for tokenizer, letters, call in ((self.plain, plain, PLAIN_CALL), (self.tokenizer, words, CALL)):
+            for at in range(0, len(letters), call):
+                parts = letters[at:at + call]
+                ids = self._ids(" ".join(parts), tokenizer)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(parts):
+                    self._part(parts, ids, ends, 0)
+                else:   # letters that the tokenizer takes for none, or whose lower case holds a mark
+                    alone += parts
         for part, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.stems[part] = np.array(e.ids, dtype="<u4").tobytes()
         for at in range(0, len(others), CALL):
             parts = others[at:at + CALL]
-            ids = self._ids(PART.join(parts))
+            ids = self._ids(PART.join(parts), self.tokenizer)
             self._part(parts, ids, np.append(np.flatnonzero(ids == PART_ID), len(ids)), 1)
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _ids(self, text: str, tokenizer) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _part(self, parts: list[str], ids: np.ndarray, ends: np.ndarray, between: int) -> None:
-        """Remember the ids of each part: those up to its end, then ``between`` ids that are nobody's."""
+        """Put the ids of each part into ``stems``: those up to its end, then ``between`` ids that are nobody's."""
         raw, start = ids.tobytes(), 0
         if len(ends) != len(parts):
             raise ValueError("the tokenizer does not know the special token that parts chunks")
@@ -137,6 +174,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def calls(texts: list[str], first: int, last: int) -> list[int]:
+    """Where ``texts`` from ``first`` to ``last`` are parted into calls of TOGETHER letters, but for longer texts."""
+    ends = np.cumsum([len(t) for t in texts[first:last]])
+    at = [first]
+    while at[-1] < last:
+        before = ends[at[-1] - first - 1] if at[-1] > first else 0
+        at.append(max(at[-1] + 1, first + int(np.searchsorted(ends, before + TOGETHER, "right"))))
+    return at
+
+
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]) of every piece of ``docs`` (doc_id, text)."""
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -147,8 +194,8 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_I
             texts, doc_ids = batch["text"].fillna("").tolist(), batch["doc_id"].tolist()
             for first in range(0, len(texts), HANDED):
                 out = []
-                for at in range(first, min(first + HANDED, len(texts)), 64):
-                    for doc_id, ids in zip(doc_ids[at:at + 64], encode(texts[at:at + 64]), strict=True):
+                for at, upto in itertools.pairwise(calls(texts, first, min(first + HANDED, len(texts)))):
+                    for doc_id, ids in zip(doc_ids[at:upto], encode(texts[at:upto]), strict=True):
                         ids += end
                         for start in range(0, len(ids), 4 * length):
                             part = ids[start:start + 4 * length]

@@ -54,3 +54,31 @@ def test_graph_nodes_are_ordered_and_counted_in_one_window(spark):
     assert nodes._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1   # two before
     sizes = nodes.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n"), F.min("_n").alias("a"), F.max("_n").alias("b"), F.max("node").alias("m"))
     assert sizes.filter("n <> a or n <> b or m <> n - 1").isEmpty() and not sizes.isEmpty()
+
+
+def test_a_packing_worker_encodes_plain_words_without_the_normalizer(monkeypatch):
+    import numpy as np
+
+    from tessera.llm import packing
+    own, asked = packing.Encoder(packing.tokenizer_path()), []
+    real = own._ids
+    monkeypatch.setattr(own, "_ids", lambda text, tokenizer: asked.append((text, tokenizer)) or real(text, tokenizer))
+    rng = np.random.default_rng(5)
+    ends = ["", "!", ",.", "'s", "é!", "ß?", "İ.", "ɏ,", "ɐ,", "͏.", "8)", "²;", "<|", "<|endoftext|>!", "中!", "\xa0b.", "\x1c,", "\x85!", "...x", "é.", "J̌!", "Σ.", "µ,", "ª!"]
+    texts = ["", " ", "\n!\t"] + ["".join(rng.choice(["straße", "Çam", "naïve", "words", "a", "'ll", "ſ", "Dž"]) + rng.choice(ends) + rng.choice([" ", "  ", "\n", "\x0b", "　", ""])
+                                          for _ in range(40)) for _ in range(60)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in own(texts)] == [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own([]) == [] and own(["", " "]) == [b"", b""]
+    # one call of the merges alone for many words, several of the whole tokenizer before
+    asked.clear()
+    words = [a + b + c for a in "bcdfghjkl" for b in "aeiouäé" for c in "mnprst"]
+    assert len(own([" ".join(words)])[0]) > 0
+    assert [t is own.plain for _, t in asked] == [True]
+
+
+def test_packing_calls_part_the_documents():
+    from tessera.llm import packing
+    size = packing.TOGETHER
+    assert packing.calls(["a" * (size // 2)] * 5, 1, 5) == [1, 3, 5]
+    assert packing.calls(["a", "b" * (2 * size), "", "c"], 0, 4) == [0, 1, 2, 4]
+    assert packing.calls([], 0, 0) == [0]
