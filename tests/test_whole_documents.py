@@ -36,3 +36,46 @@ def test_tokens_are_found_where_their_text_was_dealt(spark, monkeypatch):
         listed = S.tokenize(lines, "k", "line", detach_final_dot=dot, listed=True)
         assert sorted((r.k or 0, *z) for r in listed.collect() for z in r.tokens) == want
     assert S.tokenize(lines.limit(0), "k", "line").collect() == []
+
+
+def _vocab(spark):
+    return spark.createDataFrame([("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3), ("ab", 4), ("a", 5), ("##c", 6), ("##b", 7), ("##é", 10)], "piece string, idx int")
+
+
+def test_documents_are_encoded_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(S, "ENCODED_AT_ONCE", 3)
+    docs = [(1, ["abc", "x", "", None, "é"]), (2, ["ab"] * 9), (3, []), (4, ["a"]), (None, ["a"])]
+    make = lambda rows: spark.createDataFrame(rows, "d int, tokens array<string>")
+    vocab = _vocab(spark)
+    rows = lambda e: sorted(map(tuple, e.collect()))
+    for more in ([], [(2, ["b", "abé"] * 5), (2, ["abb"])]):
+        d = make(docs + more)
+        tokens = S.explode_rows(d.filter("d is not null"), ["d"], "tokens", "tok_idx", "token")
+        for broadcast in (0, 10**6):
+            monkeypatch.setattr(S, "BROADCAST_PIECES", broadcast)
+            e = S.encode_subwords(d, vocab, "d")
+            if broadcast and not more:
+                assert "hashpartitioning" not in _plan(e)   # a row a token was dealt and ordered before
+            got = rows(e.select("d", F.explode("encoded").alias("e")).select("d", F.col("e.tok_idx"), F.col("e.ids").alias("ids")))
+            want = rows(S.encode_subwords(tokens, vocab, "d").select("d", "tok_idx", "ids"))
+            assert got == want
+            spans = [(r.d, z.sub_start, z.sub_end, len(z.ids)) for r in e.collect() for z in r.encoded]
+            for k in {s[0] for s in spans}:
+                own = sorted(s[1:] for s in spans if s[0] == k)
+                assert own[0][0] == 1 and all(b - a == n for a, b, n in own) and all(x[1] == y[0] for x, y in zip(own, own[1:]))
+            enc = {r.d: r.encoding for r in S.encodings(e, vocab, "d").collect()}
+            assert set(enc) == {1, 2, 4} and enc[1] == [2, 4, 6, 1, 1, 1, 3] and enc[4] == [2, 5, 3]
+
+
+def test_spans_are_decoded_in_their_document(spark):
+    d = spark.createDataFrame([(1, [(0, 1, 3), (1, 3, 4), (2, 2, 9), (3, None, 4)], [(0, 1, 3), (1, 3, 4)]), (2, [], [(0, 1, 2)]), (3, [(0, 1, 2)], None)],
+                              "d int, mentions array<struct<i:int,sub_start:int,sub_end:int>>, encoded array<struct<tok_idx:int,sub_start:int,sub_end:int>>")
+    out = S.decode_spans(d, "encoded", "d")
+    assert "hashpartitioning" not in _plan(out)
+    got = {(r.d, m.i): (m.start, m.end) for r in out.collect() for m in r.mentions}
+    assert got == {(1, 0): (0, 1), (1, 1): (1, 2), (1, 2): (None, None), (1, 3): (None, 2), (3, 0): (None, None)}
+    rows = lambda c, *f: d.select("d", F.explode(c).alias("m")).select("d", *[f"m.{x}" for x in f])
+    by_rows = S.decode_spans(rows("mentions", "i", "sub_start", "sub_end"), rows("encoded", "tok_idx", "sub_start", "sub_end"), "d")
+    assert {(r.d, r.i): (r.start, r.end) for r in by_rows.collect()} == got
+    twice = S.met_listed(d, "encoded", "mentions", ("sub_end", "sub_end"), {"i": "i"})
+    assert [(m.tok_idx, m.i) for r in twice.filter("d = 1").collect() for m in r.encoded] == [(0, 0), (1, 1), (1, 3)]
