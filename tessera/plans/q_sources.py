@@ -50,7 +50,7 @@ def _contents(df, *more):
 @query("a1_read_docs", _M1_ROWS)
 def a1(spark, sf):
     p = _dir(spark, sf, "a1")
-    WR.write_doc_arrays(_m1(spark, sf).drop("doc_id"), p, F.col("orig_id"))
+    WR.write_doc_arrays(_m1(spark, sf).drop("doc_id"), p)
     return _contents(RD.read_docs(spark, p))
 
 

@@ -27,13 +27,51 @@ def file_of(key: Column, files: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(files))
 
 
-def write_doc_arrays(df: DataFrame, path: str, key: Column, mode: str = "overwrite") -> None:
-    """A15 (array layout): one JSON array of documents per file, the layout
-    the JSON-array reader (A1) expects. Files are of about FILE_BYTES, as many
+def write_doc_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A15 (array layout): one JSON array of documents per (compressed) file, the layout
+    the JSON-array reader (A1) expects. Files hold about FILE_BYTES of text, as many
     as the documents need."""
-    files = files_of(df, F.to_json(F.struct(*df.columns)))
-    g = df.groupBy(file_of(key, files).alias("_b")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
-    g.repartition("_b").write.mode(mode).partitionBy("_b").text(path)
+    write_bundles(df.select(F.to_json(F.struct(*df.columns)).alias("value")), path, mode=mode)
+
+
+def write_bundles(df: DataFrame, path: str, kinds: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+    """The JSON texts ``value`` of ``df`` as files of one JSON array each, or of one object with an array for each of ``kinds`` (the
+    texts whose column ``kind`` it is). Each task puts its rows together to files of about FILE_BYTES of text where they are, and they
+    are written compressed: nothing is shuffled."""
+    from tessera.session import ship
+    size = FILE_BYTES
+
+    def run(batches):
+        return _bundles(batches, kinds, size)
+
+    files = ship(df.select(*(["kind"] if kinds else []), "value")).mapInArrow(run, "value string")
+    files.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+
+
+def _bundles(batches, kinds: tuple[str, ...], size: int):
+    """Arrow batches of (kind,) value -> the text of each file."""
+    import json
+
+    import pyarrow as pa
+
+    def text():
+        listed = {k: "[" + ",".join(v) + "]" for k, v in held.items()}
+        body = "{" + ",".join(f"{json.dumps(k)}:{v}" for k, v in listed.items()) + "}" if kinds else listed[None]
+        return pa.RecordBatch.from_arrays([pa.array([body], pa.string())], ["value"])
+
+    empty = lambda: ({k: [] for k in kinds or (None,)}, 0)
+    held, filled = empty()
+    for batch in batches:
+        which = batch.column(0).to_pylist() if kinds else [None] * batch.num_rows
+        for kind, value in zip(which, batch.column(batch.num_columns - 1)):
+            value = value.as_py()
+            held[kind].append(value)
+            filled += len(value)
+            if filled >= size:
+                yield text()
+                held, filled = empty()
+    if filled:
+        yield text()
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
