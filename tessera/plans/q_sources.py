@@ -62,10 +62,7 @@ def a2(spark, sf):
     d = _m1(spark, sf)
     split = F.when(F.col("doc_id") % 10 < 8, "train").when(F.col("doc_id") % 10 == 8, "dev").otherwise("test")
     docs = F.struct("tokens", "entities", "relations", "orig_id")
-    d = d.withColumn("_s", split).withColumn("_b", WR.file_of(F.col("orig_id"), WR.files_of(d, F.to_json(docs))))
-    g = d.groupBy("_b").agg(*[F.collect_list(F.when(F.col("_s") == s, docs)).alias(s) for s in ("train", "dev", "test")])
-    g.select("_b", F.to_json(F.struct("train", "dev", "test")).alias("value")).write.mode("overwrite") \
-        .partitionBy("_b").text(p)
+    WR.write_bundles(d.select(split.alias("kind"), F.to_json(docs).alias("value")), p, ("train", "dev", "test"))
     return _contents(RD.read_split_docs(spark, p), "split")
 
 

@@ -79,3 +79,41 @@ def test_spans_are_decoded_in_their_document(spark):
     assert {(r.d, r.i): (r.start, r.end) for r in by_rows.collect()} == got
     twice = S.met_listed(d, "encoded", "mentions", ("sub_end", "sub_end"), {"i": "i"})
     assert [(m.tok_idx, m.i) for r in twice.filter("d = 1").collect() for m in r.encoded] == [(0, 0), (1, 1), (1, 3)]
+
+
+def test_documents_are_put_into_compressed_files_where_they_are(spark, tmp_path, monkeypatch):
+    from tessera.sources import readers as RD
+    from tessera.sources import writers as WR
+    monkeypatch.setattr(WR, "FILE_BYTES", 2_000)
+    rows = [([f"é{k}", '"|\n'] * 9, [("x", k, k + 1)], [("r", 0, 1)] * (k % 3), f"d{k}") for k in range(100)] + [([], [], [], None)]
+    docs = spark.createDataFrame(rows, RD.DOC_SCHEMA).repartition(3)
+    assert not {"groupBy", "repartition"} & set(WR.write_doc_arrays.__code__.co_names + WR.write_bundles.__code__.co_names)   # documents were moved twice before
+    WR.write_doc_arrays(docs, str(tmp_path / "a"))
+    files = [f for f in (tmp_path / "a").iterdir() if f.name.startswith("part-")]
+    assert len(files) > 8 and all(f.name.endswith(".gz") for f in files)   # plain text before
+    key = lambda r: str(r)
+    assert sorted(RD.read_docs(spark, str(tmp_path / "a")).collect(), key=key) == sorted(docs.collect(), key=key)
+    kind = F.when(F.col("orig_id").endswith("7"), "dev").otherwise("train")
+    WR.write_bundles(docs.select(kind.alias("kind"), F.to_json(F.struct(*docs.columns)).alias("value")), str(tmp_path / "s"), ("train", "dev", "test"))
+    got = RD.read_split_docs(spark, str(tmp_path / "s"))
+    assert sorted(got.collect(), key=key) == sorted(docs.withColumn("split", kind).collect(), key=key)
+    WR.write_doc_arrays(docs.limit(0), str(tmp_path / "none"))
+    assert RD.read_docs(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_pipe_lines_take_the_sentence_of_their_document(spark, tmp_path):
+    from tessera.plans import fixtures as FX
+    from tessera.plans import q_sources
+    text = "abcdefgh x abcdefghij abcdefghi | y abcdefghijk"
+    spark.createDataFrame([(1, text), (2, "none"), (3, text), (3, text), (None, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, real = [], S.relations_with_spans
+    try:
+        S.relations_with_spans = lambda d, *more: seen.append(d) or real(d, *more)
+        rows = q_sources.a6(spark, str(tmp_path)).collect()
+    finally:
+        S.relations_with_spans = real
+    assert "SortMergeJoin" not in _plan(seen[0])   # all documents met all sentences in a join before
+    n = {d: sum(r.doc == d for r in rows) for d in ("1", "2", "3")}
+    rels = FX.gold_docs(spark, str(tmp_path)).filter("doc_id = 1").select(F.size("relations")).first()[0]
+    assert rels > 2 and n == {"1": rels, "2": 0, "3": 4 * rels} and len(rows) == 5 * rels
+    assert {r.sentence for r in rows} == {text.replace("|", "/")}
