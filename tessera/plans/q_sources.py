@@ -101,8 +101,10 @@ SELECT CAST(doc_id AS VARCHAR) AS doc, sentence, trim(eff) AS effect,
     ON s.doc_id = r.doc_id AND s.sent_no = r.sent_no)""", "gold_relx", "sents"))
 def a6(spark, sf):
     p = _dir(spark, sf, "a6")
-    # documents meet their sentences one to one; only then are there rows a relation, whose sentence repeats in the (compressed) lines
-    d = FX.gold_docs(spark, sf).select(*DOC, "entities", "relations").join(FX.sentences(spark, sf).select(*DOC, "tokens"), DOC)
+    # a document holds its sentence, and the others of its key where that comes again; only then are there rows a relation, whose
+    # sentence repeats in the (compressed) lines
+    d = S.gathered(FX.gold_docs(spark, sf), DOC, "entities", "relations", "tokens")
+    d = d.select(*DOC, "tokens", F.explode(F.arrays_zip("entities", "relations")).alias("d")).select(*DOC, "d.*", F.explode("tokens").alias("tokens"))
     d = d.withColumn("sentence", F.replace(F.array_join("tokens", " "), F.lit("|"), F.lit("/")))
     r = S.relations_with_spans(d, DOC, ["tokens", "sentence"])
     def ph(s, e):   # the pipe is the field separator: it cannot occur inside a field
