@@ -159,3 +159,34 @@ def test_pairs_are_matched_in_their_document(spark, monkeypatch):
         monkeypatch.setattr(S, "FOLLOWED_AT_ONCE", most)
         assert rows(S.match_pairs(whole, None, "d")) == want
     assert "hashpartitioning" not in _plan(S.match_pairs(whole.filter("d <> 2"), None, "d"))   # lines and documents were dealt before
+
+
+def test_graphs_are_read_by_the_number_of_the_node(spark, tmp_path):
+    import gzip
+
+    from tessera.plans import q_sources
+    from tessera.sources import readers as RD
+    texts = {"edges": "1, 2\n2, 1\n4,5\n9, 1\n3, 5\n\n", "indicator": "1\n1\n2\n2\n2\n", "labels": "7\n8\n", "attributes": "1.5, 2\n3,4\n5, 6\n7, 8\n9, 0\n"}
+    for k, t in texts.items():
+        (tmp_path / k).mkdir()
+        lines = t.splitlines(keepends=True)
+        for part in range(2):   # two compressed parts
+            (tmp_path / k / f"part-{part}.txt.gz").write_bytes(gzip.compress("".join(lines[part * 2:part * 2 + 2] if part == 0 else lines[2:]).encode()))
+    paths = {k: str(tmp_path / k) for k in texts}
+    nodes, edges, _ = RD.read_graphs(spark, **paths, numbered=True)
+    assert sorted((r.n, r.graph_id, r.label, r.node, r.x) for r in nodes.collect()) == [
+        (1, 1, 7, 0, [1.5, 2.0]), (2, 1, 7, 1, [3.0, 4.0]), (3, 2, 8, 0, [5.0, 6.0]), (4, 2, 8, 1, [7.0, 8.0]), (5, 2, 8, 2, [9.0, 0.0])]
+    assert sorted(map(tuple, edges.join(nodes.select("n"), "n").collect())) == [(1, 1), (2, 0), (3, 2), (4, 2)]
+    plain, joined, graphs = RD.read_graphs(spark, **paths)
+    assert sorted((r.graph_id, r.src, r.dst) for r in joined.collect()) == [(1, 0, 1), (1, 1, 0), (2, 0, 2), (2, 1, 2)]
+    assert plain.count() == 5 and sorted(map(tuple, graphs.collect())) == [(1, 7), (2, 8)]
+    numbers = RD.numbered_lines(spark, paths["attributes"])
+    assert "SortMergeJoin" not in _plan(numbers) and "BroadcastHashJoin" in _plan(numbers)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "SortMergeJoin" not in _plan(RD.numbered_lines(spark, paths["attributes"]))   # all lines moved to be numbered before
+        files = q_sources._graph_files(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert all(f.endswith(".gz") for p in files.values() for f in spark.read.text(p).inputFiles())
